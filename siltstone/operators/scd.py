@@ -24,7 +24,8 @@ def _names(value: str | Sequence[str]) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
-def _usable(keys: Sequence[str], sequence: Sequence[str]) -> Column:
+def usable(keys: Sequence[str], sequence: Sequence[str]) -> Column:
+    """TRUE for rows with no NULL in key or sequence."""
     condition = F.lit(True)
     for name in [*keys, *sequence]:
         condition = condition & quoted(name).isNotNull()
@@ -33,17 +34,17 @@ def _usable(keys: Sequence[str], sequence: Sequence[str]) -> Column:
 
 def unusable_changes(changes: DataFrame, keys: Sequence[str], sequence_by: str | Sequence[str]) -> DataFrame:
     """Rows no target can take: a NULL in the key or in the sequence. They belong in quarantine."""
-    return changes.where(~_usable(_names(keys), _names(sequence_by)))
+    return changes.where(~usable(_names(keys), _names(sequence_by)))
 
 
 def _prepare(changes: DataFrame, keys: list[str], sequence: list[str], delete_when) -> DataFrame:
-    usable = _usable(keys, sequence)
+    wanted = usable(keys, sequence)
     if CHANGE_TYPE in changes.columns:
-        usable = usable & (F.coalesce(quoted(CHANGE_TYPE), F.lit("")) != "update_preimage")
+        wanted = wanted & (F.coalesce(quoted(CHANGE_TYPE), F.lit("")) != "update_preimage")
     live = F.lit(True) if delete_when is None else ~F.coalesce(as_column(delete_when), F.lit(False))
     # At an equal sequence a live row wins over a delete, then the larger row hash wins: the
     # outcome does not depend on arrival order.
-    return changes.where(usable).withColumns({LIVE: live, TIE: row_digest(changes)})
+    return changes.where(wanted).withColumns({LIVE: live, TIE: row_digest(changes)})
 
 
 def apply_scd1(
@@ -53,12 +54,12 @@ def apply_scd1(
     delete_when: Column | str | None = None,
     except_cols: Sequence[str] = (),
     at: Column | None = None,
-    keep_deleted: bool = False,
+    deleted_flag: str | None = None,
 ) -> DataFrame:
     """The latest row of every key; a key whose latest change is a delete is left out.
 
     One aggregation with map-side combine, so a key with many changes shrinks before the shuffle.
-    `keep_deleted` keeps the deletes, for targets that must still reject late events.
+    With `deleted_flag`, deleted keys stay in, marked by a column of that name.
     """
     keys, sequence = _names(keys), _names(sequence_by)
     rows = _prepare(changes, keys, sequence, delete_when)
@@ -67,11 +68,13 @@ def apply_scd1(
     latest = rows.groupBy(*[quoted(k) for k in keys]).agg(
         F.max_by(F.struct(F.lit(True).alias("__row"), quoted(LIVE), *[quoted(c) for c in rest]), position).alias("__latest")
     )
-    if not keep_deleted:
+    if deleted_flag is None:
         latest = latest.where(F.col("__latest")[LIVE])
     columns = [quoted(c) if c in keys else F.col("__latest")[c].alias(c) for c in changes.columns if c not in except_cols]
     if at is not None:
         columns.append(at.alias("processedTime"))
+    if deleted_flag is not None:
+        columns.append((~F.col("__latest")[LIVE]).alias(deleted_flag))
     return latest.select(*columns)
 
 

@@ -11,28 +11,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 CUSTOM_PREFIX = "custom."
 
 
-def _footers(paths: Iterator[pd.DataFrame], prefix: str) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in paths:
-        found = []
-        for path in batch["path"]:
-            filesystem, inner = fs.FileSystem.from_uri(path)
-            with filesystem.open_input_file(inner) as handle:
-                metadata = pq.ParquetFile(handle).metadata.metadata or {}
-            for key, value in metadata.items():
-                name = key.decode("utf-8")
-                if name.startswith(prefix):
-                    found.append((name, value.decode("utf-8"), path))
-        yield pd.DataFrame(found, columns=["key", "value", "path"])
-
-
 def parquet_custom_metadata(spark: SparkSession, path: str, prefix: str = CUSTOM_PREFIX) -> DataFrame:
     """Distinct metadata entries of all Parquet files below a folder, with how many files carry each.
 
     Only file names are listed by Spark; the footers are read in the tasks, the files themselves never.
     """
+
+    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for file in batch["path"]:
+                filesystem, inner = fs.FileSystem.from_uri(file)
+                with filesystem.open_input_file(inner) as handle:
+                    metadata = pq.ParquetFile(handle).metadata.metadata or {}
+                for key, value in metadata.items():
+                    name = key.decode("utf-8")
+                    if name.startswith(prefix):
+                        found.append((name, value.decode("utf-8"), file))
+            yield pd.DataFrame(found, columns=["key", "value", "path"])
+
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
@@ -41,5 +41,5 @@ def parquet_custom_metadata(spark: SparkSession, path: str, prefix: str = CUSTOM
         .select("path")
         .repartition(spark.sparkContext.defaultParallelism)
     )
-    entries = files.mapInPandas(lambda it: _footers(it, prefix), "key STRING, value STRING, path STRING")
+    entries = files.mapInPandas(footers, "key STRING, value STRING, path STRING")
     return entries.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n_files"))

@@ -14,13 +14,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from ..operators.changes import RESERVED
 from ..operators.columns import quoted
-from ..operators.scd import apply_scd1, apply_scd2, unusable_changes
+from ..operators.evolve import SchemaRegistry, conform, merge_types
+from ..operators.scd import apply_scd1, apply_scd2, unusable_changes, usable
 
 BUCKET = "__bucket"
 BATCH = "__batch"
+DELETED = "__deleted"
 
 
 @dataclass
@@ -62,40 +65,49 @@ class ScdTarget:
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Take in one micro-batch; use it as the function of `foreachBatch`."""
         spark = batch.sparkSession
+        schema = self._widened(batch)
         bucket = F.pmod(F.xxhash64(*[quoted(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
-        marked = batch.withColumns({BUCKET: bucket, BATCH: F.lit(batch_id).cast("bigint")}).persist()
+        rows = conform(batch, schema).withColumns({BUCKET: bucket, BATCH: F.lit(batch_id).cast("bigint")}).persist()
         try:
+            good = rows.where(usable(self.keys, self.sequence_by))
             # The number of buckets bounds what comes to the driver here.
-            touched = [r[0] for r in marked.select(BUCKET).distinct().collect()]
-            if not touched:
-                return
-            bad = unusable_changes(marked, self.keys, self.sequence_by)
-            self._write(bad.drop(BUCKET), self.quarantine_path, BATCH)
-            self._write(marked.exceptAll(bad) if False else marked.where(self._usable()), self.changes_path, BUCKET, BATCH)
+            touched = [r[0] for r in good.select(BUCKET).distinct().collect()]
+            self._write(unusable_changes(rows, self.keys, self.sequence_by).drop(BUCKET), self.quarantine_path, BATCH)
+            if touched:
+                self._write(good, self.changes_path, BUCKET, BATCH)
         finally:
-            marked.unpersist()
-        self._refresh(spark, touched)
-
-    def _usable(self) -> Column:
-        condition = F.lit(True)
-        for name in [*self.keys, *self.sequence_by]:
-            condition = condition & quoted(name).isNotNull()
-        return condition
-
-    def _refresh(self, spark: SparkSession, buckets: Sequence[int]) -> None:
-        changes = self.changes(spark).where(F.col(BUCKET).isin(list(buckets)))
-        self._write(self._table(changes), self.table_path, BUCKET)
-
-    def _table(self, changes: DataFrame) -> DataFrame:
-        rows = changes.drop(BATCH)
+            rows.unpersist()
+        if touched:
+            changes = self._read(spark, self.changes_path, good.schema).where(F.col(BUCKET).isin(touched))
+            self._write(self._table(changes.drop(BATCH)), self.table_path, BUCKET)
+
+    def _widened(self, batch: DataFrame) -> StructType:
+        """The batch's schema merged with that of all batches before it."""
+        registry = SchemaRegistry(batch.sparkSession, f"{self.path}/schema")
+        stored = registry.load("changes")
+        schema = merge_types(stored, batch.schema) if stored is not None else batch.schema
+        registry.store("changes", schema)
+        return schema
+
+    def _read(self, spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+        # With the schema given, Spark opens no footers to find it; older files lack new columns.
+        return spark.read.schema(schema).parquet(path)
+
+    def _table(self, rows: DataFrame) -> DataFrame:
         if self.scd_type == 1:
-            return apply_scd1(rows, self.keys, self.sequence_by, self.delete_when, self.except_cols, self.at)
+            # Deleted keys stay as marked rows, so a bucket left with none of its keys is still rewritten.
+            return apply_scd1(rows, self.keys, self.sequence_by, self.delete_when, self.except_cols, self.at, DELETED)
         return apply_scd2(
             rows, self.keys, self.sequence_by, self.delete_when, self.except_cols, self.track, self.valid_from, self.at
         )
 
-    def changes(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("mergeSchema", "true").parquet(self.changes_path)
-
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("mergeSchema", "true").parquet(self.table_path).drop(BUCKET)
+        schema = SchemaRegistry(spark, f"{self.path}/schema").load("changes")
+        empty = spark.createDataFrame([], schema.add(BUCKET, IntegerType()))
+        table = self._read(spark, self.table_path, self._table(empty).schema).drop(BUCKET)
+        if self.scd_type == 1:
+            table = table.where(~F.col(DELETED)).drop(DELETED)
+        return table
+
+    def quarantined(self, spark: SparkSession) -> DataFrame:
+        return spark.read.option("mergeSchema", "true").parquet(self.quarantine_path).drop(BATCH)
