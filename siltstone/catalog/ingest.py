@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from ..functions.text import batch_prefix
 from ..operators.flatten import cast_all_to_string
@@ -71,7 +71,14 @@ def delimited_utf16(t: Tables) -> DataFrame:
     )
 
 
-EVENT_SCHEMA = StructType.fromDDL("event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
+EVENT_SCHEMA = (
+    StructType()
+    .add("event_id", LongType())
+    .add("user_id", LongType())
+    .add("event_type", StringType())
+    .add("value", DoubleType())
+    .add("props", StringType())
+)
 EVENT_SQL = "SELECT event_id, user_id, event_type, value, props FROM events"
 
 
@@ -119,7 +126,13 @@ SPOILT_PARTS = (
     CASE WHEN event_id % 10 = 3 THEN '' ELSE '}' END)"""
 )
 SPOILT_SQL = f"spoilt AS (SELECT event_id, event_type, user_id, value, {SPOILT_PARTS} AS j FROM events)"
-SPOILT_SCHEMA = StructType.fromDDL("id BIGINT, kind STRING, cents BIGINT, meta STRUCT<user: BIGINT>")
+SPOILT_SCHEMA = (
+    StructType()
+    .add("id", LongType())
+    .add("kind", StringType())
+    .add("cents", LongType())
+    .add("meta", StructType().add("user", LongType()))
+)
 RESCUED_SQL = """CASE event_id % 10 WHEN 0 THEN '{"unexpected":"x"}' WHEN 1 THEN '{"meta":{"extra":"bonus"}}'
     WHEN 2 THEN '{"cents":"N/A"}' END"""
 

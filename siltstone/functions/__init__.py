@@ -8,7 +8,7 @@ from .jsoncols import (
     structure_records,
     variant_path,
 )
-from .rescue import corrupt_text, rescued_json
+from .rescue import corrupt_text, rescued_json, variant_map
 from .text import batch_prefix, repair_json, strip_control, unquote_json
 from .times import epoch_ts, parse_ts, safe_cast
 
@@ -29,5 +29,6 @@ __all__ = [
     "strip_control",
     "structure_records",
     "unquote_json",
+    "variant_map",
     "variant_path",
 ]

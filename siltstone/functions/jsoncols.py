@@ -54,26 +54,33 @@ def project_keys(map_col: Column, spec: dict[str, tuple[str, str]]) -> list[Colu
     return columns
 
 
-# Keys a record element is known to have.
+# The keys a record element is known to have, and its declared shape.
 RECORD_KEYS = ["id", "name", "optionData", "priority", "type"]
+RECORDS = (
+    "ARRAY<STRUCT<id: STRING, name: STRING, optionData: STRUCT<checkBoxes: ARRAY<STRING>, data: STRING, fixedText: STRING>, "
+    "priority: STRING, type: STRING>>"
+)
 
 
 def structure_records(col: Column) -> Column:
-    """JSON array text of records to an array of typed structs; absent or malformed gives an empty array."""
+    """JSON array text of records to an array of typed structs; absent or malformed gives an empty array.
 
-    def record(entry: Column) -> Column:
-        options = entry["optionData"]
-        boxes = F.from_json(F.get_json_object(options, "$.checkBoxes"), "ARRAY<STRING>")
+    The text is parsed once for the known keys and once for the unknown ones.
+    """
+
+    def record(known: Column, entry: Column) -> Column:
+        options = known["optionData"]
         return F.struct(
-            entry["id"].alias("record_id"),
-            entry["name"].alias("record_name"),
-            F.coalesce(boxes, F.array().cast("array<string>")).alias("option_checkBoxes"),
-            F.get_json_object(options, "$.data").alias("option_data"),
-            F.get_json_object(options, "$.fixedText").try_cast("boolean").alias("option_fixedText"),
-            entry["priority"].try_cast("int").alias("priority"),
-            entry["type"].alias("type"),
+            known["id"].alias("record_id"),
+            known["name"].alias("record_name"),
+            F.coalesce(options["checkBoxes"], F.array().cast("array<string>")).alias("option_checkBoxes"),
+            options["data"].alias("option_data"),
+            options["fixedText"].try_cast("boolean").alias("option_fixedText"),
+            known["priority"].try_cast("int").alias("priority"),
+            known["type"].alias("type"),
             extra_keys(entry, RECORD_KEYS).alias("record_extra"),
         )
 
-    structured = F.transform(F.from_json(col, "ARRAY<MAP<STRING,STRING>>"), record)
-    return F.coalesce(structured, F.transform(F.array().cast("array<map<string,string>>"), record))
+    known = F.coalesce(F.from_json(col, RECORDS), F.array().cast(RECORDS))
+    entries = F.coalesce(F.from_json(col, "ARRAY<MAP<STRING,STRING>>"), F.array().cast("array<map<string,string>>"))
+    return F.zip_with(known, entries, record)

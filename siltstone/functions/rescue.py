@@ -7,6 +7,8 @@ while the plan is built, so the result is a single Column expression and no data
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
@@ -18,13 +20,26 @@ def corrupt_text(text: Column) -> Column:
     return F.when(F.try_parse_json(text).isNull(), text)
 
 
-def rescued_json(text: Column, typed: Column, schema: StructType) -> Column:
-    """JSON text of everything in `text` that `typed` (its parse by `schema`) lost, else NULL."""
-    raw = F.from_json(text, VARIANT_MAP)
+def variant_map(text: Column) -> Column:
+    """A JSON object as a map from key to VARIANT; NULL for anything else."""
+    return F.from_json(text, VARIANT_MAP)
+
+
+def rescued_json(text: Column, raw: Column, typed: Column, schema: StructType) -> Column:
+    """JSON text of everything in `text` that `typed` (its parse by `schema`) lost, else NULL.
+
+    `raw` is `variant_map(text)`. It is read once per field, as is `typed`, so both should be
+    columns that are already there rather than expressions.
+    """
     no_object = raw.isNull() & F.try_parse_json(text).isNotNull()
     return F.when(no_object, text).otherwise(F.to_json(_lost_in_struct(raw, typed, schema)))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often `use` reads it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _lost_in_struct(raw: Column, typed: Column, schema: StructType) -> Column:
     known = schema.fieldNames()
     unknown = F.map_filter(raw, lambda key, _: ~key.isin(known))
@@ -35,21 +50,21 @@ def _lost_in_struct(raw: Column, typed: Column, schema: StructType) -> Column:
         ]
     )
     lost = F.map_concat(unknown, F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())))
-    return F.when(F.size(lost) > 0, lost)
+    return _bound(lost, lambda found: F.when(F.size(found) > 0, found))
 
 
 def _lost_in_value(raw: Column, typed: Column, data_type: DataType) -> Column:
-    mistyped = typed.isNull() & ~F.is_variant_null(raw)
+    whole = F.when(typed.isNull() & ~F.is_variant_null(raw), raw)
     if isinstance(data_type, StructType):
-        inner = _lost_in_struct(F.try_variant_get(raw, "$", VARIANT_MAP), typed, data_type)
-        return F.when(mistyped, raw).when(inner.isNotNull(), F.to_variant_object(inner))
+        inner = _bound(
+            F.try_variant_get(raw, "$", VARIANT_MAP), lambda fields: _lost_in_struct(fields, typed, data_type)
+        )
+        return F.coalesce(whole, F.to_variant_object(inner))
     if isinstance(data_type, ArrayType) and isinstance(data_type.elementType, StructType):
         element = data_type.elementType
-        pairs = F.arrays_zip(
-            F.try_variant_get(raw, "$", f"ARRAY<{VARIANT_MAP}>").alias("raw"), typed.alias("typed")
-        )
-        inner = F.transform(pairs, lambda p: _lost_in_struct(p["raw"], p["typed"], element))
-        return F.when(mistyped, raw).when(
-            F.exists(inner, lambda item: item.isNotNull()), F.to_variant_object(inner)
+        inner = F.zip_with(
+            F.try_variant_get(raw, "$", f"ARRAY<{VARIANT_MAP}>"), typed, lambda r, t: _lost_in_struct(r, t, element)
         )
-    return F.when(mistyped, raw)
+        some = _bound(inner, lambda items: F.when(F.exists(items, lambda item: item.isNotNull()), items))
+        return F.coalesce(whole, F.to_variant_object(some))
+    return whole

@@ -25,8 +25,8 @@ def repair_json(col: Column) -> Column:
     quoted = trimmed.startswith('"{') & trimmed.endswith('}"')
     inner = F.substring(trimmed, F.lit(2), F.length(trimmed) - 2)
     undoubled = _drop_nul(F.replace(inner, F.lit('""'), F.lit('"')))
-    unescaped = F.replace(undoubled, F.lit('\\"'), F.lit('"'))
-    repaired = F.when(F.try_parse_json(undoubled).isNotNull(), undoubled).otherwise(unescaped)
+    escaped = undoubled.contains('\\"') & F.try_parse_json(undoubled).isNull()
+    repaired = F.when(escaped, F.replace(undoubled, F.lit('\\"'), F.lit('"'))).otherwise(undoubled)
     return F.when(quoted, repaired).otherwise(_drop_nul(col))
 
 

@@ -15,6 +15,17 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+    """Add columns that later filters read but do not recompute.
+
+    A filter on a projected column is normally pushed below the projection with the expression
+    copied into it, so a parse would run once per reference. Filters are not pushed into a
+    generator, and filters on all other columns still pass it.
+    """
+    row = F.struct(*[col.alias(name) for name, col in columns.items()])
+    return df.select(*[quoted(c) for c in (df.columns if keep is None else keep)], F.inline(F.array(row)))
+
+
 def needs_text(data_type: DataType) -> bool:
     """Whether a type holds maps or VARIANT, which can be neither compared nor hashed."""
     if isinstance(data_type, (MapType, VariantType)):

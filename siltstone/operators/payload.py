@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.rescue import corrupt_text, rescued_json
-from .columns import quoted
+from ..functions.rescue import corrupt_text, rescued_json, variant_map
+from .columns import computed_once, quoted
 
 # Column names and error messages.
 RESCUED = "_rescued_data"
@@ -34,16 +34,19 @@ def ingest_json_quality(df: DataFrame, json_col: str, schema: StructType) -> Dat
 
 
 def _typed(df: DataFrame, json_col: str, schema: StructType, rescue: bool, corrupt: bool) -> DataFrame:
-    text = quoted(json_col)
-    others = [quoted(c) for c in df.columns if c != json_col]
-    parsed = df.select(*others, text.alias("__text"), F.from_json(text, schema).alias("__typed"))
-    typed = F.col("__typed")
-    columns = [*others, *[typed[f].alias(f) for f in schema.fieldNames()]]
+    others = [c for c in df.columns if c != json_col]
+    parses = {"__text": quoted(json_col), "__typed": F.from_json(quoted(json_col), schema)}
     if rescue:
-        columns.append(rescued_json(F.col("__text"), typed, schema).alias(RESCUED))
+        parses["__raw"] = variant_map(quoted(json_col))
+    parsed = computed_once(df, parses, others)
+    text, typed = F.col("__text"), F.col("__typed")
+    flags = {}
+    if rescue:
+        flags[RESCUED] = rescued_json(text, F.col("__raw"), typed, schema)
     if corrupt:
-        columns.append(corrupt_text(F.col("__text")).alias(CORRUPT))
-    return parsed.select(*columns)
+        flags[CORRUPT] = corrupt_text(text)
+    flagged = computed_once(parsed, flags, [*others, "__typed"])
+    return flagged.select(*[quoted(c) for c in others], *[typed[f].alias(f) for f in schema.fieldNames()], *flags)
 
 
 def track_keys(df: DataFrame, col: str, source: str, at: Column) -> DataFrame:
@@ -71,8 +74,7 @@ def error_records(df: DataFrame, col: str, min_len: int = MIN_PAYLOAD_LENGTH) ->
 
 def classify_json_errors(df: DataFrame, col: str, required: Sequence[str], at: Column | None = None) -> DataFrame:
     """Rows whose payload is malformed or lacks a required key, with what is wrong with them."""
-    parsed = F.try_parse_json(quoted(col))
-    checked = df.select(quoted(col).alias(col), parsed.alias("__v"))
+    checked = computed_once(df, {"__v": F.try_parse_json(quoted(col))}, [col])
     message = F.when(F.col("__v").isNull(), F.lit(MALFORMED))
     for key in required:
         value = F.try_variant_get(F.col("__v"), f"$.{key}", "string")
@@ -80,4 +82,4 @@ def classify_json_errors(df: DataFrame, col: str, required: Sequence[str], at: C
     columns = [quoted(col), quoted(col).alias(RESCUED), F.col("error_message")]
     if at is not None:
         columns.append(at.alias("processedTime"))
-    return checked.withColumn("error_message", message).where(F.col("error_message").isNotNull()).select(*columns)
+    return computed_once(checked, {"error_message": message}, [col]).where(F.col("error_message").isNotNull()).select(*columns)

@@ -37,14 +37,14 @@ def unusable_changes(changes: DataFrame, keys: Sequence[str], sequence_by: str |
     return changes.where(~usable(_names(keys), _names(sequence_by)))
 
 
-def _prepare(changes: DataFrame, keys: list[str], sequence: list[str], delete_when) -> DataFrame:
+def _prepare(changes: DataFrame, keys: list[str], sequence: list[str], delete_when, tie_break) -> DataFrame:
     wanted = usable(keys, sequence)
     if CHANGE_TYPE in changes.columns:
         wanted = wanted & (F.coalesce(quoted(CHANGE_TYPE), F.lit("")) != "update_preimage")
     live = F.lit(True) if delete_when is None else ~F.coalesce(as_column(delete_when), F.lit(False))
     # At an equal sequence a live row wins over a delete, then the larger row hash wins: the
     # outcome does not depend on arrival order.
-    return changes.where(wanted).withColumns({LIVE: live, TIE: row_digest(changes)})
+    return changes.where(wanted).withColumns({LIVE: live, TIE: row_digest(changes, tie_break)})
 
 
 def apply_scd1(
@@ -55,14 +55,16 @@ def apply_scd1(
     except_cols: Sequence[str] = (),
     at: Column | None = None,
     deleted_flag: str | None = None,
+    tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     """The latest row of every key; a key whose latest change is a delete is left out.
 
     One aggregation with map-side combine, so a key with many changes shrinks before the shuffle.
-    With `deleted_flag`, deleted keys stay in, marked by a column of that name.
+    With `deleted_flag`, deleted keys stay in, marked by a column of that name. `tie_break` names
+    the columns whose hash decides between rows of equal sequence, by default all of them.
     """
     keys, sequence = _names(keys), _names(sequence_by)
-    rows = _prepare(changes, keys, sequence, delete_when)
+    rows = _prepare(changes, keys, sequence, delete_when, tie_break)
     rest = [c for c in changes.columns if c not in keys]
     position = F.struct(*[quoted(c) for c in sequence], quoted(LIVE), quoted(TIE))
     latest = rows.groupBy(*[quoted(k) for k in keys]).agg(
@@ -89,18 +91,21 @@ def apply_scd2(
     at: Column | None = None,
     open_end: str = OPEN_END,
     hot_rows: int | None = None,
+    tie_break: Sequence[str] | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Every change opens a version [EffectiveFrom, EffectiveTo) and closes the one before.
 
     A delete closes the open version and is not kept itself. With `track`, a row that repeats
     the tracked values of the row before it opens no version. `valid_from` is the column giving
-    the interval bounds, by default the last sequence column.
+    the interval bounds, by default the last sequence column. `tie_break` is as for type 1;
+    `count_on` is a cheaper frame to look for keys with very many rows in, such as the raw feed.
     """
     keys, sequence = _names(keys), _names(sequence_by)
     start = valid_from or sequence[-1]
-    rows = _prepare(changes, keys, sequence, delete_when)
+    rows = _prepare(changes, keys, sequence, delete_when, tie_break)
     here = F.struct(*[quoted(c) for c in sequence])
-    line = Timeline.of(rows, keys, [*sequence, LIVE, TIE], hot_rows)
+    line = Timeline.of(rows, keys, [*sequence, LIVE, TIE], hot_rows, count_on)
     # Of rows with equal sequence only the last one counts.
     line = line.with_neighbours(after={"__next": here})
     line = line.where(F.col("__next").isNull() | (F.col("__next") != here))
@@ -118,9 +123,11 @@ def apply_scd2(
 
 
 def validity(start: Column, until: Column, data_type: str, open_end: str = OPEN_END) -> list[Column]:
+    """The three validity columns; where bounds are no times, an open end is NULL."""
+    last = F.lit(open_end if data_type.startswith(("timestamp", "date")) else None)
     return [
         start.alias(EFFECTIVE_FROM),
-        F.coalesce(until, F.lit(open_end).cast(data_type)).alias(EFFECTIVE_TO),
+        F.coalesce(until, last.cast(data_type)).alias(EFFECTIVE_TO),
         until.isNull().alias(IS_CURRENT),
     ]
 

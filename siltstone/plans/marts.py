@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.times import epoch_ts, parse_ts
 from ..operators.evolve import conform
@@ -37,23 +37,25 @@ TRIP_VARIANTS = {
     "user_type": ["usertype", "user_type"],
     "birth_year": ["birth_year"],
 }
-TRIP_SCHEMA = StructType.fromDDL(
-    """trip_duration BIGINT COMMENT 'Duration of the Trip in Minutes',
-    start_time TIMESTAMP COMMENT 'Trip Start Time',
-    stop_time TIMESTAMP COMMENT 'Trip End Time',
-    start_station_id BIGINT COMMENT 'Starting Station ID',
-    start_station_name STRING COMMENT 'Starting Station Name',
-    start_station_latitude DOUBLE COMMENT 'Starting Station Lat',
-    start_station_longitude DOUBLE COMMENT 'Starting Station Lon',
-    end_station_id BIGINT COMMENT 'Destination Station ID',
-    end_station_name STRING COMMENT 'Destination Station Name',
-    end_station_latitude DOUBLE COMMENT 'Destination Station Lat',
-    end_station_longitude DOUBLE COMMENT 'Destination Station Lon',
-    bike_id BIGINT COMMENT 'Bike ID',
-    user_type STRING COMMENT 'User Type Subscriber / Customer',
-    birth_year DOUBLE COMMENT 'Birth Year Integer',
-    source_file STRING, file_modification_time TIMESTAMP"""
-)
+TRIP_FIELDS = {
+    "trip_duration": (LongType(), "Duration of the Trip in Minutes"),
+    "start_time": (TimestampType(), "Trip Start Time"),
+    "stop_time": (TimestampType(), "Trip End Time"),
+    "start_station_id": (LongType(), "Starting Station ID"),
+    "start_station_name": (StringType(), "Starting Station Name"),
+    "start_station_latitude": (DoubleType(), "Starting Station Lat"),
+    "start_station_longitude": (DoubleType(), "Starting Station Lon"),
+    "end_station_id": (LongType(), "Destination Station ID"),
+    "end_station_name": (StringType(), "Destination Station Name"),
+    "end_station_latitude": (DoubleType(), "Destination Station Lat"),
+    "end_station_longitude": (DoubleType(), "Destination Station Lon"),
+    "bike_id": (LongType(), "Bike ID"),
+    "user_type": (StringType(), "User Type Subscriber / Customer"),
+    "birth_year": (DoubleType(), "Birth Year Integer"),
+    "source_file": (StringType(), "Source File"),
+    "file_modification_time": (TimestampType(), "Source File Modification Time"),
+}
+TRIP_SCHEMA = StructType([StructField(n, kind, True, {"comment": text}) for n, (kind, text) in TRIP_FIELDS.items()])
 
 
 def silver_orders(bronze: DataFrame, customers: DataFrame, on: Sequence[str] = ("customer_id", "customer_name")) -> DataFrame:

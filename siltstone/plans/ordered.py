@@ -45,7 +45,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame,
 
 
 class Timeline:
-    """Rows of a table ordered by `order` within `keys`; the order must be total."""
+    """Rows of a table ordered by `order` within `keys`; rows that tie on it must be equal in what is read off them."""
 
     def __init__(self, keys: Sequence[str], order: Sequence[str], cold: DataFrame, hot: DataFrame | None = None):
         self.keys = list(keys)
@@ -54,10 +54,18 @@ class Timeline:
         self.hot = hot
 
     @classmethod
-    def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> Timeline:
+    def of(
+        cls,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        hot_rows: int | None = None,
+        count_on: DataFrame | None = None,
+    ) -> Timeline:
+        """`count_on` is a cheaper frame with the key columns and at least the rows of `df` to count keys on."""
         spark = df.sparkSession
         limit = hot_rows or hot_key_rows(spark)
-        found = hot_keys(df, keys, limit)
+        found = hot_keys(df if count_on is None else count_on, keys, limit)
         if found is None:
             return cls(keys, order, df)
         hot, total = found
@@ -96,16 +104,17 @@ class Timeline:
         edges = self.hot.groupBy(*self.keys, SLICE).agg(
             F.min_by(F.struct(there, *[v.alias(n) for n, v in after.items()]), position).alias("first"),
             F.max_by(F.struct(there, *[v.alias(n) for n, v in before.items()]), position).alias("last"),
-            F.min(position).alias("__low"),
-            F.max(position).alias("__high"),
         )
         across = Window.partitionBy(*self.keys).orderBy(SLICE)
         edges = edges.withColumns(
             {"__first_after": F.lead("first").over(across), "__last_before": F.lag("last").over(across)}
         ).drop("first", "last")
-        joined = self._beside(local(self.hot, True), edges)
-        fixed = {n: F.when(position == F.col("__high"), F.col("__first_after")[n]).otherwise(F.col(n)) for n in after}
-        fixed |= {n: F.when(position == F.col("__low"), F.col("__last_before")[n]).otherwise(F.col(n)) for n in before}
+        window = self._window(True)
+        # The ends of a slice are found by position and not by value, as rows may be delivered twice.
+        ends = {"__more": F.lead(F.lit(True)).over(window), "__since": F.lag(F.lit(True)).over(window)}
+        joined = self._beside(local(self.hot, True).withColumns(ends), edges)
+        fixed = {n: F.when(F.col("__more").isNull(), F.col("__first_after")[n]).otherwise(F.col(n)) for n in after}
+        fixed |= {n: F.when(F.col("__since").isNull(), F.col("__last_before")[n]).otherwise(F.col(n)) for n in before}
         return self._with(cold, joined.withColumns(fixed).select(*self.hot.columns, *fixed))
 
     def _beside(self, rows: DataFrame, edges: DataFrame) -> DataFrame:

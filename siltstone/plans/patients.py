@@ -8,6 +8,7 @@ from ..functions.jsoncols import extra_keys, parse_map, parse_struct, project_ke
 from ..functions.text import repair_json, strip_control
 from ..functions.times import safe_cast
 from ..operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, RESERVED
+from ..operators.columns import computed_once
 from ..operators.flatten import expand_struct
 from ..operators.quality import PATIENT_RULES, quarantine_records, split_valid, validate
 from ..operators.scd import apply_scd1, apply_scd2
@@ -40,6 +41,7 @@ QUARANTINE_COLUMNS = [
 ]
 FLOW_NAME = "silver_events_patient_data_cdc_scd2"
 TABLE_NAME = "silver_events_patient_data_scd2"
+PAYLOAD_DIGEST = "__payload"
 KEYS = ["ID", "BusinessID"]
 SEQUENCE = [COMMIT_VERSION, COMMIT_TIMESTAMP]
 DELETED = f"{CHANGE_TYPE} = 'delete'"
@@ -61,7 +63,7 @@ PRACTICE_RENAMES = {
 
 def typed_patients(feed: DataFrame, at: Column) -> DataFrame:
     """The change feed with the payload repaired, parsed once and projected to typed columns."""
-    parsed = feed.withColumn("__map", parse_map(repair_json(F.col("D"))))
+    parsed = computed_once(feed, {"__map": parse_map(repair_json(F.col("D")))})
     payload = F.col("__map")
     known = [key for key, _ in PAYLOAD_COLUMNS.values()] + OTHER_KNOWN_KEYS
     have = [c for c in BRONZE_COLUMNS if c in feed.columns and c not in ("D", "P", "V")]
@@ -73,19 +75,27 @@ def typed_patients(feed: DataFrame, at: Column) -> DataFrame:
         *[c for c in ("P", "V") if c in feed.columns],
         at.alias("processedTime"),
         *[c for c in RESERVED if c in feed.columns],
+        F.xxhash64("D").alias(PAYLOAD_DIGEST),
     )
 
 
+def _tie_break(valid: DataFrame) -> list[str]:
+    """The columns as received; the typed ones follow from them."""
+    return [c for c in [*BRONZE_COLUMNS, *RESERVED, PAYLOAD_DIGEST] if c in valid.columns]
+
+
 def patient_history(feed: DataFrame, at: Column, rules: dict[str, str] | None = None, hot_rows: int | None = None) -> DataFrame:
     """Type-2 history of the valid patients."""
     valid, _ = split_valid(validate(typed_patients(feed, at), rules or PATIENT_RULES))
-    return apply_scd2(valid, KEYS, SEQUENCE, DELETED, except_cols=RESERVED, hot_rows=hot_rows)
+    return apply_scd2(
+        valid, KEYS, SEQUENCE, DELETED, [*RESERVED, PAYLOAD_DIGEST], hot_rows=hot_rows, tie_break=_tie_break(valid), count_on=feed
+    )
 
 
 def patient_latest(feed: DataFrame, at: Column, rules: dict[str, str] | None = None) -> DataFrame:
     """Type-1 table of the valid patients."""
     valid, _ = split_valid(validate(typed_patients(feed, at), rules or PATIENT_RULES))
-    return apply_scd1(valid, KEYS, SEQUENCE, DELETED, except_cols=RESERVED)
+    return apply_scd1(valid, KEYS, SEQUENCE, DELETED, [*RESERVED, PAYLOAD_DIGEST], tie_break=_tie_break(valid))
 
 
 def patient_quarantine(feed: DataFrame, at: Column, rules: dict[str, str] | None = None) -> DataFrame:
@@ -95,13 +105,8 @@ def patient_quarantine(feed: DataFrame, at: Column, rules: dict[str, str] | None
 
 def practice_history(feed: DataFrame, at: Column, hot_rows: int | None = None) -> DataFrame:
     """Type-2 history of patient-practice links, with the payload parsed to a declared struct."""
-    parsed = feed.withColumns(
-        {
-            "Created": safe_cast(F.col("Created"), "timestamp"),
-            "Updated": safe_cast(F.col("Updated"), "timestamp"),
-            "json_data": parse_struct(strip_control(F.col("D")), PRACTICE_PAYLOAD),
-        }
-    )
+    timed = feed.withColumns({c: safe_cast(F.col(c), "timestamp") for c in ("Created", "Updated")})
+    parsed = computed_once(timed, {"json_data": parse_struct(strip_control(F.col("D")), PRACTICE_PAYLOAD)})
     usable = parsed.where(F.col("json_data.patientId").isNotNull())
     flat = expand_struct(usable, "json_data", renames=PRACTICE_RENAMES)
     return apply_scd2(

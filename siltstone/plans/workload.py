@@ -7,13 +7,18 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 from ..functions.jsoncols import parse_struct, parse_variant, variant_path
 
 # The row schema, method names and query names.
-ROW_SCHEMA = StructType.fromDDL(
-    "id BIGINT, user STRING, score INT, tags ARRAY<STRING>, metadata STRUCT<ip: STRING, device: STRING>"
+ROW_SCHEMA = (
+    StructType()
+    .add("id", LongType())
+    .add("user", StringType())
+    .add("score", IntegerType())
+    .add("tags", ArrayType(StringType()))
+    .add("metadata", StructType().add("ip", StringType()).add("device", StringType()))
 )
 METHODS = ("from_json", "variant")
 DEVICE = "device_1"

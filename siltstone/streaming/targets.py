@@ -69,10 +69,13 @@ class ScdTarget:
         bucket = F.pmod(F.xxhash64(*[quoted(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
         rows = conform(batch, schema).withColumns({BUCKET: bucket, BATCH: F.lit(batch_id).cast("bigint")}).persist()
         try:
-            good = rows.where(usable(self.keys, self.sequence_by))
-            # The number of buckets bounds what comes to the driver here.
-            touched = [r[0] for r in good.select(BUCKET).distinct().collect()]
-            self._write(unusable_changes(rows, self.keys, self.sequence_by).drop(BUCKET), self.quarantine_path, BATCH)
+            is_good = usable(self.keys, self.sequence_by)
+            good = rows.where(is_good)
+            # At most two rows per bucket come to the driver here.
+            found = rows.select(BUCKET, is_good.alias("good")).distinct().collect()
+            touched = sorted(r[BUCKET] for r in found if r["good"])
+            if not all(r["good"] for r in found):
+                self._write(unusable_changes(rows, self.keys, self.sequence_by).drop(BUCKET), self.quarantine_path, BATCH)
             if touched:
                 self._write(good, self.changes_path, BUCKET, BATCH)
         finally:
