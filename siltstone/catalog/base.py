@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.columns import spread
 from ..session import configure, scratch_path
 
 AT = "2025-01-02 03:04:05"
@@ -49,7 +50,7 @@ class Tables:
         return self("customer").selectExpr(*PATIENTS)
 
     def patient_feed(self) -> DataFrame:
-        raw = self("orders").withColumn("raw", F.expr(RAW_PAYLOAD))
+        raw = spread(self("orders")).withColumn("raw", F.expr(RAW_PAYLOAD))
         return raw.selectExpr(*PATIENT_FEED)
 
 

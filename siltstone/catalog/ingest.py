@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from ..functions.text import batch_prefix
+from ..operators.columns import spread
 from ..operators.flatten import cast_all_to_string
 from ..operators.payload import ingest_json_quality, with_corrupt, with_rescue
 from ..operators.quality import quality_issues, quality_summary
@@ -138,7 +139,7 @@ RESCUED_SQL = """CASE event_id % 10 WHEN 0 THEN '{"unexpected":"x"}' WHEN 1 THEN
 
 
 def spoilt(t: Tables) -> DataFrame:
-    return t("events").select("event_id", F.expr(SPOILT_PARTS).alias("j"))
+    return spread(t("events").select("event_id", F.expr(SPOILT_PARTS).alias("j")))
 
 
 @register(

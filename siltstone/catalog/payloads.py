@@ -16,9 +16,11 @@ from ..functions.jsoncols import (
 )
 from ..functions.text import repair_json, strip_control, unquote_json
 from ..functions.times import epoch_ts
+from ..operators.columns import computed_once
 from ..operators.evolve import parse_evolving, SchemaRegistry
 from ..operators.flatten import expand_struct, fully_flatten
 from ..operators.payload import classify_json_errors, error_records, merge_key_tracking, track_keys
+from ..operators.relational import explode_rows
 from .base import AT, PATIENT_FEED_SQL, Tables, at, register
 
 # Events as JSON objects with one nested object.
@@ -185,8 +187,9 @@ def extras(t: Tables) -> DataFrame:
     UNION ALL SELECT o_orderkey, concat('s', o_orderkey), 'second', '', NULL, NULL, NULL, 'U', NULL FROM feed""",
 )
 def records(t: Tables) -> DataFrame:
-    rows = t.patient_feed().select("o_orderkey", structure_records(F.get_json_object("raw", "$.records")).alias("records"))
-    r = rows.select("o_orderkey", F.explode("records").alias("r"))
+    feed = t.patient_feed().select("o_orderkey", F.get_json_object("raw", "$.records").alias("text"))
+    parsed = computed_once(feed, {"records": structure_records(F.col("text"))}, ["o_orderkey"])
+    r = explode_rows(parsed, "records", alias="r")
     return r.select(
         "o_orderkey", "r.record_id", "r.record_name", F.concat_ws(",", "r.option_checkBoxes").alias("boxes"), "r.option_data",
         F.col("r.option_fixedText").alias("option_fixed"), "r.priority", "r.type", F.col("r.record_extra")["color"].alias("color"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -34,16 +36,17 @@ class SchemaRegistry:
         self.location = location.rstrip("/")
 
     def _versions(self, key: str) -> list[tuple[int, str]]:
-        path = f"{self.location}/{key}"
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
-            return []
-        rows = self.spark.read.schema("version INT, fields STRING").json(path).collect()
-        return sorted((r.version, r.fields) for r in rows)
+        try:
+            stored = self.spark.read.schema("version INT, fields STRING").json(f"{self.location}/{key}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        return sorted((r.version, r.fields) for r in stored.collect())
 
     def load(self, key: str) -> StructType | None:
         versions = self._versions(key)
-        return StructType.fromJson(_json(versions[-1][1])) if versions else None
+        return StructType.fromJson(json.loads(versions[-1][1])) if versions else None
 
     def store(self, key: str, schema: StructType) -> None:
         """Append `schema` as the newest version, unless it is the newest already."""
@@ -55,12 +58,6 @@ class SchemaRegistry:
         row.coalesce(1).write.mode("append").json(f"{self.location}/{key}")
 
 
-def _json(text: str):
-    import json
-
-    return json.loads(text)
-
-
 def infer_schema(
     df: DataFrame,
     col: str,

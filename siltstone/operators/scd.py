@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.ordered import Timeline
 from .changes import CHANGE_TYPE
@@ -59,24 +59,23 @@ def apply_scd1(
 ) -> DataFrame:
     """The latest row of every key; a key whose latest change is a delete is left out.
 
-    One aggregation with map-side combine, so a key with many changes shrinks before the shuffle.
-    With `deleted_flag`, deleted keys stay in, marked by a column of that name. `tie_break` names
-    the columns whose hash decides between rows of equal sequence, by default all of them.
+    Spark keeps one row per key in every task before the shuffle, so a key with many changes
+    costs no more than any other. With `deleted_flag`, deleted keys stay in, marked by a column of
+    that name. `tie_break` names the columns whose hash decides between rows of equal sequence, by
+    default all of them.
     """
     keys, sequence = _names(keys), _names(sequence_by)
     rows = _prepare(changes, keys, sequence, delete_when, tie_break)
-    rest = [c for c in changes.columns if c not in keys]
-    position = F.struct(*[quoted(c) for c in sequence], quoted(LIVE), quoted(TIE))
-    latest = rows.groupBy(*[quoted(k) for k in keys]).agg(
-        F.max_by(F.struct(F.lit(True).alias("__row"), quoted(LIVE), *[quoted(c) for c in rest]), position).alias("__latest")
-    )
+    newest_first = [quoted(c).desc() for c in [*sequence, LIVE, TIE]]
+    rank = F.row_number().over(Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*newest_first))
+    latest = rows.withColumn("__rank", rank).where(F.col("__rank") == 1)
     if deleted_flag is None:
-        latest = latest.where(F.col("__latest")[LIVE])
-    columns = [quoted(c) if c in keys else F.col("__latest")[c].alias(c) for c in changes.columns if c not in except_cols]
+        latest = latest.where(quoted(LIVE))
+    columns = [quoted(c) for c in changes.columns if c not in except_cols]
     if at is not None:
         columns.append(at.alias("processedTime"))
     if deleted_flag is not None:
-        columns.append((~F.col("__latest")[LIVE]).alias(deleted_flag))
+        columns.append((~quoted(LIVE)).alias(deleted_flag))
     return latest.select(*columns)
 
 

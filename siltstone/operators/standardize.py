@@ -13,6 +13,9 @@ from .columns import comparable, needs_text, quoted
 # The characters the encoding step removes.
 CONTROL_AND_LATIN1 = r"[\x00-\x1F\x7F-\xFF]"
 CONTROL_ONLY = r"[\x00-\x1F\x7F]"
+# What a charset cannot hold; the others hold everything a Spark string can.
+MISSING_FROM = {"US-ASCII": r"[^\x00-\x7F]", "ISO-8859-1": r"[^\x00-\xFF]"}
+FULL_CHARSETS = ["UTF-8", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"]
 
 
 def _replace(df: DataFrame, changed: Mapping[str, Column]) -> DataFrame:
@@ -44,14 +47,20 @@ def title_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def standardize_encoding(
     df: DataFrame, charset: str = "UTF-8", strip_latin1: bool = True, null_to_empty: bool = True
 ) -> DataFrame:
-    """Text columns re-encoded and freed of control characters; NULL becomes the empty string."""
+    """Text columns limited to a charset and freed of control characters; NULL becomes the empty string.
+
+    Characters the charset lacks become `?`. Encoding and decoding by a charset that lacks none
+    changes nothing, so it is left out.
+    """
+    charset = charset.upper()
+    if charset not in MISSING_FROM and charset not in FULL_CHARSETS:
+        raise ValueError(f"charset must be one of {[*MISSING_FROM, *FULL_CHARSETS]}")
     pattern = CONTROL_AND_LATIN1 if strip_latin1 else CONTROL_ONLY
 
     def clean(name: str) -> Column:
         col = F.coalesce(quoted(name), F.lit("")) if null_to_empty else quoted(name)
-        # A UTF-8 round trip changes nothing, as Spark strings are UTF-8 already.
-        if charset.upper().replace("-", "") != "UTF8":
-            col = F.encode(col, charset).cast("string")
+        if charset in MISSING_FROM:
+            col = F.regexp_replace(col, MISSING_FROM[charset], "?")
         return F.regexp_replace(col, pattern, "")
 
     return _replace(df, {c: clean(c) for c in _text_columns(df)})

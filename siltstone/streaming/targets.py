@@ -6,6 +6,10 @@ partitions and then recomputes the buckets it touched. Both steps overwrite what
 before, so a batch that is run again, after a failure or by mistake, leaves the same table. The
 table of a bucket depends on all its changes and not on their order of arrival, so late rows,
 duplicates and rows older than a delete come out right.
+
+Recomputing a bucket costs as much as the bucket holds. For small batches over a large table set
+`refresh_each_batch=False`: batches then only store their changes, and `refresh` brings up to date
+all buckets touched since it last ran.
 """
 
 from __future__ import annotations
@@ -13,8 +17,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ..operators.changes import RESERVED
 from ..operators.columns import quoted
@@ -38,8 +43,9 @@ class ScdTarget:
     except_cols: Sequence[str] = field(default_factory=lambda: list(RESERVED))
     track: Sequence[str] | None = None
     valid_from: str | None = None
-    buckets: int = 64
+    buckets: int = 256
     at: Column | None = None
+    refresh_each_batch: bool = True
 
     def __post_init__(self):
         if self.scd_type not in (1, 2):
@@ -80,9 +86,35 @@ class ScdTarget:
                 self._write(good, self.changes_path, BUCKET, BATCH)
         finally:
             rows.unpersist()
-        if touched:
-            changes = self._read(spark, self.changes_path, good.schema).where(F.col(BUCKET).isin(touched))
-            self._write(self._table(changes.drop(BATCH)), self.table_path, BUCKET)
+        if touched and self.refresh_each_batch:
+            self._recompute(spark, touched)
+
+    def refresh(self, spark: SparkSession) -> None:
+        """Recompute the buckets that took in changes after the last refresh."""
+        marks = f"{self.path}/refreshed"
+        try:
+            done = spark.read.schema("batch BIGINT").json(marks).agg(F.max("batch")).first()[0]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            done = None
+        # Both columns are folder names, so this reads no data.
+        newer = self._changes(spark).select(BUCKET, BATCH).where(F.col(BATCH) > (-1 if done is None else done))
+        found = newer.groupBy(BUCKET).agg(F.max(BATCH).alias("batch")).collect()
+        if found:
+            self._recompute(spark, [r[BUCKET] for r in found])
+            mark = spark.createDataFrame([(max(r["batch"] for r in found),)], "batch BIGINT")
+            mark.coalesce(1).write.mode("append").json(marks)
+
+    def _recompute(self, spark: SparkSession, buckets: Sequence[int]) -> None:
+        changes = self._changes(spark).where(F.col(BUCKET).isin(list(buckets)))
+        self._write(self._table(changes.drop(BATCH)), self.table_path, BUCKET)
+
+    def _changes(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark, self.changes_path, self._schema(spark).add(BATCH, LongType()))
+
+    def _schema(self, spark: SparkSession) -> StructType:
+        return SchemaRegistry(spark, f"{self.path}/schema").load("changes").add(BUCKET, IntegerType())
 
     def _widened(self, batch: DataFrame) -> StructType:
         """The batch's schema merged with that of all batches before it."""
@@ -105,8 +137,7 @@ class ScdTarget:
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        schema = SchemaRegistry(spark, f"{self.path}/schema").load("changes")
-        empty = spark.createDataFrame([], schema.add(BUCKET, IntegerType()))
+        empty = spark.createDataFrame([], self._schema(spark))
         table = self._read(spark, self.table_path, self._table(empty).schema).drop(BUCKET)
         if self.scd_type == 1:
             table = table.where(~F.col(DELETED)).drop(DELETED)
