@@ -9,6 +9,7 @@ from ..operators.evolve import widen
 from ..operators.scd import apply_scd1, apply_scd2, validity_columns
 from ..plans.patients import patient_history, patient_latest, patient_quarantine
 from ..sources.files import stream_table
+from ..streaming.aggregates import SumTarget
 from ..streaming.run import run_batches
 from ..streaming.targets import ScdTarget
 from .base import AT, PATIENT_FEED_SQL, Tables, at, register
@@ -256,15 +257,12 @@ def stream_scd2(t: Tables) -> DataFrame:
 )
 def table_stream(t: Tables) -> DataFrame:
     """A stored change feed read as a stream, summed up from micro-batch results."""
-    stored, sink = t.scratch("feed"), t.scratch("counts")
+    stored, target = t.scratch("feed"), SumTarget(t.scratch("counts"), ["change_type"], ["rcrd_cnt"])
     t.patient_feed().select("_change_type", "_commit_version", "_commit_timestamp").write.parquet(stored)
-
-    def add(batch: DataFrame, batch_id: int) -> None:
-        commit_summary(batch).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-
-    run_batches(stream_table(t.spark, stored), add, t.scratch("checkpoint"))
-    counts = t.spark.read.parquet(sink)
-    return counts.groupBy(F.col("change_type").alias("_change_type")).agg(F.sum("rcrd_cnt").alias("rcrd_cnt"))
+    run_batches(
+        stream_table(t.spark, stored), lambda batch, batch_id: target.upsert(commit_summary(batch), batch_id), t.scratch("checkpoint")
+    )
+    return target.read(t.spark).withColumnRenamed("change_type", "_change_type")
 
 
 VALID_PATIENT = """"ID" IS NOT NULL AND o_orderkey % 29 <> 0 AND o_orderkey % 13 > 1"""

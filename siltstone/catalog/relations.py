@@ -18,6 +18,9 @@ from ..operators.relational import (
     union_named,
 )
 from ..plans.marts import merge_trip_names, sales_by_city, silver_orders, silver_trips
+from ..sources.files import stream_table, write_table
+from ..streaming.aggregates import SumTarget
+from ..streaming.run import run_batches, run_stream
 from .base import AT, Tables, at, register
 
 
@@ -303,21 +306,34 @@ def orders_silver(t: Tables) -> DataFrame:
     )
 
 
-@register(
-    "rel_sales_by_city",
-    "REL-18 REL-7 REL-19",
-    f"""
+CITY_SQL = f"""
     WITH {BRONZE_SQL}, products AS (
       SELECT *, 'USD' AS currency, CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_quantity AS BIGINT) AS qty FROM silver
       UNION ALL SELECT *, 'EUR', CAST(l_quantity AS DECIMAL(18,2)), CAST(l_linenumber AS BIGINT) FROM silver)
     SELECT order_date, city, customer_id, customer_name, currency, CAST(sum(price) AS DOUBLE) AS sales, CAST(sum(qty) AS BIGINT) AS quantity
-    FROM products WHERE city = 'NATION_7' GROUP BY ALL""",
-)
+    FROM products WHERE city = 'NATION_7' GROUP BY ALL"""
+
+
+@register("rel_sales_by_city", "REL-18 REL-7 REL-19", CITY_SQL)
 def city_mart(t: Tables) -> DataFrame:
     mart = sales_by_city(silver_orders(_bronze_orders(t), _customers(t)), "NATION_7")
     return mart.withColumn("sales", F.col("sales").cast("double"))
 
 
+@register("flow_retail_stream", "REL-3 REL-18 REL-19 SRC-14 SRC-16 SRC-19", CITY_SQL)
+def retail_stream(t: Tables) -> DataFrame:
+    """Bronze orders as a stream joined with customers into silver, and silver as a stream summed up into gold."""
+    bronze, silver, gold = t.scratch("bronze"), t.scratch("silver"), t.scratch("gold")
+    write_table(_bronze_orders(t), bronze)
+    orders = silver_orders(stream_table(t.spark, bronze), _customers(t))
+    run_stream(orders, silver, t.scratch("checkpoint"))
+    target = SumTarget(gold, ["order_date", "city", "customer_id", "customer_name", "currency"], ["sales", "quantity"])
+    run_batches(
+        stream_table(t.spark, silver), lambda batch, n: target.upsert(sales_by_city(batch, "NATION_7"), n), t.scratch("checkpoint")
+    )
+    return target.read(t.spark).withColumn("sales", F.col("sales").cast("double"))
+
+
 @register(
     "rel_silver_trips",
     "REL-20 REL-16 STD-8",

@@ -12,6 +12,7 @@ from ..operators.quality import (
     expect_or_drop,
     expectation_metrics,
     load_rules,
+    observe_expectations,
     quarantine,
     quarantine_records,
     query_text,
@@ -20,6 +21,8 @@ from ..operators.quality import (
     split_valid,
     validate,
 )
+from ..sources.files import stream_table
+from ..streaming.run import run_stream
 from .base import AT, PATIENTS_SQL, Tables, at, register
 
 FLOW, TABLE = "patients_flow", "patients"
@@ -58,6 +61,25 @@ def expectations(t: Tables) -> DataFrame:
     return metrics
 
 
+@register(
+    "dq_expect_stream",
+    "DQ-1 SRC-19",
+    f"WITH {PATIENTS_SQL} SELECT count(*) AS total, "
+    + ", ".join(f"count(*) FILTER (WHERE {check}) AS {name}" for name, check in CHECKS.items())
+    + " FROM patients",
+)
+def expectations_on_a_stream(t: Tables) -> DataFrame:
+    """All rows pass on; the counts come from the metrics the stream reports."""
+    landing, sink = t.scratch("landing"), t.scratch("sink")
+    t.patients().write.parquet(landing)
+    watched = observe_expectations(stream_table(t.spark, landing), PATIENT_EXPECTATIONS)
+    reported = run_stream(watched, sink, t.scratch("checkpoint"))
+    counts = [p["observedMetrics"]["expectations"] for p in reported if "expectations" in p["observedMetrics"]]
+    totals = {name: sum(c[name] for c in counts) for name in ["total", *PATIENT_EXPECTATIONS]}
+    stored = t.spark.read.parquet(sink).agg(F.count(F.lit(1)).alias("total"))
+    return stored.select("total", *[F.lit(totals[n]).cast("bigint").alias(n) for n in PATIENT_EXPECTATIONS])
+
+
 @register(
     "dq_expect_or_drop",
     "DQ-2",

@@ -6,7 +6,7 @@ import json
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -25,6 +25,7 @@ from pyspark.sql.types import (
 
 from .columns import quoted
 
+SEEN_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 NUMBERS = [IntegerType, LongType, DoubleType]
 
 
@@ -44,6 +45,15 @@ class SchemaRegistry:
             raise
         return sorted((r.version, r.fields) for r in stored.collect())
 
+    def seen(self, key: str) -> str | None:
+        """The modification time up to which files were looked at for `key`."""
+        versions = self._versions(key + "-seen")
+        return versions[-1][1] if versions else None
+
+    def mark_seen(self, key: str, time: str) -> None:
+        if time != self.seen(key):
+            self._append(key + "-seen", time)
+
     def load(self, key: str) -> StructType | None:
         versions = self._versions(key)
         return StructType.fromJson(json.loads(versions[-1][1])) if versions else None
@@ -51,10 +61,13 @@ class SchemaRegistry:
     def store(self, key: str, schema: StructType) -> None:
         """Append `schema` as the newest version, unless it is the newest already."""
         versions = self._versions(key)
-        if versions and versions[-1][1] == schema.json():
-            return
+        if not versions or versions[-1][1] != schema.json():
+            self._append(key, schema.json())
+
+    def _append(self, key: str, text: str) -> None:
+        versions = self._versions(key)
         version = versions[-1][0] + 1 if versions else 1
-        row = self.spark.createDataFrame([(version, schema.json())], "version INT, fields STRING")
+        row = self.spark.createDataFrame([(version, text)], "version INT, fields STRING")
         row.coalesce(1).write.mode("append").json(f"{self.location}/{key}")
 
 
@@ -89,6 +102,22 @@ def infer_schema(
     return schema
 
 
+def infer_from_new_files(
+    reader: DataFrameReader, path: str, fmt: str, col: str, registry: SchemaRegistry, key: str, hints: str | None = None
+) -> StructType:
+    """`infer_schema` over the files that arrived since the last call for `key`; older ones are not read again."""
+    seen = registry.seen(key)
+    if seen is not None:
+        reader = reader.option("modifiedAfter", seen)
+    rows = reader.format(fmt).load(path).select(quoted(col), F.col("_metadata.file_modification_time").alias("__time"))
+    newest = rows.agg(F.max("__time").alias("t")).select(F.date_format(F.date_trunc("second", "t"), SEEN_FORMAT)).first()[0]
+    schema = infer_schema(rows, col, registry, key, hints)
+    if newest is not None:
+        # Whole seconds, rounded down: a file of the same second is looked at twice rather than never.
+        registry.mark_seen(key, newest)
+    return schema
+
+
 def parse_evolving(
     df: DataFrame,
     col: str,

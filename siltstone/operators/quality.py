@@ -80,6 +80,12 @@ def expectation_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def observe_expectations(df: DataFrame, rules: Mapping[str, str], name: str = "expectations") -> DataFrame:
+    """The rows unchanged; pass counts per rule and `total` appear in the metrics a stream reports per batch."""
+    counts = [F.count_if(passes(e)).alias(n) for n, e in rules.items()]
+    return df.observe(name, F.count(F.lit(1)).alias("total"), *counts)
+
+
 def expect_or_drop(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     for expression in rules.values():
         df = df.where(passes(expression))

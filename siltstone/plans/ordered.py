@@ -25,8 +25,10 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int] | None:
-    """Keys with more than `limit` rows and their total row count; None if there are none.
+def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int, bool] | None:
+    """Keys with more than `limit` rows, their total row count, and whether NULLs may be among them.
+
+    None if there are no such keys.
 
     The counting combines map-side and reads the key columns only. There can be at most
     rows / limit such keys.
@@ -38,16 +40,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame,
         return None
     if len(rows) <= MAX_BROADCAST_KEYS:
         found = F.broadcast(spark.createDataFrame(rows, counted.schema).select(*keys))
-        return found, sum(r["__rows"] for r in rows)
+        return found, sum(r["__rows"] for r in rows), any(r[k] is None for r in rows for k in keys)
     shared_dir(spark)
     stored = counted.checkpoint()
-    return stored.select(*keys), stored.agg(F.sum("__rows")).first()[0]
+    return stored.select(*keys), stored.agg(F.sum("__rows")).first()[0], True
 
 
 class Timeline:
     """Rows of a table ordered by `order` within `keys`; rows that tie on it must be equal in what is read off them."""
 
-    def __init__(self, keys: Sequence[str], order: Sequence[str], cold: DataFrame, hot: DataFrame | None = None):
+    def __init__(
+        self, keys: Sequence[str], order: Sequence[str], cold: DataFrame, hot: DataFrame | None = None, null_keys: bool = True
+    ):
+        self.null_keys = null_keys
         self.keys = list(keys)
         self.order = list(order)
         self.cold = cold
@@ -68,7 +73,7 @@ class Timeline:
         found = hot_keys(df if count_on is None else count_on, keys, limit)
         if found is None:
             return cls(keys, order, df)
-        hot, total = found
+        hot, total, null_keys = found
         slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
         shared_dir(spark)
         sliced = (
@@ -78,13 +83,13 @@ class Timeline:
             # The slice borders come from sampling, so they are fixed before the rows are read twice.
             .checkpoint()
         )
-        return cls(keys, order, df.join(hot, _same_keys(df, hot, keys), "left_anti"), sliced)
+        return cls(keys, order, df.join(hot, _same_keys(df, hot, keys), "left_anti"), sliced, null_keys)
 
     def _window(self, hot: bool):
         return Window.partitionBy(*self.keys, *([SLICE] if hot else [])).orderBy(*self.order)
 
     def _with(self, cold: DataFrame, hot: DataFrame | None) -> Timeline:
-        return Timeline(self.keys, self.order, cold, hot)
+        return Timeline(self.keys, self.order, cold, hot, self.null_keys)
 
     def with_neighbours(self, after: dict[str, Column] | None = None, before: dict[str, Column] | None = None) -> Timeline:
         """Add values of the next (`after`) and previous (`before`) row of the same key."""
@@ -118,11 +123,16 @@ class Timeline:
         return self._with(cold, joined.withColumns(fixed).select(*self.hot.columns, *fixed))
 
     def _beside(self, rows: DataFrame, edges: DataFrame) -> DataFrame:
-        """Rows joined with what is known about their slice; slices are bounded, so is the skew."""
+        """Rows joined with what is known about their slice; slices are bounded, so is the skew.
+
+        Without NULL keys the join is on plain columns, so it keeps the partitioning of the window
+        before it and that window's rows are not shuffled again.
+        """
         names = [*self.keys, SLICE]
         edges = edges.withColumnsRenamed({name: f"__edge{i}" for i, name in enumerate(names)})
-        on = reduce(lambda a, b: a & b, [rows[n].eqNullSafe(edges[f"__edge{i}"]) for i, n in enumerate(names)])
-        return rows.join(edges, on)
+        sides = [(rows[n], edges[f"__edge{i}"]) for i, n in enumerate(names)]
+        on = [a.eqNullSafe(b) if self.null_keys else a == b for a, b in sides]
+        return rows.join(edges, reduce(lambda a, b: a & b, on))
 
     def with_row_number(self, name: str, descending: str | None = None) -> Timeline:
         """Add the 1-based position, and under the name `descending` the position from the end."""

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.evolve import SchemaRegistry, infer_schema
+from ..operators.evolve import SchemaRegistry, infer_from_new_files
 from ..streaming.run import run_streams
-from .files import stream_delimited, with_batch_prefix, with_file_metadata, with_ingest_audit
+from .files import delimited_options, stream_delimited, with_batch_prefix, with_file_metadata, with_ingest_audit
 
 # The source feeds and their columns, all of them text.
 FEED_COLUMNS = {
@@ -68,10 +68,9 @@ def ingest_feeds(spark: SparkSession, feeds: Sequence[Feed], schema_location: st
         df = with_file_metadata(df.select("*", "_metadata").withColumnRenamed("_metadata", "file_info"), "names")
         df = with_ingest_audit(with_batch_prefix(df, "fullFilePath"), at).drop("data_ingestion_ts")
         if has_payload(feed.schema):
-            existing = spark.read.schema(feed.schema).options(
-                sep="\t", header=str(feed.header).lower(), multiLine=str(feed.multi_line).lower(), encoding=feed.encoding, escape='"'
-            ).csv(feed.path)
-            payload = infer_schema(existing, PAYLOAD, registry, feed.table, feed.hints)
+            options = delimited_options(header=feed.header, multi_line=feed.multi_line, encoding=feed.encoding)
+            reader = spark.read.schema(feed.schema).options(**options)
+            payload = infer_from_new_files(reader, feed.path, "csv", PAYLOAD, registry, feed.table, feed.hints)
             df = df.withColumn("D_parsed", F.from_json(PAYLOAD, payload) if payload.fields else F.lit(None).cast("string"))
         tables[feed.table] = df
     return tables

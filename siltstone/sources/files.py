@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import batch_prefix
-from ..operators.evolve import SchemaRegistry, conform, infer_schema, merge_types
-from ..operators.payload import ingest_json_quality, with_corrupt, with_rescue
+from ..operators.evolve import SEEN_FORMAT, SchemaRegistry, conform, infer_from_new_files, merge_types
+from ..operators.payload import RESCUED, ingest_json_quality, with_corrupt, with_rescue
 
 FILE_MODES = ("all", "names", "source")
 
@@ -22,18 +22,30 @@ def stream_delimited(
     header: bool = True,
     multi_line: bool = False,
     encoding: str = "UTF-8",
+    rescue: bool = False,
     **options: str,
 ) -> DataFrame:
     """Stream delimited text files by a declared schema.
 
     Quotes inside quoted fields are read as doubled quotes, so JSON payload columns arrive intact.
+    With `rescue`, `_rescued_data` keeps the whole line where it has more or fewer fields than the
+    schema or a value of the wrong type.
     """
-    reader = spark.readStream.schema(schema).options(
-        sep=sep, header=str(header).lower(), multiLine=str(multi_line).lower(), encoding=encoding, escape='"'
-    )
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if rescue:
+        schema = StructType([*schema.fields, StructField(RESCUED, StringType())])
+        options["columnNameOfCorruptRecord"] = RESCUED
+    reader = spark.readStream.schema(schema).options(**delimited_options(sep, header, multi_line, encoding))
     return reader.options(**options).csv(path)
 
 
+def delimited_options(sep: str = "\t", header: bool = True, multi_line: bool = False, encoding: str = "UTF-8") -> dict[str, str]:
+    return {
+        "sep": sep, "header": str(header).lower(), "multiLine": str(multi_line).lower(), "encoding": encoding, "escape": '"',
+    }
+
+
 def stream_json(
     spark: SparkSession,
     path: str,
@@ -52,7 +64,7 @@ def stream_json(
         if schema_location is None:
             raise ValueError("give a schema or a schema_location to keep the inferred one in")
         registry = SchemaRegistry(spark, schema_location)
-        schema = infer_schema(spark.read.text(path), "value", registry, key, hints)
+        schema = infer_from_new_files(spark.read, path, "text", "value", registry, key, hints)
     lines = spark.readStream.text(path).select(F.col("value"), F.col("_metadata"))
     return _json_columns(lines, schema, rescue, corrupt)
 
@@ -77,12 +89,24 @@ def _json_columns(lines: DataFrame, schema: StructType, rescue: bool, corrupt: b
 
 
 def stream_parquet(spark: SparkSession, path: str, schema_location: str, key: str = "parquet", merge: bool = True) -> DataFrame:
-    """Stream Parquet files; columns added by newer files join the schema kept in `schema_location`."""
+    """Stream Parquet files; columns added by newer files join the schema kept in `schema_location`.
+
+    Only footers of files that arrived since the last start are opened.
+    """
     registry = SchemaRegistry(spark, schema_location)
-    found = spark.read.option("mergeSchema", str(merge).lower()).parquet(path).schema
-    stored = registry.load(key)
-    schema = merge_types(stored, found) if stored is not None else found
-    registry.store(key, schema)
+    stored, seen = registry.load(key), registry.seen(key)
+    since = {} if seen is None else {"modifiedAfter": seen}
+    files = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet", **since).load(path)
+    time = F.date_format(F.date_trunc("second", F.max("modificationTime")), SEEN_FORMAT)
+    newest = files.select("modificationTime").agg(time).first()[0]
+    schema = stored
+    if newest is not None:
+        found = spark.read.options(mergeSchema=str(merge).lower(), **since).parquet(path).schema
+        schema = merge_types(stored, found) if stored is not None else found
+        registry.store(key, schema)
+        registry.mark_seen(key, newest)
+    if schema is None:
+        raise ValueError(f"no Parquet files in {path} to take a schema from")
     return spark.readStream.schema(schema).parquet(path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
@@ -13,9 +14,14 @@ def _start(df: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     return writer.outputMode("append").trigger(availableNow=True).start()
 
 
-def run_stream(df: DataFrame, sink: str, checkpoint: str) -> None:
-    """Append everything available to Parquet and stop; a second run takes only what is new."""
-    _start(df, sink, checkpoint).awaitTermination()
+def run_stream(df: DataFrame, sink: str, checkpoint: str) -> list[dict]:
+    """Append everything available to Parquet and stop; a second run takes only what is new.
+
+    Returns the progress reports of the micro-batches Spark still holds, the latest hundred by default.
+    """
+    query = _start(df, sink, checkpoint)
+    query.awaitTermination()
+    return [json.loads(p.json) for p in query.recentProgress]
 
 
 def run_streams(streams: Mapping[str, tuple[DataFrame, str, str]]) -> None:

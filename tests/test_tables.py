@@ -1,6 +1,7 @@
 """Rules, standardization, relational operators, schema log, files and feeds."""
 
 import datetime
+import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -59,6 +60,7 @@ from siltstone.sources.files import (
     append_by_name,
     read_csv,
     stream_delimited,
+    stream_json,
     stream_parquet,
     with_file_metadata,
     with_ingest_audit,
@@ -222,6 +224,34 @@ def test_quoted_tsv_payload(spark, tmp_path):
     assert rows(read_csv(spark, str(folder), sep="\t").select("ID")) == [("7",), ("8",)]
 
 
+def test_delimited_rescue(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.tsv").write_text("a\tb\n1\tx\n2\ty\textra\n3\n")
+    stream = stream_delimited(spark, str(folder), "a STRING, b STRING", rescue=True)
+    run_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == sorted(
+        [("1", "x", None), ("2", "y", "2\ty\textra"), ("3", None, "3")], key=repr
+    )
+
+
+def test_inference_reads_new_files_only(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    schemas = str(tmp_path / "schemas")
+    for day, text in enumerate(['{"a":1}', '{"b":true}'], 1):
+        path = folder / f"{day}.json"
+        path.write_text(text)
+        os.utime(path, (86400 * day, 86400 * day))
+        stream = stream_json(spark, str(folder), schema_location=schemas, rescue=False)
+    assert stream.columns == ["a", "b", "file_info"]
+    os.remove(folder / "2.json")
+    (folder / "1.json").write_text("{broken")
+    os.utime(folder / "1.json", (86400, 86400))
+    again = stream_json(spark, str(folder), schema_location=schemas, rescue=False)
+    assert again.columns == stream.columns, "the old file is not looked at again"
+
+
 def test_stream_parquet_picks_up_new_columns(spark, tmp_path):
     path, schemas, out, cp = (str(tmp_path / n) for n in ("in", "schemas", "out", "cp"))
     spark.sql("SELECT 1 AS a").write.parquet(path)
