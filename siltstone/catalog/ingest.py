@@ -242,8 +242,8 @@ def ingest_audit(t: Tables) -> DataFrame:
     """
     SELECT 'bronze_gdprbacklog' AS feed, count(*) AS n_rows, count(DISTINCT user_id) AS n_patients, CAST(NULL AS BIGINT) AS sum_k FROM events
     UNION ALL SELECT 'bronze_patientsensor', count(*), count(DISTINCT user_id),
-      sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) FROM events
-    UNION ALL SELECT 'bronze_patientpractice', count(*), count(DISTINCT o_custkey), sum(o_orderkey) FROM orders""",
+      CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) FROM events
+    UNION ALL SELECT 'bronze_patientpractice', count(*), count(DISTINCT o_custkey), CAST(sum(o_orderkey) AS BIGINT) FROM orders""",
 )
 def feeds(t: Tables) -> DataFrame:
     """Three of the feeds: two with a JSON payload and one without."""

@@ -182,9 +182,9 @@ def enabled_rules(t: Tables) -> DataFrame:
 )
 def predicate(t: Tables) -> DataFrame:
     """The query text made from the rules, and how many rows that query keeps."""
-    text = query_text(load_rules(_rules(t), FLOW, TABLE), TABLE)
-    condition = text.first()["sql_text"].split(" WHERE ", 1)[1]
-    return t.patients().agg(F.count_if(F.expr(condition)).alias("n_rows")).crossJoin(text).select("sql_text", "n_rows")
+    text = query_text(load_rules(_rules(t), FLOW, TABLE), TABLE).first()["sql_text"]
+    condition = text.split(" WHERE ", 1)[1]
+    return t.patients().agg(F.lit(text).alias("sql_text"), F.count_if(F.expr(condition)).alias("n_rows"))
 
 
 @register(
