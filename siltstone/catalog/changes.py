@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.changes import change_feed, commit_summary, commit_summary_all, drop_reserved, except_columns
+from ..operators.changes import (
+    change_feed,
+    commit_summary,
+    commit_summary_all,
+    drop_reserved,
+    except_columns,
+    insert_feed,
+)
 from ..operators.evolve import widen
+from ..operators.flatten import cast_all_to_string
 from ..operators.scd import apply_scd1, apply_scd2, validity_columns
 from ..plans.patients import patient_history, patient_latest, patient_quarantine
-from ..sources.files import stream_table
+from ..sources.files import stream_delimited, stream_table
 from ..streaming.aggregates import SumTarget
+from ..streaming.patients import PatientStream
 from ..streaming.run import run_batches
 from ..streaming.targets import ScdTarget
 from .base import AT, PATIENT_FEED_SQL, Tables, at, register
@@ -182,6 +191,15 @@ def snapshot_feed(t: Tables) -> DataFrame:
     return change_feed(before, after.unionByName(added), ["o_orderkey"], 2, at())
 
 
+@register(
+    "cdc_insert_feed",
+    "CDC-1 CDC-2",
+    f"SELECT 'insert' AS change_type, user_id % 10 AS commit_version, TIMESTAMP '{AT}' AS commit_timestamp, count(*) AS rcrd_cnt FROM events GROUP BY ALL",
+)
+def inserts(t: Tables) -> DataFrame:
+    return commit_summary(insert_feed(t("events"), F.col("user_id") % 10, at()))
+
+
 @register(
     "cdc_commit_summary",
     "CDC-2 REL-8",
@@ -271,23 +289,41 @@ LIVE_VERSIONS = f"""
     rows AS (SELECT * FROM feed WHERE {VALID_PATIENT} AND _change_type <> 'update_preimage')"""
 
 
-@register(
-    "flow_patient_history",
-    "CDC-4 JSN-1 JSN-5 JSN-11 JSN-13 DQ-4",
+HISTORY_SQL = (
     LIVE_VERSIONS
     + f"""
     SELECT "ID", "BusinessID", concat('', o_orderkey) AS "D_id", 'TX' AS "D_state",
            epoch_ms((946684800 + o_orderkey * 60) * 1000) AS "D_created", o_orderkey % 2 = 0 AS "D_private",
            _commit_timestamp AS "EffectiveFrom", coalesce(until, {OPEN_END}) AS "EffectiveTo", until IS NULL AS "IsCurrent"
     FROM (SELECT *, lead(_commit_timestamp) OVER (PARTITION BY "ID", "BusinessID" ORDER BY _commit_version) AS until FROM rows) AS r
-    WHERE _change_type <> 'delete'""",
+    WHERE _change_type <> 'delete'"""
 )
-def flow_history(t: Tables) -> DataFrame:
-    history = patient_history(t.patient_feed(), at())
+
+
+def _history_columns(history: DataFrame) -> DataFrame:
     return history.select(
         "ID", "BusinessID", "D_id", "D_state", F.col("D_created").cast("timestamp_ntz").alias("D_created"), "D_private",
-        "EffectiveFrom", "EffectiveTo", "IsCurrent",
+        *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("EffectiveFrom", "EffectiveTo")], "IsCurrent",
+    )
+
+
+@register("flow_patient_history", "CDC-4 JSN-1 JSN-5 JSN-11 JSN-13 DQ-4", HISTORY_SQL)
+def flow_history(t: Tables) -> DataFrame:
+    return _history_columns(patient_history(t.patient_feed(), at()))
+
+
+@register("flow_patient_stream", "CDC-4 SRC-1 SRC-14 JSN-1 JSN-5 JSN-11 JSN-13 DQ-4 DQ-5", HISTORY_SQL)
+def flow_stream(t: Tables) -> DataFrame:
+    """Change files in delimited text, streamed in three micro-batches into history and quarantine."""
+    landing = t.scratch("landing")
+    feed = cast_all_to_string(t.patient_feed().drop("raw", "o_orderkey"))
+    feed.repartition(3).write.options(sep="\t", header="true", escape='"').csv(landing)
+    stream = stream_delimited(t.spark, landing, feed.schema, maxFilesPerTrigger="1").withColumns(
+        {"_commit_version": F.col("_commit_version").try_cast("bigint"), "_commit_timestamp": F.col("_commit_timestamp").try_cast("timestamp")}
     )
+    flow = PatientStream(t.scratch("patients"), buckets=8)
+    run_batches(stream, flow.upsert, t.scratch("checkpoint"))
+    return _history_columns(flow.patients(t.spark))
 
 
 @register(

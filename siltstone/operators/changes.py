@@ -56,6 +56,16 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], versio
     )
 
 
+def insert_feed(df: DataFrame, version: Column | int, ts: Column) -> DataFrame:
+    """The change feed of an append-only table: every row of a commit is an insert."""
+    return df.select(
+        "*",
+        F.lit("insert").alias(CHANGE_TYPE),
+        (F.lit(version) if isinstance(version, int) else version).cast("bigint").alias(COMMIT_VERSION),
+        ts.alias(COMMIT_TIMESTAMP),
+    )
+
+
 def commit_summary(feed: DataFrame) -> DataFrame:
     """Rows per change type, commit version and commit timestamp."""
     return _commits(feed).groupBy("change_type", "commit_version", "commit_timestamp").agg(F.count(F.lit(1)).alias("rcrd_cnt"))

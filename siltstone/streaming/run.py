@@ -5,22 +5,26 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.schema_log import append_flow_definition
+
 
 def _start(df: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     writer = df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
     return writer.outputMode("append").trigger(availableNow=True).start()
 
 
-def run_stream(df: DataFrame, sink: str, checkpoint: str) -> list[dict]:
+def run_stream(df: DataFrame, sink: str, checkpoint: str, log_path: str | None = None, dataset: str | None = None) -> list[dict]:
     """Append everything available to Parquet and stop; a second run takes only what is new.
 
-    Returns the progress reports of the micro-batches Spark still holds, the latest hundred by default.
+    With `log_path`, the run notes the schema of `dataset` in the event log. Returns the progress reports of the micro-batches Spark still holds, the latest hundred by default.
     """
     query = _start(df, sink, checkpoint)
     query.awaitTermination()
+    if log_path is not None:
+        append_flow_definition(df, dataset or sink, log_path, F.current_timestamp())
     return [json.loads(p.json) for p in query.recentProgress]
 
 

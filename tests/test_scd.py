@@ -93,6 +93,13 @@ def test_map_columns_take_part(spark):
     assert sorted(r["m"]["a"] for r in spans.collect()) == ["1", "9"], "equal maps in another key order are no change"
 
 
+def test_one_row_per_key_leaves_each_task(spark):
+    """Type 1 keeps the newest row per key before the shuffle, deletes included."""
+    df = frame(spark, [change(1, "a", "insert", 1)])
+    plan = apply_scd1(df, "k", SEQUENCE, DELETED)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange") == 1
+
+
 def test_unusable_changes(spark):
     df = frame(spark, [change(None, "a", "insert", 1), change(1, "b", "insert", 2)])
     assert [r.v for r in unusable_changes(df, "k", SEQUENCE).collect()] == ["a"]

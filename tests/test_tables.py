@@ -229,7 +229,9 @@ def test_delimited_rescue(spark, tmp_path):
     folder.mkdir()
     (folder / "a.tsv").write_text("a\tb\n1\tx\n2\ty\textra\n3\n")
     stream = stream_delimited(spark, str(folder), "a STRING, b STRING", rescue=True)
-    run_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    log = str(tmp_path / "log")
+    run_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), log, "bronze")
+    assert read_event_log(spark.read.parquet(log), "flow_definition", d="flow_definition.output_dataset").first().d == "bronze"
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == sorted(
         [("1", "x", None), ("2", "y", "2\ty\textra"), ("3", None, "3")], key=repr
     )
