@@ -16,6 +16,7 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    MapType,
     NullType,
     StringType,
     StructField,
@@ -109,15 +110,23 @@ def infer_from_new_files(
     seen = registry.seen(key)
     if seen is not None:
         reader = reader.option("modifiedAfter", seen)
-    rows = reader.format(fmt).load(path).select(quoted(col), F.col("_metadata.file_modification_time").alias("__time"))
-    newest = rows.agg(F.max("__time").alias("t")).select(F.date_format(F.date_trunc("second", "t"), SEEN_FORMAT)).first()[0]
-    schema = infer_schema(rows, col, registry, key, hints)
+    newest = newest_file_time(registry.spark, path, seen)
+    schema = infer_schema(reader.format(fmt).load(path), col, registry, key, hints)
     if newest is not None:
-        # Whole seconds, rounded down: a file of the same second is looked at twice rather than never.
         registry.mark_seen(key, newest)
     return schema
 
 
+def newest_file_time(spark: SparkSession, path: str, since: str | None = None, pattern: str = "*") -> str | None:
+    """Modification time of the newest file after `since`, from the file listing alone; None without such files.
+
+    Whole seconds, rounded down: a file of the same second is looked at twice rather than never.
+    """
+    options = {"pathGlobFilter": pattern, **({} if since is None else {"modifiedAfter": since})}
+    files = spark.read.format("binaryFile").options(**options).load(path).select("modificationTime")
+    return files.agg(F.date_format(F.date_trunc("second", F.max("modificationTime")), SEEN_FORMAT)).first()[0]
+
+
 def parse_evolving(
     df: DataFrame,
     col: str,
@@ -167,6 +176,8 @@ def merge_types(old: DataType, new: DataType) -> DataType:
         return StructType(merged + [StructField(f.name, f.dataType) for f in new.fields if f.name not in old.names])
     if isinstance(old, ArrayType) and isinstance(new, ArrayType):
         return ArrayType(merge_types(old.elementType, new.elementType))
+    if isinstance(old, MapType) and isinstance(new, MapType):
+        return MapType(merge_types(old.keyType, new.keyType), merge_types(old.valueType, new.valueType))
     if type(old) in NUMBERS and type(new) in NUMBERS:
         return max(old, new, key=lambda t: NUMBERS.index(type(t)))
     if isinstance(old, BooleanType) and isinstance(new, BooleanType):

@@ -79,23 +79,23 @@ def typed_patients(feed: DataFrame, at: Column) -> DataFrame:
     )
 
 
-def _tie_break(valid: DataFrame) -> list[str]:
+def tie_break(columns: list[str]) -> list[str]:
     """The columns as received; the typed ones follow from them."""
-    return [c for c in [*BRONZE_COLUMNS, *RESERVED, PAYLOAD_DIGEST] if c in valid.columns]
+    return [c for c in [*BRONZE_COLUMNS, *RESERVED, PAYLOAD_DIGEST] if c in columns]
 
 
 def patient_history(feed: DataFrame, at: Column, rules: dict[str, str] | None = None, hot_rows: int | None = None) -> DataFrame:
     """Type-2 history of the valid patients."""
     valid, _ = split_valid(validate(typed_patients(feed, at), rules or PATIENT_RULES))
     return apply_scd2(
-        valid, KEYS, SEQUENCE, DELETED, [*RESERVED, PAYLOAD_DIGEST], hot_rows=hot_rows, tie_break=_tie_break(valid), count_on=feed
+        valid, KEYS, SEQUENCE, DELETED, [*RESERVED, PAYLOAD_DIGEST], hot_rows=hot_rows, tie_break=tie_break(valid.columns), count_on=feed
     )
 
 
 def patient_latest(feed: DataFrame, at: Column, rules: dict[str, str] | None = None) -> DataFrame:
     """Type-1 table of the valid patients."""
     valid, _ = split_valid(validate(typed_patients(feed, at), rules or PATIENT_RULES))
-    return apply_scd1(valid, KEYS, SEQUENCE, DELETED, [*RESERVED, PAYLOAD_DIGEST], tie_break=_tie_break(valid))
+    return apply_scd1(valid, KEYS, SEQUENCE, DELETED, [*RESERVED, PAYLOAD_DIGEST], tie_break=tie_break(valid.columns))
 
 
 def patient_quarantine(feed: DataFrame, at: Column, rules: dict[str, str] | None = None) -> DataFrame:

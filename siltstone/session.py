@@ -42,13 +42,15 @@ def hot_key_rows(spark: SparkSession) -> int:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster in spark.checkpoint.dir."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        base = context.getCheckpointDir()
+    if not base:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = os.path.join(tempfile.gettempdir(), "siltstone-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(base)
     return base.rstrip("/")
 
 

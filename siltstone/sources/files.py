@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import batch_prefix
-from ..operators.evolve import SEEN_FORMAT, SchemaRegistry, conform, infer_from_new_files, merge_types
+from ..operators.evolve import SchemaRegistry, conform, infer_from_new_files, merge_types, newest_file_time
 from ..operators.payload import RESCUED, ingest_json_quality, with_corrupt, with_rescue
 
 FILE_MODES = ("all", "names", "source")
@@ -96,9 +96,7 @@ def stream_parquet(spark: SparkSession, path: str, schema_location: str, key: st
     registry = SchemaRegistry(spark, schema_location)
     stored, seen = registry.load(key), registry.seen(key)
     since = {} if seen is None else {"modifiedAfter": seen}
-    files = spark.read.format("binaryFile").options(pathGlobFilter="*.parquet", **since).load(path)
-    time = F.date_format(F.date_trunc("second", F.max("modificationTime")), SEEN_FORMAT)
-    newest = files.select("modificationTime").agg(time).first()[0]
+    newest = newest_file_time(spark, path, seen, "*.parquet")
     schema = stored
     if newest is not None:
         found = spark.read.options(mergeSchema=str(merge).lower(), **since).parquet(path).schema

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.quality import FAILED, PATIENT_RULES, quarantine_records, split_valid, validate
 from ..operators.changes import RESERVED
 from ..plans.patients import (
-    DELETED, FLOW_NAME, KEYS, PAYLOAD_DIGEST, QUARANTINE_COLUMNS, SEQUENCE, TABLE_NAME, typed_patients,
+    DELETED, FLOW_NAME, KEYS, PAYLOAD_DIGEST, QUARANTINE_COLUMNS, SEQUENCE, TABLE_NAME, tie_break, typed_patients,
 )
 from .targets import ScdTarget
 
@@ -30,6 +30,7 @@ class PatientStream:
             records = quarantine_records(
                 failed.drop(FAILED), self.rules, FLOW_NAME, TABLE_NAME, QUARANTINE_COLUMNS, F.current_timestamp()
             )
+            self.target.tie_break = tie_break(valid.columns)
             records.write.mode("overwrite").parquet(f"{self.path}/failed/batch={batch_id}")
             self.target.upsert(valid, batch_id)
         finally:

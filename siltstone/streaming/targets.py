@@ -46,6 +46,7 @@ class ScdTarget:
     buckets: int = 256
     at: Column | None = None
     refresh_each_batch: bool = True
+    tie_break: Sequence[str] | None = None
 
     def __post_init__(self):
         if self.scd_type not in (1, 2):
@@ -131,9 +132,12 @@ class ScdTarget:
     def _table(self, rows: DataFrame) -> DataFrame:
         if self.scd_type == 1:
             # Deleted keys stay as marked rows, so a bucket left with none of its keys is still rewritten.
-            return apply_scd1(rows, self.keys, self.sequence_by, self.delete_when, self.except_cols, self.at, DELETED)
+            return apply_scd1(
+                rows, self.keys, self.sequence_by, self.delete_when, self.except_cols, self.at, DELETED, self.tie_break
+            )
         return apply_scd2(
-            rows, self.keys, self.sequence_by, self.delete_when, self.except_cols, self.track, self.valid_from, self.at
+            rows, self.keys, self.sequence_by, self.delete_when, self.except_cols, self.track, self.valid_from, self.at,
+            tie_break=self.tie_break,
         )
 
     def read(self, spark: SparkSession) -> DataFrame:

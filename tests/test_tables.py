@@ -308,6 +308,32 @@ def test_shared_folder_and_spread(spark, tmp_path):
     assert spread(many) is many
 
 
+class Stub:
+    """Just enough of a session to ask for the shared folder."""
+
+    def __init__(self, master, configured=None, set_before=None):
+        self.master, self.configured, self.folder = master, configured, set_before
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        return self.configured or default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_where_shared_files_go():
+    stub = Stub("spark://host:7077", configured="hdfs://shared/x/")
+    assert shared_dir(stub) == "hdfs://shared/x" and stub.folder == "hdfs://shared/x/"
+    assert shared_dir(Stub("yarn", set_before="hdfs://set/y")) == "hdfs://set/y"
+    assert "siltstone" in shared_dir(Stub("local[2]"))
+    with pytest.raises(ValueError):
+        shared_dir(Stub("yarn"))
+
+
 # Workload
 
 
