@@ -173,6 +173,9 @@ def quality_summary(df: DataFrame) -> DataFrame:
 
 
 def quality_issues(df: DataFrame, columns: Sequence[Column | str], file_col: str = "file_name") -> DataFrame:
-    """The flagged rows ordered by source file."""
+    """The flagged rows ordered by source file.
+
+    The texts follow in the order, so the sort can split a file that holds most of the rows.
+    """
     flagged = df.where(F.col(RESCUED).isNotNull() | F.col(CORRUPT).isNotNull())
-    return flagged.select(*columns, RESCUED, CORRUPT, file_col).orderBy(file_col)
+    return flagged.select(*columns, RESCUED, CORRUPT, file_col).orderBy(file_col, RESCUED, CORRUPT)

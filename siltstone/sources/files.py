@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import batch_prefix
+from ..operators.columns import row_digest
 from ..operators.evolve import SchemaRegistry, conform, infer_from_new_files, merge_types, newest_file_time
 from ..operators.payload import RESCUED, ingest_json_quality, with_corrupt, with_rescue
 
@@ -157,11 +158,13 @@ def write_table(
 
     `partition_by` makes folders; rows are rebalanced on the partition columns first, which gives
     few files per folder yet lets Spark split a folder that holds too much. `cluster_by` range
-    partitions and sorts, so row-group statistics prune.
+    partitions and sorts, so row-group statistics prune; a hash of the row comes last in the range,
+    so a value that most rows share is spread over several files.
     """
     if cluster_by:
         ranged = [*partition_by, *cluster_by]
-        df = df.repartitionByRange(clusters, *ranged) if clusters else df.repartitionByRange(*ranged)
+        borders = [*ranged, row_digest(df)]
+        df = df.repartitionByRange(clusters, *borders) if clusters else df.repartitionByRange(*borders)
         df = df.sortWithinPartitions(*ranged)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)

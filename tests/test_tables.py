@@ -295,6 +295,9 @@ def test_layout_prunes(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(l_returnflag" in plan and "GreaterThan(l_shipdate" in plan
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz,l_quantity:double>" in plan
+    write_table(lines.withColumn("same", F.lit(1)), str(tmp_path / "hot"), cluster_by=["same"], clusters=4)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "hot")).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < lines.count() / 2, "one value does not end in one file"
     write_table(lines, str(tmp_path / "p"), partition_by=["l_returnflag"])
     assert spark.read.parquet(str(tmp_path / "p")).count() == lines.count()
     append_by_name(spark.sql("SELECT 'x' AS b, '7' AS a"), str(tmp_path / "d"), StructType.fromDDL("a INT, b STRING"))
