@@ -20,7 +20,7 @@ from ..operators.relational import (
 from ..plans.marts import merge_trip_names, sales_by_city, silver_orders, silver_trips
 from ..sources.files import stream_table, write_table
 from ..streaming.aggregates import SumTarget
-from ..streaming.run import run_batches, run_stream
+from ..streaming.run import run_batches, store_batches
 from .base import AT, Tables, at, register
 
 
@@ -325,8 +325,7 @@ def retail_stream(t: Tables) -> DataFrame:
     """Bronze orders as a stream joined with customers into silver, and silver as a stream summed up into gold."""
     bronze, silver, gold = t.scratch("bronze"), t.scratch("silver"), t.scratch("gold")
     write_table(_bronze_orders(t), bronze)
-    orders = silver_orders(stream_table(t.spark, bronze), _customers(t))
-    run_stream(orders, silver, t.scratch("checkpoint"))
+    store_batches(stream_table(t.spark, bronze), lambda batch: silver_orders(batch, _customers(t)), silver, t.scratch("checkpoint"))
     target = SumTarget(gold, ["order_date", "city", "customer_id", "customer_name", "currency"], ["sales", "quantity"])
     run_batches(
         stream_table(t.spark, silver), lambda batch, n: target.upsert(sales_by_city(batch, "NATION_7"), n), t.scratch("checkpoint")

@@ -45,3 +45,16 @@ def run_batches(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoin
     """Hand every micro-batch to `each(batch, batch_id)` until nothing is left."""
     query = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def store_batches(df: DataFrame, transform: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str) -> None:
+    """Store `transform` of every micro-batch, one folder per batch; a repeated batch replaces its folder.
+
+    Inside a batch Spark re-plans at run time, so joins with a static table split skewed keys,
+    and the static table is read afresh.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        transform(batch).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    run_batches(df, store, checkpoint)

@@ -152,6 +152,12 @@ def test_hot_rows_are_spread(spark):
     assert len(sizes) >= 6 and max(sizes) < total // 3
 
 
+def test_very_many_hot_keys_are_joined_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("siltstone.plans.ordered.MAX_BROADCAST_KEYS", 1)
+    df = spark.sql("SELECT id % 4 AS k, id FROM range(40) UNION ALL SELECT NULL, id FROM range(7)")
+    assert rows(rank_rows(df, ["k"], ["id"])) == rows(rank_rows(df, ["k"], ["id"], hot_rows=5))
+
+
 def test_null_keys_form_their_own_group(spark):
     df = spark.sql("SELECT IF(id % 2 = 0, NULL, 1) AS k, id FROM range(20)")
     assert rows(rank_rows(df, ["k"], ["id"])) == rows(rank_rows(df, ["k"], ["id"], hot_rows=3))
