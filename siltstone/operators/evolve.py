@@ -46,24 +46,29 @@ class SchemaRegistry:
             raise
         return sorted((r.version, r.fields) for r in stored.collect())
 
+    def text(self, key: str) -> str | None:
+        """The newest text noted under `key`."""
+        versions = self._versions(key)
+        return versions[-1][1] if versions else None
+
+    def set_text(self, key: str, text: str) -> None:
+        """Append `text` as the newest version, unless it is the newest already."""
+        if text != self.text(key):
+            self._append(key, text)
+
     def seen(self, key: str) -> str | None:
         """The modification time up to which files were looked at for `key`."""
-        versions = self._versions(key + "-seen")
-        return versions[-1][1] if versions else None
+        return self.text(key + "-seen")
 
     def mark_seen(self, key: str, time: str) -> None:
-        if time != self.seen(key):
-            self._append(key + "-seen", time)
+        self.set_text(key + "-seen", time)
 
     def load(self, key: str) -> StructType | None:
-        versions = self._versions(key)
-        return StructType.fromJson(json.loads(versions[-1][1])) if versions else None
+        stored = self.text(key)
+        return StructType.fromJson(json.loads(stored)) if stored else None
 
     def store(self, key: str, schema: StructType) -> None:
-        """Append `schema` as the newest version, unless it is the newest already."""
-        versions = self._versions(key)
-        if not versions or versions[-1][1] != schema.json():
-            self._append(key, schema.json())
+        self.set_text(key, schema.json())
 
     def _append(self, key: str, text: str) -> None:
         versions = self._versions(key)

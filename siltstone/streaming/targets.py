@@ -9,7 +9,7 @@ duplicates and rows older than a delete come out right.
 
 Recomputing a bucket costs as much as the bucket holds. For small batches over a large table set
 `refresh_each_batch=False`: batches then only store their changes, and `refresh` brings up to date
-all buckets touched since it last ran.
+all buckets touched since it last ran. `compact` merges the small files many batches leave behind.
 """
 
 from __future__ import annotations
@@ -52,9 +52,11 @@ class ScdTarget:
         if self.scd_type not in (1, 2):
             raise ValueError("scd_type must be 1 or 2")
 
-    @property
-    def changes_path(self) -> str:
-        return f"{self.path}/changes"
+    def changes_path(self, spark: SparkSession) -> str:
+        return f"{self.path}/changes-{self._registry(spark).text('generation') or 0}"
+
+    def _registry(self, spark: SparkSession) -> SchemaRegistry:
+        return SchemaRegistry(spark, f"{self.path}/schema")
 
     @property
     def table_path(self) -> str:
@@ -84,7 +86,7 @@ class ScdTarget:
             if not all(r["good"] for r in found):
                 self._write(unusable_changes(rows, self.keys, self.sequence_by).drop(BUCKET), self.quarantine_path, BATCH)
             if touched:
-                self._write(good, self.changes_path, BUCKET, BATCH)
+                self._write(good, self.changes_path(spark), BUCKET, BATCH)
         finally:
             rows.unpersist()
         if touched and self.refresh_each_batch:
@@ -107,19 +109,38 @@ class ScdTarget:
             mark = spark.createDataFrame([(max(r["batch"] for r in found),)], "batch BIGINT")
             mark.coalesce(1).write.mode("append").json(marks)
 
+    def compact(self, spark: SparkSession) -> str:
+        """Store the changes anew, one folder per bucket, and use that copy from now on.
+
+        Type 1 keeps the newest change per key only, deletes included. Call it between batches.
+        Returns the path of the copy no longer used, which may be deleted.
+        """
+        old, changes = self.changes_path(spark), self._changes(spark)
+        newest = changes.select(BATCH).agg(F.max(BATCH)).first()[0]
+        kept = changes.drop(BATCH)
+        if self.scd_type == 1:
+            kept = apply_scd1(
+                kept, self.keys, self.sequence_by, self.delete_when, deleted_flag=DELETED, tie_break=self.tie_break
+            ).drop(DELETED)
+        generation = int(self._registry(spark).text("generation") or 0) + 1
+        self._write(kept.withColumn(BATCH, F.lit(newest)), f"{self.path}/changes-{generation}", BUCKET, BATCH)
+        # Readers and later batches switch over with this one small file.
+        self._registry(spark).set_text("generation", str(generation))
+        return old
+
     def _recompute(self, spark: SparkSession, buckets: Sequence[int]) -> None:
         changes = self._changes(spark).where(F.col(BUCKET).isin(list(buckets)))
         self._write(self._table(changes.drop(BATCH)), self.table_path, BUCKET)
 
     def _changes(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, self.changes_path, self._schema(spark).add(BATCH, LongType()))
+        return self._read(spark, self.changes_path(spark), self._schema(spark).add(BATCH, LongType()))
 
     def _schema(self, spark: SparkSession) -> StructType:
-        return SchemaRegistry(spark, f"{self.path}/schema").load("changes").add(BUCKET, IntegerType())
+        return self._registry(spark).load("changes").add(BUCKET, IntegerType())
 
     def _widened(self, batch: DataFrame) -> StructType:
         """The batch's schema merged with that of all batches before it."""
-        registry = SchemaRegistry(batch.sparkSession, f"{self.path}/schema")
+        registry = self._registry(batch.sparkSession)
         stored = registry.load("changes")
         schema = merge_types(stored, batch.schema) if stored is not None else batch.schema
         registry.store("changes", schema)

@@ -189,6 +189,15 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path, scd_typ
     for batch_id, replayed in batches.items():
         target.upsert(spark.createDataFrame(replayed, SCHEMA), batch_id)
     assert rows(target.read(spark)) == expected
+    old = target.compact(spark)
+    stored = spark.read.parquet(target.changes_path(spark))
+    assert target.changes_path(spark) != old
+    assert stored.count() == (3 if scd_type == 1 else sum(c[0] is not None for c in changes))
+    target.upsert(spark.createDataFrame(batches[0], SCHEMA), 0)
+    target.upsert(frame(spark, [change(2, "late", "insert", 0), change(9, "new", "insert", 99)]), 3)
+    more = changes + [change(2, "late", "insert", 0), change(9, "new", "insert", 99)]
+    expected = rows(apply(frame(spark, more), ["k"], SEQUENCE, DELETED, ["_change_type", *SEQUENCE]))
+    assert rows(target.read(spark)) == expected
     assert target.quarantined(spark).count() == sum(c[0] is None for c in changes)
 
 
