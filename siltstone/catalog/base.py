@@ -54,16 +54,23 @@ class Tables:
         return raw.selectExpr(*PATIENT_FEED)
 
 
-def register(name: str, operators: str, sql: str | None = None):
-    """Add a query to the catalog under `name`; `operators` lists the inventory IDs it covers."""
+def register(name: str, operators: str, sql: str | None = None, text: tuple[str, ...] = ()):
+    """Add a query to the catalog under `name`; `operators` lists the inventory IDs it covers.
+
+    Columns in `text` are shown as text on both sides: numbers and flags with NULLs, and dates,
+    have no common form in the frames the two engines hand out.
+    """
 
     def wrap(function: Callable[[Tables], DataFrame]):
         def build(spark: SparkSession, folder: str) -> DataFrame:
-            return function(Tables(spark, folder))
+            df = function(Tables(spark, folder))
+            return df.withColumns({c: F.col(c).cast("string") for c in text}) if text else df
 
         if name in ENTRIES:
             raise ValueError(f"query {name} is registered twice")
-        ENTRIES[name] = Entry(name, tuple(operators.split()), build, sql)
+        shown = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in text)
+        stated = f"SELECT * REPLACE ({shown}) FROM ({sql}) AS shown" if text else sql
+        ENTRIES[name] = Entry(name, tuple(operators.split()), build, stated)
         return function
 
     return wrap

@@ -24,6 +24,12 @@ from ..streaming.targets import ScdTarget
 from .base import AT, PATIENT_FEED_SQL, Tables, at, register
 
 OPEN_END = "TIMESTAMP '9999-12-31 00:00:00'"
+TEXT_TIME = "%Y-%m-%d %H:%M:%S.%f"
+
+
+def end_as_text(df: DataFrame) -> DataFrame:
+    """The open end as text, as pandas cannot hold the year 9999 in nanoseconds."""
+    return df.withColumn("EffectiveTo", F.date_format("EffectiveTo", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 def spans_sql(key: str, track: str) -> str:
@@ -34,15 +40,16 @@ def spans_sql(key: str, track: str) -> str:
       FROM events),
     opened AS (SELECT * FROM ordered WHERE rn = 1 OR before_value <> {track}),
     closed AS (SELECT *, lead(ts) OVER (PARTITION BY {key} ORDER BY ts, event_id) AS until FROM opened)
-    SELECT user_id, event_id, event_type, value, ts AS "EffectiveFrom", coalesce(until, {OPEN_END}) AS "EffectiveTo",
+    SELECT user_id, event_id, event_type, value, ts AS "EffectiveFrom", strftime(coalesce(until, {OPEN_END}), '{TEXT_TIME}') AS "EffectiveTo",
            until IS NULL AS "IsCurrent"
     FROM closed"""
 
 
 def _spans(t: Tables, key: str, track: str, hot_rows: int | None = None) -> DataFrame:
-    return apply_scd2(
+    spans = apply_scd2(
         t("events"), key, ["ts", "event_id"], except_cols=["ts", "props"], track=[track], valid_from="ts", hot_rows=hot_rows
     )
+    return end_as_text(spans)
 
 
 @register("cdc_scd2_spans", "CDC-4 CDC-6", spans_sql("user_id", "event_type"))
@@ -72,14 +79,15 @@ def scd1_latest(t: Tables) -> DataFrame:
     "cdc_delete_when",
     "CDC-5 CDC-4",
     f"""
-    SELECT user_id, event_id, event_type, ts AS "EffectiveFrom", coalesce(until, {OPEN_END}) AS "EffectiveTo",
+    SELECT user_id, event_id, event_type, ts AS "EffectiveFrom", strftime(coalesce(until, {OPEN_END}), '{TEXT_TIME}') AS "EffectiveTo",
            until IS NULL AS "IsCurrent"
     FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS until FROM events) AS e
     WHERE event_type <> 'error'""",
 )
 def delete_when(t: Tables) -> DataFrame:
     changes = t("events").select("user_id", "event_id", "event_type", "ts")
-    return apply_scd2(changes, "user_id", ["ts", "event_id"], "event_type = 'error'", except_cols=["ts"], valid_from="ts")
+    history = apply_scd2(changes, "user_id", ["ts", "event_id"], "event_type = 'error'", except_cols=["ts"], valid_from="ts")
+    return end_as_text(history)
 
 
 @register(
@@ -126,10 +134,11 @@ def reserved_dropped(t: Tables) -> DataFrame:
 @register(
     "cdc_validity",
     "CDC-9",
-    f'SELECT event_id, ts AS "EffectiveFrom", {OPEN_END} AS "EffectiveTo", true AS "IsCurrent" FROM events',
+    f"""
+    SELECT event_id, ts AS "EffectiveFrom", strftime({OPEN_END}, '{TEXT_TIME}') AS "EffectiveTo", true AS "IsCurrent" FROM events""",
 )
 def validity(t: Tables) -> DataFrame:
-    return validity_columns(t("events").select("event_id", "ts"), "ts").drop("ts")
+    return end_as_text(validity_columns(t("events").select("event_id", "ts"), "ts").drop("ts"))
 
 
 @register(
@@ -265,7 +274,7 @@ def stream_scd2(t: Tables) -> DataFrame:
     target = ScdTarget(
         t.scratch("scd2"), ["user_id"], ["ts", "event_id"], 2, except_cols=["ts"], track=["event_type"], valid_from="ts", buckets=8
     )
-    return _streamed(t, target)
+    return end_as_text(_streamed(t, target))
 
 
 @register(
@@ -294,7 +303,7 @@ HISTORY_SQL = (
     + f"""
     SELECT "ID", "BusinessID", concat('', o_orderkey) AS "D_id", 'TX' AS "D_state",
            epoch_ms((946684800 + o_orderkey * 60) * 1000) AS "D_created", o_orderkey % 2 = 0 AS "D_private",
-           _commit_timestamp AS "EffectiveFrom", coalesce(until, {OPEN_END}) AS "EffectiveTo", until IS NULL AS "IsCurrent"
+           _commit_timestamp AS "EffectiveFrom", strftime(coalesce(until, {OPEN_END}), '{TEXT_TIME}') AS "EffectiveTo", until IS NULL AS "IsCurrent"
     FROM (SELECT *, lead(_commit_timestamp) OVER (PARTITION BY "ID", "BusinessID" ORDER BY _commit_version) AS until FROM rows) AS r
     WHERE _change_type <> 'delete'"""
 )
@@ -304,7 +313,7 @@ def _history_columns(history: DataFrame) -> DataFrame:
     return history.select(
         "ID", "BusinessID", "D_id", "D_state", F.col("D_created").cast("timestamp_ntz").alias("D_created"), "D_private",
         *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("EffectiveFrom", "EffectiveTo")], "IsCurrent",
-    )
+    ).transform(end_as_text)
 
 
 @register("flow_patient_history", "CDC-4 JSN-1 JSN-5 JSN-11 JSN-13 DQ-4", HISTORY_SQL)

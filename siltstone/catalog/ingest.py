@@ -148,6 +148,7 @@ def spoilt(t: Tables) -> DataFrame:
     f"""
     SELECT event_id, CASE WHEN event_id % 10 NOT IN (2, 3) THEN CAST(round(value * 100) AS BIGINT) END AS cents,
            CASE WHEN event_id % 10 <> 3 THEN user_id END AS user_id, {RESCUED_SQL} AS _rescued_data FROM events""",
+    text=("cents", "user_id"),
 )
 def rescue(t: Tables) -> DataFrame:
     rows = with_rescue(spoilt(t), "j", SPOILT_SCHEMA)
@@ -192,6 +193,7 @@ def summary(t: Tables) -> DataFrame:
     f"""
     WITH {SPOILT_SQL} SELECT CASE WHEN event_id % 10 <> 3 THEN event_id END AS id, {RESCUED_SQL} AS _rescued_data,
            CASE WHEN event_id % 10 = 3 THEN j END AS _corrupt_record, true AS from_json_file FROM spoilt WHERE event_id % 10 <= 3""",
+    text=("id",),
 )
 def issues(t: Tables) -> DataFrame:
     """Files of JSON lines, read with rescue and corrupt capture; flagged lines by file."""
@@ -231,6 +233,7 @@ def prefix(t: Tables) -> DataFrame:
     f"""
     SELECT c_custkey, TIMESTAMP '{AT}' AS "ingestTime", CAST(TIMESTAMP '{AT}' AS DATE) AS "ingestDate",
            TIMESTAMP '{AT}' AS data_ingestion_ts FROM customer""",
+    text=("ingestDate",),
 )
 def ingest_audit(t: Tables) -> DataFrame:
     return with_ingest_audit(t("customer").select("c_custkey"), at())
@@ -244,6 +247,7 @@ def ingest_audit(t: Tables) -> DataFrame:
     UNION ALL SELECT 'bronze_patientsensor', count(*), count(DISTINCT user_id),
       CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) FROM events
     UNION ALL SELECT 'bronze_patientpractice', count(*), count(DISTINCT o_custkey), CAST(sum(o_orderkey) AS BIGINT) FROM orders""",
+    text=("sum_k",),
 )
 def feeds(t: Tables) -> DataFrame:
     """Three of the feeds: two with a JSON payload and one without."""
@@ -350,6 +354,7 @@ def table_as_stream(t: Tables) -> DataFrame:
     "SRC-20",
     """
     SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS BIGINT) END AS p_size FROM part""",
+    text=("p_size",),
 )
 def append(t: Tables) -> DataFrame:
     """Two appends: columns in another order and a narrower type, then one column missing."""

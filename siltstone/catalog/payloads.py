@@ -81,6 +81,7 @@ def as_map(t: Tables) -> DataFrame:
     "json_parse_variant",
     "JSN-6",
     f"SELECT event_id, event_id % 7 <> 0 AS is_json, CASE WHEN event_id % 7 <> 0 THEN {K} END AS k FROM events",
+    text=("k",),
 )
 def as_variant(t: Tables) -> DataFrame:
     text = F.when(F.expr("event_id % 7 = 0"), F.lit("{broken")).otherwise(F.col("j"))
@@ -94,6 +95,7 @@ def as_variant(t: Tables) -> DataFrame:
     f"""
     SELECT event_id, event_type AS kind, {K} AS k, event_id % 2 = 0 AS flag, CAST(round(value * 100) AS BIGINT) AS cents,
            CAST(NULL AS INTEGER) AS kind_as_int, CAST(NULL AS VARCHAR) AS missing FROM events""",
+    text=("kind_as_int",),
 )
 def paths(t: Tables) -> DataFrame:
     v = F.col("v")
@@ -185,6 +187,7 @@ def extras(t: Tables) -> DataFrame:
            true AS option_fixed, CAST(f.o_orderkey % 10 AS INTEGER) AS priority, 'T' AS type, 'red' AS color
     FROM feed AS f JOIN orders AS o ON f.o_orderkey = o.o_orderkey
     UNION ALL SELECT o_orderkey, concat('s', o_orderkey), 'second', '', NULL, NULL, NULL, 'U', NULL FROM feed""",
+    text=("option_fixed", "priority"),
 )
 def records(t: Tables) -> DataFrame:
     feed = t.patient_feed().select("o_orderkey", F.get_json_object("raw", "$.records").alias("text"))

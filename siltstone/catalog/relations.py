@@ -150,6 +150,7 @@ def distinct(t: Tables) -> DataFrame:
     """
     SELECT c_custkey AS key, c_name AS name, c_nationkey AS nation FROM customer
     UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier UNION ALL SELECT p_partkey, p_name, NULL FROM part""",
+    text=("nation",),
 )
 def united(t: Tables) -> DataFrame:
     return union_named(
@@ -239,6 +240,7 @@ def expressions(t: Tables) -> DataFrame:
     """
     SELECT event_id, CASE WHEN event_id % 8 <> 0 THEN date_trunc('second', ts) END AS parsed,
            CASE WHEN event_id % 8 <> 0 THEN CAST(ts AS DATE) END AS day FROM events""",
+    text=("day",),
 )
 def parsed_times(t: Tables) -> DataFrame:
     text = F.when(F.expr("event_id % 8 = 0"), F.lit("not a time")).otherwise(F.date_format("ts", "M/d/yyyy HH:mm:ss"))
@@ -252,6 +254,7 @@ def parsed_times(t: Tables) -> DataFrame:
     """
     SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS INTEGER) END AS as_int,
            CASE event_id % 3 WHEN 1 THEN true END AS as_bool, CASE event_id % 3 WHEN 2 THEN TIMESTAMP '2024-05-06 07:08:09' END AS as_ts FROM events""",
+    text=("as_int", "as_bool"),
 )
 def casts(t: Tables) -> DataFrame:
     text = F.expr("CASE event_id % 3 WHEN 0 THEN concat('', event_id) WHEN 1 THEN 'true' ELSE '2024-05-06 07:08:09' END")
