@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure
-from . import language_hd, quality_classifier, quality_rules, sentencepiece_codec, token_counts, url_filter
+from . import language_hd, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, token_counts, url_filter
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,12 +35,22 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(pages, RULES).drop("url")
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    scored = lm_scoring.score_with_corpus(docs, remainder("doc_id", 7) != 2, ["doc_id"])
+    return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     lengths = token_counts.encoded_lengths(docs, RANKS, public_tokenizers.PATTERN)
     return token_counts.suffix_sums(token_counts.length_histogram(lengths))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_forest.near_duplicates(read(spark, folder, "documents"), shingle=2)
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     model = quality_classifier.fit(docs, labels, remainder("doc_id", 5) != 0)
@@ -65,7 +75,9 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_lm_scoring": op2_lm_scoring,
     "op5_token_counts": op5_token_counts,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
