@@ -22,17 +22,17 @@ _BYTES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint
 _LOWER_BYTES = _BYTES.copy()
 _LOWER_BYTES[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
 _BASE = 0x9E3779B97F4A7C15
-_powers: dict[str, np.ndarray] = {}
+_kept: dict[str, np.ndarray] = {}
 
 
-def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least `size` of each."""
-    if len(_powers.get("up", ())) < size:
+    if len(_kept.get("up", ())) < size:
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             steps = np.full(max(size, SEGMENT + 1), base, np.uint64)
             steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
-    return _powers["up"], _powers["down"]
+            _kept[name] = np.multiply.accumulate(steps)
+    return _kept["up"], _kept["down"]
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -108,7 +108,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
         low = starts[first]
         last = max(first + 1, int(np.searchsorted(ends, low + SEGMENT, side="right")))
         high = ends[last - 1]
-        up, down = _tables(high - low + 1)
+        up, down = powers(high - low + 1)
         sums = np.zeros(high - low + 1, np.uint64)
         np.cumsum(table[data[low:high]] * up[: high - low], out=sums[1:])
         here = starts[first:last] - low

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure
-from . import language_hd, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, token_counts, url_filter
+from . import decontaminate, language_hd, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, token_counts, url_filter
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +41,10 @@ def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
 
 
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     lengths = token_counts.encoded_lengths(docs, RANKS, public_tokenizers.PATTERN)
@@ -76,6 +80,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_lm_scoring": op2_lm_scoring,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
