@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure
-from . import decontaminate, language_hd, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, token_counts, url_filter
+from . import decontaminate, language_hd, line_dedup, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, token_counts, url_filter
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +41,13 @@ def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document with a word: the numbers of its removed lines, from 0, as text."""
+    found = line_dedup.repeated_lines(read(spark, folder, "documents"))
+    lines = F.array_join(F.transform("removed", lambda x: x.cast("string")), " ")
+    return found.select(F.col("key").alias("doc_id"), F.size("removed").cast("long").alias("n_removed"), lines.alias("removed_lines"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -80,6 +87,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
