@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 MARK = "▁"
 # Words whose ids a worker remembers, in two generations.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 
 
 class PieceCodec:
@@ -46,12 +46,11 @@ class PieceCodec:
         words = [i for i in text if len(self.pieces[i]) == 1 or set(self.pieces[i]) != {MARK}]
         words.sort(key=lambda i: (len(self.pieces[i]) > 1, -model.get_score(i), i))
         self.rank_id = words
-        self.single = {self.pieces[i]: rank for rank, i in enumerate(words) if len(self.pieces[i]) == 1}
-        self.chars = len(self.single)
+        self.alphabet = frozenset(self.pieces[i] for i in words if len(self.pieces[i]) == 1)
+        self.chars = len(self.alphabet)
         self.left, self.right = list(range(len(words))), list(range(len(words)))
         self.merged: dict[tuple[int, int], int] = {}
-        self.allowed: dict[tuple[int, int], bool] = {}
-        self.automaton = None
+        self.allowed: dict[int, bool] = {}
         known = {self.pieces[i]: rank for rank, i in enumerate(words)}
         for rank in range(self.chars, len(words)):
             piece = self.pieces[words[rank]]
@@ -69,6 +68,8 @@ class PieceCodec:
         automaton.make_automaton()
         self.automaton = automaton
         self.allowed.clear()
+        self.numbers = [b"%d" % i for i in range(size)]
+        self.plain = [self._bytes(i) for i in range(size)]
         self.new: dict[str, tuple[int, bytes, bytes]] = {}
         self.old: dict[str, tuple[int, bytes, bytes]] = {}
 
@@ -90,30 +91,28 @@ class PieceCodec:
 
     def _part_ids(self, part: str) -> list[int]:
         """Ids of a word in which all characters are pieces, by the table of last tokens."""
-        last: list[tuple[int, int]] = [(0, -1)] * (len(part) + 1)
-        allowed, single = self.allowed, self.chars
-        ending: list[list[tuple[int, int]]] = [[] for _ in range(len(part) + 1)]
-        for at, match in self.automaton.iter(part):
-            ending[at + 1].append(match)
-        for end in range(1, len(part) + 1):
-            for length, rank in ending[end]:
-                start = end - length
-                if start:
-                    before = last[start][1]
-                    if before < 0:
-                        continue
-                    stands = allowed.get((before, rank))
-                    if stands is None:
-                        stands = allowed[before, rank] = self.may_follow(before, rank)
-                    if not stands:
-                        continue
-                last[end] = (length, rank)
-                break
-        ids, end = [], len(part)
+        size = len(part)
+        lengths, ranks = [0] * (size + 1), [-1] * (size + 1)
+        allowed = self.allowed
+        for at, (length, rank) in self.automaton.iter(part):
+            end = at + 1
+            if ranks[end] >= 0:
+                continue
+            start = end - length
+            if start:
+                before = ranks[start]
+                if before < 0:
+                    continue
+                stands = allowed.get(before << 20 | rank)
+                if stands is None:
+                    stands = allowed[before << 20 | rank] = self.may_follow(before, rank)
+                if not stands:
+                    continue
+            lengths[end], ranks[end] = length, rank
+        ids, end = [], size
         while end:
-            length, rank = last[end]
-            ids.append(self.rank_id[rank])
-            end -= length
+            ids.append(self.rank_id[ranks[end]])
+            end -= lengths[end]
         ids.reverse()
         if len(allowed) > 500_000:
             allowed.clear()
@@ -125,15 +124,18 @@ class PieceCodec:
         marks = len(word) - len(rest)
         if marks and rest:
             marks, rest = marks - 1, MARK + rest
-        ids, held = [], 0
-        for at, char in enumerate(rest):
-            if char not in self.single:
-                if at > held:
+        if self.alphabet.issuperset(rest):
+            ids = self._part_ids(rest)
+        else:
+            ids, held = [], 0
+            for at, char in enumerate(rest):
+                if char not in self.alphabet:
                     ids += self._part_ids(rest[held:at])
-                ids += [self.byte_ids[b] for b in char.encode()]
-                held = at + 1
-        if held < len(rest):
+                    ids += [self.byte_ids[b] for b in char.encode()]
+                    held = at + 1
             ids += self._part_ids(rest[held:])
+        if not marks:
+            return ids
         # Runs of marks merge last, from the left; a mark that joined no word belongs to the run.
         if rest and marks and ids[0] == self.runs[1]:
             marks += 1
@@ -149,7 +151,7 @@ class PieceCodec:
         """Text of ids: pieces with marks as spaces, bytes joined to characters, without the leading space."""
         out: list[str] = []
         for of_bytes, group in groupby(ids, self.byte_of.__contains__):
-            joined = b"".join(map(self._bytes, group))
+            joined = b"".join(map(self.plain.__getitem__, group))
             out.append(_joined(joined) if of_bytes else joined.decode())
         text = "".join(out)
         first = next((i for i in ids if i not in self.special), None)
@@ -167,7 +169,7 @@ class PieceCodec:
         found = self.old.get(word)
         if found is None:
             ids = self.word_ids(word)
-            found = (len(ids), " ".join(map(str, ids)).encode(), b"".join(map(self._bytes, ids)))
+            found = (len(ids), b" ".join([self.numbers[i] for i in ids]), b"".join([self.plain[i] for i in ids]))
         if len(word) <= 64:
             if len(self.new) >= REMEMBERED:
                 self.old, self.new = self.new, {}
