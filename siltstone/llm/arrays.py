@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SEGMENT = 1 << 20
 SLICE_BYTES = 2 << 20
@@ -133,3 +134,13 @@ def totals(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of values between bounds."""
     sums = np.concatenate([[0], np.cumsum(values)])
     return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
+def with_text(keep: list[str], text: str) -> list[str]:
+    """The columns to hand to a worker: those to keep first, the text once."""
+    return keep if text in keep else [*keep, text]
+
+
+def out_schema(df: DataFrame, keep: list[str], added: str) -> str:
+    """DDL of the columns kept and those added."""
+    return ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep), added])

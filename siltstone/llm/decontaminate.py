@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import mix, powers, raw, slices, span_hashes
+from .arrays import mix, out_schema, powers, raw, slices, span_hashes, with_text
 
 WINDOW = 8
 # A window must hold this many plain words, so that slots alone identify nothing.
@@ -260,50 +260,44 @@ def contamination(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     NULL id or text, or of fewer than LEAST_TOKENS tokens, are matched by nothing. Repeated rows are
     judged one by one.
     """
-    keep = keep or [key]
+    found = ("item_ids", "matched_tokens", "verbatim")
+    keep = [c for c in keep or [key] if c not in (*found, "contaminated")]
     items = benchmark.where(F.col(item).isNotNull() & F.col("text").isNotNull()).select(F.col(item).cast("long").alias("item"), F.col("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    names = [*keep, "item_ids", "matched_tokens", "verbatim"]
-    kinds = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
-    schema = ", ".join([*kinds, "item_ids array<long>, matched_tokens long, verbatim boolean"])
-    rows = df.select(*keep, F.col(text).alias("__text"))
+    rows = df.select(*with_text(keep, text))
     for number in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == number).collect()
         ids, texts = [r.item for r in own], [r.text for r in own]
         shared = df.sparkSession.sparkContext.broadcast((build_block(ids, texts, True), build_block(ids, texts, False)))
-        if number:
-            # What earlier blocks found travels along as columns.
-            rows = rows.withColumnsRenamed({c: f"__{c}" for c in names[len(keep) :]})
-        last = number == blocks - 1
-        rows = rows.mapInArrow(_scan(shared, keep, number > 0, last), schema + ("" if last else ", __text string"))
+        # The text, and what earlier blocks found, travel along until the last block.
+        out = keep if number == blocks - 1 else with_text(keep, text)
+        schema = out_schema(df, out, "item_ids array<long>, matched_tokens long, verbatim boolean")
+        rows = rows.mapInArrow(_scan(shared, text, out, number > 0), schema)
     return rows.withColumn("contaminated", F.col("matched_tokens") > 0)
 
 
-def _scan(shared, keep: list[str], later: bool, last: bool):
+def _scan(shared, text: str, out: list[str], later: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         typed, plain = shared.value
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, text):
             names = batch.schema.names
-            column = batch.column(names.index("__text"))
-            tokens = read_tokens(column, typed.units)
+            tokens = read_tokens(batch.column(names.index(text)), typed.units)
             found, again = find_items(tokens, typed), find_items(tokens.without_names(), plain)
             ids, longest, verbatim = [], [], []
             for i in range(batch.num_rows):
                 runs = dict(found.get(i, {}))
                 for name, run in again.get(i, {}).items():
                     runs[name] = max(runs.get(name, (0, False)), run)
-                best = max(runs.values(), default=(0, False))
-                held = sorted(runs)
+                best, held = max(runs.values(), default=(0, False)), sorted(runs)
                 if later:
-                    best = max(best, (batch.column(names.index("__matched_tokens"))[i].as_py(), batch.column(names.index("__verbatim"))[i].as_py()))
-                    held = sorted({*held, *batch.column(names.index("__item_ids"))[i].as_py()})
+                    before = [batch.column(names.index(c))[i].as_py() for c in ("item_ids", "matched_tokens", "verbatim")]
+                    best, held = max(best, (before[1], before[2])), sorted({*held, *before[0]})
                 ids.append(held)
                 longest.append(best[0])
                 verbatim.append(best[1])
-            arrays = [batch.column(names.index(c)) for c in keep]
+            arrays = [batch.column(names.index(c)) for c in out]
             arrays += [pa.array(ids, pa.list_(pa.int64())), pa.array(longest, pa.int64()), pa.array(verbatim, pa.bool_())]
-            out = [*keep, "item_ids", "matched_tokens", "verbatim"]
-            yield pa.RecordBatch.from_arrays(arrays if last else [*arrays, column], names=out if last else [*out, "__text"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*out, "item_ids", "matched_tokens", "verbatim"])
 
     return scan

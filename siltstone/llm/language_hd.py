@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import raw, slices
+from .arrays import out_schema, raw, slices, with_text
 
 DIMENSIONS = 512
 ORDER = 3
@@ -186,12 +186,14 @@ def fit_prototypes(df: DataFrame, text: str = "text", lang: str = "lang", dimens
     return out
 
 
-def predict(df: DataFrame, prototypes: dict[str, np.ndarray], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, lang_pred and score (the cosine, from 0 to 1) for every row of `df`.
+def predict(df: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], text: str = "text") -> DataFrame:
+    """The columns `keep` with lang_pred and score (the cosine, from 0 to 1) for every row of `df`.
 
     NULL texts, texts without a letter and an empty set of prototypes give `und` and 0. At equal cosine
-    the language first in the alphabet is taken. Repeated keys give a row each.
+    the language first in the alphabet is taken. Repeated rows are judged one by one. Columns of `keep`
+    named lang_pred or score are replaced.
     """
+    keep = [c for c in keep if c not in ("lang_pred", "score")]
     names = sorted(prototypes)
     dimensions = len(next(iter(prototypes.values()))) if names else DIMENSIONS
     matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((1, dimensions), np.float32)
@@ -200,16 +202,14 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], key: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, known = shared.value
         binder = Binder(known.shape[1])
-        for batch in slices(batches):
-            vectors, seen = profiles(batch.column(1), binder)
+        for batch in slices(batches, text):
+            vectors, seen = profiles(batch.column(batch.schema.names.index(text)), binder)
             norms = np.linalg.norm(vectors, axis=1)
             usable = seen & (norms > 0) & (len(labels) > 1)
             cosines = (vectors @ known.T) / np.where(norms > 0, norms, 1)[:, None]
             best = np.where(usable, cosines.argmax(axis=1), len(labels) - 1)
             score = np.where(usable, np.clip(cosines.max(axis=1), 0, 1), 0).astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(labels[best], pa.string()), pa.array(score)], names=[key, "lang_pred", "score"]
-            )
+            arrays = [*batch.columns[: len(keep)], pa.array(labels[best], pa.string()), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score"])
 
-    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, lang_pred string, score double"
-    return df.select(F.col(key), F.col(text).alias("text")).mapInArrow(run, schema)
+    return df.select(*with_text(keep, text)).mapInArrow(run, out_schema(df, keep, "lang_pred string, score double"))

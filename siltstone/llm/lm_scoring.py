@@ -213,12 +213,13 @@ def _merge_histories(folder: str):
 def discounts(seen: list[int]) -> tuple[float, float, float]:
     """Modified discounts for counts of one, two, and three or more, from how often counts one to four occur.
 
-    Where a number needed is zero, a discount is one half of its count.
+    Where a number needed is zero, or the formula leaves the range above 0 up to the count, a discount is
+    half its count, so no word is ever impossible.
     """
     n1, n2, n3, n4 = (float(x) for x in seen[:4])
     share = n1 / (n1 + 2 * n2) if n1 else 0.0
-    found = [1 - 2 * share * n2 / n1 if n1 and n2 else 0.5, 2 - 3 * share * n3 / n2 if n2 and n3 else 1.0, 3 - 4 * share * n4 / n3 if n3 and n4 else 1.5]
-    return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(found, 1))
+    found = [k - (k + 1) * share * more / own if own and more else 0.0 for k, own, more in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+    return tuple(d if 0 < d <= k else k / 2 for k, d in enumerate(found, 1))
 
 
 @dataclass(frozen=True)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import configure
+from ..session import configure, shared_dir
 from . import decontaminate, language_hd, line_dedup, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, token_counts, url_filter
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -21,7 +24,21 @@ RULES = [
 ]
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; the driver serves the file to them."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).parents[2]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/siltstone", "zip", root, "siltstone")
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    ship_package(spark)
     return configure(spark).read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
@@ -55,7 +72,9 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     lengths = token_counts.encoded_lengths(docs, RANKS, public_tokenizers.PATTERN)
-    return token_counts.suffix_sums(token_counts.length_histogram(lengths))
+    # The sums read the histogram more than once; texts are encoded once.
+    shared_dir(spark)
+    return token_counts.suffix_sums(token_counts.length_histogram(lengths).checkpoint())
 
 
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,12 +91,12 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     prototypes = language_hd.fit_prototypes(docs.where(remainder("doc_id", 4) != 2))
-    found = language_hd.predict(docs, prototypes)
+    found = language_hd.predict(docs, prototypes, ["doc_id"])
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
 def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    return sentencepiece_codec.token_digests(read(spark, folder, "documents"), PIECES)
+    return sentencepiece_codec.token_digests(read(spark, folder, "documents"), PIECES, ["doc_id"])
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:

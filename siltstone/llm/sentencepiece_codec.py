@@ -19,6 +19,8 @@ from itertools import groupby
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .arrays import out_schema, with_text
+
 MARK = "▁"
 # Words whose ids a worker remembers, in two generations.
 REMEMBERED = 400_000
@@ -237,26 +239,24 @@ def codec(path: str) -> PieceCodec:
     return _codecs[path]
 
 
-def token_digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, n_tokens, ids_sha256, decoded_sha256; one row out for each row in.
+def token_digests(df: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns `keep` with n_tokens, ids_sha256 and decoded_sha256; one row out for each row in.
 
-    NULL texts count as empty: one id, the end. Other columns of `df` are not read. The model file must
-    be at `path` on every executor.
+    NULL texts count as empty: one id, the end. Columns of `keep` with one of the three names are
+    replaced. The model file must be at `path` on every executor.
     """
-    name, kind = key, df.schema[key].dataType
+    added = ("n_tokens", "ids_sha256", "decoded_sha256")
+    keep = [c for c in keep if c not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = codec(path).digest
         for batch in batches:
-            rows = [digest(t) for t in batch.column(1).to_pylist()]
+            rows = [digest(t) for t in batch.column(batch.schema.names.index(text)).to_pylist()]
             counts, ids, decoded = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                names=[name, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            arrays = [*batch.columns[: len(keep)], pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *added])
 
-    schema = f"`{name}` {kind.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return df.select(key, text).mapInArrow(run, schema)
+    return df.select(*with_text(keep, text)).mapInArrow(run, out_schema(df, keep, "n_tokens long, ids_sha256 string, decoded_sha256 string"))
 
 
 def encode_documents(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
