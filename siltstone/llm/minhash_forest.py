@@ -4,8 +4,9 @@ Each of TREES trees sorts the signatures in an order of its own. Documents that
 values of an order lie in one region; a region with more than REGION texts is looked at deeper, until
 its parts are small, so depth adapts to how dense a region is. Neighbours in a part whose signatures
 agree often enough are candidates. Instead of all pairs a part yields stars around its most typical
-members; a second round compares what is still in different components. Pairs are confirmed on the
-full shingle sets, and components are taken over the confirmed links.
+members, which are confirmed on the full shingle sets. A second round brings the sets to the parts whose
+members are in different components still, and compares there what may yet join them. Components are
+taken over the confirmed links.
 
 A pair of similarity 0.8 shares a region in at least one tree but for one chance in twenty million
 ((1 - 0.8**4)**32), and a pair's signatures agree in CUT places but for about one in a million.
@@ -28,6 +29,8 @@ DEPTH = 4
 HASHES = TREES * DEPTH
 DEEPER = (8, 16, 32, HASHES)
 REGION = 2048
+# Signatures that agree in this many places belong to linked texts in nearly all cases.
+SURE = 110
 _SEEDS = np.random.default_rng(8831).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64)
 _TREE_SALT = mix(np.arange(1, TREES + 1, dtype=np.uint64))
 
@@ -144,34 +147,47 @@ def _agreements(places: np.ndarray) -> np.ndarray:
     return out
 
 
+def _covering_pairs(agree: np.ndarray, cut: int) -> list[tuple[int, int]]:
+    """Pairs that tie every member with a close neighbour to a typical member close to it.
+
+    Members that agree in SURE places are tied first, as they are almost surely linked; one without such
+    a neighbour is tied to its nearest, and to a typical member within reach.
+    """
+    weight = agree.sum(axis=1, dtype=np.int64)
+    pairs: list[tuple[int, int]] = []
+    covered = np.zeros(len(agree), bool)
+    for level in (max(SURE, cut), cut):
+        close = agree >= level
+        degree = close.sum(axis=1)
+        left = ~covered & (degree > 0)
+        if level == cut:
+            pairs += [(int(x), int(agree[x].argmax())) for x in np.flatnonzero(left)]
+        while left.any():
+            pivot = int(np.lexsort((-weight, -np.where(left, degree, -1)))[0])
+            near = close[pivot]
+            pairs += [(pivot, int(x)) for x in np.flatnonzero(near & left)]
+            met = agree[pivot] * (covered & (agree[pivot] >= cut))
+            if met.any():
+                pairs.append((pivot, int(met.argmax())))
+            left &= ~near
+            left[pivot] = False
+            covered |= near
+            covered[pivot] = True
+    return pairs
+
+
 def _star_pairs(cut: int):
-    """Per leaf: (pivot, member) pairs that cover all members with a close neighbour, a row (x, x) for
-    each of these members, and a row (pivot, NULL) with the most typical member."""
+    """Per leaf: covering pairs, a row (x, x) for each member with a close neighbour, and a row
+    (pivot, NULL) with the most typical member."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches):
             nodes = table.column("node").to_pylist()
             places = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, HASHES)
             agree = _agreements(places)
-            close = agree >= cut
-            degree = close.sum(axis=1)
-            left = degree > 0
-            weight = agree.sum(axis=1, dtype=np.int64)
-            typical = int(np.lexsort((-weight, -degree))[0])
-            pairs = [(typical, None)]
-            pairs += [(int(x), int(x)) for x in np.flatnonzero(left)]
-            covered = np.zeros(len(nodes), bool)
-            while left.any():
-                pivot = int(np.lexsort((-weight, -np.where(left, degree, -1)))[0])
-                near = close[pivot]
-                pairs += [(pivot, int(x)) for x in np.flatnonzero(near & left)]
-                met = near & covered
-                if met.any():
-                    pairs.append((pivot, int(np.where(met, agree[pivot], 0).argmax())))
-                left &= ~near
-                left[pivot] = False
-                covered |= near
-                covered[pivot] = True
+            degree = (agree >= cut).sum(axis=1)
+            typical = int(np.lexsort((-agree.sum(axis=1, dtype=np.int64), -degree))[0])
+            pairs = [(typical, None), *((int(x), int(x)) for x in np.flatnonzero(degree)), *_covering_pairs(agree, cut)]
             leaf = table.column("leaf")[0].as_py()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -185,21 +201,58 @@ def _star_pairs(cut: int):
     return run
 
 
-def _cross_pairs(cut: int):
-    """Per leaf: all close pairs whose members lie in different components."""
+def _bits(sets: list[np.ndarray]) -> np.ndarray:
+    """Sets as rows of bits over all their members."""
+    members, place = np.unique(np.concatenate(sets), return_inverse=True)
+    out, at = np.zeros((len(sets), -(-len(members) // 8)), np.uint8), 0
+    for i, one in enumerate(sets):
+        row = np.zeros(len(members), bool)
+        row[place[at : at + len(one)]] = True
+        out[i] = np.packbits(row)
+        at += len(one)
+    return out
+
+
+def _joining_links(roots: np.ndarray, agree: np.ndarray, cut: int, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that are confirmed on the sets and join different components, the likeliest first.
+
+    All close pairs across components are compared, but for those joined by then.
+    """
+    first, second = np.nonzero(np.triu(agree >= cut) & (roots[:, None] != roots[None, :]))
+    if not len(first):
+        return []
+    order = np.argsort(-agree[first, second].astype(np.int64), kind="stable")
+    first, second = first[order], second[order]
+    involved, place = np.unique(np.concatenate([first, second]), return_inverse=True)
+    bits, sizes = _bits([sets[i] for i in involved]), np.array([len(sets[i]) for i in involved])
+    a, b = place[: len(first)], place[len(first) :]
+    roots, links = roots.copy(), []
+    for low in range(0, len(a), 512):
+        apart = np.flatnonzero(roots[first[low : low + 512]] != roots[second[low : low + 512]]) + low
+        common = np.bitwise_count(bits[a[apart]] & bits[b[apart]]).sum(axis=1, dtype=np.int64)
+        for k in apart[100 * common >= percent * (sizes[a[apart]] + sizes[b[apart]] - common)]:
+            i, j = int(first[k]), int(second[k])
+            if roots[i] != roots[j]:
+                roots[roots == roots[j]] = roots[i]
+                links.append((i, j))
+    return links
+
+
+def _cross_links(cut: int, percent: int):
+    """Per leaf: confirmed links (u, v) that join its members' components, fewer than it has members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches):
             nodes = table.column("node").to_pylist()
             _, roots = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)
             places = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, HASHES)
-            close = np.triu(_agreements(places) >= cut) & (roots[:, None] != roots[None, :])
-            for low in range(0, len(nodes), 64):
-                a, b = np.nonzero(close[low : low + 64])
-                if len(a):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([nodes[i + low] for i in a], pa.binary()), pa.array([nodes[i] for i in b], pa.binary())], names=["a", "b"]
-                    )
+            held = table.column("shingles").combine_chunks()
+            values, offsets = held.values.to_numpy(), held.offsets.to_numpy()
+            sets = [values[offsets[i] : offsets[i + 1]] for i in range(len(nodes))]
+            links = _joining_links(roots, _agreements(places), cut, sets, percent)
+            if links:
+                ends = [pa.array([nodes[link[k]] for link in links], pa.binary()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays(ends, names=["u", "v"])
 
     return run
 
@@ -278,7 +331,7 @@ def near_duplicates(
     sets = _sets(df, needed, key, text, shingle).checkpoint()
     first = _confirm(pairs.where(F.col("a") != F.col("b")), sets, percent).checkpoint()
     roots = components(first)
-    found = _rest(leaves, roots, pairs, sets, cut, percent)
+    found = _rest(leaves, roots, sets, cut, percent)
     edges = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found).where(F.col("u") != F.col("v"))
     if not found.isEmpty():
         roots = components(edges)
@@ -311,13 +364,13 @@ def _sets(df: DataFrame, needed: DataFrame, key: str, text: str, size: int) -> D
     return rows.mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
 
 
-def _rest(leaves: DataFrame, roots: DataFrame, tried: DataFrame, sets: DataFrame, cut: int, percent: int) -> DataFrame:
-    """Confirmed links between components, from the leaves that hold members of more than one."""
-    # Only nodes with a close neighbour matter here; each of them stands in `tried` as (x, x).
-    close = tried.where(F.col("a") == F.col("b")).select(F.col("a").alias("node"))
-    labelled = leaves.join(close, "node", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _rest(leaves: DataFrame, roots: DataFrame, sets: DataFrame, cut: int, percent: int) -> DataFrame:
+    """Confirmed links between components, from the leaves that hold members of more than one.
+
+    Only nodes with a close neighbour matter; these are the ones in `sets`. Their sets are brought to the
+    leaf and compared there, so pairs that fail are never made into rows.
+    """
+    labelled = leaves.join(sets.select("node"), "node", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = labelled.groupBy("leaf").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("leaf")
-    open_leaves = labelled.join(mixed, "leaf").select("leaf", "node", "bytes", "root")
-    pairs = open_leaves.repartition("leaf").sortWithinPartitions("leaf", "node").mapInArrow(_cross_pairs(cut), "a binary, b binary")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return _confirm(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent).checkpoint()
+    members = labelled.join(mixed, "leaf").join(sets, "node").select("leaf", "node", "bytes", "root", "shingles")
+    return members.repartition("leaf").sortWithinPartitions("leaf", "node").mapInArrow(_cross_links(cut, percent), "u binary, v binary").checkpoint()
