@@ -145,14 +145,22 @@ def validity(t: Tables) -> DataFrame:
     "cdc_merge_schema",
     "CDC-10",
     """
-    SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 1 THEN p_brand END AS p_brand, CAST(p_size AS BIGINT) AS p_size
+    SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 1 THEN p_brand END AS p_brand, CAST(p_size AS BIGINT) AS p_size,
+        CAST(CAST(p_size AS DECIMAL(21, 2)) AS VARCHAR) AS exact, CAST(p_size AS DOUBLE) AS rough, TIMESTAMP '2024-01-02 00:00:00' AS moment
     FROM part""",
+    text=("exact",),
 )
 def merge_schema(t: Tables) -> DataFrame:
-    """The newer half of the rows brings a column the target lacks and a wider type of another."""
+    """The newer half of the rows brings a column the target lacks and wider types of others."""
     part = t("part")
-    old = part.where("p_partkey % 2 = 0").select("p_partkey", "p_name", "p_size")
-    new = part.where("p_partkey % 2 = 1").select("p_partkey", "p_name", "p_brand", F.col("p_size").cast("bigint"))
+
+    def typed(rows: DataFrame, size: str, exact: str, rough: str, moment: str, *more: str) -> DataFrame:
+        day = F.lit("2024-01-02").cast(moment)
+        size_as = [F.col("p_size").cast(kind).alias(name) for kind, name in ((size, "p_size"), (exact, "exact"), (rough, "rough"))]
+        return rows.select("p_partkey", "p_name", *more, *size_as, day.alias("moment"))
+
+    old = typed(part.where("p_partkey % 2 = 0"), "smallint", "decimal(10,2)", "float", "date")
+    new = typed(part.where("p_partkey % 2 = 1"), "bigint", "bigint", "double", "timestamp_ntz", "p_brand")
     return widen(old, new)
 
 
@@ -192,12 +200,14 @@ SNAPSHOT_SQL = """
 )
 def snapshot_feed(t: Tables) -> DataFrame:
     before = t("orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    # Rows without a key are on both sides and take no part.
+    lost = before.where("o_orderkey % 23 = 0").withColumn("o_orderkey", F.lit(None).cast("bigint"))
     price = F.when(F.expr("o_orderkey % 13 = 0"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     after = before.where("o_orderkey % 17 <> 0").withColumn("o_totalprice", price)
     added = before.where("o_orderkey % 19 = 0").select(
         (F.col("o_orderkey") + 10000000000).alias("o_orderkey"), "o_totalprice", F.lit(None).cast("string").alias("o_orderstatus")
     )
-    return change_feed(before, after.unionByName(added), ["o_orderkey"], 2, at())
+    return change_feed(before.unionByName(lost), after.unionByName(added).unionByName(lost), ["o_orderkey"], 2, at())
 
 
 @register(

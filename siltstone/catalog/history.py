@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.schema_log import describe, read_event_log, schema_audit, schema_diff, schema_history
 from .base import AT, Tables, at, register
 
-AUDITED = ["customer", "orders", "lineitem", "events", "part", "supplier", "nation", "region", "documents", "conversations"]
-TYPES_SQL = """CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+AUDITED = ["customer", "orders", "lineitem", "events", "part", "supplier", "nation", "region", "documents", "conversations", "embeddings", "pages", "benchmark", "labels"]
+TYPES_SQL = """CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT[]' THEN 'array<float>'
     WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END"""
 COLUMNS_SQL = f"""
     SELECT table_name, column_name, {TYPES_SQL} AS data_type FROM information_schema.columns

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 from ..functions.text import batch_prefix
-from ..operators.columns import spread
 from ..operators.flatten import cast_all_to_string
 from ..operators.payload import ingest_json_quality, with_corrupt, with_rescue
 from ..operators.quality import quality_issues, quality_summary
@@ -24,7 +23,6 @@ from ..sources.files import (
     with_ingest_audit,
     write_table,
 )
-from ..sources.footers import parquet_custom_metadata
 from ..sources.generate import json_rows_for
 from ..streaming.run import run_stream
 from .base import AT, Tables, at, register
@@ -139,7 +137,7 @@ RESCUED_SQL = """CASE event_id % 10 WHEN 0 THEN '{"unexpected":"x"}' WHEN 1 THEN
 
 
 def spoilt(t: Tables) -> DataFrame:
-    return spread(t("events").select("event_id", F.expr(SPOILT_PARTS).alias("j")))
+    return t("events").select("event_id", F.expr(SPOILT_PARTS).alias("j"))
 
 
 @register(
@@ -317,13 +315,6 @@ def partitioned(t: Tables) -> DataFrame:
     )
 
 
-@register("source_parquet_footers", "SRC-17")
-def footers(t: Tables) -> DataFrame:
-    """Footer entries of every table file in the folder, whatever their key."""
-    entries = parquet_custom_metadata(t.spark, t.folder, prefix="")
-    return entries.groupBy("key").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n_files").alias("n_files"))
-
-
 @register(
     "source_json_rows",
     "SRC-18",
@@ -353,13 +344,18 @@ def table_as_stream(t: Tables) -> DataFrame:
     "source_append_by_name",
     "SRC-20",
     """
-    SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS BIGINT) END AS p_size FROM part""",
+    SELECT p_partkey, p_name,
+        CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS BIGINT) END AS p_size,
+        CASE WHEN p_partkey % 3 = 1 THEN concat('{"p_size":"x', p_size, '"}') END AS lost
+    FROM part""",
     text=("p_size",),
 )
 def append(t: Tables) -> DataFrame:
-    """Two appends: columns in another order and a narrower type, then one column missing."""
+    """Three appends: another order and a narrower type, values that do not fit, one column missing."""
     path, part = t.scratch("table"), t("part")
     schema = StructType.fromDDL("p_partkey BIGINT, p_name STRING, p_size BIGINT")
-    append_by_name(part.where("p_partkey % 2 = 0").select("p_size", "p_name", "p_partkey", "p_brand"), path, schema)
-    append_by_name(part.where("p_partkey % 2 = 1").select("p_name", "p_partkey"), path, schema)
+    odd = part.withColumn("p_size", F.concat(F.lit("x"), "p_size"))
+    append_by_name(part.where("p_partkey % 3 = 0").select("p_size", "p_name", "p_partkey", "p_brand"), path, schema, rescued="lost")
+    append_by_name(odd.where("p_partkey % 3 = 1"), path, schema, rescued="lost")
+    append_by_name(part.where("p_partkey % 3 = 2").select("p_name", "p_partkey"), path, schema, rescued="lost")
     return read_table(t.spark, path)

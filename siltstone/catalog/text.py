@@ -116,7 +116,7 @@ def variants(t: Tables) -> DataFrame:
         F.lit("late").alias("user_type"),
     )
     spec = {"bike_id": ["bikeid", "bike_id"], "user_type": ["usertype", "user_type"], "birth_year": ["birthyear"]}
-    return coalesce_variants(raw, spec).withColumn("birth_year", F.col("birth_year").cast("string"))
+    return coalesce_variants(raw, spec, missing="null").withColumn("birth_year", F.col("birth_year").cast("string"))
 
 
 @register(

@@ -20,9 +20,11 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], versio
     """Row changes between two snapshots of a table whose `keys` identify a row.
 
     An update gives two rows, `update_preimage` and `update_postimage`. One full outer join on
-    the keys; both images come out of the same joined row.
+    the keys; both images come out of the same joined row. Rows with NULL in a key identify nothing
+    and are left out; `unkeyed_rows` gives them.
     """
     columns = before.columns
+    before, after = keyed_rows(before, keys), keyed_rows(after, keys)
     rest = [c for c in columns if c not in keys]
 
     def side(df: DataFrame, tag: str) -> DataFrame:
@@ -34,7 +36,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], versio
         )
 
     old, new = side(before, "b"), side(after.select(*[quoted(c) for c in columns]), "a")
-    on = reduce(lambda x, y: x & y, [old[f"b{i}"].eqNullSafe(new[f"a{i}"]) for i in range(len(keys))])
+    on = reduce(lambda x, y: x & y, [old[f"b{i}"] == new[f"a{i}"] for i in range(len(keys))])
     pair = old.join(new, on, "full_outer")
 
     def image(kind: str, row: str) -> Column:
@@ -56,6 +58,15 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], versio
     )
 
 
+def keyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.where(reduce(lambda x, y: x & y, [quoted(k).isNotNull() for k in keys]))
+
+
+def unkeyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows a change feed leaves out, as a key column is NULL."""
+    return df.where(reduce(lambda x, y: x | y, [quoted(k).isNull() for k in keys]))
+
+
 def insert_feed(df: DataFrame, version: Column | int, ts: Column) -> DataFrame:
     """The change feed of an append-only table: every row of a commit is an insert."""
     return df.select(

@@ -26,17 +26,6 @@ def computed_once(df: DataFrame, columns: dict[str, Column], keep: list[str] | N
     return df.select(*[quoted(c) for c in (df.columns if keep is None else keep)], F.inline(F.array(row)))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition an input that has fewer partitions than there are cores, before work that is CPU-bound.
-
-    A table of many files is left as it is; one small file would otherwise be parsed by one core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores)
-
-
 def needs_text(data_type: DataType) -> bool:
     """Whether a type holds maps or VARIANT, which can be neither compared nor hashed."""
     if isinstance(data_type, (MapType, VariantType)):

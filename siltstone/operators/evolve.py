@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import re
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    ByteType,
     DataType,
+    DateType,
     DecimalType,
     DoubleType,
     FloatType,
@@ -18,16 +21,22 @@ from pyspark.sql.types import (
     LongType,
     MapType,
     NullType,
+    ShortType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
+    TimestampType,
     VariantType,
 )
 
+from ..session import shared_dir
 from .columns import quoted
 
-SEEN_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-NUMBERS = [IntegerType, LongType, DoubleType]
+SEEN_COLUMNS = ["path", "length", "modificationTime"]
+INTEGERS = [ByteType, ShortType, IntegerType, LongType]
+DIGITS = dict(zip(INTEGERS, (3, 5, 10, 19)))
+TIMES = (TimestampType, TimestampNTZType)
 
 
 class SchemaRegistry:
@@ -56,12 +65,28 @@ class SchemaRegistry:
         if text != self.text(key):
             self._append(key, text)
 
-    def seen(self, key: str) -> str | None:
-        """The modification time up to which files were looked at for `key`."""
-        return self.text(key + "-seen")
+    def unseen_files(self, path: str, key: str, pattern: str = "*") -> DataFrame:
+        """(path, length, modificationTime) of the files not noted under `key` yet, from the listing alone.
 
-    def mark_seen(self, key: str, time: str) -> None:
-        self.set_text(key + "-seen", time)
+        A file counts as seen only if name, size and time are noted, so a file that arrives late, with
+        an older time or in the same second as another is looked at.
+        """
+        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+        found = listed.load(path).select(*SEEN_COLUMNS)
+        try:
+            noted = self.spark.read.schema(found.schema).parquet(self._seen_path(key))
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return found
+            raise
+        return found.join(noted.select(*SEEN_COLUMNS), SEEN_COLUMNS, "left_anti")
+
+    def mark_seen(self, files: DataFrame, key: str) -> None:
+        """Note files as looked at; one set of rows per start that found new files."""
+        files.write.mode("append").parquet(self._seen_path(key))
+
+    def _seen_path(self, key: str) -> str:
+        return f"{self.location}/{key}-files"
 
     def load(self, key: str) -> StructType | None:
         stored = self.text(key)
@@ -111,27 +136,17 @@ def infer_schema(
 def infer_from_new_files(
     reader: DataFrameReader, path: str, fmt: str, col: str, registry: SchemaRegistry, key: str, hints: str | None = None
 ) -> StructType:
-    """`infer_schema` over the files that arrived since the last call for `key`; older ones are not read again."""
-    seen = registry.seen(key)
-    if seen is not None:
-        reader = reader.option("modifiedAfter", seen)
-    newest = newest_file_time(registry.spark, path, seen)
-    schema = infer_schema(reader.format(fmt).load(path), col, registry, key, hints)
-    if newest is not None:
-        registry.mark_seen(key, newest)
+    """`infer_schema` over the files not looked at for `key` before; others are not read again."""
+    shared_dir(registry.spark)
+    files = registry.unseen_files(path, key).checkpoint()
+    paths = [r.path for r in files.select("path").toLocalIterator()]
+    frame = reader.format(fmt).load(paths) if paths else registry.spark.createDataFrame([], f"`{col}` string")
+    schema = infer_schema(frame, col, registry, key, hints)
+    if paths:
+        registry.mark_seen(files, key)
     return schema
 
 
-def newest_file_time(spark: SparkSession, path: str, since: str | None = None, pattern: str = "*") -> str | None:
-    """Modification time of the newest file after `since`, from the file listing alone; None without such files.
-
-    Whole seconds, rounded down: a file of the same second is looked at twice rather than never.
-    """
-    options = {"pathGlobFilter": pattern, **({} if since is None else {"modifiedAfter": since})}
-    files = spark.read.format("binaryFile").options(**options).load(path).select("modificationTime")
-    return files.agg(F.date_format(F.date_trunc("second", F.max("modificationTime")), SEEN_FORMAT)).first()[0]
-
-
 def parse_evolving(
     df: DataFrame,
     col: str,
@@ -156,11 +171,13 @@ def _from_variant_schema(text: str | None) -> StructType:
 
 
 def _settled(data_type: DataType) -> DataType:
-    """Decimals become doubles; types inference could not decide become strings."""
+    """Fractions become doubles, whole numbers too long for BIGINT stay decimals; undecided types become strings."""
     if isinstance(data_type, StructType):
         return StructType([StructField(f.name, _settled(f.dataType)) for f in data_type.fields])
     if isinstance(data_type, ArrayType):
         return ArrayType(_settled(data_type.elementType))
+    if isinstance(data_type, DecimalType) and data_type.scale == 0 and data_type.precision > 18:
+        return data_type
     if isinstance(data_type, (DecimalType, FloatType)):
         return DoubleType()
     if isinstance(data_type, (VariantType, NullType)):
@@ -169,7 +186,7 @@ def _settled(data_type: DataType) -> DataType:
 
 
 def merge_types(old: DataType, new: DataType) -> DataType:
-    """Structs merge by field, numbers widen INT, BIGINT, DOUBLE; anything else in conflict is STRING."""
+    """Structs merge by field; integers, decimals, floats and times widen; anything else in conflict is STRING."""
     if old == new:
         return old
     if isinstance(old, StructType) and isinstance(new, StructType):
@@ -183,11 +200,25 @@ def merge_types(old: DataType, new: DataType) -> DataType:
         return ArrayType(merge_types(old.elementType, new.elementType))
     if isinstance(old, MapType) and isinstance(new, MapType):
         return MapType(merge_types(old.keyType, new.keyType), merge_types(old.valueType, new.valueType))
-    if type(old) in NUMBERS and type(new) in NUMBERS:
-        return max(old, new, key=lambda t: NUMBERS.index(type(t)))
-    if isinstance(old, BooleanType) and isinstance(new, BooleanType):
-        return old
-    return StringType()
+    return _wider(old, new) or StringType()
+
+
+def _wider(old: DataType, new: DataType) -> DataType | None:
+    """The smallest type that holds all values of two scalar types, or None if only text does."""
+    if isinstance(old, NullType) or isinstance(new, NullType):
+        return new if isinstance(old, NullType) else old
+    if type(old) in INTEGERS and type(new) in INTEGERS:
+        return max(old, new, key=lambda t: INTEGERS.index(type(t)))
+    if isinstance(old, DateType) and type(new) in TIMES or isinstance(new, DateType) and type(old) in TIMES:
+        return new if isinstance(old, DateType) else old
+    exact = [DecimalType(DIGITS[type(t)], 0) if type(t) in INTEGERS else t for t in (old, new)]
+    if all(isinstance(t, DecimalType) for t in exact):
+        scale = max(t.scale for t in exact)
+        digits = max(t.precision - t.scale for t in exact) + scale
+        return DecimalType(digits, scale) if digits <= 38 else None
+    if all(isinstance(t, (DecimalType, FloatType, DoubleType)) for t in exact):
+        return DoubleType()
+    return None
 
 
 def widen(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -196,8 +227,14 @@ def widen(target: DataFrame, batch: DataFrame) -> DataFrame:
     return conform(target, merged).unionByName(conform(batch, merged))
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of `schema` by name and in its order; missing ones are NULL, the rest is cast."""
+def conform(df: DataFrame, schema: StructType, unfit: str = "raise", rescued: str | None = None) -> DataFrame:
+    """Columns of `schema` by name and in its order; missing ones are NULL, the rest is cast.
+
+    A value its declared type cannot hold fails the query, or is NULL with `unfit="null"`. With the name
+    `rescued` it is NULL, and that column holds such values as JSON by column name (NULL if there are none).
+    """
+    lenient = unfit == "null" or rescued is not None
+    lost = {}
     have = {f.name: f.dataType for f in df.schema.fields}
     columns = []
     for f in schema.fields:
@@ -208,6 +245,10 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         elif isinstance(f.dataType, StringType) and isinstance(have[f.name], (StructType, ArrayType)):
             col = F.to_json(quoted(f.name))
         else:
-            col = quoted(f.name).try_cast(f.dataType)
+            col = quoted(f.name).try_cast(f.dataType) if lenient else quoted(f.name).cast(f.dataType)
+            lost[f.name] = F.when(quoted(f.name).isNotNull() & quoted(f.name).try_cast(f.dataType).isNull(), quoted(f.name).cast("string"))
         columns.append(col.alias(f.name))
+    if rescued is not None:
+        gone = reduce(lambda a, b: a | b, [c.isNotNull() for c in lost.values()], F.lit(False))
+        columns.append(F.when(gone, F.to_json(F.struct(*[c.alias(n) for n, c in lost.items()]))).alias(rescued))
     return df.select(*columns)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .columns import quoted
 from .payload import CORRUPT, RESCUED
@@ -80,8 +80,8 @@ def expectation_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def observe_expectations(df: DataFrame, rules: Mapping[str, str], name: str = "expectations") -> DataFrame:
-    """The rows unchanged; pass counts per rule and `total` appear in the metrics a stream reports per batch."""
+def observe_expectations(df: DataFrame, rules: Mapping[str, str], name: str | Observation = "expectations") -> DataFrame:
+    """The rows unchanged; pass counts per rule and `total` appear in the metrics of the job or stream that runs them."""
     counts = [F.count_if(passes(e)).alias(n) for n, e in rules.items()]
     return df.observe(name, F.count(F.lit(1)).alias("total"), *counts)
 

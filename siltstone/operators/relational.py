@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.ordered import Timeline
-from .columns import quoted
+from .columns import quoted, row_digest
 
 
 def enrich(orders: DataFrame, customers: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -37,8 +37,8 @@ def consecutive_pairs(
 
 
 def first_last(df: DataFrame, key: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """The first and the last row per key side by side, by one aggregation."""
-    position = F.struct(*order)
+    """The first and the last row per key side by side, by one aggregation; of rows that tie, the smallest or largest hash."""
+    position = F.struct(*order, row_digest(df, list(cols)))
     row = F.struct(*[quoted(c) for c in cols])
     ends = df.groupBy(*key).agg(F.min_by(row, position).alias("f"), F.max_by(row, position).alias("l"))
     return ends.select(

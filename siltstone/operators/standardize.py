@@ -28,8 +28,11 @@ def _text_columns(df: DataFrame) -> list[str]:
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
-    """Lower-case names; each run of non-word characters becomes one underscore."""
-    return df.select(*[quoted(c).alias(re.sub(r"\W+", "_", c.lower())) for c in df.columns])
+    """Lower-case names; each run of non-word characters becomes one underscore. Raises where two become one."""
+    names = [re.sub(r"\W+", "_", c.lower()) for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"cleaned names are not unique: {sorted(n for n in set(names) if names.count(n) > 1)}")
+    return df.select(*[quoted(c).alias(n) for c, n in zip(df.columns, names)])
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
@@ -90,9 +93,15 @@ def standardize(df: DataFrame) -> DataFrame:
     return df.transform(clean_column_names).transform(dedupe).transform(trim_strings).transform(standardize_encoding)
 
 
-def coalesce_variants(df: DataFrame, spec: Mapping[str, Sequence[str]]) -> DataFrame:
-    """One column per target name from whichever of its name variants exist; no variant gives NULL."""
+def coalesce_variants(df: DataFrame, spec: Mapping[str, Sequence[str]], missing: str = "raise") -> DataFrame:
+    """One column per target name from whichever of its name variants exist.
+
+    A target without any variant raises, or is NULL with `missing="null"`.
+    """
     have = set(df.columns)
+    absent = [name for name, variants in spec.items() if not have.intersection(variants)]
+    if absent and missing != "null":
+        raise ValueError(f"no variant of {absent} among the columns")
 
     def pick(variants: Sequence[str]) -> Column:
         found = [quoted(v) for v in variants if v in have]

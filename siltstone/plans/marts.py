@@ -11,7 +11,7 @@ from ..functions.times import epoch_ts, parse_ts
 from ..operators.evolve import conform
 from ..operators.quality import expect_or_drop
 from ..operators.relational import enrich, sum_exploded
-from ..operators.standardize import coalesce_variants, title_columns
+from ..operators.standardize import clean_column_names, coalesce_variants, title_columns
 
 # Columns, name variants and formats of the source data.
 SILVER_ORDER_COLUMNS = [
@@ -38,37 +38,39 @@ TRIP_VARIANTS = {
     "birth_year": ["birth_year"],
 }
 TRIP_FIELDS = {
-    "trip_duration": (LongType(), "Duration of the Trip in Minutes"),
-    "start_time": (TimestampType(), "Trip Start Time"),
-    "stop_time": (TimestampType(), "Trip End Time"),
-    "start_station_id": (LongType(), "Starting Station ID"),
-    "start_station_name": (StringType(), "Starting Station Name"),
-    "start_station_latitude": (DoubleType(), "Starting Station Lat"),
-    "start_station_longitude": (DoubleType(), "Starting Station Lon"),
-    "end_station_id": (LongType(), "Destination Station ID"),
-    "end_station_name": (StringType(), "Destination Station Name"),
-    "end_station_latitude": (DoubleType(), "Destination Station Lat"),
-    "end_station_longitude": (DoubleType(), "Destination Station Lon"),
-    "bike_id": (LongType(), "Bike ID"),
-    "user_type": (StringType(), "User Type Subscriber / Customer"),
-    "birth_year": (DoubleType(), "Birth Year Integer"),
-    "source_file": (StringType(), "Source File"),
-    "file_modification_time": (TimestampType(), "Source File Modification Time"),
+    "trip_duration": (LongType(), "how long the bike was out, as delivered"),
+    "start_time": (TimestampType(), "when the bike was taken"),
+    "stop_time": (TimestampType(), "when the bike was returned"),
+    "start_station_id": (LongType(), "where it was taken: number"),
+    "start_station_name": (StringType(), "where it was taken: name"),
+    "start_station_latitude": (DoubleType(), "where it was taken: degrees north"),
+    "start_station_longitude": (DoubleType(), "where it was taken: degrees east"),
+    "end_station_id": (LongType(), "where it was returned: number"),
+    "end_station_name": (StringType(), "where it was returned: name"),
+    "end_station_latitude": (DoubleType(), "where it was returned: degrees north"),
+    "end_station_longitude": (DoubleType(), "where it was returned: degrees east"),
+    "bike_id": (LongType(), "number of the bike"),
+    "user_type": (StringType(), "with or without a subscription"),
+    "birth_year": (DoubleType(), "of the rider, if given"),
+    "source_file": (StringType(), "file the row came from"),
+    "file_modification_time": (TimestampType(), "when that file was last changed"),
 }
 TRIP_SCHEMA = StructType([StructField(n, kind, True, {"comment": text}) for n, (kind, text) in TRIP_FIELDS.items()])
 
 
-def silver_orders(bronze: DataFrame, customers: DataFrame, on: Sequence[str] = ("customer_id", "customer_name")) -> DataFrame:
+def silver_orders(
+    bronze: DataFrame, customers: DataFrame, on: Sequence[str] = ("customer_id", "customer_name"), columns: Sequence[str] = SILVER_ORDER_COLUMNS
+) -> DataFrame:
     """Orders with customer columns, typed order time and date; rows without order number dropped.
 
-    The drop comes before the join, so dropped rows are neither shuffled nor matched.
+    The drop comes before the join, so dropped rows are neither shuffled nor matched. A column of
+    `columns` that neither side has raises.
     """
     valid = expect_or_drop(bronze, VALID_ORDER_NUMBER)
     joined = enrich(valid, customers, on)
     typed = joined.withColumn("order_datetime", epoch_ts(F.col("order_datetime")))
     typed = typed.withColumn("order_date", F.to_date("order_datetime"))
-    kept = [c for c in SILVER_ORDER_COLUMNS if c in typed.columns]
-    return title_columns(typed.select(*kept), ["customer_name"])
+    return title_columns(typed.select(*columns), ["customer_name"])
 
 
 def sales_by_city(silver: DataFrame, city: str) -> DataFrame:
@@ -82,13 +84,18 @@ def sales_by_city(silver: DataFrame, city: str) -> DataFrame:
     )
 
 
-def merge_trip_names(raw: DataFrame) -> DataFrame:
-    """One column per trip attribute, whatever the file called it; file columns are kept."""
+def merge_trip_names(raw: DataFrame, missing: str = "raise") -> DataFrame:
+    """One column per trip attribute, whatever the file called it; file columns are kept.
+
+    Names are cleaned first, so `Trip Duration` is found; an attribute without any variant raises, or
+    is NULL with `missing="null"`.
+    """
+    raw = clean_column_names(raw)
     spec = dict(TRIP_VARIANTS)
     for extra in ("source_file", "file_modification_time"):
         if extra in raw.columns:
             spec[extra] = [extra]
-    return coalesce_variants(raw, spec)
+    return coalesce_variants(raw, spec, missing)
 
 
 def silver_trips(bronze: DataFrame, schema: StructType = TRIP_SCHEMA) -> DataFrame:

@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import hot_key_rows, shared_dir
 
 SLICE = "__slice"
-# Hot keys brought to the driver and broadcast; with more of them the join is left to Spark.
-MAX_BROADCAST_KEYS = 10_000
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -28,22 +26,14 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, int, bool] | None:
     """Keys with more than `limit` rows, their total row count, and whether NULLs may be among them.
 
-    None if there are no such keys.
-
-    The counting combines map-side and reads the key columns only. There can be at most
-    rows / limit such keys.
+    None if there are no such keys. The counting combines map-side and reads the key columns only; the
+    keys found are stored, never brought to the driver, and how they are joined is left to Spark.
     """
-    spark = df.sparkSession
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > limit)
-    rows = counted.limit(MAX_BROADCAST_KEYS + 1).collect()
-    if not rows:
-        return None
-    if len(rows) <= MAX_BROADCAST_KEYS:
-        found = F.broadcast(spark.createDataFrame(rows, counted.schema).select(*keys))
-        return found, sum(r["__rows"] for r in rows), any(r[k] is None for r in rows for k in keys)
-    shared_dir(spark)
-    stored = counted.checkpoint()
-    return stored.select(*keys), stored.agg(F.sum("__rows")).first()[0], True
+    shared_dir(df.sparkSession)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > limit).checkpoint()
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    found = counted.agg(F.sum("__rows").alias("total"), F.count_if(null_key).alias("nulls")).first()
+    return None if found["total"] is None else (counted.select(*keys), found["total"], found["nulls"] > 0)
 
 
 class Timeline:
@@ -139,10 +129,10 @@ class Timeline:
 
         def local(df: DataFrame, hot: bool) -> DataFrame:
             window = self._window(hot)
-            df = df.withColumn(name, F.row_number().over(window))
+            df = df.withColumn(name, F.row_number().over(window).cast("bigint"))
             if descending and not hot:
                 whole = Window.partitionBy(*self.keys)
-                df = df.withColumn(descending, (F.count(F.lit(1)).over(whole) - F.col(name) + 1).cast("int"))
+                df = df.withColumn(descending, F.count(F.lit(1)).over(whole) - F.col(name) + 1)
             return df
 
         cold = local(self.cold, False)
@@ -159,10 +149,10 @@ class Timeline:
             }
         )
         joined = self._beside(local(self.hot, True), edges)
-        number = (F.col(name) + F.col("__before")).cast("int")
+        number = F.col(name) + F.col("__before")
         columns = [F.col(c) for c in self.hot.columns] + [number.alias(name)]
         if descending:
-            columns.append((F.col("__total") - number + 1).cast("int").alias(descending))
+            columns.append((F.col("__total") - number + 1).alias(descending))
         return self._with(cold, joined.select(*columns))
 
     def where(self, condition: Column) -> Timeline:

@@ -9,7 +9,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import batch_prefix
 from ..operators.columns import row_digest
-from ..operators.evolve import SchemaRegistry, conform, infer_from_new_files, merge_types, newest_file_time
+from ..operators.evolve import SchemaRegistry, conform, infer_from_new_files, merge_types
+from ..session import shared_dir
 from ..operators.payload import RESCUED, ingest_json_quality, with_corrupt, with_rescue
 
 FILE_MODES = ("all", "names", "source")
@@ -92,18 +93,18 @@ def _json_columns(lines: DataFrame, schema: StructType, rescue: bool, corrupt: b
 def stream_parquet(spark: SparkSession, path: str, schema_location: str, key: str = "parquet", merge: bool = True) -> DataFrame:
     """Stream Parquet files; columns added by newer files join the schema kept in `schema_location`.
 
-    Only footers of files that arrived since the last start are opened.
+    Only footers of files not seen at an earlier start are opened.
     """
     registry = SchemaRegistry(spark, schema_location)
-    stored, seen = registry.load(key), registry.seen(key)
-    since = {} if seen is None else {"modifiedAfter": seen}
-    newest = newest_file_time(spark, path, seen, "*.parquet")
-    schema = stored
-    if newest is not None:
-        found = spark.read.options(mergeSchema=str(merge).lower(), **since).parquet(path).schema
-        schema = merge_types(stored, found) if stored is not None else found
+    shared_dir(spark)
+    schema = registry.load(key)
+    files = registry.unseen_files(path, key, "*.parquet").checkpoint()
+    paths = [r.path for r in files.select("path").toLocalIterator()]
+    if paths:
+        found = spark.read.option("mergeSchema", str(merge).lower()).parquet(*paths).schema
+        schema = merge_types(schema, found) if schema is not None else found
         registry.store(key, schema)
-        registry.mark_seen(key, newest)
+        registry.mark_seen(files, key)
     if schema is None:
         raise ValueError(f"no Parquet files in {path} to take a schema from")
     return spark.readStream.schema(schema).parquet(path)
@@ -180,6 +181,9 @@ def stream_table(spark: SparkSession, path: str, schema: StructType | None = Non
     return spark.readStream.schema(schema or spark.read.parquet(path).schema).parquet(path)
 
 
-def append_by_name(df: DataFrame, path: str, schema: StructType) -> None:
-    """Append rows to a declared table, columns matched by name and cast to the declared type."""
-    conform(df, schema).write.mode("append").parquet(path)
+def append_by_name(df: DataFrame, path: str, schema: StructType, rescued: str | None = None) -> None:
+    """Append rows to a declared table, columns matched by name and cast to the declared type.
+
+    A value that does not fit fails the append; with `rescued`, a column of that name keeps it instead.
+    """
+    conform(df, schema, rescued=rescued).write.mode("append").parquet(path)

@@ -35,60 +35,58 @@ from siltstone.operators.quality import quality_issues, quality_summary
 from siltstone.sources.files import read_json, stream_json, with_file_metadata
 from siltstone.streaming.run import run_stream
 
-ITEM = "id INT, product STRUCT<name: STRING, category: STRING>, quantity INT, tags ARRAY<STRING>"
-
-# Ten rows in five files: what is wrong with them is what the names say.
-SCENARIOS = {
-    "invalid_syntax": [
-        '{"id": 101, "product": {"name": "Trackball", "category": "Hardware"}, "quantity": 4, "tags": ["usb"]}',
-        "{id: 102, product: {name: Numpad, category: Hardware}, quantity: 2, tags: [usb]}",
-    ],
-    "extra_fields": [
-        '{"id": 201, "product": {"name": "Riser", "category": "Desk", "colour": "oak"}, "quantity": 1, "tags": ["wood"]}',
-        '{"id": 202, "product": {"name": "Mat", "category": "Desk"}, "quantity": 6, "tags": ["felt"], "note": "new"}',
-    ],
-    "type_mismatch": [
-        '{"id": 301, "product": {"name": "Splitter", "category": "Hardware"}, "quantity": "many", "tags": ["usb"]}',
-        '{"id": 302, "product": {"name": "Camera", "category": 77}, "quantity": 3, "tags": "alone"}',
+PROBE = "probe INT, spot STRUCT<hall: STRING, grid: STRUCT<x: INT, y: INT>>, samples ARRAY<STRUCT<at: INT, val: DOUBLE>>"
+
+# Lines by file; which keys get lost is noted in LOST, what is no JSON at all in BROKEN.
+READINGS = {
+    "north": [
+        '{"probe": 1, "spot": {"hall": "A", "grid": {"x": 1, "y": 2}}, "samples": [{"at": 1, "val": 0.5}]}',
+        '{"probe": 2, "spot": {"hall": "A", "grid": {"x": 1, "y": 2, "z": 9}}, "samples": []}',
+        '{"probe": 3, "spot": {"hall": "A", "gr',
     ],
-    "malformed_arrays": [
-        '{"id": 401, "product": {"name": "Charger", "category": "Hardware"}, "quantity": 9, "tags": ["power"]}',
-        '{"id": 402, "product": {"name": "Cord", "category": "Hardware"}, "quantity": 9, "tags": [open, list}',
+    "south": [
+        '{"probe": 4, "samples": [{"at": 1, "val": 2}, {"at": 2, "val": 3, "unit": "C"}]}',
+        '{"probe": 5, "spot": "lost"}',
+        '{"probe": 6, "spot": null, "samples": null}',
+        '{"probe": 7, "samples": []}',
+        '{"probe": 8}',
     ],
-    "invalid_escape": [
-        '{"id": 501, "product": {"name": "Dock", "category": "Hardware"}, "quantity": 7, "tags": ["usb"]}',
-        '{"id": 502, "product": {"name": "Cover\\invalid", "category": "Hardware"}, "quantity": 7, "tags": ["case"]}',
+    "west": [
+        '{"probe": 9, "samples": [{"at": 1, "val": 1.5},, {"at": 2}]}',
+        '{"probe": 10, "spot": {"hall": 12}}',
+        '{"probe": 11, "spot": {"grid": {"x": "east", "y": 0}}}',
+        "probe twelve",
     ],
 }
-RESCUED = {201: {"product": {"colour": "oak"}}, 202: {"note": "new"}, 301: {"quantity": "many"}, 302: {"tags": "alone"}}
+LOST = {2: {"spot": {"grid": {"z": 9}}}, 4: {"samples": [None, {"unit": "C"}]}, 5: {"spot": "lost"}, 11: {"spot": {"grid": {"x": "east"}}}}
+BROKEN = {READINGS["north"][2], READINGS["west"][0], READINGS["west"][3]}
 
 
 @pytest.fixture
-def scenario_files(tmp_path):
+def reading_files(tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    for name, lines in SCENARIOS.items():
+    for name, lines in READINGS.items():
         (folder / f"{name}.json").write_text("\n".join(lines))
     return str(folder)
 
 
-def check_scenarios(df):
+def check_readings(df):
     summary = quality_summary(df).first()
-    assert (summary.total, summary.rescued, summary.corrupt, summary.coverage_pct) == (10, 4, 3, 70.0)
-    issues = quality_issues(df, ["id"]).collect()
+    assert (summary.total, summary.rescued, summary.corrupt, summary.coverage_pct) == (12, 4, 3, 58.3)
+    issues = quality_issues(df, ["probe"]).collect()
     assert [r.file_name for r in issues] == sorted(r.file_name for r in issues)
-    assert {r.id: json.loads(r["_rescued_data"]) for r in issues if r["_rescued_data"]} == RESCUED
-    corrupt = {r["_corrupt_record"] for r in issues if r["_corrupt_record"]}
-    assert corrupt == {SCENARIOS[n][1] for n in ("invalid_syntax", "malformed_arrays", "invalid_escape")}
-    assert df.where("id = 302").first().product.category == "77", "a coerced scalar is no loss"
+    assert {r.probe: json.loads(r["_rescued_data"]) for r in issues if r["_rescued_data"]} == LOST
+    assert {r["_corrupt_record"] for r in issues if r["_corrupt_record"]} == BROKEN
+    assert df.where("probe = 10").first().spot.hall == "12", "a number read as text is no loss"
 
 
-def test_scenarios_batch_and_stream(spark, scenario_files, tmp_path):
-    schema = StructType.fromDDL(ITEM)
-    check_scenarios(with_file_metadata(read_json(spark, scenario_files, schema, corrupt=True), "all"))
-    stream = with_file_metadata(stream_json(spark, scenario_files, schema, corrupt=True), "all")
+def test_readings_batch_and_stream(spark, reading_files, tmp_path):
+    schema = StructType.fromDDL(PROBE)
+    check_readings(with_file_metadata(read_json(spark, reading_files, schema, corrupt=True), "all"))
+    stream = with_file_metadata(stream_json(spark, reading_files, schema, corrupt=True), "all")
     run_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
-    check_scenarios(spark.read.parquet(str(tmp_path / "out")))
+    check_readings(spark.read.parquet(str(tmp_path / "out")))
 
 
 def test_rescue_edge_cases(spark):
@@ -206,7 +204,7 @@ def test_widen_and_conform(spark):
     wide = widen(spark.sql("SELECT 1 AS a, 'x' AS b"), spark.sql("SELECT CAST(2.5 AS DOUBLE) AS a, true AS c"))
     assert rows(wide) == [(1.0, "x", None), (2.5, None, True)]
     assert merge_types(StructType.fromDDL("a INT"), StructType.fromDDL("a BOOLEAN")).simpleString() == "struct<a:string>"
-    assert rows(conform(spark.sql("SELECT 'x' AS a, 1 AS z"), StructType.fromDDL("b INT, a INT"))) == [(None, None)]
+    assert rows(conform(spark.sql("SELECT 'x' AS a, 1 AS z"), StructType.fromDDL("b INT, a INT"), unfit="null")) == [(None, None)]
 
 
 def test_keys_and_errors(spark):

@@ -3,15 +3,15 @@
 import datetime
 import os
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 import pytest
 from conftest import SMALL, rows
 from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltstone.operators.columns import comparable, spread
+from siltstone.operators.changes import change_feed, unkeyed_rows
+from siltstone.operators.columns import comparable
+from siltstone.operators.evolve import SchemaRegistry, infer_from_new_files, merge_types, parse_evolving
 from siltstone.operators.quality import (
     PATIENT_RULES,
     apply_rules,
@@ -51,7 +51,7 @@ from siltstone.operators.standardize import (
     standardize_encoding,
     title_columns,
 )
-from siltstone.plans.marts import TRIP_SCHEMA, sales_by_city, silver_orders, silver_trips, merge_trip_names
+from siltstone.plans.marts import SILVER_ORDER_COLUMNS, TRIP_SCHEMA, sales_by_city, silver_orders, silver_trips, merge_trip_names
 from siltstone.plans.patients import practice_history
 from siltstone.plans.workload import METHODS, bench_distinct, bench_filter, bench_group, bench_select, parse, run_workload
 from siltstone.session import scratch_path, shared_dir
@@ -66,7 +66,6 @@ from siltstone.sources.files import (
     with_ingest_audit,
     write_table,
 )
-from siltstone.sources.footers import parquet_custom_metadata
 from siltstone.sources.generate import make_json_rows
 from siltstone.streaming.run import run_stream
 
@@ -137,7 +136,7 @@ def test_dedupe_maps_and_variants(spark):
 
 def test_coalesce_variants(spark):
     df = spark.sql("SELECT CAST(NULL AS INT) AS a1, 2 AS a2")
-    assert coalesce_variants(df, {"a": ["a1", "a2", "a3"], "b": ["zzz"]}).first() == (2, None)
+    assert coalesce_variants(df, {"a": ["a1", "a2", "a3"], "b": ["zzz"]}, missing="null").first() == (2, None)
 
 
 # Relational
@@ -161,7 +160,9 @@ def test_retail_marts(spark):
         ('1', 'ann lee', 'soon', 11, array()), ('9', 'no one', '0', NULL, NULL) AS t(customer_id, customer_name, order_datetime, order_number, ordered_products)"""
     )
     customers = spark.sql("SELECT '1' AS customer_id, 'ann lee' AS customer_name, 'Chicago' AS city, 'OR' AS state")
-    silver = silver_orders(orders, customers)
+    with pytest.raises(Exception, match="number_of_line_items"):
+        silver_orders(orders, customers)
+    silver = silver_orders(orders, customers, columns=[c for c in SILVER_ORDER_COLUMNS if c in {*orders.columns, *customers.columns, "order_date"}])
     assert silver.count() == 2 and silver.where("order_number = 11").first().order_date is None
     mart = sales_by_city(silver, "Chicago")
     assert rows(mart) == [(datetime.date(1970, 1, 2), "Chicago", "1", "Ann Lee", "USD", 6, 3)]
@@ -171,7 +172,7 @@ def test_retail_marts(spark):
 
 def test_trips_keep_comments(spark):
     raw = spark.sql("SELECT 5 AS tripduration, '1/2/2016 03:04:05' AS starttime, 'bad' AS stoptime, 'SUBSCRIBER' AS usertype")
-    trips = silver_trips(merge_trip_names(raw))
+    trips = silver_trips(merge_trip_names(raw, missing="null"))
     assert trips.schema["trip_duration"].metadata == {"comment": "Duration of the Trip in Minutes"}
     row = trips.first()
     assert (row.trip_duration, row.start_time.day, row.stop_time, row.user_type) == (5, 2, None, "Subscriber")
@@ -279,14 +280,6 @@ def test_feeds(spark, tmp_path):
     assert len(FEED_COLUMNS) == 10
 
 
-def test_footer_metadata(spark, tmp_path):
-    for i, meta in enumerate([{"custom.owner": "a"}, {"custom.owner": "a", "custom.v": "1"}, {"custom.owner": "b", "other": "x"}, {}]):
-        schema = pa.schema([("x", pa.int64())], metadata=meta)
-        pq.write_table(pa.table({"x": [i]}, schema=schema), tmp_path / f"{i}.parquet")
-    (tmp_path / "readme.txt").write_text("not parquet")
-    assert rows(parquet_custom_metadata(spark, str(tmp_path))) == [("custom.owner", "a", 2), ("custom.owner", "b", 1), ("custom.v", "1", 1)]
-
-
 def test_layout_prunes(spark, tmp_path):
     path = str(tmp_path / "t")
     lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").select("l_returnflag", "l_shipdate", "l_quantity")
@@ -304,11 +297,52 @@ def test_layout_prunes(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "d"))) == [(7, "x")]
 
 
-def test_shared_folder_and_spread(spark, tmp_path):
-    assert scratch_path(spark, "x").startswith(shared_dir(spark)) and scratch_path(spark, "x") != scratch_path(spark, "x")
-    assert spread(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 8
-    many = spark.range(100).repartition(8)
-    assert spread(many) is many
+def test_values_that_do_not_fit(spark, tmp_path):
+    schema = StructType.fromDDL("a INT, b STRING")
+    odd = spark.sql("SELECT 'x1' AS a, 'y' AS b UNION ALL SELECT '8', NULL")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        append_by_name(odd, str(tmp_path / "strict"), schema)
+    append_by_name(odd, str(tmp_path / "kept"), schema, rescued="lost")
+    assert rows(spark.read.parquet(str(tmp_path / "kept"))) == rows(spark.sql("SELECT 8 AS a, CAST(NULL AS STRING) AS b, CAST(NULL AS STRING) AS lost UNION ALL SELECT NULL, 'y', '{\"a\":\"x1\"}'"))
+
+
+def test_files_of_one_second_and_late_files_are_seen(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    registry = SchemaRegistry(spark, str(tmp_path / "schemas"))
+    for name, text, second in (("b", '{"a": 1}', 1_700_000_000), ("c", '{"b": "x"}', 1_700_000_000), ("a", '{"c": 2.5}', 1_600_000_000)):
+        (folder / name).write_text(text + "\n")
+        os.utime(folder / name, (second, second))
+        schema = infer_from_new_files(spark.read, str(folder), "text", "value", registry, "k")
+    assert schema.simpleString() == "struct<a:bigint,b:string,c:double>"
+    assert infer_from_new_files(spark.read, str(folder), "text", "value", registry, "k") == schema
+    assert registry.unseen_files(str(folder), "k").count() == 0
+
+
+def test_type_merge_keeps_values(spark):
+    def merged(a, b):
+        return merge_types(StructType.fromDDL(f"x {a}")["x"].dataType, StructType.fromDDL(f"x {b}")["x"].dataType).simpleString()
+
+    assert merged("DECIMAL(10,2)", "DECIMAL(12,2)") == "decimal(12,2)" and merged("DECIMAL(10,2)", "BIGINT") == "decimal(21,2)"
+    assert merged("DATE", "TIMESTAMP") == "timestamp" and merged("FLOAT", "DOUBLE") == "double" and merged("SMALLINT", "INT") == "int"
+    assert merged("BIGINT", "DOUBLE") == "double" and merged("DECIMAL(38,0)", "DECIMAL(38,38)") == "string" and merged("INT", "BOOLEAN") == "string"
+    df = spark.sql("""SELECT '{"n": 12345678901234567890123}' AS j""")
+    assert str(parse_evolving(df, "j", "o").first().o.n) == "12345678901234567890123"
+
+
+def test_null_keys_stay_out_of_the_feed(spark):
+    df = spark.sql("SELECT CAST(NULL AS INT) AS k, 1 AS v UNION ALL SELECT NULL, 1 UNION ALL SELECT 3, 1")
+    assert change_feed(df, df, ["k"], 1, F.current_timestamp()).collect() == []
+    assert unkeyed_rows(df, ["k"]).count() == 2
+
+
+def test_names_that_clean_to_the_same_and_missing_variants_raise(spark):
+    with pytest.raises(ValueError, match="a_b"):
+        clean_column_names(spark.sql("SELECT 1 AS `a b`, 2 AS a_b"))
+    df = spark.sql("SELECT 1 AS a")
+    with pytest.raises(ValueError, match="x"):
+        coalesce_variants(df, {"x": ["b", "c"]})
+    assert coalesce_variants(df, {"x": ["b"]}, missing="null").first().x is None
 
 
 class Stub:
