@@ -173,7 +173,7 @@ def test_retail_marts(spark):
 def test_trips_keep_comments(spark):
     raw = spark.sql("SELECT 5 AS tripduration, '1/2/2016 03:04:05' AS starttime, 'bad' AS stoptime, 'SUBSCRIBER' AS usertype")
     trips = silver_trips(merge_trip_names(raw, missing="null"))
-    assert trips.schema["trip_duration"].metadata == {"comment": "Duration of the Trip in Minutes"}
+    assert trips.schema["trip_duration"].metadata == {"comment": "how long the bike was out, as delivered"}
     row = trips.first()
     assert (row.trip_duration, row.start_time.day, row.stop_time, row.user_type) == (5, 2, None, "Subscriber")
     assert [f.dataType for f in trips.schema] == [f.dataType for f in TRIP_SCHEMA]
