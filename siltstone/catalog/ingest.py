@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
@@ -237,27 +239,23 @@ def ingest_audit(t: Tables) -> DataFrame:
     return with_ingest_audit(t("customer").select("c_custkey"), at())
 
 
-@register(
-    "source_feeds",
-    "SRC-13 SRC-1 SRC-10 SRC-11 SRC-12 JSN-9",
-    """
-    SELECT 'bronze_gdprbacklog' AS feed, count(*) AS n_rows, count(DISTINCT user_id) AS n_patients, CAST(NULL AS BIGINT) AS sum_k FROM events
-    UNION ALL SELECT 'bronze_patientsensor', count(*), count(DISTINCT user_id),
-      CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) FROM events
-    UNION ALL SELECT 'bronze_patientpractice', count(*), count(DISTINCT o_custkey), CAST(sum(o_orderkey) AS BIGINT) FROM orders""",
-    text=("sum_k",),
-)
+def _feed_sql(name: str) -> str:
+    feed = f"'bronze_{name.lower()}' AS feed"
+    if name == "PatientPractice":
+        return f"SELECT {feed}, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_patients, CAST(sum(o_orderkey) AS BIGINT) AS sum_k FROM orders"
+    payload = "sum(CAST(json_extract_string(props, '$.k') AS BIGINT))" if "D" in FEED_COLUMNS[name].split() else "NULL"
+    return f"SELECT {feed}, count(*) AS n_rows, count(DISTINCT user_id) AS n_patients, CAST({payload} AS BIGINT) AS sum_k FROM events"
+
+
+@register("source_feeds", "SRC-13 SRC-1 SRC-10 SRC-11 SRC-12 JSN-9", " UNION ALL ".join(_feed_sql(name) for name in FEED_COLUMNS), text=("sum_k",))
 def feeds(t: Tables) -> DataFrame:
-    """Three of the feeds: two with a JSON payload and one without."""
+    """All feeds at once, with and without a JSON payload; one of them is made from orders."""
     root = t.scratch("feeds")
-    sources = {
-        "GdprBacklog": (t("events"), {"PatientID": "user_id", "Processed": "event_type", "Timestamp": "ts"}),
-        "PatientSensor": (t("events"), {"PatientID": "user_id", "SerialNumber": "event_id", "D": "props", "Created": "ts"}),
-        "PatientPractice": (
-            t("orders"),
-            {"PatientID": "o_custkey", "PracticeID": "o_orderkey", "D": "to_json(named_struct('k', o_orderkey, 's', o_orderstatus))"},
-        ),
-    }
+    sources = {name: (t("events"), {"PatientID": "user_id", "Created": "ts", "Type": "event_type", "D": "props"}) for name in FEED_COLUMNS}
+    sources["PatientPractice"] = (
+        t("orders"),
+        {"PatientID": "o_custkey", "PracticeID": "o_orderkey", "D": "to_json(named_struct('k', o_orderkey, 's', o_orderstatus))"},
+    )
     feeds = []
     for name, (df, mapping) in sources.items():
         schema = text_schema(FEED_COLUMNS[name])
@@ -273,7 +271,7 @@ def feeds(t: Tables) -> DataFrame:
             table.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("PatientID").alias("n_patients"), parsed.alias("sum_k"))
             .select(F.lit(name).alias("feed"), "n_rows", "n_patients", "sum_k")
         )
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return reduce(DataFrame.unionByName, counts)
 
 
 @register("source_run_stream", "SRC-14", "SELECT event_type, count(*) AS n, min(event_id) AS low, max(event_id) AS high FROM events GROUP BY event_type")
