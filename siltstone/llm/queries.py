@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure, shared_dir
-from . import decontaminate, language_hd, line_dedup, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, token_counts, url_filter
+from . import decontaminate, language_hd, line_dedup, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, sql, token_counts, url_filter
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -115,4 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_url_filters": sql.url_filters(RULES),
+    "op3_line_dedup": sql.line_dedup(),
+    "op6_minhash_near_dedup": sql.near_duplicates(),
+    "op10_quality_rules": sql.quality_rules(),
+}
