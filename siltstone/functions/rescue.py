@@ -15,23 +15,23 @@ from pyspark.sql.types import ArrayType, DataType, StructType
 VARIANT_MAP = "MAP<STRING,VARIANT>"
 
 
-def corrupt_text(text: Column) -> Column:
-    """The text itself when it is not NULL and is not JSON, else NULL."""
-    return F.when(F.try_parse_json(text).isNull(), text)
+def corrupt_text(text: Column, parsed: Column) -> Column:
+    """The text itself when it is not NULL and is not JSON, else NULL; `parsed` is `try_parse_json(text)`."""
+    return F.when(parsed.isNull(), text)
 
 
-def variant_map(text: Column) -> Column:
+def variant_map(parsed: Column) -> Column:
     """A JSON object as a map from key to VARIANT; NULL for anything else."""
-    return F.from_json(text, VARIANT_MAP)
+    return F.try_variant_get(parsed, "$", VARIANT_MAP)
 
 
-def rescued_json(text: Column, raw: Column, typed: Column, schema: StructType) -> Column:
+def rescued_json(text: Column, parsed: Column, raw: Column, typed: Column, schema: StructType) -> Column:
     """JSON text of everything in `text` that `typed` (its parse by `schema`) lost, else NULL.
 
-    `raw` is `variant_map(text)`. It is read once per field, as is `typed`, so both should be
-    columns that are already there rather than expressions.
+    `parsed` is `try_parse_json(text)` and `raw` is `variant_map(parsed)`. They are read once per field, as
+    is `typed`, so all should be columns that are already there rather than expressions.
     """
-    no_object = raw.isNull() & F.try_parse_json(text).isNotNull()
+    no_object = raw.isNull() & parsed.isNotNull()
     return F.when(no_object, text).otherwise(F.to_json(_lost_in_struct(raw, typed, schema)))
 
 

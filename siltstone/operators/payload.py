@@ -35,16 +35,16 @@ def ingest_json_quality(df: DataFrame, json_col: str, schema: StructType) -> Dat
 
 def _typed(df: DataFrame, json_col: str, schema: StructType, rescue: bool, corrupt: bool) -> DataFrame:
     others = [c for c in df.columns if c != json_col]
-    parses = {"__text": quoted(json_col), "__typed": F.from_json(quoted(json_col), schema)}
-    if rescue:
-        parses["__raw"] = variant_map(quoted(json_col))
+    text, typed, json = F.col("__text"), F.col("__typed"), F.col("__json")
+    # The text is parsed twice in all: by the schema, and as the VARIANT that all flags are read from.
+    parses = {"__text": quoted(json_col), "__typed": F.from_json(quoted(json_col), schema), "__json": F.try_parse_json(quoted(json_col))}
     parsed = computed_once(df, parses, others)
-    text, typed = F.col("__text"), F.col("__typed")
     flags = {}
     if rescue:
-        flags[RESCUED] = rescued_json(text, F.col("__raw"), typed, schema)
+        parsed = computed_once(parsed, {"__raw": variant_map(json)})
+        flags[RESCUED] = rescued_json(text, json, F.col("__raw"), typed, schema)
     if corrupt:
-        flags[CORRUPT] = corrupt_text(text)
+        flags[CORRUPT] = corrupt_text(text, json)
     flagged = computed_once(parsed, flags, [*others, "__typed"])
     return flagged.select(*[quoted(c) for c in others], *[typed[f].alias(f) for f in schema.fieldNames()], *flags)
 
