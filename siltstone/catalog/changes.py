@@ -15,7 +15,7 @@ from ..operators.changes import (
 from ..operators.evolve import widen
 from ..operators.flatten import cast_all_to_string
 from ..operators.scd import apply_scd1, apply_scd2, validity_columns
-from ..plans.patients import patient_history, patient_latest, patient_quarantine
+from ..plans.patients import patient_history, patient_latest, patient_quarantine, practice_history
 from ..sources.files import stream_delimited, stream_table
 from ..streaming.aggregates import SumTarget
 from ..streaming.patients import PatientStream
@@ -385,3 +385,36 @@ def flow_quarantine(t: Tables) -> DataFrame:
         "flow_name", "table_name", "constraint_name", "constraint_expression", F.col("record.ID").alias("id"),
         F.col("record.Created").alias("created"), F.col("record.D_state").alias("d_state"), "violated_at",
     )
+
+
+
+def _practice_feed(events: DataFrame) -> DataFrame:
+    payload = F.expr("to_json(named_struct('patientId', concat('', user_id), 'practiceId', concat('Q', event_id % 3), 'city', event_type, 'created', event_id, 'other', 1))")
+    kind = F.expr("CASE WHEN event_id % 11 = 0 THEN 'delete' WHEN event_id % 7 = 0 THEN 'update_preimage' ELSE 'update_postimage' END")
+    nothing = F.lit(None).cast("string")
+    return events.select(
+        F.lit("x").alias("PatientID"), nothing.alias("Created"), nothing.alias("Updated"),
+        F.when(F.expr("event_id % 31 = 0"), F.lit("{bad")).otherwise(payload).alias("D"), kind.alias("_change_type"),
+        F.col("event_id").alias("_commit_version"), F.col("ts").alias("_commit_timestamp"),
+    )
+
+
+@register(
+    "flow_practice_history",
+    "CDC-4 JSN-3 JSN-4 JSN-10 REL-17",
+    f"""
+    WITH used AS (
+      SELECT concat('', user_id) AS patient, concat('Q', event_id % 3) AS practice, event_type AS city, event_id, ts, event_id % 11 = 0 AS gone
+      FROM events WHERE event_id % 31 <> 0 AND (event_id % 11 = 0 OR event_id % 7 <> 0)),
+    spans AS (SELECT *, lead(ts) OVER (PARTITION BY patient, practice ORDER BY event_id) AS until FROM used)
+    SELECT patient, practice, city, event_id AS created, ts AS "EffectiveFrom",
+           strftime(coalesce(until, {OPEN_END}), '{TEXT_TIME}') AS "EffectiveTo", until IS NULL AS "IsCurrent"
+    FROM spans WHERE NOT gone""",
+)
+def flow_practices(t: Tables) -> DataFrame:
+    """History of links whose keys stand in the JSON payload; lines that are no JSON have no key and go."""
+    history = practice_history(_practice_feed(t("events")), at())
+    return history.select(
+        F.col("patientId_from_json").alias("patient"), F.col("practiceId_from_json").alias("practice"), "city",
+        F.col("json_created").alias("created"), "EffectiveFrom", "EffectiveTo", "IsCurrent",
+    ).transform(end_as_text)

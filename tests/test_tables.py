@@ -177,7 +177,7 @@ def test_trips_keep_comments(spark):
     row = trips.first()
     assert (row.trip_duration, row.start_time.day, row.stop_time, row.user_type) == (5, 2, None, "Subscriber")
     assert [f.dataType for f in trips.schema] == [f.dataType for f in TRIP_SCHEMA]
-    assert describe(trips).where("col_name = 'bike_id'").first().comment == "Bike ID"
+    assert describe(trips).where("col_name = 'bike_id'").first().comment == "number of the bike"
 
 
 def test_practice_history(spark):
