@@ -28,6 +28,9 @@ HOT = 1000
 SHORT = 40
 # Classes up to this size meet others by equality only: 3 of 4 words are less than 0.8.
 EQUAL_ONLY = 3
+# Runs of this many leading prefix words, and how many runs, by which likely pairs are found.
+WORDS_SHARED = 3
+RUNS = 2
 # Keys of documents to verify are broadcast up to this many bytes and joined beyond.
 BROADCAST_BYTES = 64 << 20
 
@@ -88,7 +91,9 @@ def prefix_length(n: Column, percent: int) -> Column:
 
 def compact_lines(lines: DataFrame, steps: Column, percent: int) -> DataFrame:
     """(key, th, line_no, n, d, b1, b2, prefix) of all lines with a word; d is the class."""
-    sets = line_sets(lines, steps).withColumn("n", F.size("words")).where("n > 0")
+    # Asked of the line, as a filter on the set would have it made twice.
+    full = lines.where(F.regexp_like("line", F.lit(r"[^ \t-\r]")))
+    sets = line_sets(full, steps).withColumn("n", F.size("words"))
     return sets.select(
         "key",
         "th",
@@ -106,31 +111,81 @@ def place() -> Column:
     return F.struct(F.col("key").isNull().alias("no_key"), F.col("key"), F.col("th"), F.col("line_no"))
 
 
-def candidates(stored: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of classes (a, b) that pass all filters."""
+def _may_match(percent: int) -> Column:
+    """Length and bitmap filter between the sides l and r of a join."""
+    both = F.col("l_n") + F.col("r_n")
+    differ = F.bit_count(F.col("l_b1").bitwiseXOR(F.col("r_b1"))) + F.when(
+        (F.col("l_n") > SHORT) & (F.col("r_n") > SHORT), F.bit_count(F.col("l_b2").bitwiseXOR(F.col("r_b2")))
+    ).otherwise(0)
+    lengths = F.least("l_n", "r_n") * 100 >= F.greatest("l_n", "r_n") * percent
+    return lengths & ((both - differ) * (100 + percent) >= both * 2 * percent)
+
+
+def _positional(percent: int) -> Column:
+    """Whether enough words can follow the common one on both sides."""
+    left = F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at"))
+    return left * (100 + percent) >= (F.col("l_n") + F.col("r_n")) * percent
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("l_d", "r_d").alias("a"), F.greatest("l_d", "r_d").alias("b")).distinct()
+
+
+def likely_pairs(stored: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each class with the earliest line that has the same leading prefix words.
+
+    A group of near copies gives one pair for each of its classes and each run of WORDS_SHARED words.
+    """
+    runs = [
+        F.when(F.size("prefix") >= at + WORDS_SHARED, F.xxhash64(F.lit(at), F.slice("prefix", at + 1, WORDS_SHARED)))
+        for at in range(0, RUNS * WORDS_SHARED, WORDS_SHARED)
+    ]
+    rows = stored.where(F.col("n") > EQUAL_ONLY).select("d", "n", "b1", "b2", place().alias("at"), F.explode(F.array_compact(F.array(*runs))).alias("run"))
+    heads = rows.groupBy("run").agg(
+        F.min_by(F.struct("d", "n", "b1", "b2"), "at").alias("head"), F.min("d").alias("low"), F.max("d").alias("high")
+    )
+    heads = heads.where("low <> high").select("run", *[F.col("head")[c].alias(f"l_{c}") for c in ("d", "n", "b1", "b2")])
+    met = rows.select("run", *[F.col(c).alias(f"r_{c}") for c in ("d", "n", "b1", "b2")]).join(heads, "run")
+    return _pairs(met.where((F.col("l_d") != F.col("r_d")) & _may_match(percent)))
+
+
+def open_pairs(stored: DataFrame, classes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a prefix word and pass all filters; two settled classes are not paired."""
     total = classes.agg(F.sum("lines")).first()[0] or 0
     # Fewer than HOT classes can hold more than 1 / HOT of all lines each.
     hot = classes.where(F.col("lines") * HOT > total).select(F.col("d").alias("hot_d"), F.col("first").alias("hot_first"))
     met = stored.where(F.col("n") > EQUAL_ONLY).join(F.broadcast(hot), F.col("d") == F.col("hot_d"), "left")
     once = met.where(F.col("hot_first").isNull() | (place() == F.col("hot_first")))
-    rows = once.select("n", "d", "b1", "b2", F.posexplode("prefix").alias("at", "word"))
+    known = settled.select(F.col("d").alias("settled_d"))
+    known = F.broadcast(known) if settled.count() * 8 <= BROADCAST_BYTES else known
+    flagged = once.join(known, F.col("d") == F.col("settled_d"), "left").withColumn("settled", F.col("settled_d").isNotNull())
+    rows = flagged.select("n", "d", "b1", "b2", "settled", F.posexplode("prefix").alias("at", "word"))
     # The class decides all other columns, so equal rows are copies of a class.
-    rows = rows.repartition("word").select("word", "d", F.col("n").cast("int").alias("n"), "at", "b1", "b2").distinct()
-    left = rows.select("word", *[F.col(c).alias(f"l_{c}") for c in ("d", "n", "at", "b1", "b2")])
-    right = rows.select("word", *[F.col(c).alias(f"r_{c}") for c in ("d", "n", "at", "b1", "b2")])
-    both = F.col("l_n") + F.col("r_n")
-    least = F.least("l_n", "r_n") * 100 >= F.greatest("l_n", "r_n") * percent
+    rows = rows.repartition("word").select("word", "d", F.col("n").cast("int").alias("n"), "at", "b1", "b2", "settled").distinct()
+    left, right = (rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "word"]) for side in "lr")
+    together = (left["word"] == right["word"]) & (F.col("l_d") < F.col("r_d")) & ~(F.col("l_settled") & F.col("r_settled"))
+    return _pairs(left.join(right, together & _positional(percent) & _may_match(percent)))
 
-    def enough(overlap: Column) -> Column:
-        return overlap * (100 + percent) >= both * percent
 
-    positional = enough(F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at")))
-    differ = F.bit_count(F.col("l_b1").bitwiseXOR(F.col("r_b1"))) + F.when(
-        (F.col("l_n") > SHORT) & (F.col("r_n") > SHORT), F.bit_count(F.col("l_b2").bitwiseXOR(F.col("r_b2")))
-    ).otherwise(0)
-    bitmaps = (both - differ) * (100 + percent) >= both * 2 * percent
-    pairs = left.join(right, (left["word"] == right["word"]) & (F.col("l_d") < F.col("r_d")) & least & positional & bitmaps)
-    return pairs.select(F.col("l_d").alias("a"), F.col("r_d").alias("b")).distinct()
+def links(df: DataFrame, stored: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
+    """Pairs of similar classes (a, b), enough of them that each class with an earlier match has one here.
+
+    Likely pairs settle most classes that have an earlier match. The prefix join then leaves out pairs of
+    two settled classes only, so a group of near copies does not give all its pairs, while every class
+    that is still open meets all it may match.
+    """
+    likely = likely_pairs(stored, percent).checkpoint()
+    found = verified(df, likely, classes, steps, key, text, percent).checkpoint()
+    settled = later_classes(found, classes.select("d", "first")).checkpoint()
+    pairs = open_pairs(stored, classes, settled, percent).join(likely, ["a", "b"], "left_anti").checkpoint()
+    return found.unionByName(verified(df, pairs, classes, steps, key, text, percent)).checkpoint()
+
+
+def later_classes(found: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Classes (d) that are linked to one with an earlier first line."""
+    a, b = (firsts.select(F.col("d").alias(c), F.col("first").alias(f"first_{c}")) for c in ("a", "b"))
+    met = found.join(a, "a").join(b, "b")
+    return met.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("d")).distinct()
 
 
 def verified(df: DataFrame, pairs: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
@@ -167,16 +222,14 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", perce
     compact_lines(lines, steps, percent).write.option("compression", "zstd").parquet(path)
     stored = df.sparkSession.read.parquet(path)
     classes = stored.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first")).checkpoint()
-    pairs = candidates(stored, classes, percent).checkpoint()
-    links = verified(df, pairs, classes, steps, key, text, percent).checkpoint()
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    found = links(df, stored, classes, steps, key, text, percent)
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
     earlier = both.join(classes.select(F.col("d").alias("b"), "first"), "b").groupBy(F.col("a").alias("d")).agg(F.min("first").alias("linked"))
     # Classes of one line without a link remove nothing.
     best = classes.join(earlier, "d", "left").where("lines > 1 OR linked IS NOT NULL").select("d", F.least("first", F.coalesce("linked", "first")).alias("best"))
     marked = stored.select("key", "th", "line_no", "d").join(best, "d", "left")
     gone = F.coalesce(place() > F.col("best"), F.lit(False))
-    found = marked.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed"))
-    return found
+    return marked.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed"))
 
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:

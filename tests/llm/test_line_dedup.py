@@ -1,3 +1,5 @@
+import random
+
 from helpers import documents, invented, word_list
 
 from siltstone.llm.line_dedup import dedup_lines, repeated_lines
@@ -41,6 +43,21 @@ def test_removed_lines_match_brute_force(spark):
         assert kept[i].text == left and kept[i].lang == "en"
 
 
+def test_groups_of_near_copies(spark):
+    rnd = random.Random(8)
+    texts = []
+    for family in range(4):
+        base = [f"f{family}w{k}" for k in range(60)]
+        for _ in range(25):
+            own = list(base)
+            for at in rnd.sample(range(60), rnd.randint(0, 12)):
+                own[at] = f"x{rnd.randrange(40)}"
+            texts.append(" ".join(own))
+    rnd.shuffle(texts)
+    found = {r.key: r.removed for r in repeated_lines(documents(spark, texts)).collect()}
+    assert {k: v for k, v in found.items() if v} == plain(texts)
+
+
 def test_repeated_rows_null_keys_clashing_columns_and_no_rows(spark):
     df = documents(spark, ["a b c d e", "a b c d e f", "z"])
     df = df.unionByName(df.where("doc_id = 0")).unionByName(df.selectExpr("CAST(NULL AS long) AS doc_id", "text", "lang", "source", "n_chars"))
