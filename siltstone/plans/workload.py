@@ -6,7 +6,7 @@ import statistics
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 from ..functions.jsoncols import parse_struct, parse_variant, variant_path
@@ -61,8 +61,11 @@ def bench_group(rows: DataFrame, method: str) -> DataFrame:
     return devices.agg(F.count(F.lit(1)).alias("n"))
 
 
-def bench_write(rows: DataFrame, method: str, path: str) -> None:
-    parse(rows, method).write.mode("overwrite").parquet(path)
+def bench_write(rows: DataFrame, method: str, path: str) -> int:
+    """Store the parsed rows; returns how many they are."""
+    seen = Observation()
+    parse(rows, method).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return seen.get["n"]
 
 
 def bench_read_back(spark: SparkSession, method: str, path: str) -> DataFrame:
@@ -76,18 +79,20 @@ def bench_fields(rows: DataFrame, method: str) -> DataFrame:
     )
 
 
-def _run(df: DataFrame) -> None:
-    # A count would let Spark prune the parse away; this sink makes every row be computed.
-    df.write.format("noop").mode("overwrite").save()
+def _run(df: DataFrame) -> int:
+    """How many rows a frame has. A mere count would let Spark prune the parse away; here every row is computed."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    return seen.get["n"]
 
 
 def run_workload(rows: DataFrame, path: str, methods=METHODS, repeats: int = 1, warm_up: bool = False) -> DataFrame:
-    """Seconds per (benchmark, method): median of `repeats` runs."""
+    """Seconds and rows per (benchmark, method): median of `repeats` runs."""
     spark = rows.sparkSession
     results = []
     for method in methods:
         target = f"{path}/{method}"
-        steps: dict[str, Callable[[], None]] = {
+        steps: dict[str, Callable[[], int]] = {
             "B1_parse": lambda: _run(bench_parse(rows, method)),
             "B2_select": lambda: _run(bench_select(rows, method)),
             "B3_filter": lambda: _run(bench_filter(rows, method)),
@@ -103,7 +108,7 @@ def run_workload(rows: DataFrame, path: str, methods=METHODS, repeats: int = 1,
             seconds = []
             for _ in range(repeats):
                 start = time.perf_counter()
-                step()
+                n_rows = step()
                 seconds.append(time.perf_counter() - start)
-            results.append((name, method, statistics.median(seconds)))
-    return spark.createDataFrame(results, "benchmark STRING, method STRING, duration_sec DOUBLE")
+            results.append((name, method, statistics.median(seconds), n_rows))
+    return spark.createDataFrame(results, "benchmark STRING, method STRING, duration_sec DOUBLE, n_rows BIGINT")
