@@ -16,7 +16,7 @@ which there are less than a thousand, are reduced to one line before the shuffle
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import scratch_path, shared_dir
 
@@ -31,6 +31,8 @@ EQUAL_ONLY = 3
 # Runs of this many leading prefix words, and how many runs, by which likely pairs are found.
 WORDS_SHARED = 3
 RUNS = 2
+# Pairs of a class verified one after another before all the others are.
+TRIES = 3
 # Keys of documents to verify are broadcast up to this many bytes and joined beyond.
 BROADCAST_BYTES = 64 << 20
 
@@ -107,8 +109,13 @@ def compact_lines(lines: DataFrame, steps: Column, percent: int) -> DataFrame:
 
 
 def place() -> Column:
-    """Where a line stands: by key, NULL keys last, then text hash and line number."""
-    return F.struct(F.col("key").isNull().alias("no_key"), F.col("key"), F.col("th"), F.col("line_no"))
+    """Where a line stands: by key, NULL keys last, then line number; the text hash tells rows of one key apart."""
+    return F.struct(F.col("key").isNull().alias("no_key"), F.col("key"), F.col("line_no"), F.col("th"))
+
+
+def turn(key: Column, line_no: Column, d: Column) -> Column:
+    """The order of classes: by key and line number of the first line, then by the class itself."""
+    return F.struct(key.isNull().alias("no_key"), key.alias("key"), line_no.alias("line_no"), d.alias("d"))
 
 
 def _may_match(percent: int) -> Column:
@@ -150,7 +157,10 @@ def likely_pairs(stored: DataFrame, percent: int) -> DataFrame:
 
 
 def open_pairs(stored: DataFrame, classes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a prefix word and pass all filters; two settled classes are not paired."""
+    """Pairs (later, a, b, try) that share a prefix word and pass all filters; two settled classes are not paired.
+
+    `later` is the later class of the two; `try` numbers its pairs from the earliest partner on.
+    """
     total = classes.agg(F.sum("lines")).first()[0] or 0
     # Fewer than HOT classes can hold more than 1 / HOT of all lines each.
     hot = classes.where(F.col("lines") * HOT > total).select(F.col("d").alias("hot_d"), F.col("first").alias("hot_first"))
@@ -159,33 +169,47 @@ def open_pairs(stored: DataFrame, classes: DataFrame, settled: DataFrame, percen
     known = settled.select(F.col("d").alias("settled_d"))
     known = F.broadcast(known) if settled.count() * 8 <= BROADCAST_BYTES else known
     flagged = once.join(known, F.col("d") == F.col("settled_d"), "left").withColumn("settled", F.col("settled_d").isNotNull())
-    rows = flagged.select("n", "d", "b1", "b2", "settled", F.posexplode("prefix").alias("at", "word"))
-    # The class decides all other columns, so equal rows are copies of a class.
-    rows = rows.repartition("word").select("word", "d", F.col("n").cast("int").alias("n"), "at", "b1", "b2", "settled").distinct()
+    rows = flagged.select("n", "d", "b1", "b2", "settled", "key", "line_no", F.posexplode("prefix").alias("at", "word"))
+    # The class decides the columns grouped by, so rows of a group are its lines; the first one counts.
+    spot = F.struct(F.col("key").isNull().alias("no_key"), "key", "line_no")
+    rows = rows.repartition("word").groupBy("word", "d", F.col("n").cast("int").alias("n"), "at", "b1", "b2", "settled").agg(F.min(spot).alias("spot"))
     left, right = (rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "word"]) for side in "lr")
     together = (left["word"] == right["word"]) & (F.col("l_d") < F.col("r_d")) & ~(F.col("l_settled") & F.col("r_settled"))
-    return _pairs(left.join(right, together & _positional(percent) & _may_match(percent)))
+    met = left.join(right, together & _positional(percent) & _may_match(percent))
+    sides = [turn(F.col(f"{x}_spot.key"), F.col(f"{x}_spot.line_no"), F.col(f"{x}_d")) for x in "lr"]
+    pairs = met.select(F.greatest(*sides).alias("later"), F.least(*sides).alias("earlier")).distinct()
+    order = Window.partitionBy("later").orderBy("earlier")
+    ranked = pairs.select(F.col("later.d").alias("later"), F.col("earlier.d").alias("earlier"), F.row_number().over(order).alias("try"))
+    return ranked.select("later", F.least("later", "earlier").alias("a"), F.greatest("later", "earlier").alias("b"), "try")
 
 
 def links(df: DataFrame, stored: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
     """Pairs of similar classes (a, b), enough of them that each class with an earlier match has one here.
 
-    Likely pairs settle most classes that have an earlier match. The prefix join then leaves out pairs of
-    two settled classes only, so a group of near copies does not give all its pairs, while every class
-    that is still open meets all it may match.
+    Likely pairs settle many classes that have an earlier match, and the prefix join leaves out pairs of two
+    settled classes. Of the pairs it finds, each class that is still open has its earliest TRIES verified
+    one after another, and all the others only if none of these matches.
     """
     likely = likely_pairs(stored, percent).checkpoint()
     found = verified(df, likely, classes, steps, key, text, percent).checkpoint()
-    settled = later_classes(found, classes.select("d", "first")).checkpoint()
-    pairs = open_pairs(stored, classes, settled, percent).join(likely, ["a", "b"], "left_anti").checkpoint()
-    return found.unionByName(verified(df, pairs, classes, steps, key, text, percent)).checkpoint()
+    firsts = classes.select("d", "first")
+    settled = later_classes(found, firsts).checkpoint()
+    ranked = open_pairs(stored, classes, settled, percent).checkpoint()
+    for number in range(1, TRIES + 2):
+        chosen = ranked.where(F.col("try") == number if number <= TRIES else F.col("try") > TRIES)
+        still = chosen.join(settled.select(F.col("d").alias("later")), "later", "left_anti").select("a", "b").checkpoint()
+        fresh = verified(df, still, classes, steps, key, text, percent).checkpoint()
+        found = found.unionByName(fresh)
+        settled = settled.unionByName(later_classes(fresh, firsts)).distinct().checkpoint()
+    return found.distinct().checkpoint()
 
 
 def later_classes(found: DataFrame, firsts: DataFrame) -> DataFrame:
     """Classes (d) that are linked to one with an earlier first line."""
     a, b = (firsts.select(F.col("d").alias(c), F.col("first").alias(f"first_{c}")) for c in ("a", "b"))
     met = found.join(a, "a").join(b, "b")
-    return met.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("d")).distinct()
+    turns = [turn(F.col(f"first_{x}.key"), F.col(f"first_{x}.line_no"), F.col(x)) for x in "ab"]
+    return met.select(F.greatest(*turns)["d"].alias("d")).distinct()
 
 
 def verified(df: DataFrame, pairs: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
@@ -212,7 +236,8 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", perce
 
     A line is a later match if a line that stands before it, in its own text or another, has a word set of
     Jaccard similarity of at least `percent` / 100; whether that line is removed itself does not matter.
-    Lines stand in order of key (NULL last), text hash and line number. Lines without words are never
+    Lines stand in order of key (NULL last) and line number; lines of several texts with one key and line
+    number stand in the order of their classes, copies of one line there side by side. Lines without words are never
     removed. Equal rows (key and text) have equal lines removed. NULL texts and texts without a word give no row.
     """
     shared_dir(df.sparkSession)
@@ -224,11 +249,13 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", perce
     classes = stored.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first")).checkpoint()
     found = links(df, stored, classes, steps, key, text, percent)
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    earlier = both.join(classes.select(F.col("d").alias("b"), "first"), "b").groupBy(F.col("a").alias("d")).agg(F.min("first").alias("linked"))
+    own = turn(F.col("first.key"), F.col("first.line_no"), F.col("d"))
+    turns = classes.select("d", "lines", own.alias("own"))
+    earlier = both.join(turns.select(F.col("d").alias("b"), "own"), "b").groupBy(F.col("a").alias("d")).agg(F.min("own").alias("linked"))
     # Classes of one line without a link remove nothing.
-    best = classes.join(earlier, "d", "left").where("lines > 1 OR linked IS NOT NULL").select("d", F.least("first", F.coalesce("linked", "first")).alias("best"))
+    best = turns.join(earlier, "d", "left").where("lines > 1 OR linked IS NOT NULL").select("d", F.least("own", F.coalesce("linked", "own")).alias("best"))
     marked = stored.select("key", "th", "line_no", "d").join(best, "d", "left")
-    gone = F.coalesce(place() > F.col("best"), F.lit(False))
+    gone = F.coalesce(turn(F.col("key"), F.col("line_no"), F.col("d")) > F.col("best"), F.lit(False))
     return marked.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed"))
 
 
