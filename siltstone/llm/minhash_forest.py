@@ -5,8 +5,9 @@ values of an order lie in one region; a region with more than REGION texts is lo
 its parts are small, so depth adapts to how dense a region is. Neighbours in a part whose signatures
 agree often enough are candidates. Instead of all pairs a part yields stars around its most typical
 members, which are confirmed on the full shingle sets. A second round brings the sets to the parts whose
-members are in different components still, and compares there what may yet join them. Components are
-taken over the confirmed links.
+members are in different components still, and compares there what may yet join them. A third round does
+so across the parts of a region: each member that is not in the component of the region's most typical
+text by then meets all the others, in blocks. Components are taken over the confirmed links.
 
 A pair of similarity 0.8 shares a region in at least one tree but for one chance in twenty million
 ((1 - 0.8**4)**32), and a pair's signatures agree in CUT places but for about one in a million.
@@ -324,7 +325,7 @@ def near_duplicates(
     if split is not None:
         sizes = split.groupBy("region", "leaf").agg(F.count(F.lit(1)).alias("n"))
         densest = sizes.groupBy("region").agg(F.max_by("leaf", F.struct("n", "leaf")).alias("leaf"))
-        pivots = densest.join(stars.where(F.col("b").isNull()).select("leaf", "a"), "leaf").select("region", "a")
+        pivots = densest.join(stars.where(F.col("b").isNull()).select("leaf", "a"), "leaf").select("region", "a").checkpoint()
         pairs = pairs.unionByName(split.join(pivots, "region").select("a", F.col("node").alias("b")))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
@@ -336,6 +337,12 @@ def near_duplicates(
     if not found.isEmpty():
         roots = components(edges)
     roots = roots.checkpoint()
+    if split is not None:
+        blocks = _open_blocks(split, pivots, roots, region)
+        more = None if blocks is None else _across(df, blocks, texts, classes, roots, cut, key, text, shingle, percent)
+        if more is not None and not more.isEmpty():
+            tied = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).where(F.col("u") != F.col("v"))
+            roots = components(tied.unionByName(more)).checkpoint()
     least = roots.join(classes, "node").groupBy("root").agg(F.min("least_id").alias("linked_id"))
     linked = roots.join(least, "root").select("node", "linked_id")
     named = classes.join(linked, "node", "left").select("node", F.coalesce("linked_id", "least_id").alias("component_id"))
@@ -374,3 +381,53 @@ def _rest(leaves: DataFrame, roots: DataFrame, sets: DataFrame, cut: int, percen
     mixed = labelled.groupBy("leaf").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("leaf")
     members = labelled.join(mixed, "leaf").join(sets, "node").select("leaf", "node", "bytes", "root", "shingles")
     return members.repartition("leaf").sortWithinPartitions("leaf", "node").mapInArrow(_cross_links(cut, percent), "u binary, v binary").checkpoint()
+
+
+def _open_blocks(split: DataFrame, pivots: DataFrame, roots: DataFrame, region: int) -> DataFrame | None:
+    """(leaf, node) in which every open member of a divided region meets all members, or None if none is open.
+
+    A member is open if it is not in the component of the region's pivot. Regions whose pivots are in one
+    component are taken together, so that a pair which shares many of them is compared once. Open members and
+    all members are dealt into blocks of half of `region`; each block of the ones meets each of the others.
+    """
+    known = roots.select("node", "root")
+    masses = pivots.join(known.withColumnRenamed("node", "a"), "a", "left").select("region", F.coalesce("root", "a").alias("mass"))
+    members = split.select("region", "node").join(masses, "region").select("mass", "node").distinct().join(known, "node", "left")
+    members = members.select("mass", "node", (F.coalesce("root", "node") != F.col("mass")).alias("open")).checkpoint()
+    counts = members.groupBy("mass").agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("n_open")).where("n_open > 0")
+    counts = counts.checkpoint()
+    if counts.isEmpty():
+        return None
+    half = max(1, region // 2)
+    # Fewer than TREES for every `region` texts.
+    dealt = members.join(F.broadcast(counts), "mass").withColumns({"rows": F.ceil(F.col("n_open") / half), "columns": F.ceil(F.col("n") / half)})
+    every = [F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1)).alias("turn") for c in ("columns", "rows")]
+    row, column = F.pmod(F.xxhash64("node"), "rows"), F.pmod(F.xxhash64("node"), "columns")
+    opened = dealt.where("open").select("mass", "node", row.alias("at"), every[0]).select("node", F.xxhash64("mass", "at", "turn").alias("leaf"))
+    others = dealt.select("mass", "node", column.alias("at"), every[1]).select("node", F.xxhash64("mass", "turn", "at").alias("leaf"))
+    return opened.unionByName(others).distinct()
+
+
+def _across(
+    df: DataFrame, blocks: DataFrame, texts: DataFrame, classes: DataFrame, roots: DataFrame, cut: int, key: str, text: str, size: int, percent: int
+) -> DataFrame:
+    """Confirmed links between components from blocks; sets are brought only to members with a close one in another component."""
+    labelled = blocks.join(texts.select("node", "bytes"), "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    dealt = labelled.select("leaf", "node", "bytes", "root").repartition("leaf").sortWithinPartitions("leaf", "node")
+    close = dealt.mapInArrow(_close_across(cut), "leaf long, node binary, bytes binary").checkpoint()
+    needed = close.select("node").distinct().join(classes, "node")
+    return _rest(close, roots, _sets(df, needed, key, text, size).checkpoint(), cut, percent)
+
+
+def _close_across(cut: int):
+    """Per leaf: its members that agree often enough with one of another component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches):
+            _, roots = np.unique(np.array(table.column("root").to_pylist(), object), return_inverse=True)
+            places = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, HASHES)
+            close = ((_agreements(places) >= cut) & (roots[:, None] != roots[None, :])).any(axis=1)
+            if close.any():
+                yield from table.select(["leaf", "node", "bytes"]).filter(pa.array(close)).combine_chunks().to_batches()
+
+    return run

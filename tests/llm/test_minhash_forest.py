@@ -52,6 +52,26 @@ def test_components_match_all_pairs(spark, size, region):
         assert row.kept == (row.component_id == row.doc_id)
 
 
+def test_copies_of_copies_in_divided_regions(spark):
+    rnd = random.Random(7)
+    base = [f"w{k}" for k in range(400)]
+
+    def changed(words, count, mark):
+        out = list(words)
+        for at in rnd.sample([i for i in range(0, 400, 4) if out[i] == base[i]], count):
+            out[at] = f"{mark}x{at}"
+        return out
+
+    copies = [changed(base, 1, f"c{k}") for k in range(200)]
+    # Similar to their parents by 0.801, to the text all the others are near to by 0.793.
+    children = [changed(copy, 22, f"d{k}") for k, copy in enumerate(copies[:24])]
+    texts = [" ".join(words) for words in [base, *copies, *children]]
+    expected, _ = plain(texts, 2)
+    rows = near_duplicates(documents(spark, texts), shingle=2, region=6).collect()
+    assert set(expected.values()) == {0}
+    assert {r.doc_id: r.component_id for r in rows} == expected
+
+
 def test_null_and_repeated_keys_clashing_columns_and_no_rows(spark):
     df = documents(spark, ["a b c d e f g", "a b c d e f g", "h i j"]).withColumnsRenamed({"lang": "node", "source": "id"})
     df = df.unionByName(df.where("doc_id = 1")).unionByName(df.selectExpr("CAST(NULL AS long) AS doc_id", "text", "node", "id", "n_chars"))
