@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltstone.llm import decontaminate, language_hd, line_dedup, minhash_forest, sentencepiece_codec
-from siltstone.llm.queries import PIECES, read, remainder
+from siltstone.llm.queries import PIECES, read
 from siltstone.session import scratch_path
 
 # The decisions depend on fitted models and set similarities that SQL does not express.
@@ -17,10 +17,14 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; texts that are NULL or hold no letter go."""
-    prototypes = language_hd.fit_prototypes(docs.where(remainder("doc_id", 4) != 2))
+    """Documents with a letter; texts that are NULL or hold no letter go.
+
+    Prototypes are fitted on all documents with a language. Where there are none, no language is found, and
+    texts with a letter stay all the same.
+    """
+    prototypes = language_hd.fit_prototypes(docs)
     found = language_hd.predict(docs, prototypes, docs.columns)
-    return found.where(F.col("lang_pred") != language_hd.UNKNOWN).select(*docs.columns)
+    return found.where("has_letter").select(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

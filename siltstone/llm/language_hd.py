@@ -187,13 +187,13 @@ def fit_prototypes(df: DataFrame, text: str = "text", lang: str = "lang", dimens
 
 
 def predict(df: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], text: str = "text") -> DataFrame:
-    """The columns `keep` with lang_pred and score (the cosine, from 0 to 1) for every row of `df`.
+    """The columns `keep` with lang_pred, score (the cosine, from 0 to 1) and has_letter for every row of `df`.
 
     NULL texts, texts without a letter and an empty set of prototypes give `und` and 0. At equal cosine
     the language first in the alphabet is taken. Repeated rows are judged one by one. Columns of `keep`
-    named lang_pred or score are replaced.
+    named lang_pred, score or has_letter are replaced.
     """
-    keep = [c for c in keep if c not in ("lang_pred", "score")]
+    keep = [c for c in keep if c not in ("lang_pred", "score", "has_letter")]
     names = sorted(prototypes)
     dimensions = len(next(iter(prototypes.values()))) if names else DIMENSIONS
     matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((1, dimensions), np.float32)
@@ -209,7 +209,7 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], t
             cosines = (vectors @ known.T) / np.where(norms > 0, norms, 1)[:, None]
             best = np.where(usable, cosines.argmax(axis=1), len(labels) - 1)
             score = np.where(usable, np.clip(cosines.max(axis=1), 0, 1), 0).astype(np.float64)
-            arrays = [*batch.columns[: len(keep)], pa.array(labels[best], pa.string()), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score"])
+            arrays = [*batch.columns[: len(keep)], pa.array(labels[best], pa.string()), pa.array(score), pa.array(seen)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "has_letter"])
 
-    return df.select(*with_text(keep, text)).mapInArrow(run, out_schema(df, keep, "lang_pred string, score double"))
+    return df.select(*with_text(keep, text)).mapInArrow(run, out_schema(df, keep, "lang_pred string, score double, has_letter boolean"))

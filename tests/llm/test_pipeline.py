@@ -33,6 +33,13 @@ def test_stages_decide_as_planted(spark, tmp_path):
     assert again == kept["sentencepiece"]
 
 
+def test_texts_with_letters_stay_without_languages(spark, tmp_path):
+    texts = ["some words", "12345 678", None, "other words", ""]
+    for docs in (documents(spark, texts, langs=[None] * 5), documents(spark, texts)):
+        kept = corpus_pipeline.identify_language(spark, docs, str(tmp_path)).collect()
+        assert sorted(r.doc_id for r in kept) == [0, 3]
+
+
 def test_near_duplicates_of_one_group_leave_one(spark, tmp_path):
     base = [f"w{k}" for k in range(400)]
     texts = [" ".join(base), " ".join(base[:200] + ["x"] + base[200:]), " ".join(base[:390])]
