@@ -37,10 +37,11 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, by five-word shingles and a similarity of 0.8."""
-    found = minhash_forest.near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates, by five-word shingles and a similarity of 0.8.
+
+    Rows that share a doc_id are judged by their texts, one by one.
+    """
+    return minhash_forest.one_per_component(docs)
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

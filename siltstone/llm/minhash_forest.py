@@ -93,7 +93,7 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _fingerprints(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(id, n_shingles, node, regions, bytes) per row; node is the digest of the shingle set."""
+    """(id, th, n_shingles, node, regions, bytes) per row; th is the text's hash, node the digest of the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -106,17 +106,18 @@ def _fingerprints(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(counts.astype(np.int64)),
                     pa.array(nodes, pa.binary()),
                     pa.array([regions[i] if t else None for i, t in zip(at, there)], pa.list_(pa.int64())),
                     pa.array([places[i].tobytes() if t else None for i, t in zip(at, there)], pa.binary()),
                 ],
-                names=["id", "n_shingles", "node", "regions", "bytes"],
+                names=["id", "th", "n_shingles", "node", "regions", "bytes"],
             )
 
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_shingles long, node binary, regions array<long>, bytes binary")
+    rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
+    return rows.mapInArrow(run, f"id {kind}, th long, n_shingles long, node binary, regions array<long>, bytes binary")
 
 
 def least_agreement(percent: int) -> int:
@@ -308,6 +309,36 @@ def near_duplicates(
 
     Meant for `percent` of 80 and above, for which TREES and DEPTH are chosen.
     """
+    joined = _judged(df, key, text, shingle, percent, region)
+    component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id"))
+    return joined.select(
+        F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")
+    )
+
+
+def one_per_component(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, region: int = REGION) -> DataFrame:
+    """`df` with one row of each component, the first by key and hash of the text; see `near_duplicates`.
+
+    Rows that share a key are judged by their texts, one by one. Rows without a word or a key stay.
+    """
+    rows = _judged(df, key, text, shingle, percent, region).where(F.col("root").isNotNull() & F.col("id").isNotNull())
+    texts = rows.groupBy("root", "id", "th").agg(F.count(F.lit(1)).alias("times"))
+    best = texts.groupBy("root").agg(F.min(F.struct("id", "th")).alias("best"))
+    marked = texts.join(best, "root").withColumn("stays", F.struct("id", "th") == F.col("best"))
+    marked = marked.where(~F.col("stays") | (F.col("times") > 1)).select(F.col("id").alias("__key"), F.col("th").alias("__th"), "stays").checkpoint()
+
+    hashed = df.withColumn("__text_hash", F.xxhash64(F.col(text)))
+    same = (F.col(key) == F.col("__key")) & (F.col("__text_hash") == F.col("__th"))
+    kept = hashed.join(marked, same, "left_anti").select(*df.columns)
+    repeated = marked.where("stays")
+    if repeated.isEmpty():
+        return kept
+    once = hashed.join(repeated, same, "left_semi").dropDuplicates([key, "__text_hash"]).select(*df.columns)
+    return kept.unionByName(once)
+
+
+def _judged(df: DataFrame, key: str, text: str, shingle: int, percent: int, region: int) -> DataFrame:
+    """(node, id, th, n_shingles, component_id, root) per row: th is the text's hash, root a node that stands for the component."""
     spark = df.sparkSession
     shared_dir(spark)
     cut = least_agreement(percent)
@@ -344,13 +375,11 @@ def near_duplicates(
             tied = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).where(F.col("u") != F.col("v"))
             roots = components(tied.unionByName(more)).checkpoint()
     least = roots.join(classes, "node").groupBy("root").agg(F.min("least_id").alias("linked_id"))
-    linked = roots.join(least, "root").select("node", "linked_id")
-    named = classes.join(linked, "node", "left").select("node", F.coalesce("linked_id", "least_id").alias("component_id"))
-    joined = prints.select("id", "n_shingles", "node").join(named, "node", "left")
-    component = F.when(F.col("id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "id"))
-    return joined.select(
-        F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")
+    linked = roots.join(least, "root").select("node", "linked_id", "root")
+    named = classes.join(linked, "node", "left").select(
+        "node", F.coalesce("linked_id", "least_id").alias("component_id"), F.coalesce("root", "node").alias("root")
     )
+    return prints.select("id", "th", "n_shingles", "node").join(named, "node", "left")
 
 
 def _sets(df: DataFrame, needed: DataFrame, key: str, text: str, size: int) -> DataFrame:

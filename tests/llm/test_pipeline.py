@@ -47,6 +47,17 @@ def test_near_duplicates_of_one_group_leave_one(spark, tmp_path):
     assert [r.doc_id for r in kept] == [0]
 
 
+def test_near_duplicates_with_repeated_ids_leave_one_row(spark, tmp_path):
+    base, other, third = ([f"{x}{k}" for k in range(400)] for x in "abc")
+    texts = [" ".join(base), " ".join(base[:390]), " ".join(other), " ".join(third), " ".join(third[:390]), " ".join(third), None]
+    rows = [(i, t, "en", "s", 0) for i, t in zip([1, 2, 2, 5, 5, 5, 5], texts)]
+    docs = spark.createDataFrame(rows, documents(spark, ["a"]).schema)
+    kept = [(r.doc_id, (r.text or "-")[0]) for r in corpus_pipeline.remove_near_duplicates(spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept) == [(1, "a"), (2, "b"), (5, "-"), (5, "c")]
+    equal = corpus_pipeline.remove_near_duplicates(spark, docs.where("text LIKE 'c0%c399'"), str(tmp_path)).collect()
+    assert [(r.doc_id, r.text) for r in equal] == [(5, texts[3])]
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
     assert set(ORACLES) <= set(QUERIES)
