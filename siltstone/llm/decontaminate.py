@@ -6,7 +6,8 @@ place of their values and met with the windows of the benchmark by hash. Adjoini
 item form a run, and within a run the slots must be consistent: equal benchmark values stand for equal
 document values and different for different. So a question with other names and numbers is found,
 while the same frame around unrelated values is not. A second set of templates takes names as words
-whatever their case, so that shouted or lower-cased copies are found too.
+whatever their case, so that shouted or lower-cased copies are found too. A third set takes every token by
+its value, so that texts of numbers, tables and short questions are found by verbatim copies.
 
 Benchmarks are read in blocks of a bounded size, each sent to the workers as sorted hashes; documents
 are scanned once per block, and no document text is shuffled.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from .arrays import mix, out_schema, powers, raw, slices, span_hashes, with_text
 
 WINDOW = 8
-# A window must hold this many plain words, so that slots alone identify nothing.
+# A window with slots must hold this many plain words, so that slots alone identify nothing.
 LEAST_WORDS = 4
 # Items of fewer tokens are matched as a whole; below this many they identify nothing.
 LEAST_TOKENS = 4
@@ -71,6 +72,9 @@ class Tokens:
     def without_names(self) -> Tokens:
         return Tokens(np.where(self.kinds == NAME, np.uint8(WORD), self.kinds), self.values, self.bounds)
 
+    def without_slots(self) -> Tokens:
+        return Tokens(np.zeros_like(self.kinds), self.values, self.bounds)
+
     @property
     def templates(self) -> np.ndarray:
         return np.where(self.kinds == WORD, self.values, _SLOTS[self.kinds])
@@ -156,11 +160,8 @@ class Block:
     sieve: dict[int, np.ndarray] = field(default_factory=dict)
 
 
-def build_block(ids: list[int], texts: list[str], names: bool) -> Block:
-    """Items with equal tokens share an entry; `names` tells whether names are slots or words."""
-    units = _units()
-    tokens = read_tokens(pa.array(texts, pa.string()), units)
-    tokens = tokens if names else tokens.without_names()
+def build_block(ids: list[int], tokens: Tokens, units: np.ndarray) -> Block:
+    """Items with equal tokens share an entry."""
     merged: dict[bytes, int] = {}
     block = Block([], [], [], {}, units)
     for i, item in enumerate(ids):
@@ -269,7 +270,10 @@ def contamination(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     for number in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == number).collect()
         ids, texts = [r.item for r in own], [r.text for r in own]
-        shared = df.sparkSession.sparkContext.broadcast((build_block(ids, texts, True), build_block(ids, texts, False)))
+        units = _units()
+        tokens = read_tokens(pa.array(texts, pa.string()), units)
+        sets = (tokens, tokens.without_names(), tokens.without_slots())
+        shared = df.sparkSession.sparkContext.broadcast(tuple(build_block(ids, one, units) for one in sets))
         # The text, and what earlier blocks found, travel along until the last block.
         out = keep if number == blocks - 1 else with_text(keep, text)
         schema = out_schema(df, out, "item_ids array<long>, matched_tokens long, verbatim boolean")
@@ -279,16 +283,18 @@ def contamination(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
 
 def _scan(shared, text: str, out: list[str], later: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        typed, plain = shared.value
+        typed, plain, exact = shared.value
         for batch in slices(batches, text):
             names = batch.schema.names
             tokens = read_tokens(batch.column(names.index(text)), typed.units)
-            found, again = find_items(tokens, typed), find_items(tokens.without_names(), plain)
+            found = find_items(tokens, typed)
+            others = find_items(tokens.without_names(), plain), find_items(tokens.without_slots(), exact)
             ids, longest, verbatim = [], [], []
             for i in range(batch.num_rows):
                 runs = dict(found.get(i, {}))
-                for name, run in again.get(i, {}).items():
-                    runs[name] = max(runs.get(name, (0, False)), run)
+                for again in others:
+                    for name, run in again.get(i, {}).items():
+                        runs[name] = max(runs.get(name, (0, False)), run)
                 best, held = max(runs.values(), default=(0, False)), sorted(runs)
                 if later:
                     before = [batch.column(names.index(c))[i].as_py() for c in ("item_ids", "matched_tokens", "verbatim")]

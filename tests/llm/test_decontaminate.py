@@ -57,3 +57,16 @@ def test_keeps_columns_and_handles_no_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in contamination(df, none).collect()] == [False]
     assert contamination(df.limit(0), none).collect() == []
+
+
+def matches(spark, items, texts):
+    df = documents(spark, texts)
+    return {r.doc_id: r for r in contamination(df, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+
+
+def test_verbatim_items_of_numbers_and_short_questions(spark):
+    items = ["What is 12 times 34?", "Compute 12 + 34 + 56 + 78 + 90", "1.5 2.5 | 3.5 4.5 | 5.5 6.5 | 7.5 8.5 | 9.5 10.5"]
+    texts = [f"Before {item} after" for item in items] + ["What is 12 times 35?", "Compute 12 + 34 + 56 + 78 + 91"]
+    found = matches(spark, items, texts)
+    assert [found[i].item_ids for i in range(5)] == [[0], [1], [2], [], []]
+    assert all(found[i].verbatim for i in range(3))
