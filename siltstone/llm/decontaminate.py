@@ -18,6 +18,8 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,8 @@ from .arrays import mix, out_schema, powers, raw, slices, span_hashes, with_text
 WINDOW = 8
 # A window with slots must hold this many plain words, so that slots alone identify nothing.
 LEAST_WORDS = 4
-# Items of fewer tokens are matched as a whole; below this many they identify nothing.
+# Items of fewer tokens than WINDOW are matched as a whole; below this many they identify nothing.
+# Here and in the length of a run, a Han or kana character counts as half a token, a Thai one as a quarter.
 LEAST_TOKENS = 4
 # Benchmark text per block, in bytes.
 BLOCK_BYTES = 16 << 20
@@ -44,14 +47,60 @@ WORD, NUMBER, NAME, UNIT = range(4)
 _SLOTS = mix(np.array([11, 23, 37, 53], np.uint64))
 
 
-def _classes() -> tuple[np.ndarray, np.ndarray]:
+# Classes of characters; those of scripts without blanks are tokens of their own.
+LETTER, DIGIT, IDEOGRAPH, SYLLABLE = 1, 2, 3, 4
+# Quarters of a word that a token of each class counts for.
+_QUARTERS = np.array([0, 4, 4, 2, 1], np.int64)
+# Han and kana; Thai, Lao, Myanmar, Khmer and Tai Tham.
+_IDEOGRAPHS = (0x3005, 0x3007), (0x3040, 0x30FF), (0x3100, 0x312F), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D)
+_SYLLABLES = (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1A20, 0x1AAF)
+_APOSTROPHES = "\u2018\u2019"
+
+
+@cache
+def _classes() -> np.ndarray:
+    """The class of each code point below 0x40000; punctuation, symbols, blanks and controls have 0."""
+    out = np.full(0x40000, LETTER, np.uint8)
+    for point in range(0x20000):
+        kind = category(chr(point))
+        if kind == "Nd":
+            out[point] = DIGIT
+        elif kind[0] in "PSZ" or kind == "Cc" or point in (0x200B, 0x2060, 0xFEFF):
+            out[point] = 0
+    out[0x20000:] = IDEOGRAPH
+    for ranges, name in ((_IDEOGRAPHS, IDEOGRAPH), (_SYLLABLES, SYLLABLE)):
+        for low, high in ranges:
+            part = out[low : high + 1]
+            part[part == LETTER] = name
+    return out
+
+
+def _ascii() -> tuple[np.ndarray, np.ndarray]:
     letter, digit = np.zeros(256, bool), np.zeros(256, bool)
     letter[[*range(65, 91), *range(97, 123), 39, *range(128, 256)]] = True
     digit[48:58] = True
     return letter, digit
 
 
-_LETTER, _DIGIT = _classes()
+_LETTER, _DIGIT = _ascii()
+
+
+def _character_classes(data: np.ndarray, code: np.ndarray) -> None:
+    """Set the classes of all bytes of characters beyond ASCII."""
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return
+    follow = [data[np.minimum(lead + k, len(data) - 1)].astype(np.uint32) & 0x3F for k in (1, 2, 3)]
+    first = data[lead].astype(np.uint32)
+    points = np.where(
+        first < 0xE0,
+        (first & 0x1F) << 6 | follow[0],
+        np.where(first < 0xF0, (first & 0x0F) << 12 | follow[0] << 6 | follow[1], (first & 0x07) << 18 | follow[0] << 12 | follow[1] << 6 | follow[2]),
+    )
+    table = _classes()
+    classes = np.where(points < len(table), table[np.minimum(points, len(table) - 1)], np.uint8(LETTER))
+    at = np.flatnonzero(data >= 0x80)
+    code[at] = classes[np.maximum(np.searchsorted(lead, at, side="right") - 1, 0)]
 
 
 def _units() -> np.ndarray:
@@ -68,12 +117,13 @@ class Tokens:
     kinds: np.ndarray
     values: np.ndarray
     bounds: np.ndarray
+    quarters: np.ndarray
 
     def without_names(self) -> Tokens:
-        return Tokens(np.where(self.kinds == NAME, np.uint8(WORD), self.kinds), self.values, self.bounds)
+        return Tokens(np.where(self.kinds == NAME, np.uint8(WORD), self.kinds), self.values, self.bounds, self.quarters)
 
     def without_slots(self) -> Tokens:
-        return Tokens(np.zeros_like(self.kinds), self.values, self.bounds)
+        return Tokens(np.zeros_like(self.kinds), self.values, self.bounds, self.quarters)
 
     @property
     def templates(self) -> np.ndarray:
@@ -83,27 +133,42 @@ class Tokens:
 def read_tokens(column: pa.Array, units: np.ndarray, lower: bool = False) -> Tokens:
     """Letters and digits form tokens of their own; a point or comma between digits belongs to a number.
 
+    Each character of a script without blanks is a token. An apostrophe, straight or curly, belongs to a word
+    between letters only.
+
     Value hashes are of lower-cased tokens; with `lower` the text is in lower case already.
     """
+    if not lower:
+        column = column.cast(pa.large_string())
+        for mark in _APOSTROPHES:
+            column = pc.replace_substring(column, mark, "'")
     data, offsets = raw(column)
     size = len(data)
     letter, digit = _LETTER[data], _DIGIT[data]
     if size > 2:
         digit[1:-1] |= ((data[1:-1] == 46) | (data[1:-1] == 44)) & _DIGIT[data[:-2]] & _DIGIT[data[2:]]
     code = letter + 2 * digit.astype(np.uint8)
+    _character_classes(data, code)
+    quote = np.flatnonzero(data == 39)
+    edge = np.isin(quote, offsets) | np.isin(quote + 1, offsets)
+    around = [np.clip(quote + k, 0, max(size - 1, 0)) for k in (-1, 1)]
+    code[quote[edge | np.logical_or.reduce([(code[k] != LETTER) | (data[k] == 39) for k in around])]] = 0
+    single = np.zeros(size + 1, bool)
+    single[:-1] = (code >= IDEOGRAPH) & ((data & 0xC0) != 0x80)
     previous = np.zeros(size + 1, np.uint8)
     previous[1:] = code
     previous[offsets] = 0
-    starts = np.flatnonzero((code > 0) & (code != previous[:-1]))
+    starts = np.flatnonzero((code > 0) & ((code != previous[:-1]) | single[:-1]))
     after = np.zeros(size + 1, np.uint8)
     after[:-1] = code
     after[offsets] = 0
-    ends = np.flatnonzero((code > 0) & (code != after[1:])) + 1
+    ends = np.flatnonzero((code > 0) & ((code != after[1:]) | single[1:])) + 1
     bounds = np.searchsorted(starts, offsets)
+    quarters = _QUARTERS[code[starts]]
     if lower:
-        return Tokens(np.zeros(len(starts), np.uint8), span_hashes(data, starts, ends, lower=True), bounds)
+        return Tokens(np.zeros(len(starts), np.uint8), span_hashes(data, starts, ends, lower=True), bounds, quarters)
     # Lower-casing leaves letters letters, so tokens of the lower-cased text stand in the same order.
-    values = read_tokens(pc.utf8_lower(column.cast(pa.large_string())), units, lower=True).values
+    values = read_tokens(pc.utf8_lower(column), units, lower=True).values
     kinds = np.zeros(len(starts), np.uint8)
     if len(starts):
         capital = _capitals(data, starts)
@@ -111,14 +176,14 @@ def read_tokens(column: pa.Array, units: np.ndarray, lower: bool = False) -> Tok
         inside = second < ends
         again = np.zeros(len(starts), bool)
         again[inside] = _capitals(data, second[inside])
-        number = _DIGIT[data[starts]]
+        number = code[starts] == DIGIT
         kinds[capital & ~again] = NAME
         kinds[number] = NUMBER
         place = np.minimum(np.searchsorted(units, values), len(units) - 1)
         follows = np.concatenate([[False], number[:-1]])
         follows[np.minimum(bounds[:-1], len(starts) - 1)] = False
         kinds[(units[place] == values) & follows & ~number] = UNIT
-    return Tokens(kinds, values, bounds)
+    return Tokens(kinds, values, bounds, quarters)
 
 
 def _capitals(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -157,6 +222,8 @@ class Block:
     values: list[np.ndarray]
     windows: dict[int, dict[int, list[tuple[int, int]]]]
     units: np.ndarray
+    # Sums of quarters over each item's tokens.
+    sums: list[np.ndarray] = field(default_factory=list)
     sieve: dict[int, np.ndarray] = field(default_factory=dict)
 
 
@@ -166,7 +233,7 @@ def build_block(ids: list[int], tokens: Tokens, units: np.ndarray) -> Block:
     block = Block([], [], [], {}, units)
     for i, item in enumerate(ids):
         low, high = tokens.bounds[i], tokens.bounds[i + 1]
-        if high - low < LEAST_TOKENS:
+        if tokens.quarters[low:high].sum() < 4 * LEAST_TOKENS:
             continue
         kinds, values = tokens.kinds[low:high], tokens.values[low:high]
         known = merged.setdefault(kinds.tobytes() + values.tobytes(), len(block.ids))
@@ -176,7 +243,8 @@ def build_block(ids: list[int], tokens: Tokens, units: np.ndarray) -> Block:
         block.ids.append([item])
         block.kinds.append(kinds)
         block.values.append(values)
-        own = Tokens(kinds, values, np.array([0, len(kinds)]))
+        block.sums.append(np.concatenate([[0], np.cumsum(tokens.quarters[low:high])]))
+        own = Tokens(kinds, values, np.array([0, len(kinds)]), tokens.quarters[low:high])
         size = min(WINDOW, len(kinds))
         hashes, at = window_hashes(own, size)
         held = block.windows.setdefault(size, defaultdict(list))
@@ -189,8 +257,8 @@ def build_block(ids: list[int], tokens: Tokens, units: np.ndarray) -> Block:
     return block
 
 
-def consistent_runs(places: list[int], size: int, item: tuple[np.ndarray, np.ndarray], doc: tuple[np.ndarray, np.ndarray], shift: int) -> Iterator[tuple[int, bool]]:
-    """(tokens, verbatim) of each run; `places` are sorted starts in the item, `shift` leads to the document.
+def consistent_runs(places: list[int], size: int, item: tuple[np.ndarray, np.ndarray], doc: tuple[np.ndarray, np.ndarray], shift: int) -> Iterator[tuple[int, int, bool]]:
+    """(first token, end, verbatim) of each run; `places` are sorted starts in the item, `shift` leads to the document.
 
     A window whose slots contradict those of its run so far begins a run of its own; a window that
     contradicts itself belongs to none.
@@ -202,7 +270,7 @@ def consistent_runs(places: list[int], size: int, item: tuple[np.ndarray, np.nda
         for fresh in (False, True):
             if fresh or place > reached:
                 if length:
-                    yield length, verbatim
+                    yield reached - length, reached, verbatim
                 there, back, length, reached, verbatim = {}, {}, 0, place, True
             first = max(place, reached)
             added = []
@@ -229,7 +297,7 @@ def consistent_runs(places: list[int], size: int, item: tuple[np.ndarray, np.nda
                 there, back, length, reached, verbatim = {}, {}, 0, -1, True
                 break
     if length:
-        yield length, verbatim
+        yield reached - length, reached, verbatim
 
 
 def find_items(tokens: Tokens, block: Block) -> dict[int, dict[int, tuple[int, bool]]]:
@@ -246,7 +314,12 @@ def find_items(tokens: Tokens, block: Block) -> dict[int, dict[int, tuple[int, b
     found: dict[int, dict[int, tuple[int, bool]]] = defaultdict(dict)
     for (row, entry, shift, size), places in met.items():
         item, doc = (block.kinds[entry], block.values[entry]), (tokens.kinds, tokens.values)
-        for run in consistent_runs(sorted(places), size, item, doc, shift):
+        sums = block.sums[entry]
+        for low, high, verbatim in consistent_runs(sorted(places), size, item, doc, shift):
+            # A part of an item must be long enough; characters of scripts without blanks count for less than a word.
+            if high - low < len(item[0]) and sums[high] - sums[low] < 4 * WINDOW:
+                continue
+            run = (high - low, verbatim)
             for name in block.ids[entry]:
                 found[row][name] = max(found[row].get(name, (0, False)), run)
     return found

@@ -70,3 +70,12 @@ def test_verbatim_items_of_numbers_and_short_questions(spark):
     found = matches(spark, items, texts)
     assert [found[i].item_ids for i in range(5)] == [[0], [1], [2], [], []]
     assert all(found[i].verbatim for i in range(3))
+
+
+def test_scripts_without_blanks_and_marks_beyond_ascii(spark):
+    chinese = "一列火车以每小时六十公里的速度行驶，两小时后它走了多远？"
+    thai = "รถไฟวิ่งด้วยความเร็วหกสิบกิโลเมตรต่อชั่วโมงเป็นเวลาสองชั่วโมง"
+    quoted = "which of the farmer's “seven” dogs didn't come — when it was called"
+    texts = [f"前文{chinese}后文", f"ก่อน{thai}หลัง", quoted.replace("'", "\u2019").replace("“seven”", "'seven'").replace(" — ", "\u2014"), "每小时六十公里的", "กิโลเมตรต่อ", None]
+    found = matches(spark, [chinese, thai, quoted], texts)
+    assert [found[i].item_ids for i in range(6)] == [[0], [1], [2], [], [], []]
