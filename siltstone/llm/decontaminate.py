@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 from .arrays import mix, out_schema, powers, raw, slices, span_hashes, with_text
 
 WINDOW = 8
+# Part of an item with other slot values must be this long, as frames of common words recur by chance.
+CHANGED = 16
 # A window with slots must hold this many plain words, so that slots alone identify nothing.
 LEAST_WORDS = 4
 # Items of fewer tokens than WINDOW are matched as a whole; below this many they identify nothing.
@@ -317,7 +319,7 @@ def find_items(tokens: Tokens, block: Block) -> dict[int, dict[int, tuple[int, b
         sums = block.sums[entry]
         for low, high, verbatim in consistent_runs(sorted(places), size, item, doc, shift):
             # A part of an item must be long enough; characters of scripts without blanks count for less than a word.
-            if high - low < len(item[0]) and sums[high] - sums[low] < 4 * WINDOW:
+            if high - low < len(item[0]) and sums[high] - sums[low] < 4 * (WINDOW if verbatim else CHANGED):
                 continue
             run = (high - low, verbatim)
             for name in block.ids[entry]:
@@ -328,8 +330,8 @@ def find_items(tokens: Tokens, block: Block) -> dict[int, dict[int, tuple[int, b
 def contamination(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every row of `df`: the columns `keep` (only the key unless given), item_ids, matched_tokens, verbatim, contaminated.
 
-    item_ids: sorted ids of the items of which a consistent run of at least WINDOW tokens (or the whole
-    item, if shorter) occurs; matched_tokens: length of the longest such run; verbatim: whether a
+    item_ids: sorted ids of the items of which a consistent run of at least WINDOW tokens, or CHANGED if slots
+    have other values (or the whole item, if shorter) occurs; matched_tokens: length of the longest such run; verbatim: whether a
     longest run has the benchmark's own slot values. NULL and empty texts match nothing; items with a
     NULL id or text, or of fewer than LEAST_TOKENS tokens, are matched by nothing. Repeated rows are
     judged one by one.

@@ -79,3 +79,10 @@ def test_scripts_without_blanks_and_marks_beyond_ascii(spark):
     texts = [f"前文{chinese}后文", f"ก่อน{thai}หลัง", quoted.replace("'", "\u2019").replace("“seven”", "'seven'").replace(" — ", "\u2014"), "每小时六十公里的", "กิโลเมตรต่อ", None]
     found = matches(spark, [chinese, thai, quoted], texts)
     assert [found[i].item_ids for i in range(6)] == [[0], [1], [2], [], [], []]
+
+
+def test_common_frames_around_other_names_are_clean(spark):
+    item = "Die Leute sangen gestern in der Kirche und in der Welt zu ihrer Freude viele alte Lieder"
+    texts = ["Wir waren in der Schule und in der Stadt zu Hause", "Sie sangen in der Kirche und in der Welt zu laut", item.replace("Kirche", "Schule")]
+    found = matches(spark, [item], texts)
+    assert [found[i].item_ids for i in range(3)] == [[], [0], [0]]
