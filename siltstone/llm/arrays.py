@@ -76,14 +76,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SL
             start = stop
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of all words; a row's border always ends a word."""
+def spans(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of all words, which hold no `blank` byte; a row's border always ends a word."""
     starts, ends = [], []
     for low in range(0, len(data), SEGMENT):
         high = min(low + SEGMENT, len(data))
-        word = ~SPACE[data[low:high]]
+        word = ~blank[data[low:high]]
         before = np.empty_like(word)
-        before[0] = low > 0 and not SPACE[data[low - 1]]
+        before[0] = low > 0 and not blank[data[low - 1]]
         before[1:] = word[:-1]
         inside = offsets[(offsets >= low) & (offsets < high)] - low
         change = word != before
@@ -95,7 +95,7 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         ends.append(np.flatnonzero(end) + low)
     if not starts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(data) and not SPACE[data[-1]]:
+    if len(data) and not blank[data[-1]]:
         ends.append(np.array([len(data)]))
     return np.concatenate(starts), np.concatenate(ends)
 

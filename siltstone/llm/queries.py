@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure, shared_dir
-from . import decontaminate, language_hd, line_dedup, lm_scoring, minhash_forest, quality_classifier, quality_rules, sentencepiece_codec, sql, token_counts, url_filter
+from . import decontaminate, language_hd, license_scan, line_dedup, lm_scoring, minhash_forest, phrases, quality_classifier, quality_rules, ranked_search
+from . import sentencepiece_codec, sql, token_counts, url_filter
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -103,6 +104,18 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, folder, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
+def op12_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(read(spark, folder, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_lm_scoring": op2_lm_scoring,
@@ -114,10 +127,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_license_scans": op12_license_scans,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLES: dict[str, str] = {
     "op1_url_filters": sql.url_filters(RULES),
     "op3_line_dedup": sql.line_dedup(),
     "op6_minhash_near_dedup": sql.near_duplicates(),
     "op10_quality_rules": sql.quality_rules(),
+    "op11_phrase_collocations": sql.collocations(),
+    "op12_license_scans": sql.license_scans(),
+    "op13_ranked_search": sql.ranked_search(),
 }

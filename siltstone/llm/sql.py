@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from . import license_scan, phrases
 from .quality_rules import MIN_DOCS, SIGNALS, SPREADS
+from .ranked_search import TOP
 from .url_filter import LOWER, UPPER, Rule
 
 WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
@@ -108,3 +110,90 @@ def quality_rules(min_docs: int = MIN_DOCS) -> str:
       JOIN middle AS m ON c.lang IS NOT DISTINCT FROM m.lang JOIN whole AS w ON true)
     SELECT doc_id, n_words, word_chars, n_symbols, n_upper, n_lines, n_dup_lines, n_repeat_words, base_failed, level,
            NOT base_failed AND {passes} AS kept FROM levels"""
+
+
+def collocations(least: int = phrases.LEAST, top: int = phrases.TOP) -> str:
+    """All phrases as text, counted; parts and longer phrases met by joins on text."""
+    lowered = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    return rf"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lowered}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    spots AS (
+      SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM split, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k),
+    counts AS (SELECT lang, k, phrase, count(*) AS f FROM spots GROUP BY lang, k, phrase),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+    frequent AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= {least}),
+    parts AS (
+      SELECT lang, phrase AS whole, f AS a, cut, unnest(['l', 'r']) AS side,
+             unnest([array_to_string(w[1:cut], ' '), array_to_string(w[cut + 1:k], ' ')]) AS phrase
+      FROM frequent JOIN (VALUES (1), (2), (3)) AS places(cut) ON cut < k),
+    sides AS (
+      SELECT p.lang, whole AS phrase, a, cut, max(f) FILTER (WHERE side = 'l') AS l, max(f) FILTER (WHERE side = 'r') AS r
+      FROM parts AS p JOIN counts AS c ON p.lang = c.lang AND p.phrase = c.phrase GROUP BY p.lang, whole, a, cut),
+    cuts AS (SELECT *, CAST(CAST(a AS HUGEINT) * {phrases.SCALE} // (l + r) AS BIGINT) AS score FROM sides),
+    best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS turn FROM cuts),
+    inside AS (
+      SELECT c.lang, array_to_string(c.w[i:i + m - 1], ' ') AS phrase, c.f
+      FROM frequent AS c JOIN (VALUES (2), (3)) AS sizes(m) ON m < c.k JOIN (VALUES (1), (2), (3)) AS places(i) ON i + m - 1 <= c.k),
+    gone AS (SELECT DISTINCT p.lang, p.phrase FROM inside AS o JOIN frequent AS p ON o.lang = p.lang AND o.phrase = p.phrase WHERE 100 * o.f >= {phrases.EXPLAINED} * p.f),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM best ANTI JOIN gone USING (lang, phrase) WHERE turn = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {top}"""
+
+
+def license_scans(share: int = license_scan.SHARE) -> str:
+    """Words as lists; places of phrases by comparing lists, votes of templates by joining runs as text."""
+    lowered = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    size, gap = license_scan.RUN, license_scan.GAP
+    listed, known = (", ".join(f"({at}, '{t}', '{b}')" for at, (t, b) in enumerate(x.items())) for x in (license_scan.PHRASES, license_scan.TEMPLATES))
+    return rf"""
+    WITH texts AS (SELECT doc_id, row_number() OVER () AS row, regexp_extract_all({lowered}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    phrases AS (SELECT string_split(phrase, ' ') AS x, label FROM (VALUES {listed}) AS v(id, phrase, label)),
+    templates AS (SELECT id, string_split(template, ' ') AS x, label FROM (VALUES {known}) AS v(id, template, label)),
+    places AS (
+      SELECT row, label, unnest(list_filter(range(1, len(w) - len(x) + 2), lambda i: w[i:i + len(x) - 1] = x)) - 1 AS place
+      FROM texts, phrases WHERE len(w) >= len(x)),
+    based AS (
+      SELECT row, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+      FROM places GROUP BY row),
+    runs AS (SELECT id, label, len(x) AS n, unnest(range(1, len(x) - {size} + 2)) AS q, x FROM templates),
+    known AS (SELECT id, label, n, q - 1 AS q, array_to_string(x[q:q + {size} - 1], ' ') AS run FROM runs),
+    spots AS (
+      SELECT row, unnest(range(1, len(w) - {size} + 2)) AS p,
+             unnest(list_transform(range(1, len(w) - {size} + 2), lambda i: array_to_string(w[i:i + {size} - 1], ' '))) AS run
+      FROM texts WHERE len(w) >= {size}),
+    votes AS (SELECT row, id, label, n, q, p - 1 AS p, p - 1 - q AS diagonal FROM spots JOIN known USING (run)),
+    stepped AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY row, id ORDER BY diagonal, q) <= {gap} THEN 0 ELSE 1 END AS apart FROM votes),
+    banded AS (SELECT *, sum(apart) OVER (PARTITION BY row, id ORDER BY diagonal, q ROWS UNBOUNDED PRECEDING) AS band FROM stepped),
+    spaced AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY row, id, band ORDER BY p, q) <= n THEN 0 ELSE 1 END AS far FROM banded),
+    parted AS (SELECT *, sum(far) OVER (PARTITION BY row, id, band ORDER BY p, q ROWS UNBOUNDED PRECEDING) AS part FROM spaced),
+    spans AS (
+      SELECT row, label, n, len(list_distinct(flatten(list(range(q, q + {size}))))) AS covered FROM parted GROUP BY row, id, label, n, band, part),
+    found AS (SELECT row, label, CAST(covered AS DOUBLE) / n AS share FROM spans WHERE 100 * covered >= {share} * n UNION ALL SELECT row, label, 1.0 FROM places),
+    marked AS (SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM found GROUP BY row)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+           coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+    FROM texts LEFT JOIN based USING (row) LEFT JOIN marked USING (row)"""
+
+
+def ranked_search(top: int = TOP) -> str:
+    """Every document that holds a term of an item, with its whole score."""
+    found = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+    WITH texts AS (SELECT doc_id, row_number() OVER () AS row, {found} AS w FROM documents),
+    lengths AS (SELECT row, CAST(len(w) AS BIGINT) AS n FROM texts WHERE len(w) > 0),
+    totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS size FROM lengths),
+    counts AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM texts) AS t GROUP BY row, term),
+    df AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+    asked AS (SELECT DISTINCT item_id, text, unnest(list_distinct({found})) AS term FROM benchmark),
+    weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, totals),
+    scores AS (
+      SELECT item_id, text, row, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // size)))) AS BIGINT) AS score
+      FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (row), totals GROUP BY item_id, text, row),
+    ranked AS (
+      SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id, s.text ORDER BY score DESC, doc_id) AS rank
+      FROM scores AS s JOIN texts USING (row) WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= {top}"""
