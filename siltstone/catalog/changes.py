@@ -199,6 +199,10 @@ SNAPSHOT_SQL = """
     UNION ALL SELECT ak, ap, asx, 'update_postimage', 2, TIMESTAMP '{AT}' FROM pairs WHERE ak = bk AND ap <> bp""",
 )
 def snapshot_feed(t: Tables) -> DataFrame:
+    return change_feed(*snapshots(t), ["o_orderkey"], 2, at())
+
+
+def snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
     before = t("orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     # Rows without a key are on both sides and take no part.
     lost = before.where("o_orderkey % 23 = 0").withColumn("o_orderkey", F.lit(None).cast("bigint"))
@@ -207,7 +211,7 @@ def snapshot_feed(t: Tables) -> DataFrame:
     added = before.where("o_orderkey % 19 = 0").select(
         (F.col("o_orderkey") + 10000000000).alias("o_orderkey"), "o_totalprice", F.lit(None).cast("string").alias("o_orderstatus")
     )
-    return change_feed(before.unionByName(lost), after.unionByName(added).unionByName(lost), ["o_orderkey"], 2, at())
+    return before.unionByName(lost), after.unionByName(added).unionByName(lost)
 
 
 @register(
