@@ -25,7 +25,7 @@ SEED = 977
 UNKNOWN = "und"
 # Prototypes are brought together and broadcast; a table with more languages than this is refused.
 MAX_LANGUAGES = 4096
-# Code points of a text handled at once; counts of a longer text are added up over pieces.
+# Code points of a text handled at once; counts of a longer text are added up over pieces, with the letters before a cut carried over.
 PIECE = 1 << 19
 _BMP = 0x10000
 _letters: dict[str, np.ndarray] = {}
@@ -91,17 +91,24 @@ def profiles(column: pa.Array, binder: Binder) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros((len(offsets) - 1, binder.dimensions), np.float32)
     seen = np.zeros(len(offsets) - 1, bool)
     # Each row is laid out as gap, text, gap; runs of gaps become one.
+    carried = np.zeros(0, np.int64)
     for first, last, low, high in _pieces(chars):
         letters = fold(points[low:high])
         rows = np.repeat(np.arange(first, last), np.minimum(chars[first + 1 : last + 1], high) - np.maximum(chars[first:last], low))
-        starts = np.flatnonzero(np.diff(rows, prepend=-1))
-        letters = np.insert(letters, starts, 0)
-        rows = np.insert(rows, starts, rows[starts])
-        ends = np.flatnonzero(np.diff(rows, append=-1)) + 1
-        letters, rows = np.insert(letters, ends, 0), np.insert(rows, ends, rows[ends - 1])
+        if low == chars[first]:
+            starts = np.flatnonzero(np.diff(rows, prepend=-1))
+            letters = np.insert(letters, starts, 0)
+            rows = np.insert(rows, starts, rows[starts])
+        else:
+            # A piece of a long row goes on from the last two letters or gaps of the piece before.
+            letters, rows = np.concatenate([carried, letters]), np.full(len(carried) + len(letters), first)
+        if high == chars[last]:
+            ends = np.flatnonzero(np.diff(rows, append=-1)) + 1
+            letters, rows = np.insert(letters, ends, 0), np.insert(rows, ends, rows[ends - 1])
         keep = np.ones(len(letters), bool)
         keep[1:] = (letters[1:] != 0) | (letters[:-1] != 0) | (rows[1:] != rows[:-1])
         letters, rows = letters[keep], rows[keep]
+        carried = letters[-2:]
         if not len(letters):
             continue
         alphabet, place = np.unique(letters, return_inverse=True)
@@ -187,13 +194,15 @@ def fit_prototypes(df: DataFrame, text: str = "text", lang: str = "lang", dimens
 
 
 def predict(df: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], text: str = "text") -> DataFrame:
-    """The columns `keep` with lang_pred, score (the cosine, from 0 to 1) and has_letter for every row of `df`.
+    """The columns `keep` with lang_pred, score (the cosine, from 0 to 1), has_letter and margin for every row of `df`.
+
+    margin is by how much the cosine exceeds that of the second language, or the cosine itself where there is only one.
 
     NULL texts, texts without a letter and an empty set of prototypes give `und` and 0. At equal cosine
     the language first in the alphabet is taken. Repeated rows are judged one by one. Columns of `keep`
-    named lang_pred, score or has_letter are replaced.
+    named lang_pred, score, has_letter or margin are replaced.
     """
-    keep = [c for c in keep if c not in ("lang_pred", "score", "has_letter")]
+    keep = [c for c in keep if c not in ("lang_pred", "score", "has_letter", "margin")]
     names = sorted(prototypes)
     dimensions = len(next(iter(prototypes.values()))) if names else DIMENSIONS
     matrix = np.stack([prototypes[n] for n in names]) if names else np.zeros((1, dimensions), np.float32)
@@ -209,7 +218,9 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str], t
             cosines = (vectors @ known.T) / np.where(norms > 0, norms, 1)[:, None]
             best = np.where(usable, cosines.argmax(axis=1), len(labels) - 1)
             score = np.where(usable, np.clip(cosines.max(axis=1), 0, 1), 0).astype(np.float64)
-            arrays = [*batch.columns[: len(keep)], pa.array(labels[best], pa.string()), pa.array(score), pa.array(seen)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "has_letter"])
+            second = np.partition(cosines, -2, axis=1)[:, -2] if cosines.shape[1] > 1 else np.zeros(len(cosines))
+            margin = np.where(usable, cosines.max(axis=1) - second, 0).astype(np.float64)
+            arrays = [*batch.columns[: len(keep)], pa.array(labels[best], pa.string()), pa.array(score), pa.array(seen), pa.array(margin)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "has_letter", "margin"])
 
-    return df.select(*with_text(keep, text)).mapInArrow(run, out_schema(df, keep, "lang_pred string, score double, has_letter boolean"))
+    return df.select(*with_text(keep, text)).mapInArrow(run, out_schema(df, keep, "lang_pred string, score double, has_letter boolean, margin double"))

@@ -30,7 +30,7 @@ def plain_profile(text):
 def test_profiles_match_letter_by_letter(spark):
     import pyarrow as pa
 
-    texts = ["The  cat, the CAT!", None, "", "12 3.", "é", "Straße 𝒜b 中文", "x", *texts_of("aa", 3, 5)]
+    texts = ["The  cat, the CAT!", None, "", "12 3.", "é", "Straße 𝒜b 中文", "x", "..." * 20 + "a" + "-" * 40 + "bcd", *texts_of("aa", 3, 5)]
     found, seen = hd.profiles(pa.array(texts, pa.string()), hd.Binder(hd.DIMENSIONS))
     for text, vector, letter in zip(texts, found, seen):
         assert np.array_equal(vector, plain_profile(text)), text
@@ -40,8 +40,8 @@ def test_profiles_match_letter_by_letter(spark):
         pieces, _ = hd.profiles(pa.array(texts, pa.string()), hd.Binder(hd.DIMENSIONS))
     finally:
         hd.PIECE = old
-    # Cut into pieces, a text gains only a gap at each cut.
-    assert np.linalg.norm(pieces[0]) > 0 and np.array_equal(pieces[6], found[6])
+    # A text that is cut into pieces has the same profile.
+    assert np.array_equal(pieces, found)
 
 
 def test_held_out_languages_are_found(spark):
