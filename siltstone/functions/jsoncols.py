@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StructType
@@ -54,33 +54,36 @@ def project_keys(map_col: Column, spec: dict[str, tuple[str, str]]) -> list[Colu
     return columns
 
 
-# The keys a record element is known to have, and its declared shape.
+# The keys a record element is known to have, and the declared shape of its options.
 RECORD_KEYS = ["id", "name", "optionData", "priority", "type"]
-RECORDS = (
-    "ARRAY<STRUCT<id: STRING, name: STRING, optionData: STRUCT<checkBoxes: ARRAY<STRING>, data: STRING, fixedText: STRING>, "
-    "priority: STRING, type: STRING>>"
-)
+OPTIONS = "STRUCT<checkBoxes: ARRAY<STRING>, data: STRING, fixedText: STRING>"
 
 
 def structure_records(col: Column) -> Column:
     """JSON array text of records to an array of typed structs; absent or malformed gives an empty array.
 
-    The text is parsed once for the known keys and once for the unknown ones.
+    The text is parsed once, to maps of texts; of an element only its options are parsed further.
     """
 
-    def record(known: Column, entry: Column) -> Column:
-        options = known["optionData"]
-        return F.struct(
-            known["id"].alias("record_id"),
-            known["name"].alias("record_name"),
-            F.coalesce(options["checkBoxes"], F.array().cast("array<string>")).alias("option_checkBoxes"),
-            options["data"].alias("option_data"),
-            options["fixedText"].try_cast("boolean").alias("option_fixedText"),
-            known["priority"].try_cast("int").alias("priority"),
-            known["type"].alias("type"),
-            extra_keys(entry, RECORD_KEYS).alias("record_extra"),
-        )
-
-    known = F.coalesce(F.from_json(col, RECORDS), F.array().cast(RECORDS))
+    def record(entry: Column) -> Column:
+        def with_options(options: Column) -> Column:
+            return F.struct(
+                entry["id"].alias("record_id"),
+                entry["name"].alias("record_name"),
+                F.coalesce(options["checkBoxes"], F.array().cast("array<string>")).alias("option_checkBoxes"),
+                options["data"].alias("option_data"),
+                options["fixedText"].try_cast("boolean").alias("option_fixedText"),
+                entry["priority"].try_cast("int").alias("priority"),
+                entry["type"].alias("type"),
+                extra_keys(entry, RECORD_KEYS).alias("record_extra"),
+            )
+
+        return bound(F.when(entry["optionData"].isNotNull(), F.from_json(entry["optionData"], OPTIONS)), with_options)
+
     entries = F.coalesce(F.from_json(col, "ARRAY<MAP<STRING,STRING>>"), F.array().cast("array<map<string,string>>"))
-    return F.zip_with(known, entries, record)
+    return F.transform(entries, record)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, however often `use` reads it."""
+    return F.transform(F.array(value), use)[0]

@@ -1,5 +1,9 @@
 """Telling apart unparseable text from valid JSON that does not fit the declared schema.
 
+Most rows fit their schema, so a cheap test comes first: the text that describes the VARIANT's type must
+match a pattern made from the schema, which knows all keys, and the typed parse must have met no value it could not
+read. Only rows that fail it are taken apart field by field.
+
 Text is corrupt when it is not JSON. It is rescued when it parses, but holds a key the schema
 lacks, a non-null value whose typed parse is NULL, or is no object at all. The schema is walked
 while the plan is built, so the result is a single Column expression and no data leaves Spark.
@@ -7,11 +11,14 @@ while the plan is built, so the result is a single Column expression and no data
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from .jsoncols import bound
+
 VARIANT_MAP = "MAP<STRING,VARIANT>"
 
 
@@ -35,9 +42,36 @@ def rescued_json(text: Column, parsed: Column, raw: Column, typed: Column, schem
     return F.when(no_object, text).otherwise(F.to_json(_lost_in_struct(raw, typed, schema)))
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with `value` computed once, however often `use` reads it."""
-    return F.transform(F.array(value), use)[0]
+def shape_pattern(schema: StructType) -> str | None:
+    """A pattern of the type texts (`schema_of_variant`) of all objects that hold known keys only.
+
+    None if a name needs quoting there. Values in place of objects, and objects in place of values, do not match.
+    """
+    inner = _object_pattern(schema)
+    return None if inner is None else f"^{inner}$"
+
+
+# The type of a value that is no object and holds none.
+_VALUE = r"(?:ARRAY<)*(?!OBJECT|VARIANT)[A-Z0-9_]+(?:\(\d+,\d+\))?>*"
+
+
+def _object_pattern(struct: StructType) -> str | None:
+    fields = []
+    for f in sorted(struct.fields, key=lambda f: f.name.encode()):
+        if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", f.name):
+            return None
+        kind, nested = _VALUE, f.dataType
+        depth = 0
+        while isinstance(nested, ArrayType):
+            nested, depth = nested.elementType, depth + 1
+        if isinstance(nested, StructType):
+            inner = _object_pattern(nested)
+            if inner is None:
+                return None
+            # NULL, an empty array, or one that holds objects.
+            kind = "(?:" + "|".join(["VOID", *("ARRAY<" * d + "VOID" + ">" * d for d in range(1, depth + 1)), "ARRAY<" * depth + inner + ">" * depth]) + ")"
+        fields.append(f"(?:{re.escape(f.name)}: {kind}(?:, |(?=>)))?")
+    return "OBJECT<" + "".join(fields) + ">"
 
 
 def _lost_in_struct(raw: Column, typed: Column, schema: StructType) -> Column:
@@ -50,13 +84,13 @@ def _lost_in_struct(raw: Column, typed: Column, schema: StructType) -> Column:
         ]
     )
     lost = F.map_concat(unknown, F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())))
-    return _bound(lost, lambda found: F.when(F.size(found) > 0, found))
+    return bound(lost, lambda found: F.when(F.size(found) > 0, found))
 
 
 def _lost_in_value(raw: Column, typed: Column, data_type: DataType) -> Column:
     whole = F.when(typed.isNull() & ~F.is_variant_null(raw), raw)
     if isinstance(data_type, StructType):
-        inner = _bound(
+        inner = bound(
             F.try_variant_get(raw, "$", VARIANT_MAP), lambda fields: _lost_in_struct(fields, typed, data_type)
         )
         return F.coalesce(whole, F.to_variant_object(inner))
@@ -65,6 +99,6 @@ def _lost_in_value(raw: Column, typed: Column, data_type: DataType) -> Column:
         inner = F.zip_with(
             F.try_variant_get(raw, "$", f"ARRAY<{VARIANT_MAP}>"), typed, lambda r, t: _lost_in_struct(r, t, element)
         )
-        some = _bound(inner, lambda items: F.when(F.exists(items, lambda item: item.isNotNull()), items))
+        some = bound(inner, lambda items: F.when(F.exists(items, lambda item: item.isNotNull()), items))
         return F.coalesce(whole, F.to_variant_object(some))
     return whole

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.rescue import corrupt_text, rescued_json, variant_map
+from ..functions.rescue import corrupt_text, rescued_json, shape_pattern, variant_map
 from .columns import computed_once, quoted
 
 # Column names and error messages.
@@ -16,6 +16,8 @@ CORRUPT = "_corrupt_record"
 MALFORMED = "Malformed JSON in D column"
 UNKNOWN_ERROR = "Unknown error"
 MIN_PAYLOAD_LENGTH = 5
+# Set by the typed parse where it met a value it could not read.
+_UNREAD = "__unread"
 
 
 def with_rescue(df: DataFrame, json_col: str, schema: StructType) -> DataFrame:
@@ -37,16 +39,24 @@ def _typed(df: DataFrame, json_col: str, schema: StructType, rescue: bool, corru
     others = [c for c in df.columns if c != json_col]
     text, typed, json = F.col("__text"), F.col("__typed"), F.col("__json")
     # The text is parsed twice in all: by the schema, and as the VARIANT that all flags are read from.
-    parses = {"__text": quoted(json_col), "__typed": F.from_json(quoted(json_col), schema), "__json": F.try_parse_json(quoted(json_col))}
+    marked = StructType([*schema.fields, StructField(_UNREAD, StringType())])
+    typing = F.from_json(quoted(json_col), marked, {"columnNameOfCorruptRecord": _UNREAD})
+    parses = {"__text": quoted(json_col), "__typed": typing, "__json": F.try_parse_json(quoted(json_col))}
     parsed = computed_once(df, parses, others)
+    names = {f"__t{i}": f for i, f in enumerate(schema.fieldNames())}
+    pattern = shape_pattern(schema) if rescue else None
+    fits = F.lit(False) if pattern is None else F.coalesce(F.schema_of_variant(json).rlike(pattern) & typed[_UNREAD].isNull(), F.lit(False))
+    parsed = computed_once(parsed, {**{n: typed[f] for n, f in names.items()}, "__fits": fits}, [*others, "__text", "__json"])
+    typed, fits = F.struct(*[F.col(n).alias(f) for n, f in names.items()]), F.col("__fits")
     flags = {}
     if rescue:
-        parsed = computed_once(parsed, {"__raw": variant_map(json)})
-        flags[RESCUED] = rescued_json(text, json, F.col("__raw"), typed, schema)
+        # Rows that fit have nothing to lose; the others are taken apart.
+        parsed = computed_once(parsed, {"__raw": F.when(~fits, variant_map(json))})
+        flags[RESCUED] = F.when(~fits, rescued_json(text, json, F.col("__raw"), typed, schema))
     if corrupt:
         flags[CORRUPT] = corrupt_text(text, json)
-    flagged = computed_once(parsed, flags, [*others, "__typed"])
-    return flagged.select(*[quoted(c) for c in others], *[typed[f].alias(f) for f in schema.fieldNames()], *flags)
+    flagged = computed_once(parsed, flags, [*others, *names])
+    return flagged.select(*[quoted(c) for c in others], *[F.col(n).alias(f) for n, f in names.items()], *flags)
 
 
 def track_keys(df: DataFrame, col: str, source: str, at: Column) -> DataFrame:
