@@ -7,10 +7,11 @@ failure, unless `null_passes` asks for the lenient reading.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from .columns import quoted
+from .columns import as_column, quoted
 from .payload import CORRUPT, RESCUED
 
 RULES_SCHEMA = (
@@ -179,3 +180,55 @@ def quality_issues(df: DataFrame, columns: Sequence[Column | str], file_col: str
     """
     flagged = df.where(F.col(RESCUED).isNotNull() | F.col(CORRUPT).isNotNull())
     return flagged.select(*columns, RESCUED, CORRUPT, file_col).orderBy(file_col, RESCUED, CORRUPT)
+
+
+# Rules that hold for a time; a NULL bound is open, and a rule holds from `valid_from` until before `valid_to`.
+TIMED_RULES_SCHEMA = "constraint_name STRING, constraint_expression STRING, valid_from TIMESTAMP, valid_to TIMESTAMP"
+FAILED_RULES = "failed_rules"
+# Rules that one bitmap has room for.
+MOST_RULES = 63
+
+
+def timed_rules(rules: DataFrame) -> list[tuple[str, str, datetime | None, datetime | None]]:
+    """Rule versions in order of name and begin; a rules table is configuration, one row per version."""
+    rows = rules.select("constraint_name", "constraint_expression", "valid_from", "valid_to").collect()
+    return sorted((tuple(r) for r in rows), key=lambda r: (r[0], r[2] is not None, r[2]))
+
+
+def rule_bits(rules: Sequence[tuple]) -> dict[str, int]:
+    """The bit of every rule, in order of name; versions of a rule share it."""
+    names = sorted({r[0] for r in rules})
+    if len(names) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    return {name: at for at, name in enumerate(names)}
+
+
+def with_failed_rules(df: DataFrame, rules: Sequence[tuple], event_time: Column | str, null_passes: bool = False) -> DataFrame:
+    """Add `failed_rules`, a bitmap of all rules that fail by the version valid at the row's own time.
+
+    Versions are part of the plan, so a row is tested by those of its time in the same pass and nothing is joined. A row
+    without a time is tested by the versions without a begin or end only.
+    """
+    when = as_column(event_time).cast("timestamp")
+    bits = rule_bits(rules)
+    failed = F.lit(0).cast("bigint")
+    for name, expression, start, end in rules:
+        valid = F.lit(True) if start is None else F.coalesce(when >= F.lit(start), F.lit(False))
+        valid = valid if end is None else valid & F.coalesce(when < F.lit(end), F.lit(False))
+        bit = F.lit(1 << bits[name]).cast("bigint")
+        failed = failed.bitwiseOR(F.when(valid & ~passes(expression, null_passes), bit).otherwise(F.lit(0).cast("bigint")))
+    return df.withColumn(FAILED_RULES, failed)
+
+
+def failure_counts(marked: DataFrame) -> DataFrame:
+    """(failed_rules, n): how many rows fail just these rules. Counts of batches merge by adding them up."""
+    return marked.groupBy(FAILED_RULES).agg(F.count(F.lit(1)).alias("n"))
+
+
+def rule_pairs(counts: DataFrame, rules: Sequence[tuple]) -> DataFrame:
+    """(rule, other, n): rows that fail both, read off the counts; a rule with itself gives its own failures."""
+    names = F.array(*[F.lit(name) for name in rule_bits(rules)])
+    hit = F.filter(F.transform(names, lambda name, at: F.when(F.getbit(FAILED_RULES, at) == 1, name)), lambda name: name.isNotNull())
+    rows = counts.withColumn("rules", hit).select("n", "rules", F.explode("rules").alias("rule"))
+    pairs = rows.select("rule", F.explode("rules").alias("other"), "n").where(F.col("rule") <= F.col("other"))
+    return pairs.groupBy("rule", "other").agg(F.sum("n").alias("n"))
