@@ -1,11 +1,15 @@
 """Phrase collocations from weighted acyclic automata.
 
-Every task cuts its texts into pieces and words, sorts the phrases of one to four words of about SEGMENT_WORDS words
-and builds count transducers from them (`automata.Transducer`). Phrases are dealt by prefix range: the
-range of their first three words' code and, for four words, the range of the last word's code, so that
-even one prefix held by a third of all phrases goes to many ranges. Per language and range the
-transducers are united, weights of equal phrases added, and phrases below the least count left out; every
-part of a frequent phrase is frequent, so nothing that is asked for later is lost.
+Every task cuts its texts into pieces and words, sorts the phrases of about SEGMENT_WORDS words and builds count
+transducers from them (`automata.Transducer`). Phrases are dealt by prefix range: the range of their first three
+words' code and, for four words, the range of the last word's code, so that even one prefix held by a third of all
+phrases goes to many ranges. Per language and range the transducers are united, weights of equal phrases added, and
+phrases below the least count left out; every part of a frequent phrase is frequent, so nothing that is asked for
+later is lost.
+
+Words come first, then pairs of frequent words, then phrases of three and four words whose pairs are all frequent. What was
+frequent in one pass is told to the next by a Bloom filter of at most FILTER_BITS bits, which never denies a frequent phrase;
+what it lets through by mistake is counted and left out with the other rare phrases.
 
 The parts of a candidate lie in other ranges. Each range sends the parts it needs, sorted, as an acceptor to the
 ranges where they stand; there it is composed with the transducer, the weights go back, and a part that its
@@ -16,11 +20,14 @@ Words are known by 64-bit hashes; their texts travel with the transducers of sin
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 from math import isqrt
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import scratch_path
@@ -29,7 +36,14 @@ from .automata import COLUMNS, DEPTH, FIELDS, Transducer, from_table, sort_keys,
 
 # Words of one build, and words of the corpus per range and union; both bound the memory of a worker.
 SEGMENT_WORDS = 1 << 20
-RANGE_WORDS = 1 << 20
+RANGE_WORDS = 1 << 24
+LEAST_RANGES = 16
+# Lengths of the phrases that each pass builds.
+PASSES = (1,), (2,), (3, 4)
+# The filter of frequent phrases: bits per phrase, bits at most, and bits per row in which it is put together.
+PHRASE_BITS = 16
+FILTER_BITS = 1 << 28
+FILTER_PART = 1 << 20
 LEAST = 30
 TOP = 2000
 SCALE = 2_000_000
@@ -41,7 +55,7 @@ _CUT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _BLANK = _CUT.copy()
 _BLANK[[0x20, 0x09]] = True
 BLOCK = f"lang string, place long, {COLUMNS}"
-UNITED = f"{BLOCK}, n long, word_keys array<long>, word_texts array<string>"
+UNITED = f"{BLOCK}, n long, kept long, word_keys array<long>, word_texts array<string>"
 ASKED = "lang string, place long, home long, number binary, part binary, weight binary, labels binary, wanted binary"
 ANSWERED = "lang string, place long, number binary, part binary, weight binary"
 FOUND = "lang string, h1 long, h2 long, h3 long, h4 long, a long, l long, r long, score long"
@@ -79,16 +93,53 @@ def prefix_ranges(paths: np.ndarray, wide: int, deep: int) -> np.ndarray:
     return (scaled[0] * np.uint64(deep) + scaled[1]).astype(np.int64)
 
 
-def _phrases(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted labels, and the distinct phrases of all lengths (rows of places from 1) with their counts."""
-    labels, words = np.unique(hashes, return_inverse=True)
-    words = words + 1
-    edges = np.append(np.flatnonzero(begins), len(words))
-    room = np.repeat(edges[1:], np.diff(edges)) - np.arange(len(words))
+def phrase_bits(lang: str, words: Sequence[np.ndarray], bits: int) -> np.ndarray:
+    """The two bits of each phrase, given as columns of words, in a filter of `bits` bits, a power of two."""
+    code = words[0]
+    for word in words[1:]:
+        code = pair(code, word)
+    code = pair(code, np.uint64(crc32(lang.encode())))
+    return np.stack([code >> np.uint64(32), code]) & np.uint64(bits - 1)
+
+
+def _linked(lang: str, hashes: np.ndarray, follows: np.ndarray, size: int, known: np.ndarray) -> np.ndarray:
+    """Whether the pair of a word and the next may be part of a frequent phrase, by a filter of words or of pairs."""
+    spots = np.arange(len(hashes)) if size == 1 else np.flatnonzero(follows)
+    bits = phrase_bits(lang, [hashes[spots + at] for at in range(size)], len(known) * 8)
+    held = ((known[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
+    out = np.zeros(len(hashes), bool)
+    out[spots[held]] = True
+    if size == 1:
+        out[:-1] &= out[1:]
+        out &= follows
+    return out
+
+
+def _phrases(lang: str, hashes: np.ndarray, begins: np.ndarray, sizes: Sequence[int], known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted labels, and the distinct phrases of the given lengths (rows of places from 1) with their counts.
+
+    With `known`, the filter of the pass before, only phrases whose words or pairs it lets through.
+    """
+    # Whether the next word is in the same piece.
+    linked = np.append(~begins[1:], False)
+    if known is not None:
+        linked = _linked(lang, hashes, linked, min(sizes) - 1, known)
+    # Words that can be read on from each, itself included.
+    room = np.ones(len(hashes) + 1, np.int8)
+    for _ in range(max(sizes) - 1):
+        room[:-1] = np.where(linked, room[1:] + 1, 1)
+    room = room[:-1]
+    # Words that stand in no phrase need no label.
+    used = room >= min(sizes)
+    for _ in range(max(sizes) - 1):
+        used[1:] |= used[:-1] & linked[:-1]
+    labels, place = np.unique(hashes[used], return_inverse=True)
+    words = np.zeros(len(hashes), np.int32)
+    words[used] = place + 1
     paths, counts = [], []
-    for size in range(1, DEPTH + 1):
+    for size in sizes:
         at = np.flatnonzero(room >= size)
-        rows = np.zeros((len(at), DEPTH), np.int64)
+        rows = np.zeros((len(at), DEPTH), np.int32)
         for step in range(size):
             rows[:, step] = words[at + step]
         rows, n = summed(rows, len(labels), np.ones(len(at), np.int64))
@@ -98,13 +149,15 @@ def _phrases(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _row(**columns) -> pa.RecordBatch:
-    kinds = {"lang": pa.string(), "place": pa.int64(), "home": pa.int64(), "n": pa.int64()}
+    kinds = {"lang": pa.string(), "place": pa.int64(), "home": pa.int64(), "n": pa.int64(), "kept": pa.int64()}
     kinds |= {"word_keys": pa.list_(pa.int64()), "word_texts": pa.list_(pa.string())}
     return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.binary())) for k, v in columns.items()], names=list(columns))
 
 
-def _blocks(lang: str, hashes: np.ndarray, begins: np.ndarray, texts: dict[int, bytes], wide: int, deep: int) -> Iterator[pa.RecordBatch]:
-    labels, paths, counts = _phrases(hashes, begins)
+def _blocks(lang: str, phrases: tuple[np.ndarray, np.ndarray, np.ndarray], texts: dict[int, bytes], wide: int, deep: int) -> Iterator[pa.RecordBatch]:
+    labels, paths, counts = phrases
+    if not len(paths):
+        return
     place = prefix_ranges(np.concatenate([np.zeros(1, np.uint64), labels])[paths], wide, deep)
     order = np.lexsort((*sort_keys(paths, len(labels))[::-1], place))
     paths, counts, place = paths[order], counts[order], place[order]
@@ -116,7 +169,7 @@ def _blocks(lang: str, hashes: np.ndarray, begins: np.ndarray, texts: dict[int,
         yield _row(lang=lang, place=int(place[low]), **built.to_bytes(), words=b" ".join(texts[int(h)] for h in single))
 
 
-def _count(wide: int, deep: int):
+def _count(sizes: Sequence[int], wide: int, deep: int, known: Broadcast | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         texts: dict[int, bytes] = {}
@@ -126,11 +179,13 @@ def _count(wide: int, deep: int):
             for lang, parts in held.items():
                 hashes, begins = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
                 if len(hashes):
-                    yield from _blocks(lang, hashes, begins, texts, wide, deep)
+                    found = _phrases(lang, hashes, begins, sizes, None if known is None else np.frombuffer(known.value, np.uint8))
+                    yield from _blocks(lang, found, texts, wide, deep)
 
         for batch in slices(batches):
             hashes, begins, bounds, found = piece_words(batch.column(1))
-            texts |= found
+            if 1 in sizes:
+                texts |= found
             langs = batch.column(0).dictionary_encode()
             rows = langs.indices.to_numpy(zero_copy_only=False)
             owner = np.repeat(rows, np.diff(bounds))
@@ -155,18 +210,63 @@ def _unite(least: int):
             paths = part.paths()
             single = (paths[:, 1] == 0) if len(paths) else np.zeros(0, bool)
             n += int(part.weights[single].sum())
-            texts |= zip(part.labels[paths[single][:, 0] - 1].tolist(), words.decode().split(" "))
+            if single.any():
+                texts |= zip(part.labels[paths[single][:, 0] - 1].tolist(), words.decode().split(" "))
         whole = union(parts, least)
         paths = whole.paths()
         single = whole.labels[paths[paths[:, 1] == 0][:, 0] - 1]
         words = [texts[h] for h in single.tolist()]
         lang, place = (x.as_py() for x in key)
-        row = _row(lang=lang, place=place, **whole.to_bytes(), n=n, word_keys=single.view(np.int64).tolist(), word_texts=words)
+        row = _row(lang=lang, place=place, **whole.to_bytes(), n=n, kept=len(paths), word_keys=single.view(np.int64).tolist(), word_texts=words)
         return pa.Table.from_batches([row])
 
     return run
 
 
+def _mark(size: int, bits: int):
+    """The bits of each range's phrases, which have `size` words, by the part of the filter they lie in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for lang, held in zip(table.column("lang").to_pylist(), from_table(table)):
+                phrases = held.hashes()
+                marks = np.unique(phrase_bits(lang, [phrases[:, at] for at in range(size)], bits))
+                part = (marks // np.uint64(FILTER_PART)).astype(np.int64)
+                for number in np.unique(part):
+                    yield _row(place=int(number), marks=(marks[part == number] % np.uint64(FILTER_PART)).astype(np.uint32).tobytes())
+
+    return run
+
+
+def _merge_marks(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    bits = np.zeros(FILTER_PART, bool)
+    for marks in table.column("marks").to_pylist():
+        bits[np.frombuffer(marks, np.uint32)] = True
+    return pa.Table.from_batches([_row(place=key[0].as_py(), marks=np.packbits(bits, bitorder="little").tobytes())])
+
+
+def phrase_filter(united: DataFrame, size: int) -> bytes:
+    """A Bloom filter of all phrases of a pass, which have `size` words; 2 ** 20 to FILTER_BITS bits, as many as they ask for."""
+    kept = united.agg(F.sum("kept")).first()[0] or 0
+    bits = FILTER_PART
+    while bits < min(kept * PHRASE_BITS, FILTER_BITS):
+        bits *= 2
+    marked = united.select("lang", *FIELDS).mapInArrow(_mark(size, bits), "place long, marks binary")
+    out = np.zeros(bits // 8, np.uint8)
+    # FILTER_BITS / FILTER_PART rows at most.
+    for row in marked.groupBy("place").applyInArrow(_merge_marks, "place long, marks binary").collect():
+        low = row.place * FILTER_PART // 8
+        out[low : low + FILTER_PART // 8] = np.frombuffer(bytes(row.marks), np.uint8)
+    return out.tobytes()
+
+
+def _join(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """One transducer per language and range of what all passes found there."""
+    lang, place = (x.as_py() for x in key)
+    return pa.Table.from_batches([_row(lang=lang, place=place, **union(from_table(table)).to_bytes())])
+
+
 def _ask(wide: int, deep: int):
     """Send each candidate's parts to the ranges where they stand."""
 
@@ -272,19 +372,28 @@ def _rate(key: tuple[pa.Scalar, ...], own: pa.Table, answered: pa.Table) -> pa.T
     return pa.Table.from_arrays([lang, *(pa.array(found[:, i]) for i in range(found.shape[1]))], schema=kinds)
 
 
-def count_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> tuple[DataFrame, int, int]:
-    """The stored transducers of phrases that occur `least` times or more, one row per language and range, and the range numbers."""
+def count_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> tuple[DataFrame, DataFrame, int, int]:
+    """The stored transducers of phrases that occur `least` times or more, one row per language and range; words; the range numbers."""
     spark = df.sparkSession
     docs = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # About six bytes a word.
-    places = size // 6 // RANGE_WORDS + 1
+    places = max(size // 6 // RANGE_WORDS + 1, LEAST_RANGES)
     deep = isqrt(places)
     wide = -(-places // deep)
-    blocks = docs.mapInArrow(_count(wide, deep), f"{BLOCK}, words binary")
+    keys = ("lang", "place")
+    passes, known = [], None
+    for sizes in PASSES:
+        blocks = docs.mapInArrow(_count(sizes, wide, deep, known), f"{BLOCK}, words binary")
+        path = scratch_path(spark, "phrases")
+        blocks.groupBy(*keys).applyInArrow(_unite(least), UNITED).write.parquet(path)
+        passes.append(spark.read.schema(UNITED).parquet(path))
+        if sizes != PASSES[-1]:
+            known = spark.sparkContext.broadcast(phrase_filter(passes[-1], sizes[-1]))
     path = scratch_path(spark, "phrases")
-    blocks.groupBy("lang", "place").applyInArrow(_unite(least), UNITED).write.parquet(path)
-    return spark.read.schema(UNITED).parquet(path), wide, deep
+    sides = [united.select(*keys, *FIELDS) for united in passes]
+    reduce(DataFrame.unionByName, sides).groupBy(*keys).applyInArrow(_join, BLOCK).write.parquet(path)
+    return spark.read.schema(BLOCK).parquet(path), passes[0].select("lang", "n", "word_keys", "word_texts"), wide, deep
 
 
 def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, top: int = TOP) -> DataFrame:
@@ -299,9 +408,8 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     Long texts are read in slices. An empty table, and a language without a phrase, give no row. Other columns
     are not read, whatever their names.
     """
-    united, wide, deep = count_phrases(df, text, lang, least)
+    stored, spoken, wide, deep = count_phrases(df, text, lang, least)
     keys = ("lang", "place")
-    stored = united.select(*keys, *FIELDS)
     asked = stored.mapInArrow(_ask(wide, deep), ASKED)
     answers = stored.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_answer, ANSWERED)
     rated = stored.groupBy(*keys).cogroup(answers.groupBy(*keys)).applyInArrow(_rate, FOUND)
@@ -309,9 +417,9 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     best = rated.withColumn("rank", F.rank().over(order)).where(F.col("rank") <= top).drop("rank")
     spelled = best.select(*best.columns, F.posexplode(F.array("h1", "h2", "h3", "h4")).alias("at", "h")).where("h <> 0")
-    words = united.select("lang", F.explode(F.arrays_zip(F.col("word_keys").alias("h"), F.col("word_texts").alias("word"))).alias("w")).select("lang", "w.*")
+    words = spoken.select("lang", F.explode(F.arrays_zip(F.col("word_keys").alias("h"), F.col("word_texts").alias("word"))).alias("w")).select("lang", "w.*")
     spelled = spelled.join(words, ["lang", "h"]).groupBy(*best.columns).agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("words"))
     named = spelled.select("lang", F.array_join(F.col("words.word"), " ").alias("phrase"), "a", "l", "r", "score")
     ranked = named.withColumn("rank", F.row_number().over(order.orderBy(F.desc("score"), F.desc("a"), "phrase")).cast("long"))
-    totals = united.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = spoken.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.where(F.col("rank") <= top).join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

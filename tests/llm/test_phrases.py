@@ -54,7 +54,7 @@ def test_phrases_match_dictionaries(spark, monkeypatch):
         expected = plain(zip(langs, texts), least, top)
         assert expected and found(df, least=least, top=top) == expected
     # Many ranges of prefixes and last words, and repeated rows with columns of clashing names.
-    monkeypatch.setattr(phrases, "RANGE_WORDS", 500)
+    monkeypatch.setattr(phrases, "LEAST_RANGES", 60)
     again = df.unionByName(df).withColumnsRenamed({"source": "phrase", "n_chars": "rank"})
     assert found(again, least=4) == plain([*zip(langs, texts)] * 2, 4, 2000)
 
