@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .arrays import mix, out_schema, powers, raw, slices, span_hashes, with_text
 
@@ -226,19 +227,34 @@ class Block:
     units: np.ndarray
     # Sums of quarters over each item's tokens.
     sums: list[np.ndarray] = field(default_factory=list)
+    # Whether every token stands for itself, so that a run is verbatim.
+    exact: bool = False
     sieve: dict[int, np.ndarray] = field(default_factory=dict)
 
 
-def build_block(ids: list[int], tokens: Tokens, units: np.ndarray) -> Block:
-    """Items with equal tokens share an entry."""
+def _pattern(kinds: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values with slots numbered by their first place: equal for items that differ in the values of their slots only."""
+    slots = np.flatnonzero(kinds != WORD)
+    out = values.copy()
+    numbers: dict[tuple[int, int], int] = {}
+    for at in slots.tolist():
+        out[at] = numbers.setdefault((int(kinds[at]), int(values[at])), len(numbers))
+    return out
+
+
+def build_block(ids: list, tokens: Tokens, units: np.ndarray) -> Block:
+    """Items of one template, with equal slots in equal places, share an entry, whatever the values of the slots.
+
+    So a benchmark made from few templates has few entries, and slots are checked once for all its items.
+    """
     merged: dict[bytes, int] = {}
-    block = Block([], [], [], {}, units)
+    block = Block([], [], [], {}, units, exact=not tokens.kinds.any())
     for i, item in enumerate(ids):
         low, high = tokens.bounds[i], tokens.bounds[i + 1]
         if tokens.quarters[low:high].sum() < 4 * LEAST_TOKENS:
             continue
         kinds, values = tokens.kinds[low:high], tokens.values[low:high]
-        known = merged.setdefault(kinds.tobytes() + values.tobytes(), len(block.ids))
+        known = merged.setdefault(kinds.tobytes() + _pattern(kinds, values).tobytes(), len(block.ids))
         if known < len(block.ids):
             block.ids[known].append(item)
             continue
@@ -317,7 +333,9 @@ def find_items(tokens: Tokens, block: Block) -> dict[int, dict[int, tuple[int, b
     for (row, entry, shift, size), places in met.items():
         item, doc = (block.kinds[entry], block.values[entry]), (tokens.kinds, tokens.values)
         sums = block.sums[entry]
-        for low, high, verbatim in consistent_runs(sorted(places), size, item, doc, shift):
+        for low, high, _ in consistent_runs(sorted(places), size, item, doc, shift):
+            # What is verbatim is found by the templates that take every token by its value.
+            verbatim = block.exact
             # A part of an item must be long enough; characters of scripts without blanks count for less than a word.
             if high - low < len(item[0]) and sums[high] - sums[low] < 4 * (WINDOW if verbatim else CHANGED):
                 continue
@@ -333,12 +351,14 @@ def contamination(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     item_ids: sorted ids of the items of which a consistent run of at least WINDOW tokens, or CHANGED if slots
     have other values (or the whole item, if shorter) occurs; matched_tokens: length of the longest such run; verbatim: whether a
     longest run has the benchmark's own slot values. NULL and empty texts match nothing; items with a
-    NULL id or text, or of fewer than LEAST_TOKENS tokens, are matched by nothing. Repeated rows are
-    judged one by one.
+    NULL id or text, or of fewer than LEAST_TOKENS tokens, are matched by nothing. Ids may be of any type that sorts.
+    Repeated rows are judged one by one, repeated items count once. Long texts are read in slices. An empty table gives no
+    row, an empty benchmark matches nothing. Columns of `keep` called like the new ones are replaced.
     """
     found = ("item_ids", "matched_tokens", "verbatim")
+    kind = benchmark.schema[item].dataType
     keep = [c for c in keep or [key] if c not in (*found, "contaminated")]
-    items = benchmark.where(F.col(item).isNotNull() & F.col("text").isNotNull()).select(F.col(item).cast("long").alias("item"), F.col("text"))
+    items = benchmark.where(F.col(item).isNotNull() & F.col("text").isNotNull()).select(F.col(item).alias("item"), F.col("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     rows = df.select(*with_text(keep, text))
@@ -351,12 +371,12 @@ def contamination(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
         shared = df.sparkSession.sparkContext.broadcast(tuple(build_block(ids, one, units) for one in sets))
         # The text, and what earlier blocks found, travel along until the last block.
         out = keep if number == blocks - 1 else with_text(keep, text)
-        schema = out_schema(df, out, "item_ids array<long>, matched_tokens long, verbatim boolean")
-        rows = rows.mapInArrow(_scan(shared, text, out, number > 0), schema)
+        schema = out_schema(df, out, f"item_ids array<{kind.simpleString()}>, matched_tokens long, verbatim boolean")
+        rows = rows.mapInArrow(_scan(shared, text, out, number > 0, to_arrow_type(kind)), schema)
     return rows.withColumn("contaminated", F.col("matched_tokens") > 0)
 
 
-def _scan(shared, text: str, out: list[str], later: bool):
+def _scan(shared, text: str, out: list[str], later: bool, kind: pa.DataType):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         typed, plain, exact = shared.value
         for batch in slices(batches, text):
@@ -378,7 +398,7 @@ def _scan(shared, text: str, out: list[str], later: bool):
                 longest.append(best[0])
                 verbatim.append(best[1])
             arrays = [batch.column(names.index(c)) for c in out]
-            arrays += [pa.array(ids, pa.list_(pa.int64())), pa.array(longest, pa.int64()), pa.array(verbatim, pa.bool_())]
+            arrays += [pa.array(ids, pa.list_(kind)), pa.array(longest, pa.int64()), pa.array(verbatim, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*out, "item_ids", "matched_tokens", "verbatim"])
 
     return scan
