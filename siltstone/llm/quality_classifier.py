@@ -143,12 +143,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, max_rows:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids = [x.astype("<i4").tobytes() for x in batch_features(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["key", "label", "ids"])
-
-    chosen = docs.join(F.broadcast(sample), docs[key] == sample["__key"]).select(F.col("__key").cast("string"), "__label", F.col(text).alias("text"))
-    # A key that stands in several documents may bring more rows; the smallest by key and text hash are kept.
-    chosen = chosen.orderBy(F.xxhash64("__key"), F.xxhash64("text")).limit(max_rows)
-    found = chosen.mapInArrow(run, "key string, label int, ids binary").collect()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *batch.columns[3:], pa.array(ids, pa.binary())], names=["key", "label", "first", "second", "ids"])
+
+    texts = docs.select(F.col(key).alias("__doc"), F.col(text).alias("text"))
+    chosen = texts.join(F.broadcast(sample), F.col("__doc") == F.col("__key")).select(
+        F.col("__key").cast("string"), "__label", "text", F.xxhash64("__key").alias("first"), F.xxhash64("text").alias("second")
+    )
+    # Features are made where the texts are. A key that stands in several documents may bring more rows; the smallest by key
+    # and text hash are kept.
+    made = chosen.mapInArrow(run, "key string, label int, first long, second long, ids binary")
+    found = made.orderBy("first", "second").limit(max_rows).collect()
     found.sort(key=lambda row: (row.key, row.label, bytes(row.ids)))
     return [(row.label, np.frombuffer(bytes(row.ids), "<i4")) for row in found]
 
@@ -182,7 +186,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, max_rows: int = MAX_
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:
     """key, score and predicted (score >= threshold) for every row; NULL and empty texts have a score too.
 
-    The model has a fixed size, about 0.8 MB, and is broadcast. Repeated keys give a row each.
+    The model has a fixed size, about 0.8 MB, and is broadcast. Repeated keys give a row each; a score equal to the threshold
+    is predicted. Long texts are read in slices, their n-grams in pieces. An empty table gives no row. Other columns are not
+    read, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
