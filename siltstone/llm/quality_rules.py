@@ -4,7 +4,8 @@ Per document whole-number signals are counted. For every (language, source) a qu
 signal's share is kept: counts per thousandth of the share. Such sketches merge by adding counts, in
 any order and with the same result, and hold at most 1001 rows, so a language's or the corpus's sketch
 is the sum of its sources' sketches. A cutoff is median + SPREADS x max(q75 - q25, least spread); a
-group with fewer than MIN_DOCS documents uses the cutoff of its language, or else of the corpus.
+group with fewer than MIN_DOCS documents uses the cutoff of its language, or else of the corpus. No cutoff exceeds
+BOUND times that of the corpus, so a source that is mostly junk does not set its own standard.
 Documents then meet their group's cutoffs in a join.
 """
 
@@ -24,6 +25,7 @@ WINDOW = 5
 STEPS = 1000
 SPREADS = 6
 MIN_DOCS = 100
+BOUND = 2
 # Signal: (numerator, denominator, least spread in thousandths).
 SIGNALS = {
     "symbols": ("n_symbols", "word_chars", 10),
@@ -151,11 +153,12 @@ def cutoffs(sketch: DataFrame, groups: list[str]) -> DataFrame:
 def quality_rules(
     df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = MIN_DOCS
 ) -> DataFrame:
-    """Every row of `df` as key, counts, base_failed, the level of the cutoffs used, and kept.
+    """Every row of `df` as key, counts, base_failed, kept, more counts, and the level of the cutoffs used.
 
     base_failed: fewer than ten words, or more than a fifth of the words in repeated windows. kept:
     not base_failed and no share above its cutoff. NULL languages and sources form groups of their own.
-    Repeated keys are judged one by one. Counts are checkpointed once, as sketches and filter read them.
+    Repeated keys are judged one by one. A long text is read whole, in segments. An empty table gives no row. Counts are
+    checkpointed once, as sketches and filter read them.
     """
     shared_dir(df.sparkSession)
     plain = df.select(F.col(key), F.col(lang).alias("__lang"), F.col(source).alias("__source"), F.col(text).alias("text"))
@@ -173,11 +176,13 @@ def quality_rules(
         fine.join(middle, fine.l.eqNullSafe(middle.l2))
         .withColumn("a", F.lit(1))
         .join(whole, "a")
-        .select("l", "s", level.alias("level"), chosen.alias("cuts"))
+        .select("l", "s", level.alias("level"), chosen.alias("cuts"), "all_cuts")
     )
     joined = signals.join(groups, signals["__lang"].eqNullSafe(groups.l) & signals["__source"].eqNullSafe(groups.s))
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     passes = ~base_failed
     for signal, (numerator, denominator, _) in SIGNALS.items():
-        passes = passes & (share(numerator, denominator) <= F.col(f"cuts.{signal}"))
-    return joined.select(key, *COUNTS, base_failed.alias("base_failed"), "level", passes.alias("kept"))
+        passes = passes & (share(numerator, denominator) <= F.least(f"cuts.{signal}", BOUND * F.col(f"all_cuts.{signal}")))
+    first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rest = [c for c in COUNTS if c not in first]
+    return joined.select(key, *first, base_failed.alias("base_failed"), passes.alias("kept"), *rest, "level")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from . import license_scan, phrases
-from .quality_rules import MIN_DOCS, SIGNALS, SPREADS
+from .quality_rules import BOUND, MIN_DOCS, SIGNALS, SPREADS
 from .ranked_search import TOP
 from .url_filter import LOWER, UPPER, Rule
 
@@ -81,7 +81,7 @@ def quality_rules(min_docs: int = MIN_DOCS) -> str:
 
     cuts = ", ".join(cut(s, spread) for s, (_, _, spread) in SIGNALS.items())
     passes = " AND ".join(
-        f"share_{s} <= CASE level WHEN 'source' THEN f.cut_{s} WHEN 'lang' THEN m.cut_{s} ELSE w.cut_{s} END" for s in SIGNALS
+        f"share_{s} <= least({BOUND} * w.cut_{s}, CASE level WHEN 'source' THEN f.cut_{s} WHEN 'lang' THEN m.cut_{s} ELSE w.cut_{s} END)" for s in SIGNALS
     )
     return rf"""
     WITH texts AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, row_number() OVER () AS row FROM documents),

@@ -69,10 +69,21 @@ def test_counts_and_verdicts_match_plain_rules(spark):
         level = "source"
         if len(group) < 8:
             group, level = [k for k in listed if langs[k] == langs[i]], "lang"
-        passes = all(share(i, s) <= plain_cut([share(k, s) for k in group], qr.SIGNALS[s][2]) for s in qr.SIGNALS)
+        whole = {s: plain_cut([share(k, s) for k in listed], qr.SIGNALS[s][2]) for s in qr.SIGNALS}
+        passes = all(share(i, s) <= min(plain_cut([share(k, s) for k in group], qr.SIGNALS[s][2]), 2 * whole[s]) for s in qr.SIGNALS)
         assert (row.base_failed, row.level, row.kept) == (failed, level, not failed and passes)
 
 
+def test_a_junk_source_does_not_set_its_own_standard(spark):
+    clean = [t for t in invented(5, 300, words=(30, 60), vocabulary=3000)]
+    junk = [t.replace(" ", " ### $$$ %%% ") for t in invented(6, 40, words=(30, 60), vocabulary=3000)]
+    texts = [*clean, *junk]
+    sources = ["good"] * 240 + ["bad"] * 60 + ["bad"] * 40
+    kept = {r.doc_id: r.kept for r in qr.quality_rules(documents(spark, texts, sources=sources), min_docs=20).collect() if not r.base_failed}
+    assert not any(kept.get(i) for i in range(300, 340))
+    assert sum(kept.get(i, True) for i in range(300)) >= 295
+
+
 def test_corpus_cutoffs_and_no_rows(spark):
     df = documents(spark, ["a b c d e f g h i j k"])
     assert [(r.level, r.kept) for r in qr.quality_rules(df).collect()] == [("corpus", True)]
