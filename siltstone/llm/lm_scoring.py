@@ -170,7 +170,7 @@ def _merge_pairs(folder: str, shards: int):
         first, second = first[order][starts], second[order][starts]
         shard = key[0].as_py()
         _write(f"{folder}/pair_keys_{shard}.npy", hashed[starts])
-        _write(f"{folder}/pair_counts_{shard}.npy", np.minimum(counts, (1 << 32) - 1).astype(np.uint32))
+        _write(f"{folder}/pair_counts_{shard}.npy", counts if len(counts) and counts.max() >= 1 << 32 else counts.astype(np.uint32))
         ends, n_ends = np.unique(second, return_counts=True)
         seen = np.zeros((len(counts), 4), np.uint32)
         seen[np.arange(len(counts)), np.minimum(counts, 3)] = 1
@@ -318,12 +318,18 @@ def log_probabilities(model: Model, tokens: np.ndarray, previous: np.ndarray) ->
     return np.log10(np.where(total > 0, share, word)), own[:, 0]
 
 
+SCORES = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def score(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` with n_tokens, n_known, train_tokens, base_score and score for every row.
 
     score: log10 probability of the whole text; base_score: the same under the add-one word model.
-    NULL and empty texts consist of their end token. Without training rows every token has 1 / (V + 1) = 1.
+    NULL and empty texts consist of their end token. Without training rows every token has 1 / (V + 1) = 1. Rows are scored
+    one by one, so repeated rows and texts score alike. Long texts are read in slices. An empty table gives no row. Columns of
+    `keep` called like the new ones are replaced.
     """
+    keep = [c for c in keep if c not in SCORES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=SCORED_BYTES):

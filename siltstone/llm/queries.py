@@ -56,7 +56,7 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     scored = lm_scoring.score_with_corpus(docs, remainder("doc_id", 7) != 2, ["doc_id"])
-    return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
+    return scored.select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), *lm_scoring.SCORES)
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:

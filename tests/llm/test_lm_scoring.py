@@ -60,6 +60,13 @@ def test_without_training_rows_and_without_rows(spark):
     assert lm_scoring.score_with_corpus(df.limit(0), F.lit(True), ["doc_id"]).collect() == []
 
 
+def test_kept_columns_called_like_the_scores(spark):
+    df = documents(spark, ["a b", "a b", "c"]).withColumnsRenamed({"lang": "score", "source": "n_tokens"})
+    rows = lm_scoring.score_with_corpus(df.unionByName(df), F.lit(True), ["doc_id", "score", "n_tokens", "n_chars"]).collect()
+    assert rows[0].__fields__ == ["doc_id", "n_chars", *lm_scoring.SCORES]
+    assert len({r.score for r in rows if r.doc_id < 2}) == 1 and len(rows) == 6
+
+
 def test_model_folder_must_be_mounted():
     with pytest.raises(ValueError):
         lm_scoring.local_folder("hdfs://somewhere/checkpoints")
