@@ -309,7 +309,8 @@ def table_stream(t: Tables) -> DataFrame:
 VALID_PATIENT = """"ID" IS NOT NULL AND o_orderkey % 29 <> 0 AND o_orderkey % 13 > 1"""
 LIVE_VERSIONS = f"""
     WITH {PATIENT_FEED_SQL},
-    rows AS (SELECT * FROM feed WHERE {VALID_PATIENT} AND _change_type <> 'update_preimage')"""
+    rows AS (
+      SELECT * FROM feed WHERE ({VALID_PATIENT} OR "ID" IS NOT NULL AND _change_type = 'delete') AND _change_type <> 'update_preimage')"""
 
 
 HISTORY_SQL = (

@@ -91,12 +91,20 @@ def with_place(df: DataFrame, borders: dict[str, list[float]], bits: int = BITS,
 
 
 def write_clustered(
-    df: DataFrame, path: str, columns: Sequence[str], files: int | None = None, mode: str = "overwrite", bits: int = BITS, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    columns: Sequence[str],
+    files: int | None = None,
+    mode: str = "overwrite",
+    bits: int = BITS,
+    partition_by: Sequence[str] = (),
+    folder: str | None = None,
 ) -> None:
     """Write Parquet in the order of the curve through `columns`.
 
     The borders of ranks are kept beside the table. With `mode="append"` new rows are laid out by the same borders in files of
-    their own, and no file already there is written again. A row hash comes last in the range, so rows of one
+    their own, and no file already there is written again; with `folder`, such as `batch=7`, they replace that folder below
+    the table, so a repeated micro-batch changes nothing. A row hash comes last in the range, so rows of one
     place that are too many for a file are spread.
     """
     spark = df.sparkSession
@@ -109,7 +117,8 @@ def write_clustered(
     placed = with_place(df, borders, bits)
     order = [*[quoted(c) for c in partition_by], F.col(PLACE), row_digest(df)]
     ranged = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
-    ranged.sortWithinPartitions(*order[:-1]).drop(PLACE).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    written = ranged.sortWithinPartitions(*order[:-1]).drop(PLACE).write.partitionBy(*partition_by)
+    written.mode(mode if folder is None else "overwrite").parquet(path if folder is None else f"{path}/{folder}")
     if fresh:
         row = spark.createDataFrame([(json.dumps(borders),)], "borders string")
         row.coalesce(1).write.mode("overwrite").text(f"{path}/{BORDERS}")

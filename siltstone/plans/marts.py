@@ -11,7 +11,7 @@ from ..functions.times import epoch_ts, parse_ts
 from ..operators.evolve import conform
 from ..operators.quality import expect_or_drop
 from ..operators.relational import enrich, sum_exploded
-from ..operators.standardize import clean_column_names, coalesce_variants, title_columns
+from ..operators.standardize import clean_column_names, coalesce_variants, standardize, title_columns
 
 # Columns, name variants and formats of the source data.
 SILVER_ORDER_COLUMNS = [
@@ -59,18 +59,23 @@ TRIP_SCHEMA = StructType([StructField(n, kind, True, {"comment": text}) for n, (
 
 
 def silver_orders(
-    bronze: DataFrame, customers: DataFrame, on: Sequence[str] = ("customer_id", "customer_name"), columns: Sequence[str] = SILVER_ORDER_COLUMNS
+    bronze: DataFrame,
+    customers: DataFrame,
+    on: Sequence[str] = ("customer_id", "customer_name"),
+    columns: Sequence[str] = SILVER_ORDER_COLUMNS,
+    standardized: bool = False,
 ) -> DataFrame:
     """Orders with customer columns, typed order time and date; rows without order number dropped.
 
     The drop comes before the join, so dropped rows are neither shuffled nor matched. A column of
-    `columns` that neither side has raises.
+    `columns` that neither side has raises. With `standardized`, equal rows collapse and text is trimmed and cleaned.
     """
     valid = expect_or_drop(bronze, VALID_ORDER_NUMBER)
     joined = enrich(valid, customers, on)
     typed = joined.withColumn("order_datetime", epoch_ts(F.col("order_datetime")))
     typed = typed.withColumn("order_date", F.to_date("order_datetime"))
-    return title_columns(typed.select(*columns), ["customer_name"])
+    chosen = typed.select(*columns)
+    return title_columns(standardize(chosen) if standardized else chosen, ["customer_name"])
 
 
 def sales_by_city(silver: DataFrame, city: str) -> DataFrame:
@@ -98,9 +103,10 @@ def merge_trip_names(raw: DataFrame, missing: str = "raise") -> DataFrame:
     return coalesce_variants(raw, spec, missing)
 
 
-def silver_trips(bronze: DataFrame, schema: StructType = TRIP_SCHEMA) -> DataFrame:
-    """Trips with typed times, in the declared schema with its column comments."""
+def silver_trips(bronze: DataFrame, schema: StructType = TRIP_SCHEMA, standardized: bool = False) -> DataFrame:
+    """Trips with typed times, in the declared schema with its column comments; text as in `silver_orders`."""
     times = {c: parse_ts(F.col(c), TRIP_TIME_FORMAT) for c in ("start_time", "stop_time")}
-    typed = title_columns(bronze.withColumns(times), ["user_type"])
+    clean = standardize(bronze) if standardized else bronze
+    typed = title_columns(clean.withColumns(times), ["user_type"])
     shaped = conform(typed, schema)
     return shaped.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields])

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.jsoncols import extra_keys, parse_map, parse_struct, project_keys, structure_records
+from ..functions.jsoncols import extra_keys, parse_map, parse_struct, parse_variant, project_keys, structure_records, variant_path
 from ..functions.text import repair_json, strip_control
-from ..functions.times import safe_cast
+from ..functions.times import epoch_ts, safe_cast
 from ..operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, RESERVED
 from ..operators.columns import computed_once
 from ..operators.flatten import expand_struct
-from ..operators.quality import PATIENT_RULES, quarantine_records, split_valid, validate
+from ..operators.payload import RESCUED, with_rescue
+from ..operators.quality import FAILED, PATIENT_RULES, quarantine_records, split_valid, validate
 from ..operators.scd import apply_scd1, apply_scd2
 
 # Bronze columns, payload keys and their types.
@@ -79,6 +81,13 @@ def typed_patients(feed: DataFrame, at: Column) -> DataFrame:
     )
 
 
+def valid_patients(typed: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
+    """The changes that patients are kept from: rows that pass all rules, and deletes, of which only key and sequence are read."""
+    checked = validate(typed, rules or PATIENT_RULES)
+    gone = F.coalesce(F.expr(DELETED), F.lit(False)) & F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
+    return checked.where(F.col(FAILED).isNull() | gone).drop(FAILED)
+
+
 def tie_break(columns: list[str]) -> list[str]:
     """The columns as received; the typed ones follow from them."""
     return [c for c in [*BRONZE_COLUMNS, *RESERVED, PAYLOAD_DIGEST] if c in columns]
@@ -86,7 +95,7 @@ def tie_break(columns: list[str]) -> list[str]:
 
 def patient_history(feed: DataFrame, at: Column, rules: dict[str, str] | None = None, hot_rows: int | None = None) -> DataFrame:
     """Type-2 history of the valid patients."""
-    valid, _ = split_valid(validate(typed_patients(feed, at), rules or PATIENT_RULES))
+    valid = valid_patients(typed_patients(feed, at), rules)
     return apply_scd2(
         valid, KEYS, SEQUENCE, DELETED, [*RESERVED, PAYLOAD_DIGEST], hot_rows=hot_rows, tie_break=tie_break(valid.columns), count_on=feed
     )
@@ -94,7 +103,7 @@ def patient_history(feed: DataFrame, at: Column, rules: dict[str, str] | None =
 
 def patient_latest(feed: DataFrame, at: Column, rules: dict[str, str] | None = None) -> DataFrame:
     """Type-1 table of the valid patients."""
-    valid, _ = split_valid(validate(typed_patients(feed, at), rules or PATIENT_RULES))
+    valid = valid_patients(typed_patients(feed, at), rules)
     return apply_scd1(valid, KEYS, SEQUENCE, DELETED, [*RESERVED, PAYLOAD_DIGEST], tie_break=tie_break(valid.columns))
 
 
@@ -103,6 +112,40 @@ def patient_quarantine(feed: DataFrame, at: Column, rules: dict[str, str] | None
     return quarantine_records(typed_patients(feed, at), rules or PATIENT_RULES, FLOW_NAME, TABLE_NAME, QUARANTINE_COLUMNS, at)
 
 
+def inferred_latest(feed: DataFrame, schema: StructType) -> DataFrame:
+    """Type-1 table of patients whose payload is parsed by an inferred schema; its fields get the prefix `D_`.
+
+    Fields that the schema lacks stay in `D_rescued`, as JSON text.
+    """
+    # The row's own columns are set aside, as payload keys may be called like them.
+    packed = feed.select(F.struct(*[c for c in feed.columns if c != "D"]).alias("__row"), repair_json(F.col("D")).alias("__j"))
+    parsed = with_rescue(packed, "__j", schema)
+    fields = [F.col(f"`{f}`").alias(f"D_{f}") for f in schema.fieldNames()]
+    named = parsed.select("__row.*", *fields, F.col(RESCUED).alias("D_rescued"))
+    return apply_scd1(named, KEYS, SEQUENCE, DELETED, RESERVED)
+
+
+# Payload paths of a connection and their types.
+CONNECTION_PATHS = {
+    "connection_id": ("id", "string"),
+    "follower_id": ("follower.id", "string"),
+    "follower_name": ("follower.name", "string"),
+    "status": ("status", "int"),
+    "accepted": ("accepted", "boolean"),
+    "created": ("created", "bigint"),
+}
+CONNECTION_RULES = {"has_connection": "connection_id IS NOT NULL", "known_status": "status BETWEEN 0 AND 3"}
+
+
+def connection_history(feed: DataFrame, rules: dict[str, str] | None = None, hot_rows: int | None = None) -> DataFrame:
+    """Type-2 history of valid connections between patients; paths are read from one VARIANT per payload."""
+    parsed = computed_once(feed, {"__v": parse_variant(strip_control(F.col("D")))}, [c for c in feed.columns if c != "D"])
+    paths = [variant_path(F.col("__v"), path, kind).alias(name) for name, (path, kind) in CONNECTION_PATHS.items()]
+    typed = parsed.select(*[c for c in feed.columns if c != "D"], *paths).withColumn("created", epoch_ts(F.col("created")))
+    valid, _ = split_valid(validate(typed, rules or CONNECTION_RULES))
+    return apply_scd2(valid, ["PatientID", "connection_id"], SEQUENCE, DELETED, RESERVED, hot_rows=hot_rows, count_on=None)
+
+
 def practice_history(feed: DataFrame, at: Column, hot_rows: int | None = None) -> DataFrame:
     """Type-2 history of patient-practice links, with the payload parsed to a declared struct."""
     timed = feed.withColumns({c: safe_cast(F.col(c), "timestamp") for c in ("Created", "Updated")})

@@ -26,7 +26,9 @@ class PatientStream:
         """Take in one micro-batch of the change feed; use it as the function of `foreachBatch`."""
         checked = validate(typed_patients(feed, F.current_timestamp()), self.rules).persist()
         try:
-            valid, failed = split_valid(checked)
+            _, failed = split_valid(checked)
+            gone = F.coalesce(F.expr(DELETED), F.lit(False))
+            valid = checked.where(F.col(FAILED).isNull() | gone).drop(FAILED)
             records = quarantine_records(
                 failed.drop(FAILED), self.rules, FLOW_NAME, TABLE_NAME, QUARANTINE_COLUMNS, F.current_timestamp()
             )
