@@ -198,6 +198,19 @@ def ordered(t: Tables) -> DataFrame:
     return t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice").orderBy("o_orderstatus", F.col("o_totalprice").desc())
 
 
+@register(
+    "rel_sort_positions",
+    "REL-13 REL-11",
+    """
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_orderstatus, o_totalprice, o_orderkey) AS position FROM orders""",
+)
+def positions(t: Tables) -> DataFrame:
+    """Where each row stands in the order of the whole table, counted over sorted slices and not in one task."""
+    rows = t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(1).alias("all"))
+    ranked = rank_rows(rows, ["all"], ["o_orderstatus", "o_totalprice", "o_orderkey"], hot_rows=1000)
+    return ranked.select("o_orderkey", F.col("rn_asc").alias("position"))
+
+
 CTE = """
     WITH spent AS (SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total FROM orders GROUP BY o_custkey),
     big AS (SELECT * FROM spent WHERE total > (SELECT avg(total) FROM spent))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -37,6 +38,8 @@ SEEN_COLUMNS = ["path", "length", "modificationTime"]
 INTEGERS = [ByteType, ShortType, IntegerType, LongType]
 DIGITS = dict(zip(INTEGERS, (3, 5, 10, 19)))
 TIMES = (TimestampType, TimestampNTZType)
+# Paths that are brought to the driver and read at once.
+FILES_AT_ONCE = 10_000
 
 
 class SchemaRegistry:
@@ -81,6 +84,22 @@ class SchemaRegistry:
             raise
         return found.join(noted.select(*SEEN_COLUMNS), SEEN_COLUMNS, "left_anti")
 
+    def unseen_groups(self, path: str, key: str, pattern: str = "*", size: int = FILES_AT_ONCE) -> Iterator[DataFrame]:
+        """The unseen files, oldest first, at most `size` at a time, so that the driver never holds more paths than that.
+
+        A group must be marked as seen before the next one is asked for; a start that ends early goes on where it was.
+        """
+        shared_dir(self.spark)
+        files = self.unseen_files(path, key, pattern).orderBy("modificationTime", "path").checkpoint()
+        held: list = []
+        for row in files.toLocalIterator():
+            held.append(tuple(row))
+            if len(held) == size:
+                yield self.spark.createDataFrame(held, files.schema)
+                held = []
+        if held:
+            yield self.spark.createDataFrame(held, files.schema)
+
     def mark_seen(self, files: DataFrame, key: str) -> None:
         """Note files as looked at; one set of rows per start that found new files."""
         files.write.mode("append").parquet(self._seen_path(key))
@@ -137,13 +156,13 @@ def infer_from_new_files(
     reader: DataFrameReader, path: str, fmt: str, col: str, registry: SchemaRegistry, key: str, hints: str | None = None
 ) -> StructType:
     """`infer_schema` over the files not looked at for `key` before; others are not read again."""
-    shared_dir(registry.spark)
-    files = registry.unseen_files(path, key).checkpoint()
-    paths = [r.path for r in files.select("path").toLocalIterator()]
-    frame = reader.format(fmt).load(paths) if paths else registry.spark.createDataFrame([], f"`{col}` string")
-    schema = infer_schema(frame, col, registry, key, hints)
-    if paths:
+    schema = None
+    for files in registry.unseen_groups(path, key):
+        frame = reader.format(fmt).load([r.path for r in files.select("path").collect()])
+        schema = infer_schema(frame, col, registry, key, hints)
         registry.mark_seen(files, key)
+    if schema is None:
+        schema = infer_schema(registry.spark.createDataFrame([], f"`{col}` string"), col, registry, key, hints)
     return schema
 
 

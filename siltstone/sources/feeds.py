@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,19 +12,6 @@ from ..operators.evolve import SchemaRegistry, infer_from_new_files
 from ..streaming.run import run_streams
 from .files import delimited_options, stream_delimited, with_batch_prefix, with_file_metadata, with_ingest_audit
 
-# The source feeds and their columns, all of them text.
-FEED_COLUMNS = {
-    "GdprBacklog": "PatientID Processed Active Timestamp",
-    "PartnerNotification": "ID PatientID Shard PartnerID Retry Message",
-    "PatientSensor": "PatientID Shard SerialNumber Activated Ended D Created",
-    "PatientPartnerConnection": "PatientID Shard PartnerID Created CreatedBy Updated UpdatedBy V D P",
-    "PatientConnectionHistory": "PatientID Shard FollowerID Action Status D Updated",
-    "Measurement": "PatientID Shard DeviceID Timestamp Type FactoryTimestamp Created D UploadID RecordNumber TimestampOffset",
-    "PatientConnection": "PatientID Shard FollowerID S SUpdated R RUpdated D Updated",
-    "PatientUpload": "PatientID Shard UploadID DeviceID DeviceTypeID TSMin TSMax FTSMin FTSMax Created",
-    "LibreLinkSession": "PatientID Shard DeviceID DeviceTypeID Created CreatedBy Updated UpdatedBy V D P",
-    "PatientPractice": "PatientID Shard PracticeID Created CreatedBy Updated UpdatedBy V D P",
-}
 PAYLOAD = "D"
 
 
@@ -48,9 +35,9 @@ def text_schema(columns: str | Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def standard_feeds(root: str, names: Sequence[str] | None = None) -> list[Feed]:
-    """The known feeds below a folder, one sub-folder each."""
-    return [Feed(n, text_schema(FEED_COLUMNS[n]), f"{root}/{n}") for n in names or FEED_COLUMNS]
+def feeds_of(columns: Mapping[str, str | Sequence[str]], root: str, names: Sequence[str] | None = None) -> list[Feed]:
+    """Feeds by name and text columns, below a folder with one sub-folder each; `names` chooses some of them."""
+    return [Feed(n, text_schema(columns[n]), f"{root}/{n}") for n in names or columns]
 
 
 def has_payload(schema: StructType) -> bool:

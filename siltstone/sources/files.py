@@ -10,7 +10,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.text import batch_prefix
 from ..operators.columns import row_digest
 from ..operators.evolve import SchemaRegistry, conform, infer_from_new_files, merge_types
-from ..session import shared_dir
 from ..operators.payload import RESCUED, ingest_json_quality, with_corrupt, with_rescue
 
 FILE_MODES = ("all", "names", "source")
@@ -93,14 +92,12 @@ def _json_columns(lines: DataFrame, schema: StructType, rescue: bool, corrupt: b
 def stream_parquet(spark: SparkSession, path: str, schema_location: str, key: str = "parquet", merge: bool = True) -> DataFrame:
     """Stream Parquet files; columns added by newer files join the schema kept in `schema_location`.
 
-    Only footers of files not seen at an earlier start are opened.
+    Only footers of files not seen at an earlier start are opened, a bounded number of files at a time.
     """
     registry = SchemaRegistry(spark, schema_location)
-    shared_dir(spark)
     schema = registry.load(key)
-    files = registry.unseen_files(path, key, "*.parquet").checkpoint()
-    paths = [r.path for r in files.select("path").toLocalIterator()]
-    if paths:
+    for files in registry.unseen_groups(path, key, "*.parquet"):
+        paths = [r.path for r in files.select("path").collect()]
         found = spark.read.option("mergeSchema", str(merge).lower()).parquet(*paths).schema
         schema = merge_types(schema, found) if schema is not None else found
         registry.store(key, schema)

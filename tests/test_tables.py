@@ -55,7 +55,8 @@ from siltstone.plans.marts import SILVER_ORDER_COLUMNS, TRIP_SCHEMA, sales_by_ci
 from siltstone.plans.patients import practice_history
 from siltstone.plans.workload import METHODS, bench_distinct, bench_filter, bench_group, bench_select, parse, run_workload
 from siltstone.session import scratch_path, shared_dir
-from siltstone.sources.feeds import FEED_COLUMNS, ingest_feeds, run_feeds, standard_feeds
+from siltstone.catalog.ingest import FEED_COLUMNS
+from siltstone.sources.feeds import feeds_of, ingest_feeds, run_feeds
 from siltstone.sources.files import (
     append_by_name,
     read_csv,
@@ -271,7 +272,7 @@ def test_feeds(spark, tmp_path):
         columns = FEED_COLUMNS[name].split()
         values = ['{"k":1}' if c == "D" else c.lower() for c in columns]
         (root / name / "2024" / "1" / "2" / "10-00" / "x.tsv").write_text("\t".join(columns) + "\n" + "\t".join(values) + "\n")
-    feeds = standard_feeds(str(root), ["GdprBacklog", "PatientPractice"])
+    feeds = feeds_of(FEED_COLUMNS, str(root), ["GdprBacklog", "PatientPractice"])
     feeds = [type(f)(f.name, f.schema, f.path + "/*/*/*/*") for f in feeds]
     sinks = run_feeds(ingest_feeds(spark, feeds, str(tmp_path / "schemas"), at()), str(tmp_path / "run"))
     plain, payload = spark.read.parquet(sinks["bronze_gdprbacklog"]), spark.read.parquet(sinks["bronze_patientpractice"])

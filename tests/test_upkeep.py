@@ -11,13 +11,18 @@ from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 from siltstone.operators.changes import change_feed
+from siltstone.operators.evolve import SchemaRegistry, infer_from_new_files
 from siltstone.operators.digests import change_feed_by_digest, changed_buckets, digest_tree
 from siltstone.operators.scd import apply_scd1, apply_scd2
 from siltstone.operators.shred import reassemble, shred
-from siltstone.plans.curve import rank_borders, with_place, write_clustered
+from siltstone.plans.curve import rank_borders, stored_borders, with_place, write_clustered
+from siltstone.plans.patients import patient_history, patient_latest, patient_quarantine
+from siltstone.plans.workload import bench_read_back, bench_write
 from siltstone.streaming import keyed
+from siltstone.streaming.aggregates import SumTarget
 from siltstone.streaming.deltas import DeltaMart
 from siltstone.streaming.keyed import KeyedScd
+from siltstone.streaming.patients import PatientStream
 
 SCHEMA = "k INT, v STRING, _change_type STRING, _commit_version BIGINT, _commit_timestamp TIMESTAMP"
 DELETED = "_change_type = 'delete'"
@@ -226,3 +231,67 @@ def test_digest_feed_joins_changed_buckets_only(spark, tmp_path):
     assert plan.index("FullOuter") < plan.index("LeftSemi")
     assert rows(change_feed_by_digest(orders, orders, ["o_orderkey"], 3, at)) == []
     assert len(rows(change_feed_by_digest(orders.limit(0), orders, ["o_orderkey"], 3, at))) == orders.count()
+
+
+def test_a_delete_that_fails_a_rule_closes_its_version(spark, tmp_path):
+    good = '{"id":"7","name":"n","state":"TX","zipCode":"12345","private":true,"created":1000000}'
+    rows_ = [("7", "b", good, "insert", 1), ("7", "b", "{}", "delete", 2), (None, "b", "{}", "delete", 3), ("8", "b", "{}", "insert", 1)]
+    feed = spark.createDataFrame([(*r, START + datetime.timedelta(hours=r[4])) for r in rows_], "ID STRING, BusinessID STRING, D STRING, _change_type STRING, _commit_version BIGINT, _commit_timestamp TIMESTAMP")
+    feed = feed.selectExpr("*", "'s' AS Shard", "'1' AS Created", "'2' AS Updated")
+    at = F.lit(START)
+    history = patient_history(feed, at).collect()
+    assert [(r.ID, r.IsCurrent) for r in history] == [("7", False)]
+    assert patient_latest(feed, at).collect() == []
+    assert patient_quarantine(feed, at).count() == 3
+    flow = PatientStream(str(tmp_path / "p"), buckets=2)
+    flow.upsert(feed, 0)
+    assert [(r.ID, r.IsCurrent) for r in flow.patients(spark).collect()] == [("7", False)] and flow.failed(spark).count() == 3
+
+
+def test_a_repeated_batch_replaces_its_folder_of_the_curve(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "id % 7 AS k")
+    path = str(tmp_path / "t")
+    for batch in (0, 1, 1):
+        write_clustered(df, path, ["id", "k"], 3, "append", folder=f"batch={batch}")
+    assert spark.read.option("basePath", path).parquet(f"{path}/batch=*").count() == 200
+    assert stored_borders(spark, path) is not None
+
+
+def test_a_stored_variant_is_read_by_path(spark, tmp_path):
+    rows_ = spark.createDataFrame([('{"user":"u","metadata":{"device":"d","ip":"i"},"id":1}',)], "value STRING")
+    bench_write(rows_.withColumnRenamed("value", "json_str"), "variant", str(tmp_path / "v"))
+    back = bench_read_back(spark, "variant", str(tmp_path / "v"))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<parsed:struct<0:string>>" in plan and [r.user for r in back.collect()] == ["u"]
+
+
+def test_sums_are_the_same_after_folding(spark, tmp_path):
+    target = SumTarget(str(tmp_path / "sums"), ["k"], ["n"])
+
+    def total():
+        return {r.k: r.n for r in target.read(spark).collect()}
+
+    for batch in range(3):
+        target.upsert(spark.createDataFrame([("a", 1), ("b", batch)], "k STRING, n BIGINT"), batch)
+    assert total() == {"a": 3, "b": 3}
+    target.fold(spark)
+    assert total() == {"a": 3, "b": 3}
+    for _ in range(2):
+        target.upsert(spark.createDataFrame([("a", 5), ("c", 1)], "k STRING, n BIGINT"), 3)
+    assert total() == {"a": 8, "b": 3, "c": 1}
+    target.fold(spark)
+    assert total() == {"a": 8, "b": 3, "c": 1}
+
+
+def test_new_files_are_looked_at_in_groups(spark, tmp_path):
+    registry = SchemaRegistry(spark, str(tmp_path / "schemas"))
+    for at in range(5):
+        spark.createDataFrame([(f'{{"k{at}":1}}',)], "value STRING").coalesce(1).write.mode("append").text(str(tmp_path / "in"))
+    path = str(tmp_path / "in")
+    groups = [g.count() for g in registry.unseen_groups(path, "x", "*.txt", 2)]
+    assert groups == [2, 2, 1]
+    first = next(registry.unseen_groups(path, "x", "*.txt", 2))
+    registry.mark_seen(first, "x")
+    assert sum(g.count() for g in registry.unseen_groups(path, "x", "*.txt", 2)) == 3
+    schema = infer_from_new_files(spark.read, path, "text", "value", SchemaRegistry(spark, str(tmp_path / "other")), "x")
+    assert sorted(schema.fieldNames()) == [f"k{at}" for at in range(5)]
