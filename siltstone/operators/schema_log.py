@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.jsoncols import json_path
+from ..session import shared_dir
 from .relational import consecutive_pairs
 
 # The shape of the log and of a schema inside it.
@@ -58,9 +59,10 @@ def flow_definitions(log: DataFrame, table: str | None = None) -> DataFrame:
 
 
 def schema_history(log: DataFrame, table: str | None = None, hot_rows: int | None = None) -> DataFrame:
-    """Each schema of a dataset with the one that followed it, newest first."""
+    """Each schema of a dataset with the one that followed it, newest first. Definitions are taken from the log's JSON once, and stored."""
+    shared_dir(log.sparkSession)
     pairs = consecutive_pairs(
-        flow_definitions(log, table), ["output_table"], ["timestamp", "schema_json"], ["schema_json", "timestamp"], hot_rows
+        flow_definitions(log, table).checkpoint(), ["output_table"], ["timestamp", "schema_json"], ["schema_json", "timestamp"], hot_rows
     )
     return pairs.select(
         "output_table",

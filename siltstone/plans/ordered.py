@@ -30,10 +30,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame,
     keys found are stored, never brought to the driver, and how they are joined is left to Spark.
     """
     shared_dir(df.sparkSession)
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > limit).checkpoint()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    # Nearly always no key has so many rows; then one small job is all there is.
+    if (counts.agg(F.max("__rows")).first()[0] or 0) <= limit:
+        return None
+    counted = counts.where(F.col("__rows") > limit).checkpoint()
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     found = counted.agg(F.sum("__rows").alias("total"), F.count_if(null_key).alias("nulls")).first()
-    return None if found["total"] is None else (counted.select(*keys), found["total"], found["nulls"] > 0)
+    return counted.select(*keys), found["total"], found["nulls"] > 0
 
 
 class Timeline:
