@@ -8,10 +8,16 @@ bits than words may. What passes is verified on the whole sets.
 
 Rarity is a count per hash bucket over all lines, in steps of an eighth of a power of two: a fixed
 number of whole numbers, whatever the corpus. Any order gives the same pairs, the rare-first one the
-fewest candidates. Words are compared by 32 bits of their hash and the step of their bucket.
+fewest candidates. Words are compared by 54 bits of their hash and the step of their bucket.
 
 Equal sets form a class and take part once; classes that hold more than a thousandth of all lines, of
-which there are less than a thousand, are reduced to one line before the shuffle already.
+which there are less than a thousand, are reduced to one line before the shuffle already. A class is known by one
+64-bit hash; sets that share it but differ in a second hash get classes of their own.
+
+What is asked of a class is whether an earlier one matches it. Classes that share the least words under two of MASKS orders
+are likely to match, so each meets the earliest class with the same two first; one that has found a match by then
+is looked up no more, though later ones may still match it. So the members of a group of near copies meet its first ones and
+not each other, and the join's rows do not follow the square of a group.
 """
 
 from __future__ import annotations
@@ -28,9 +34,10 @@ HOT = 1000
 SHORT = 40
 # Classes up to this size meet others by equality only: 3 of 4 words are less than 0.8.
 EQUAL_ONLY = 3
-# Runs of this many leading prefix words, and how many runs, by which likely pairs are found.
-WORDS_SHARED = 3
-RUNS = 2
+# Bits of a word's hash in its number; the step of its bucket stands above them.
+WORD_BITS = 54
+# Orders of words (their numbers with some bits flipped) whose least words find likely pairs, two by two.
+MASKS = 0x2AF7C9B1D35E86, 0x15083A4E9C7B61, 0x3D5C62F01A8E97, 0x0A91E7C4583BD2
 # Pairs of a class verified one after another before all the others are.
 TRIES = 3
 # Keys of documents to verify are broadcast up to this many bytes and joined beyond.
@@ -70,7 +77,7 @@ def line_sets(lines: DataFrame, steps: Column) -> DataFrame:
     def number(word: Column) -> Column:
         hashed = F.xxhash64(word)
         step = F.get(steps, F.shiftrightunsigned(hashed, 32).bitwiseAND(BUCKETS - 1).cast("int"))
-        return F.shiftleft(step.cast("long"), 32).bitwiseOR(hashed.bitwiseAND(0xFFFFFFFF))
+        return F.shiftleft(step.cast("long"), WORD_BITS).bitwiseOR(hashed.bitwiseAND((1 << WORD_BITS) - 1))
 
     parts = line_words(F.col("line"))
     parts = F.when(F.array_contains(parts, ""), F.array_remove(parts, "")).otherwise(parts)
@@ -92,22 +99,43 @@ def prefix_length(n: Column, percent: int) -> Column:
 
 
 def compact_lines(lines: DataFrame, steps: Column, percent: int) -> DataFrame:
-    """(key, th, line_no, n, d, b1, b2, prefix) of all lines with a word; d is the class."""
+    """(key, th, line_no, n, d, d2, b1, b2, least, prefix) of all lines with a word.
+
+    d is the class, d2 a second hash of it, `least` has a hash of the least words under each two orders.
+    """
     # Asked of the line, as a filter on the set would have it made twice.
     full = lines.where(F.regexp_like("line", F.lit(r"[^ \t-\r]")))
     sets = line_sets(full, steps).withColumn("n", F.size("words"))
+
+    def least(mask: int) -> Column:
+        return F.array_min(F.transform("words", lambda word: word.bitwiseAND((1 << WORD_BITS) - 1).bitwiseXOR(mask)))
+
+    pairs = [F.xxhash64(F.lit(at), least(MASKS[at]), least(MASKS[at + 1])) for at in range(0, len(MASKS), 2)]
     return sets.select(
         "key",
         "th",
         "line_no",
         "n",
         F.xxhash64("words").alias("d"),
+        F.xxhash64(F.lit(1), "words").alias("d2"),
         F.when(F.col("n") > EQUAL_ONLY, _bitmap(F.col("words"), 0)).otherwise(F.lit(0).cast("long")).alias("b1"),
         F.when(F.col("n") > SHORT, _bitmap(F.col("words"), 1)).otherwise(F.lit(0).cast("long")).alias("b2"),
+        F.when(F.col("n") > EQUAL_ONLY, F.array(*pairs)).alias("least"),
         F.when(F.col("n") > EQUAL_ONLY, F.slice("words", F.lit(1), prefix_length(F.col("n"), percent))).alias("prefix"),
     )
 
 
+def told_apart(stored: DataFrame) -> DataFrame:
+    """Lines whose sets differ though they share a class get classes of their own; d2 goes."""
+    ends = stored.groupBy("d").agg(F.min("d2").alias("low"), F.max("d2").alias("high"))
+    # Nearly always none: two of 10 ** 9 different sets share a 64-bit hash with a chance of three in a hundred.
+    shared = ends.where("low <> high").select(F.col("d").alias("shared_d")).checkpoint()
+    if shared.isEmpty():
+        return stored.drop("d2")
+    marked = stored.join(shared, F.col("d") == F.col("shared_d"), "left")
+    return marked.withColumn("d", F.when(F.col("shared_d").isNull(), F.col("d")).otherwise(F.xxhash64("d", "d2"))).drop("shared_d", "d2")
+
+
 def place() -> Column:
     """Where a line stands: by key, NULL keys last, then line number; the text hash tells rows of one key apart."""
     return F.struct(F.col("key").isNull().alias("no_key"), F.col("key"), F.col("line_no"), F.col("th"))
@@ -139,15 +167,11 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 
 def likely_pairs(stored: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each class with the earliest line that has the same leading prefix words.
+    """Pairs (a, b) of each class with the earliest line that has the same least words under two orders.
 
-    A group of near copies gives one pair for each of its classes and each run of WORDS_SHARED words.
+    A group of near copies gives one pair for each of its classes and each two orders.
     """
-    runs = [
-        F.when(F.size("prefix") >= at + WORDS_SHARED, F.xxhash64(F.lit(at), F.slice("prefix", at + 1, WORDS_SHARED)))
-        for at in range(0, RUNS * WORDS_SHARED, WORDS_SHARED)
-    ]
-    rows = stored.where(F.col("n") > EQUAL_ONLY).select("d", "n", "b1", "b2", place().alias("at"), F.explode(F.array_compact(F.array(*runs))).alias("run"))
+    rows = stored.where(F.col("n") > EQUAL_ONLY).select("d", "n", "b1", "b2", place().alias("at"), F.explode("least").alias("run"))
     heads = rows.groupBy("run").agg(
         F.min_by(F.struct("d", "n", "b1", "b2"), "at").alias("head"), F.min("d").alias("low"), F.max("d").alias("high")
     )
@@ -157,7 +181,7 @@ def likely_pairs(stored: DataFrame, percent: int) -> DataFrame:
 
 
 def open_pairs(stored: DataFrame, classes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """Pairs (later, a, b, try) that share a prefix word and pass all filters; two settled classes are not paired.
+    """Pairs (later, a, b, try) that share a prefix word and pass all filters, with an open later class.
 
     `later` is the later class of the two; `try` numbers its pairs from the earliest partner on.
     """
@@ -171,23 +195,24 @@ def open_pairs(stored: DataFrame, classes: DataFrame, settled: DataFrame, percen
     flagged = once.join(known, F.col("d") == F.col("settled_d"), "left").withColumn("settled", F.col("settled_d").isNotNull())
     rows = flagged.select("n", "d", "b1", "b2", "settled", "key", "line_no", F.posexplode("prefix").alias("at", "word"))
     # The class decides the columns grouped by, so rows of a group are its lines; the first one counts.
-    spot = F.struct(F.col("key").isNull().alias("no_key"), "key", "line_no")
+    spot = turn(F.col("key"), F.col("line_no"), F.col("d"))
     rows = rows.repartition("word").groupBy("word", "d", F.col("n").cast("int").alias("n"), "at", "b1", "b2", "settled").agg(F.min(spot).alias("spot"))
     left, right = (rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "word"]) for side in "lr")
-    together = (left["word"] == right["word"]) & (F.col("l_d") < F.col("r_d")) & ~(F.col("l_settled") & F.col("r_settled"))
+    # Asked of both sides at once, so that the two sides of the join stay one shuffle.
+    wanted = F.when(F.col("l_settled"), F.lit(False)).otherwise(F.col("r_spot") < F.col("l_spot"))
+    together = (left["word"] == right["word"]) & wanted
     met = left.join(right, together & _positional(percent) & _may_match(percent))
-    sides = [turn(F.col(f"{x}_spot.key"), F.col(f"{x}_spot.line_no"), F.col(f"{x}_d")) for x in "lr"]
-    pairs = met.select(F.greatest(*sides).alias("later"), F.least(*sides).alias("earlier")).distinct()
+    pairs = met.select(F.col("l_d").alias("later"), F.col("r_spot").alias("earlier")).distinct()
     order = Window.partitionBy("later").orderBy("earlier")
-    ranked = pairs.select(F.col("later.d").alias("later"), F.col("earlier.d").alias("earlier"), F.row_number().over(order).alias("try"))
+    ranked = pairs.select("later", F.col("earlier.d").alias("earlier"), F.row_number().over(order).alias("try"))
     return ranked.select("later", F.least("later", "earlier").alias("a"), F.greatest("later", "earlier").alias("b"), "try")
 
 
 def links(df: DataFrame, stored: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
     """Pairs of similar classes (a, b), enough of them that each class with an earlier match has one here.
 
-    Likely pairs settle many classes that have an earlier match, and the prefix join leaves out pairs of two
-    settled classes. Of the pairs it finds, each class that is still open has its earliest TRIES verified
+    Likely pairs settle most classes that have an earlier match, and the prefix join looks for matches of the
+    others only. Of the pairs it finds, each class that is still open has its earliest TRIES verified
     one after another, and all the others only if none of these matches.
     """
     likely = likely_pairs(stored, percent).checkpoint()
@@ -198,6 +223,8 @@ def links(df: DataFrame, stored: DataFrame, classes: DataFrame, steps: Column, k
     for number in range(1, TRIES + 2):
         chosen = ranked.where(F.col("try") == number if number <= TRIES else F.col("try") > TRIES)
         still = chosen.join(settled.select(F.col("d").alias("later")), "later", "left_anti").select("a", "b").checkpoint()
+        if still.isEmpty():
+            continue
         fresh = verified(df, still, classes, steps, key, text, percent).checkpoint()
         found = found.unionByName(fresh)
         settled = settled.unionByName(later_classes(fresh, firsts)).distinct().checkpoint()
@@ -245,7 +272,7 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", perce
     steps = rarity_steps(lines)
     path = scratch_path(df.sparkSession, "lines")
     compact_lines(lines, steps, percent).write.option("compression", "zstd").parquet(path)
-    stored = df.sparkSession.read.parquet(path)
+    stored = told_apart(df.sparkSession.read.parquet(path))
     classes = stored.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first")).checkpoint()
     found = links(df, stored, classes, steps, key, text, percent)
     both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
