@@ -25,6 +25,8 @@ RULES = [
 ]
 
 
+# Bytes of one batch between Spark and a Python worker. Several copies are held at a time on both sides.
+BATCH_BYTES = 8 << 20
 _shipped: set[str] = set()
 
 
@@ -38,8 +40,14 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def ready(spark: SparkSession) -> None:
+    """Let the workers of a session import this package, and hand them texts in batches of a bounded size, whatever the rows."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    ready(spark)
     return configure(spark).read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
