@@ -9,31 +9,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltstone.llm import decontaminate, language_hd, line_dedup, minhash_forest, sentencepiece_codec
-from siltstone.llm.queries import PIECES, read
+from siltstone.llm.queries import PIECES, read, ready
 from siltstone.session import scratch_path
 
 # The decisions depend on fitted models and set similarities that SQL does not express.
 ORACLE_SQL = None
 
 
+# A language given is replaced only if the one found beats all others by this much in cosine.
+MARGIN = 0.1
+# A document of which line dedup leaves a smaller share of characters goes: what is left of a near copy is no document.
+LEAST_LEFT = 1 / 3
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter; texts that are NULL or hold no letter go.
+    """Documents with a letter, in the language they are written in; texts that are NULL or hold no letter go.
 
-    Prototypes are fitted on all documents with a language. Where there are none, no language is found, and
+    Prototypes are fitted on all documents with a language. A missing language is filled with the one found, and one that
+    the text clearly contradicts (by MARGIN) is replaced by it. Where no document has a language none is found, and
     texts with a letter stay all the same.
     """
+    ready(spark)
     prototypes = language_hd.fit_prototypes(docs)
     found = language_hd.predict(docs, prototypes, docs.columns)
-    return found.where("has_letter").select(*docs.columns)
+    known = F.col("lang_pred") != language_hd.UNKNOWN
+    better = known & (F.col("lang").isNull() | (F.col("margin") >= MARGIN))
+    return found.where("has_letter").withColumn("lang", F.when(better, F.col("lang_pred")).otherwise(F.col("lang"))).select(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that match an earlier one; a document left without a word goes.
+    """Documents without lines that match an earlier one.
 
-    n_chars follows the text.
+    A document left without a word, or with less than LEAST_LEFT of its characters, goes. n_chars follows the text.
     """
-    kept = line_dedup.dedup_lines(docs)
-    return kept.where(F.length("text") > 0).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    kept = line_dedup.dedup_lines(docs.withColumn("__chars", F.length("text")))
+    left = F.length("text")
+    enough = (left > 0) & (left >= F.col("__chars") * LEAST_LEFT)
+    return kept.where(enough).withColumn("n_chars", left.cast("long")).select(*docs.columns)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
