@@ -18,7 +18,7 @@ ORACLE_SQL = None
 
 # A language given is replaced only if the one found beats all others by this much in cosine.
 MARGIN = 0.1
-# A document of which line dedup leaves a smaller share of characters goes: what is left of a near copy is no document.
+# A document of which line dedup leaves a smaller share of its different lines, in characters, goes: what is left of a near copy is no document.
 LEAST_LEFT = 1 / 3
 
 
@@ -40,9 +40,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that match an earlier one.
 
-    A document left without a word, or with less than LEAST_LEFT of its characters, goes. n_chars follows the text.
+    A document left without a word, or with less than LEAST_LEFT of its own different lines, goes; one that repeats itself
+    keeps each of its lines once. n_chars follows the text.
     """
-    kept = line_dedup.dedup_lines(docs.withColumn("__chars", F.length("text")))
+    own = F.array_join(F.array_distinct(F.split("text", "\n")), "\n")
+    kept = line_dedup.dedup_lines(docs.withColumn("__chars", F.length(own)))
     left = F.length("text")
     enough = (left > 0) & (left >= F.col("__chars") * LEAST_LEFT)
     return kept.where(enough).withColumn("n_chars", left.cast("long")).select(*docs.columns)
