@@ -10,7 +10,8 @@ def test_stages_decide_as_planted(spark, tmp_path):
     leak = "Which of these seven planets has the largest moon that anybody has ever seen from here"
     near = clean[3].replace("word3x9 ", "").replace("word3x30", "other")
     own = "own line of this text that goes on for so many words that more than a third of it is left " * 3
-    texts = [*clean, clean[2], near, "before " + leak + " after", "12345 678", None, clean[0] + "\n" + own, clean[1] + "\nshort rest", ""]
+    again = "a line of its own that one document says six times over"
+    texts = [*clean, clean[2], near, "before " + leak + " after", "12345 678", None, clean[0] + "\n" + own, clean[1] + "\nshort rest", "", "\n".join([again] * 6)]
     folder = str(tmp_path)
     documents(spark, texts).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
@@ -24,11 +25,11 @@ def test_stages_decide_as_planted(spark, tmp_path):
         kept[name] = {r.doc_id: r for r in docs.collect()}
         if name != "sentencepiece":
             assert docs.columns == columns
-    assert set(kept["language_id"]) == set(range(15)) | {17, 18}
+    assert set(kept["language_id"]) == set(range(15)) | {17, 18, 20}
     # The exact and the near copy hold no line of their own; text 17 keeps its own line, and too little is left of text 18.
-    assert set(kept["line_dedup"]) == set(range(12)) | {14, 17}
+    assert set(kept["line_dedup"]) == set(range(12)) | {14, 17, 20} and kept["line_dedup"][20].text == again
     assert kept["line_dedup"][17].text == own and kept["line_dedup"][17].n_chars == len(own)
-    assert set(kept["decontamination"]) == set(range(12)) | {17}
+    assert set(kept["decontamination"]) == set(range(12)) | {17, 20}
     assert kept["sentencepiece"][5].n_tokens == len(PieceCodec(PIECES).encode(clean[5]))
     again = {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()}
     assert again == kept["sentencepiece"]
