@@ -1,13 +1,14 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures, every link confirmed on full sets.
 
-Each of TREES trees sorts the signatures in an order of its own. Documents that share the first DEPTH
-values of an order lie in one region; a region with more than REGION texts is looked at deeper, until
-its parts are small, so depth adapts to how dense a region is. Neighbours in a part whose signatures
-agree often enough are candidates. Instead of all pairs a part yields stars around its most typical
-members, which are confirmed on the full shingle sets. A second round brings the sets to the parts whose
-members are in different components still, and compares there what may yet join them. A third round does
-so across the parts of a region: each member that is not in the component of the region's most typical
-text by then meets all the others, in blocks. Components are taken over the confirmed links.
+Each of TREES trees sorts the signatures, one byte per hash function, in an order of its own: from another place on, and
+round to it again. The sorted rows are scanned once. Rows whose common prefix has at least DEPTH places form a region; they
+are neighbours, and all pairs in a region that agree in enough places are candidates. A region with more than REGION texts
+is cut along its longer common prefixes into parts that are small enough: rows that share the longest prefix stay
+together, and neighbouring parts are taken together while there is room, so depth adapts to how dense a region is at each of
+its places. Instead of all pairs a part yields stars around its most typical members, which are confirmed on the full shingle
+sets. A second round brings the sets to the parts whose members are in different components still, and compares there what may
+yet join them. A third round does so across the parts of a region: each member that is not in the component of the region's
+most typical text by then meets all the others, in blocks. Components are taken over the confirmed links.
 
 A pair of similarity 0.8 shares a region in at least one tree but for one chance in twenty million
 ((1 - 0.8**4)**32), and a pair's signatures agree in CUT places but for about one in a million.
@@ -16,6 +17,7 @@ A pair of similarity 0.8 shares a region in at least one tree but for one chance
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +30,12 @@ from .components import components
 TREES = 32
 DEPTH = 4
 HASHES = TREES * DEPTH
-DEEPER = (8, 16, 32, HASHES)
 REGION = 2048
 # Signatures that agree in this many places belong to linked texts in nearly all cases.
 SURE = 110
 _SEEDS = np.random.default_rng(8831).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64)
-_TREE_SALT = mix(np.arange(1, TREES + 1, dtype=np.uint64))
+# Rows that a scan gives: a candidate pair, a member with a close neighbour, a member of a divided region, a part's most typical member.
+PAIR, CLOSE, DIVIDED, TYPICAL = range(4)
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,28 +81,24 @@ def set_digests(shingles: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
     return [row.tobytes() if there else None for row, there in zip(out, full)]
 
 
-def signatures(shingles: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For rows with a set: keys of the regions in all trees, and one byte per hash function."""
+def signatures(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For rows with a set: one byte per hash function."""
     starts = bounds[:-1][np.diff(bounds) > 0]
-    low = np.empty((len(starts), HASHES), np.uint64)
+    out = np.empty((len(starts), HASHES), np.uint8)
     for j in range(HASHES):
-        low[:, j] = np.minimum.reduceat(shingles * (_SEEDS[0, j] | np.uint64(1)) + _SEEDS[1, j], starts)
-    low = mix(low)
-    regions = np.repeat(_TREE_SALT[None, :], len(starts), axis=0)
-    for step in range(DEPTH):
-        regions = pair(regions, low[:, step::DEPTH])
-    return regions.view(np.int64), low.astype(np.uint8)
+        out[:, j] = mix(np.minimum.reduceat(shingles * (_SEEDS[0, j] | np.uint64(1)) + _SEEDS[1, j], starts)).astype(np.uint8)
+    return out
 
 
 def _fingerprints(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(id, th, n_shingles, node, regions, bytes) per row; th is the text's hash, node the digest of the shingle set."""
+    """(id, th, n_shingles, node, bytes) per row; th is the text's hash, node the digest of the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             shingles, bounds = shingle_sets(batch.column(1), size)
             nodes = set_digests(shingles, bounds)
             counts = np.diff(bounds)
-            regions, places = signatures(shingles, bounds)
+            places = signatures(shingles, bounds)
             at = np.cumsum(counts > 0) - 1
             there = counts > 0
             yield pa.RecordBatch.from_arrays(
@@ -109,15 +107,14 @@ def _fingerprints(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
                     batch.column(2),
                     pa.array(counts.astype(np.int64)),
                     pa.array(nodes, pa.binary()),
-                    pa.array([regions[i] if t else None for i, t in zip(at, there)], pa.list_(pa.int64())),
                     pa.array([places[i].tobytes() if t else None for i, t in zip(at, there)], pa.binary()),
                 ],
-                names=["id", "th", "n_shingles", "node", "regions", "bytes"],
+                names=["id", "th", "n_shingles", "node", "bytes"],
             )
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
-    return rows.mapInArrow(run, f"id {kind}, th long, n_shingles long, node binary, regions array<long>, bytes binary")
+    return rows.mapInArrow(run, f"id {kind}, th long, n_shingles long, node binary, bytes binary")
 
 
 def least_agreement(percent: int) -> int:
@@ -178,27 +175,97 @@ def _covering_pairs(agree: np.ndarray, cut: int) -> list[tuple[int, int]]:
     return pairs
 
 
-def _star_pairs(cut: int):
-    """Per leaf: covering pairs, a row (x, x) for each member with a close neighbour, and a row
-    (pivot, NULL) with the most typical member."""
+def parts_of(order: np.ndarray, region: int) -> list[tuple[int, int]]:
+    """Ranges of at most `region` rows each that sorted signatures (one region of a tree) are cut into.
+
+    Rows are cut where their common prefix is shortest: at the first place in which any of them differ. What is too large is
+    cut again further along, and neighbours that together are small enough are taken together. Signatures that are equal all
+    through are cut by number.
+    """
+    out: list[tuple[int, int]] = []
+
+    def cut(low: int, high: int) -> None:
+        if high - low <= region:
+            out.append((low, high))
+            return
+        # In sorted rows the first and the last differ where any do.
+        differ = np.flatnonzero(order[low] != order[high - 1])
+        if not len(differ):
+            out.extend((at, min(at + region, high)) for at in range(low, high, region))
+            return
+        place = order[low:high, differ[0]]
+        edges = [low, *(np.flatnonzero(place[1:] != place[:-1]) + 1 + low).tolist(), high]
+        start = low
+        for first, last in zip(edges[:-1], edges[1:]):
+            if last - start > region:
+                if first > start:
+                    out.append((start, first))
+                start = first
+            if last - first > region:
+                cut(first, last)
+                start = last
+        if high > start:
+            out.append((start, high))
+
+    cut(0, len(order))
+    return out
+
+
+def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of each region from batches in order of tree and signature; at most one region is held over between batches."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        tree = table.column("tree").to_numpy()
+        prefix = np.frombuffer(b"".join(x.as_py() for x in table.column("turned").combine_chunks()), np.uint8).reshape(-1, HASHES)[:, :DEPTH]
+        edges = np.flatnonzero((tree[1:] != tree[:-1]) | (prefix[1:] != prefix[:-1]).any(axis=1)) + 1
+        for low, high in zip([0, *edges[:-1]], edges):
+            yield table.slice(low, high - low)
+        held = table.slice(edges[-1] if len(edges) else 0).combine_chunks()
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _hash(*parts: bytes) -> int:
+    return int.from_bytes(blake2b(b"|".join(parts), digest_size=8).digest(), "little", signed=True)
+
+
+def _scan(cut: int, region: int):
+    """Walk the sorted signatures of all trees: candidate pairs, and what later rounds need to know of regions and their parts.
+
+    A region is whole if the scan meets all of its `n` members in one place and they are few enough; else it is divided, be
+    it by `region` or by the border of a task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches):
+        for table in _regions(batches):
             nodes = table.column("node").to_pylist()
-            places = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, HASHES)
-            agree = _agreements(places)
-            degree = (agree >= cut).sum(axis=1)
-            typical = int(np.lexsort((-agree.sum(axis=1, dtype=np.int64), -degree))[0])
-            pairs = [(typical, None), *((int(x), int(x)) for x in np.flatnonzero(degree)), *_covering_pairs(agree, cut)]
-            leaf = table.column("leaf")[0].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([leaf] * len(pairs), pa.int64()),
-                    pa.array([nodes[a] for a, _ in pairs], pa.binary()),
-                    pa.array([None if b is None else nodes[b] for _, b in pairs], pa.binary()),
-                ],
-                names=["leaf", "a", "b"],
-            )
+            order = np.frombuffer(b"".join(table.column("turned").to_pylist()), np.uint8).reshape(-1, HASHES)
+            tree = str(table.column("tree")[0].as_py()).encode()
+            name = _hash(tree, order[0, :DEPTH].tobytes())
+            whole = table.num_rows == table.column("n")[0].as_py() and table.num_rows <= region
+            kinds, leaves, first, second = [], [], [], []
+
+            def add(kind: int, leaf: int, a: list, b: list | None = None) -> None:
+                kinds.extend([kind] * len(a))
+                leaves.extend([leaf] * len(a))
+                first.extend(a)
+                second.extend(b or [None] * len(a))
+
+            for low, high in parts_of(order, region):
+                leaf = _hash(tree, order[low].tobytes(), nodes[low])
+                own = nodes[low:high]
+                agree = _agreements(order[low:high])
+                degree = (agree >= cut).sum(axis=1)
+                pairs = _covering_pairs(agree, cut)
+                add(PAIR, leaf, [own[a] for a, _ in pairs], [own[b] for _, b in pairs])
+                add(CLOSE, leaf, [own[x] for x in np.flatnonzero(degree)])
+                if not whole:
+                    add(DIVIDED, leaf, own)
+                    add(TYPICAL, leaf, [own[int(np.lexsort((-agree.sum(axis=1, dtype=np.int64), -degree))[0])]])
+            arrays = [pa.array(kinds, pa.int32()), pa.array([name] * len(kinds), pa.int64()), pa.array(leaves, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(first, pa.binary()), pa.array(second, pa.binary())], names=["kind", "region", "leaf", "a", "b"])
 
     return run
 
@@ -259,32 +326,23 @@ def _cross_links(cut: int, percent: int):
     return run
 
 
-def _leaves(texts: DataFrame, region: int) -> tuple[DataFrame, DataFrame | None]:
-    """Members of all leaves with two or more texts (leaf, node, bytes), and of regions that had to be
-    divided (region, leaf, node), or None without such regions."""
-    tree = texts.select("node", F.posexplode("regions").alias("tree", "region"))
-    counted = tree.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = tree.join(counted, "region").join(texts.select("node", "bytes"), "node").checkpoint()
-    small = members.where(F.col("n") <= region).select(F.col("region").alias("leaf"), "node", "bytes")
-    dense = members.where(F.col("n") > region).withColumn("leaf", F.col("region"))
-    if dense.isEmpty():
-        return small, None
-    done = []
-    for depth in DEEPER:
-        turned = F.substring(F.concat("bytes", "bytes"), F.col("tree") * DEPTH + 1, F.lit(depth))
-        dense = dense.drop("n").withColumn("leaf", F.xxhash64("region", F.lit(depth), turned))
-        sizes = dense.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-        dense = dense.join(sizes, "leaf").checkpoint()
-        done.append(dense.where(F.col("n") <= region))
-        dense = dense.where(F.col("n") > region)
-    # Signatures that are equal all through: dealt into parts, which the region's pivot ties together.
-    share = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / region * 2))
-    done.append(dense.withColumn("leaf", F.xxhash64("leaf", share)))
-    split = done[0]
-    for more in done[1:]:
-        split = split.unionByName(more)
-    split = split.select("region", "leaf", "node", "bytes").checkpoint()
-    return small.unionByName(split.drop("region")), split.drop("bytes")
+def _forest(texts: DataFrame, cut: int, region: int) -> DataFrame:
+    """(kind, region, leaf, a, b): what the scan of all trees gives; `texts` has a node and its signature.
+
+    Only texts that share a region with another are sorted.
+    """
+    turned = F.substring(F.concat("bytes", "bytes"), F.col("tree") * DEPTH + 1, F.lit(HASHES))
+    prefix = F.substring(F.concat("bytes", "bytes"), F.col("tree") * DEPTH + 1, F.lit(DEPTH))
+    tree = texts.select("node", "bytes", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    at = tree.select("node", "tree", prefix.alias("prefix"))
+    counted = at.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = at.join(counted, ["tree", "prefix"]).select("node", "tree", "n").checkpoint()
+    ordered = met.join(texts, "node").select("tree", prefix.alias("prefix"), turned.alias("turned"), "node", "n")
+    # The border of a task divides only regions that are too large anyway.
+    dense = F.col("n") > region
+    borders = ["tree", "prefix", F.when(dense, F.col("turned")), F.when(dense, F.col("node"))]
+    ordered = ordered.repartitionByRange(*borders).drop("prefix").sortWithinPartitions("tree", "turned", "node")
+    return ordered.mapInArrow(_scan(cut, region), "kind int, region long, leaf long, a binary, b binary").checkpoint()
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -346,29 +404,29 @@ def _judged(df: DataFrame, key: str, text: str, shingle: int, percent: int, regi
     known = prints.where(F.col("id").isNotNull() & F.col("node").isNotNull())
     classes = known.groupBy("node").agg(F.min("id").alias("least_id")).checkpoint()
     # One row per different set: the row that bears the smallest key.
-    own = known.select("id", "node", "regions", "bytes")
-    texts = own.join(classes.withColumnRenamed("least_id", "id"), ["node", "id"]).dropDuplicates(["node"]).select("node", "regions", "bytes")
-    leaves, split = _leaves(texts, region)
-    # range partitioning of members would be uneven within a leaf, so whole leaves are dealt by hash.
-    dealt = leaves.select("leaf", "node", "bytes").repartition("leaf").sortWithinPartitions("leaf", "node")
-    stars = dealt.mapInArrow(_star_pairs(cut), "leaf long, a binary, b binary").checkpoint()
-    pairs = stars.where(F.col("b").isNotNull()).select("a", "b")
-    if split is not None:
+    own = known.select("id", "node", "bytes")
+    texts = own.join(classes.withColumnRenamed("least_id", "id"), ["node", "id"]).dropDuplicates(["node"]).select("node", "bytes").checkpoint()
+    scanned = _forest(texts, cut, region)
+    close = scanned.where(F.col("kind") == CLOSE).select("leaf", F.col("a").alias("node"))
+    split = scanned.where(F.col("kind") == DIVIDED).select("region", "leaf", F.col("a").alias("node"))
+    pairs = scanned.where(F.col("kind") == PAIR).select("a", "b")
+    divided = not split.isEmpty()
+    if divided:
         sizes = split.groupBy("region", "leaf").agg(F.count(F.lit(1)).alias("n"))
         densest = sizes.groupBy("region").agg(F.max_by("leaf", F.struct("n", "leaf")).alias("leaf"))
-        pivots = densest.join(stars.where(F.col("b").isNull()).select("leaf", "a"), "leaf").select("region", "a").checkpoint()
+        pivots = densest.join(scanned.where(F.col("kind") == TYPICAL).select("leaf", "a"), "leaf").select("region", "a").checkpoint()
         pairs = pairs.unionByName(split.join(pivots, "region").select("a", F.col("node").alias("b")))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(close.select("node")).distinct().join(classes, "node")
     sets = _sets(df, needed, key, text, shingle).checkpoint()
     first = _confirm(pairs.where(F.col("a") != F.col("b")), sets, percent).checkpoint()
     roots = components(first)
-    found = _rest(leaves, roots, sets, cut, percent)
+    found = _rest(close, texts, roots, sets, cut, percent)
     edges = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found).where(F.col("u") != F.col("v"))
     if not found.isEmpty():
         roots = components(edges)
     roots = roots.checkpoint()
-    if split is not None:
+    if divided:
         blocks = _open_blocks(split, pivots, roots, region)
         more = None if blocks is None else _across(df, blocks, texts, classes, roots, cut, key, text, shingle, percent)
         if more is not None and not more.isEmpty():
@@ -400,16 +458,19 @@ def _sets(df: DataFrame, needed: DataFrame, key: str, text: str, size: int) -> D
     return rows.mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
 
 
-def _rest(leaves: DataFrame, roots: DataFrame, sets: DataFrame, cut: int, percent: int) -> DataFrame:
-    """Confirmed links between components, from the leaves that hold members of more than one.
+def _rest(close: DataFrame, texts: DataFrame, roots: DataFrame, sets: DataFrame, cut: int, percent: int) -> DataFrame:
+    """Confirmed links between components, from the parts (leaf, node) that hold members of more than one.
 
-    Only nodes with a close neighbour matter; these are the ones in `sets`. Their sets are brought to the
-    leaf and compared there, so pairs that fail are never made into rows.
+    Only members with a close neighbour are given. Their sets are brought to the part and compared there, so pairs that
+    fail are never made into rows.
     """
-    labelled = leaves.join(sets.select("node"), "node", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labelled = close.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = labelled.groupBy("leaf").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("leaf")
-    members = labelled.join(mixed, "leaf").join(sets, "node").select("leaf", "node", "bytes", "root", "shingles")
-    return members.repartition("leaf").sortWithinPartitions("leaf", "node").mapInArrow(_cross_links(cut, percent), "u binary, v binary").checkpoint()
+    members = labelled.join(mixed, "leaf").join(texts, "node").select("leaf", "node", "bytes", "root")
+    apart = members.repartition("leaf").sortWithinPartitions("leaf", "node").mapInArrow(_close_across(cut), "leaf long, node binary, bytes binary, root binary")
+    # Sets are long, so they come only to members that are close to one of another component.
+    brought = apart.checkpoint().join(sets, "node").select("leaf", "node", "bytes", "root", "shingles")
+    return brought.repartition("leaf").sortWithinPartitions("leaf", "node").mapInArrow(_cross_links(cut, percent), "u binary, v binary").checkpoint()
 
 
 def _open_blocks(split: DataFrame, pivots: DataFrame, roots: DataFrame, region: int) -> DataFrame | None:
@@ -428,8 +489,7 @@ def _open_blocks(split: DataFrame, pivots: DataFrame, roots: DataFrame, region:
     if counts.isEmpty():
         return None
     half = max(1, region // 2)
-    # Fewer than TREES for every `region` texts.
-    dealt = members.join(F.broadcast(counts), "mass").withColumns({"rows": F.ceil(F.col("n_open") / half), "columns": F.ceil(F.col("n") / half)})
+    dealt = members.join(counts, "mass").withColumns({"rows": F.ceil(F.col("n_open") / half), "columns": F.ceil(F.col("n") / half)})
     every = [F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1)).alias("turn") for c in ("columns", "rows")]
     row, column = F.pmod(F.xxhash64("node"), "rows"), F.pmod(F.xxhash64("node"), "columns")
     opened = dealt.where("open").select("mass", "node", row.alias("at"), every[0]).select("node", F.xxhash64("mass", "at", "turn").alias("leaf"))
@@ -443,9 +503,9 @@ def _across(
     """Confirmed links between components from blocks; sets are brought only to members with a close one in another component."""
     labelled = blocks.join(texts.select("node", "bytes"), "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     dealt = labelled.select("leaf", "node", "bytes", "root").repartition("leaf").sortWithinPartitions("leaf", "node")
-    close = dealt.mapInArrow(_close_across(cut), "leaf long, node binary, bytes binary").checkpoint()
+    close = dealt.mapInArrow(_close_across(cut), "leaf long, node binary, bytes binary, root binary").select("leaf", "node").checkpoint()
     needed = close.select("node").distinct().join(classes, "node")
-    return _rest(close, roots, _sets(df, needed, key, text, size).checkpoint(), cut, percent)
+    return _rest(close, texts, roots, _sets(df, needed, key, text, size).checkpoint(), cut, percent)
 
 
 def _close_across(cut: int):
@@ -457,6 +517,6 @@ def _close_across(cut: int):
             places = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, HASHES)
             close = ((_agreements(places) >= cut) & (roots[:, None] != roots[None, :])).any(axis=1)
             if close.any():
-                yield from table.select(["leaf", "node", "bytes"]).filter(pa.array(close)).combine_chunks().to_batches()
+                yield from table.select(["leaf", "node", "bytes", "root"]).filter(pa.array(close)).combine_chunks().to_batches()
 
     return run

@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from helpers import closed, documents, invented, word_list
 
 from siltstone.llm.components import components
-from siltstone.llm.minhash_forest import near_duplicates
+from siltstone.llm.minhash_forest import near_duplicates, parts_of
 
 
 def shingles(text, size):
@@ -52,6 +53,22 @@ def test_components_match_all_pairs(spark, size, region):
         assert row.kept == (row.component_id == row.doc_id)
 
 
+def test_parts_follow_common_prefixes():
+    rng = np.random.default_rng(5)
+    for region in (1, 3, 10, 200):
+        for width in (1, 2, 4):
+            rows = rng.integers(0, 3, (rng.integers(1, 150), width)).astype(np.uint8)
+            order = rows[np.lexsort(rows.T[::-1])]
+            parts = parts_of(order, region)
+            assert [p[0] for p in parts] == [0, *(p[1] for p in parts[:-1])] and parts[-1][1] == len(order)
+            assert all(0 < high - low <= region for low, high in parts)
+            # Two parts that follow each other were not small enough together, or stand under different prefixes.
+            for (low, middle), (_, high) in zip(parts, parts[1:]):
+                if high - low <= region:
+                    inner = [int((order[a] == order[b]).cumprod().sum()) for a, b in ((low, middle - 1), (middle, high - 1), (middle - 1, middle))]
+                    assert inner[2] <= max(inner[:2])
+
+
 def test_copies_of_copies_in_divided_regions(spark):
     rnd = random.Random(7)
     base = [f"w{k}" for k in range(400)]
