@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import hot_key_rows, shared_dir
 
 SLICE = "__slice"
+# A slice takes at least so many rows, however few make a key hot: each slice costs a task, a sample for the borders and
+# a report to the driver, so their number must stay far below that of the rows.
+SLICE_ROWS = 100_000
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -68,7 +71,7 @@ class Timeline:
         if found is None:
             return cls(keys, order, df)
         hot, total, null_keys = found
-        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
+        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // max(limit, SLICE_ROWS)))
         shared_dir(spark)
         sliced = (
             df.join(hot, _same_keys(df, hot, keys), "left_semi")

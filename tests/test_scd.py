@@ -152,6 +152,15 @@ def test_hot_rows_are_spread(spark):
     assert len(sizes) >= 6 and max(sizes) < total // 3
 
 
+def test_slices_are_not_as_many_as_small_limits_go_into_the_rows(spark):
+    """Every slice reports to the driver, so a limit of five rows must not make four hundred of them."""
+    df = spark.range(2000).select(F.lit(1).alias("k"), "id")
+    line = Timeline.of(df, ["k"], ["id"], hot_rows=5)
+    assert line.hot.count() == 2000
+    assert line.hot.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [tuple(r) for r in line.with_row_number("n").frame().orderBy("id").collect()] == [(1, i, i + 1) for i in range(2000)]
+
+
 def test_hot_keys_are_joined(spark):
     df = spark.sql("SELECT id % 4 AS k, id FROM range(40) UNION ALL SELECT NULL, id FROM range(7)")
     assert rows(rank_rows(df, ["k"], ["id"])) == rows(rank_rows(df, ["k"], ["id"], hot_rows=5))
