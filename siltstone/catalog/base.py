@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import configure, scratch_path
 
 AT = "2025-01-02 03:04:05"
+# Rows of one file that a table lands in for a stream to pick up.
+FILE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -75,6 +77,11 @@ def register(name: str, operators: str, sql: str | None = None, text: tuple[str,
     return wrap
 
 
+def files_for(rows: int, batches: int = 1) -> int:
+    """How many files each of `batches` micro-batches takes, so that a batch grows by files and no file grows with the table."""
+    return max(1, -(-rows // (batches * FILE_ROWS)))
+
+
 def at():
     return F.lit(AT).cast("timestamp_ntz")
 

@@ -11,7 +11,7 @@ from ..plans.marts import merge_trip_names, silver_orders, silver_trips
 from ..plans.patients import connection_history, inferred_latest
 from ..sources.files import stream_parquet, stream_table, with_file_metadata, write_table
 from ..streaming.run import run_batches
-from .base import AT, PATIENT_FEED_SQL, Tables, at, register
+from .base import AT, PATIENT_FEED_SQL, Tables, at, files_for, register
 from .changes import OPEN_END, TEXT_TIME, end_as_text
 from .relations import BRONZE_SQL, DELIVERED, _bronze_orders, _customers
 
@@ -31,7 +31,8 @@ def _dirty(name: str):
 def orders_layout(t: Tables) -> DataFrame:
     """Orders with untidy names, streamed into a standardized silver table in folders by order date."""
     bronze, silver = t.scratch("bronze"), t.scratch("silver")
-    write_table(_bronze_orders(t).withColumn("customer_name", _dirty("customer_name")).repartition(3), bronze)
+    orders = _bronze_orders(t).withColumn("customer_name", _dirty("customer_name"))
+    write_table(orders.repartition(max(3, files_for(t("lineitem").count()))), bronze)
     customers = _customers(t).withColumns({c: _dirty(c) for c in ("customer_name", "city")})
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -60,13 +61,14 @@ def trips_layout(t: Tables) -> DataFrame:
     common = [F.col("user_id").cast("string").alias("start_station_id"), time.alias("stoptime")]
     old = [F.expr("event_id % 60").alias("tripduration"), time.alias("starttime"), F.col("event_id").alias("bikeid"), _dirty("event_type").alias("usertype")]
     new = [F.expr("event_id % 60").alias("Trip Duration"), time.alias("Start Time"), F.col("event_id").alias("Bike ID"), _dirty("event_type").alias("User Type")]
+    files = max(4, files_for(t("events").count()))
     for half, names in enumerate((old, new)):
-        t("events").where(f"event_id % 2 = {half}").select(*common, *names).repartition(2).write.mode("append").parquet(landing)
+        t("events").where(f"event_id % 2 = {half}").select(*common, *names).repartition(-(-files // 2)).write.mode("append").parquet(landing)
     raw = with_file_metadata(stream_parquet(t.spark, landing, t.scratch("schemas")))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = silver_trips(merge_trip_names(batch, missing="null"), standardized=True)
-        write_clustered(rows, silver, ["start_station_id", "user_type"], 4, "append", folder=f"batch={batch_id}")
+        write_clustered(rows, silver, ["start_station_id", "user_type"], files, "append", folder=f"batch={batch_id}")
 
     run_batches(raw, store, t.scratch("checkpoint"))
     rows = t.spark.read.option("basePath", silver).parquet(f"{silver}/batch=*").where("start_station_id BETWEEN 20 AND 40 OR user_type = 'Error'")

@@ -3,12 +3,14 @@
 import datetime
 import json
 import random
+import re
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from siltstone.catalog import base
 from siltstone.functions.rescue import shape_pattern
 from siltstone.operators.lattice import EvolvingTable, lattice_of, lattice_schema, merge_lattices
 from siltstone.operators.quality import TIMED_RULES_SCHEMA, failure_counts, rule_pairs, timed_rules, with_failed_rules
@@ -183,3 +185,33 @@ def test_lattices_of_random_values_lose_nothing(spark, tmp_path):
             assert (found is None) == (given is None), (r.id, name, given, found)
             if isinstance(given, (int, float)) and isinstance(found, str):
                 assert json.loads(found) == given
+
+
+@pytest.mark.parametrize(
+    "query, folder",
+    [("json_lattice_stream", "landing"), ("flow_patient_stream", "landing"), ("flow_orders_layout", "bronze"), ("flow_trips_layout", "landing")],
+)
+def test_landing_files_grow_with_the_table(spark, monkeypatch, tmp_path, query, folder):
+    """More rows make more files and not larger ones, and the results are the same."""
+    stored = {
+        "events": (600, "id AS event_id, timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id) AS ts, id % 50 AS user_id, IF(id % 3 = 0, 'error', 'view') AS event_type, id / 4 AS value"),
+        "orders": (600, "id AS o_orderkey, id % 50 AS o_custkey, 'O' AS o_orderstatus, 1.5D AS o_totalprice, timestamp_ntz'1997-01-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority"),
+        "lineitem": (600, "id AS l_orderkey, 1 AS l_linenumber, 2D AS l_quantity, 3D AS l_extendedprice, 'R' AS l_returnflag"),
+        "customer": (50, "id AS c_custkey, format_string('Customer#%09d', id) AS c_name, CAST(id % 5 AS INT) AS c_nationkey, 'A' AS c_mktsegment"),
+        "nation": (5, "CAST(id AS INT) AS n_nationkey, concat('NATION_', id) AS n_name"),
+    }
+    for name, (n, columns) in stored.items():
+        spark.range(n).selectExpr(*[c.strip() for c in re.split(r",(?![^(]*\))", columns)]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    made, real, found = {}, base.scratch_path, []
+
+    def path(session, name):
+        made[name] = real(session, name)
+        return made[name]
+
+    monkeypatch.setattr(base, "scratch_path", path)
+    for size in (base.FILE_ROWS, 100):
+        monkeypatch.setattr(base, "FILE_ROWS", size)
+        result = rows(base.ENTRIES[query].build(spark, str(tmp_path)))
+        files = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="part-*").load(made[folder])
+        found.append((result, files.count()))
+    assert found[0][0] == found[1][0] and found[0][1] <= 4 < found[1][1]
