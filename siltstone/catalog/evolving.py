@@ -13,7 +13,7 @@ from ..sources.delimited import stream_delimited_fields
 from ..streaming.keyed import with_rocksdb
 from ..streaming.logged import batch_reports, run_logged
 from ..streaming.run import run_batches
-from .base import Tables, register
+from .base import Tables, files_for, register
 
 # Of three batches, the second has text where the first has numbers and adds an object; the third has keys that are data.
 EVOLVING = [
@@ -35,10 +35,11 @@ EVOLVING = [
 def lattice_stream(t: Tables) -> DataFrame:
     """Keys and types change while the stream runs, and nothing is lost."""
     landing = t.scratch("landing")
+    files = files_for(t("events").count(), len(EVOLVING))
     for at, payload in enumerate(EVOLVING):
         rows = t("events").where(f"event_id % 3 = {at}").select("event_id", F.expr(payload).alias("j"))
-        rows.coalesce(1).write.mode("append").parquet(f"{landing}/{at}")
-    stream = t.spark.readStream.schema("event_id BIGINT, j STRING").options(maxFilesPerTrigger=1, recursiveFileLookup="true").parquet(landing)
+        rows.repartition(files).write.mode("append").parquet(f"{landing}/{at}")
+    stream = t.spark.readStream.schema("event_id BIGINT, j STRING").options(maxFilesPerTrigger=files, recursiveFileLookup="true").parquet(landing)
     table = EvolvingTable(t.scratch("evolving"), "j", ["event_id"], most_keys=200)
     run_batches(stream, table.upsert, t.scratch("checkpoint"))
     marks = F.array_join(F.transform(F.map_entries("marks"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ";")
@@ -49,8 +50,9 @@ def lattice_stream(t: Tables) -> DataFrame:
 def exact_dedupe(t: Tables) -> DataFrame:
     """Copies come in all of four micro-batches."""
     landing, sink = t.scratch("landing"), t.scratch("sink")
-    t("events").select("user_id", "event_type", F.col("ts").cast("date").alias("day")).repartition(4).write.parquet(landing)
-    stream = t.spark.readStream.schema(t.spark.read.parquet(landing).schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    files = files_for(t("events").count(), 4)
+    t("events").select("user_id", "event_type", F.col("ts").cast("date").alias("day")).repartition(4 * files).write.parquet(landing)
+    stream = t.spark.readStream.schema(t.spark.read.parquet(landing).schema).option("maxFilesPerTrigger", files).parquet(landing)
     checkpoint = t.scratch("checkpoint")
     with_rocksdb(dedupe_stream_exact(stream), lambda s: s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint))
     return t.spark.read.parquet(sink)
@@ -74,9 +76,10 @@ def rescue_delimited(t: Tables) -> DataFrame:
     customer = F.when(F.expr("o_orderkey % 11 = 0"), F.lit("n/a")).otherwise(F.col("o_custkey").cast("string"))
     fields = F.concat_ws("\t", F.col("o_orderkey").cast("string"), label, F.when(F.expr("o_orderkey % 7 <> 0"), customer), F.when(F.expr("o_orderkey % 5 = 0"), F.lit("more")))
     lines = t("orders").where("NOT (o_orderkey % 7 = 0 AND o_orderkey % 5 = 0)").select(fields.alias("value"))
-    t.spark.range(4).select(F.lit("id\tlabel\tcustomer").alias("value")).unionByName(lines).repartition(3).write.text(landing)
+    files = files_for(t("orders").count(), 3)
+    t.spark.range(4).select(F.lit("id\tlabel\tcustomer").alias("value")).unionByName(lines).repartition(3 * files).write.text(landing)
     run_batches(
-        stream_delimited_fields(t.spark, landing, "id BIGINT, label STRING, customer BIGINT", maxFilesPerTrigger="1"),
+        stream_delimited_fields(t.spark, landing, "id BIGINT, label STRING, customer BIGINT", maxFilesPerTrigger=str(files)),
         lambda batch, n: batch.write.mode("overwrite").parquet(f"{sink}/batch={n}"), t.scratch("checkpoint"),
     )
     return t.spark.read.parquet(sink).drop("batch")
