@@ -21,7 +21,7 @@ from ..streaming.aggregates import SumTarget
 from ..streaming.patients import PatientStream
 from ..streaming.run import run_batches
 from ..streaming.targets import ScdTarget
-from .base import AT, PATIENT_FEED_SQL, Tables, at, register
+from .base import AT, PATIENT_FEED_SQL, Tables, at, files_for, register
 
 OPEN_END = "TIMESTAMP '9999-12-31 00:00:00'"
 TEXT_TIME = "%Y-%m-%d %H:%M:%S.%f"
@@ -263,8 +263,9 @@ def summary_all(t: Tables) -> DataFrame:
 def _streamed(t: Tables, target: ScdTarget) -> DataFrame:
     """Events arrive in four micro-batches in no particular order."""
     landing = t.scratch("landing")
-    t("events").select("user_id", "event_id", "event_type", "ts", "value").repartition(4).write.parquet(landing)
-    stream = t.spark.readStream.schema(t.spark.read.parquet(landing).schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    files = files_for(t("events").count(), 4)
+    t("events").select("user_id", "event_id", "event_type", "ts", "value").repartition(4 * files).write.parquet(landing)
+    stream = t.spark.readStream.schema(t.spark.read.parquet(landing).schema).option("maxFilesPerTrigger", files).parquet(landing)
     run_batches(stream, target.upsert, t.scratch("checkpoint"))
     return target.read(t.spark)
 
@@ -341,8 +342,9 @@ def flow_stream(t: Tables) -> DataFrame:
     """Change files in delimited text, streamed in three micro-batches into history and quarantine."""
     landing = t.scratch("landing")
     feed = cast_all_to_string(t.patient_feed().drop("raw", "o_orderkey"))
-    feed.repartition(3).write.options(sep="\t", header="true", escape='"').csv(landing)
-    stream = stream_delimited(t.spark, landing, feed.schema, maxFilesPerTrigger="1").withColumns(
+    files = files_for(t("orders").count(), 3)
+    feed.repartition(3 * files).write.options(sep="\t", header="true", escape='"').csv(landing)
+    stream = stream_delimited(t.spark, landing, feed.schema, maxFilesPerTrigger=str(files)).withColumns(
         {"_commit_version": F.col("_commit_version").try_cast("bigint"), "_commit_timestamp": F.col("_commit_timestamp").try_cast("timestamp")}
     )
     flow = PatientStream(t.scratch("patients"), buckets=8)
