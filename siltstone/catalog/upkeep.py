@@ -10,7 +10,7 @@ from ..operators.shred import ROOT, reassemble, shred
 from ..plans.curve import write_clustered
 from ..streaming.deltas import DeltaMart
 from ..streaming.keyed import KeyedScd
-from .base import ENTRIES, Tables, at, register
+from .base import ENTRIES, Tables, at, files_for, register
 from .changes import end_as_text, snapshots, spans_sql
 
 
@@ -18,8 +18,9 @@ def _kept_by_key(t: Tables, target: KeyedScd) -> DataFrame:
     """Events arrive in four micro-batches in no order; a third of them arrives again, in other batches."""
     landing = t.scratch("landing")
     events = t("events").select("user_id", "event_id", "event_type", "ts", "value")
-    events.unionByName(events.where("event_id % 3 = 0")).repartition(4).write.parquet(landing)
-    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    files = files_for(events.count(), 4)
+    events.unionByName(events.where("event_id % 3 = 0")).repartition(4 * files).write.parquet(landing)
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(landing)
     target.run(stream, t.scratch("checkpoint"))
     return target.read(t.spark)
 
@@ -76,16 +77,17 @@ def mart_from_changes(t: Tables) -> DataFrame:
     first = images("old_city", "insert", "true").unionByName(images("old_city", "update_preimage", moved))
     later = images("city", "update_postimage", moved).unionByName(images("city", "delete", GONE))
     landing = t.scratch("feed")
-    first.unionByName(later.where("city <> 'NATION_3'")).repartition(4).write.parquet(landing)
+    files = files_for(t("orders").count(), 4)
+    first.unionByName(later.where("city <> 'NATION_3'")).repartition(4 * files).write.parquet(landing)
     mart = DeltaMart(
         t.scratch("mart"), ["city", "currency"], ["sales", "quantity"],
         lambda feed: feed.select("city", CHANGE_TYPE, F.inline("ordered_products").alias("currency", "sales", "quantity")),
     )
-    stream = t.spark.readStream.schema(first.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    stream = t.spark.readStream.schema(first.schema).option("maxFilesPerTrigger", files).parquet(landing)
     checkpoint = t.scratch("checkpoint")
     mart.run(stream, checkpoint)
     mart.fold(t.spark)
-    later.where("city = 'NATION_3'").repartition(2).write.mode("append").parquet(landing)
+    later.where("city = 'NATION_3'").repartition(2 * files).write.mode("append").parquet(landing)
     mart.run(stream, checkpoint)
     return mart.read(t.spark).withColumn("sales", F.col("sales").cast("double"))
 

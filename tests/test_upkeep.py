@@ -295,3 +295,13 @@ def test_new_files_are_looked_at_in_groups(spark, tmp_path):
     assert sum(g.count() for g in registry.unseen_groups(path, "x", "*.txt", 2)) == 3
     schema = infer_from_new_files(spark.read, path, "text", "value", SchemaRegistry(spark, str(tmp_path / "other")), "x")
     assert sorted(schema.fieldNames()) == [f"k{at}" for at in range(5)]
+
+
+def test_a_position_goes_out_once_in_a_batch(spark, tmp_path):
+    """Its row and its bounds in one row, also where a better row for it comes in the same batch."""
+    batch = [("k", v, "update_postimage", n, START + datetime.timedelta(hours=n)) for n in range(5) for v in ("a", "b")]
+    schema = "k STRING, v STRING, _change_type STRING, _commit_version BIGINT, _commit_timestamp TIMESTAMP"
+    spark.createDataFrame(batch, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    target = KeyedScd(str(tmp_path / "t"), ["k"], ["_commit_version"], 2)
+    target.run(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "c"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5 and target.read(spark).count() == 5
