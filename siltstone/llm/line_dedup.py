@@ -15,9 +15,10 @@ which there are less than a thousand, are reduced to one line before the shuffle
 64-bit hash; sets that share it but differ in a second hash get classes of their own.
 
 What is asked of a class is whether an earlier one matches it. Classes that share the least words under two of MASKS orders
-are likely to match, so each meets the earliest class with the same two first; one that has found a match by then
-is looked up no more, though later ones may still match it. So the members of a group of near copies meet its first ones and
-not each other, and the join's rows do not follow the square of a group.
+are likely to match, so each is compared with one of the classes before it with the same two: of the first and the last NEAR, the
+one whose bitmaps are most like its own. A class that has found a match by then is looked up no more, though later ones may still
+match it. The pairs that the prefix join finds for the others are verified in the order of their bitmaps' likeness, a few of each
+class before the rest. So a member of a group of near copies meets a few others and not all, and rows do not follow the square of a group.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ EQUAL_ONLY = 3
 WORD_BITS = 54
 # Orders of words (their numbers with some bits flipped) whose least words find likely pairs, two by two.
 MASKS = 0x2AF7C9B1D35E86, 0x15083A4E9C7B61, 0x3D5C62F01A8E97, 0x0A91E7C4583BD2
-# Pairs of a class verified one after another before all the others are.
-TRIES = 3
+# Classes before a class, of those with the same least words, that it may be compared with; the first one is another.
+NEAR = 8
+# The pairs of a class are verified in rounds: up to these numbers, then all the others.
+TRIES = 1, 8
 # Keys of documents to verify are broadcast up to this many bytes and joined beyond.
 BROADCAST_BYTES = 64 << 20
 
@@ -146,103 +149,107 @@ def turn(key: Column, line_no: Column, d: Column) -> Column:
     return F.struct(key.isNull().alias("no_key"), key.alias("key"), line_no.alias("line_no"), d.alias("d"))
 
 
-def _may_match(percent: int) -> Column:
-    """Length and bitmap filter between the sides l and r of a join."""
-    both = F.col("l_n") + F.col("r_n")
-    differ = F.bit_count(F.col("l_b1").bitwiseXOR(F.col("r_b1"))) + F.when(
-        (F.col("l_n") > SHORT) & (F.col("r_n") > SHORT), F.bit_count(F.col("l_b2").bitwiseXOR(F.col("r_b2")))
-    ).otherwise(0)
-    lengths = F.least("l_n", "r_n") * 100 >= F.greatest("l_n", "r_n") * percent
-    return lengths & ((both - differ) * (100 + percent) >= both * 2 * percent)
+def _differ(l, r) -> Column:
+    """How many words at least stand in one of two sets only, by their bitmaps."""
+    second = F.when((l["n"] > SHORT) & (r["n"] > SHORT), F.bit_count(l["b2"].bitwiseXOR(r["b2"]))).otherwise(0)
+    return F.bit_count(l["b1"].bitwiseXOR(r["b1"])) + second
 
 
-def _positional(percent: int) -> Column:
+def _may_match(l, r, percent: int) -> Column:
+    """Length and bitmap filter between two sets."""
+    both = l["n"] + r["n"]
+    lengths = F.least(l["n"], r["n"]) * 100 >= F.greatest(l["n"], r["n"]) * percent
+    return lengths & ((both - _differ(l, r)) * (100 + percent) >= both * 2 * percent)
+
+
+def _likeness(l, r) -> Column:
+    """Thousandths of the words of two sets that may be common; grows with the similarity the bitmaps allow."""
+    both = l["n"] + r["n"]
+    return F.floor((both - _differ(l, r)) * 1000 / both).cast("int")
+
+
+def _positional(l, r, percent: int) -> Column:
     """Whether enough words can follow the common one on both sides."""
-    left = F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at"))
-    return left * (100 + percent) >= (F.col("l_n") + F.col("r_n")) * percent
+    return F.least(l["n"] - l["at"], r["n"] - r["at"]) * (100 + percent) >= (l["n"] + r["n"]) * percent
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(F.least("l_d", "r_d").alias("a"), F.greatest("l_d", "r_d").alias("b")).distinct()
+def once_if_hot(stored: DataFrame, classes: DataFrame) -> DataFrame:
+    """Lines of sets that may meet others, those of hot classes reduced to the first line."""
+    total = classes.agg(F.sum("lines")).first()[0] or 0
+    # Fewer than HOT classes can hold more than 1 / HOT of all lines each.
+    hot = classes.where(F.col("lines") * HOT > total).select(F.col("d").alias("hot_d"), F.col("first").alias("hot_first"))
+    met = stored.where(F.col("n") > EQUAL_ONLY).join(F.broadcast(hot), F.col("d") == F.col("hot_d"), "left")
+    return met.where(F.col("hot_first").isNull() | (place() == F.col("hot_first")))
 
 
-def likely_pairs(stored: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each class with the earliest line that has the same least words under two orders.
+def likely_pairs(lines: DataFrame, percent: int) -> DataFrame:
+    """Pairs (later, earlier) of each class with one before it that has the same least words under two orders.
 
-    A group of near copies gives one pair for each of its classes and each two orders.
+    A class has one pair at most for each two orders, whatever the size of its group: of the first class and the NEAR
+    before it, the one with the greatest likeness.
     """
-    rows = stored.where(F.col("n") > EQUAL_ONLY).select("d", "n", "b1", "b2", place().alias("at"), F.explode("least").alias("run"))
-    heads = rows.groupBy("run").agg(
-        F.min_by(F.struct("d", "n", "b1", "b2"), "at").alias("head"), F.min("d").alias("low"), F.max("d").alias("high")
-    )
-    heads = heads.where("low <> high").select("run", *[F.col("head")[c].alias(f"l_{c}") for c in ("d", "n", "b1", "b2")])
-    met = rows.select("run", *[F.col(c).alias(f"r_{c}") for c in ("d", "n", "b1", "b2")]).join(heads, "run")
-    return _pairs(met.where((F.col("l_d") != F.col("r_d")) & _may_match(percent)))
+    own = {c: F.col(c) for c in ("d", "n", "b1", "b2")}
+    rows = lines.select(*own, "key", "line_no", F.explode("least").alias("run")).repartition("run")
+    spot = turn(F.col("key"), F.col("line_no"), F.col("d"))
+    rows = rows.groupBy("run", *own).agg(F.min(spot).alias("spot"))
+    before = Window.partitionBy("run").orderBy("spot")
+    head = F.first(F.struct(*own)).over(before.rowsBetween(Window.unboundedPreceding, 0))
+    last = F.collect_list(F.struct(*own)).over(before.rowsBetween(-NEAR, -1))
+    near = rows.select("run", *own, head.alias("head"), last.alias("last")).where(F.size("last") > 0)
+    fit = F.filter(F.array_append("last", F.col("head")), lambda x: _may_match(x, own, percent))
+    best = F.array_max(F.transform(fit, lambda x: F.struct(_likeness(x, own).alias("likeness"), x["d"].alias("d"))))
+    return near.select(F.col("d").alias("later"), best["d"].alias("earlier")).where("earlier IS NOT NULL").distinct()
 
 
-def open_pairs(stored: DataFrame, classes: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """Pairs (later, a, b, try) that share a prefix word and pass all filters, with an open later class.
+def open_pairs(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """Pairs (later, earlier, try) that share a prefix word and pass all filters, with an open later class.
 
-    `later` is the later class of the two; `try` numbers its pairs from the earliest partner on.
+    `try` numbers the pairs of a later class, the greatest likeness first.
     """
-    total = classes.agg(F.sum("lines")).first()[0] or 0
-    # Fewer than HOT classes can hold more than 1 / HOT of all lines each.
-    hot = classes.where(F.col("lines") * HOT > total).select(F.col("d").alias("hot_d"), F.col("first").alias("hot_first"))
-    met = stored.where(F.col("n") > EQUAL_ONLY).join(F.broadcast(hot), F.col("d") == F.col("hot_d"), "left")
-    once = met.where(F.col("hot_first").isNull() | (place() == F.col("hot_first")))
     known = settled.select(F.col("d").alias("settled_d"))
     known = F.broadcast(known) if settled.count() * 8 <= BROADCAST_BYTES else known
-    flagged = once.join(known, F.col("d") == F.col("settled_d"), "left").withColumn("settled", F.col("settled_d").isNotNull())
-    rows = flagged.select("n", "d", "b1", "b2", "settled", "key", "line_no", F.posexplode("prefix").alias("at", "word"))
+    flagged = lines.join(known, F.col("d") == F.col("settled_d"), "left").withColumn("settled", F.col("settled_d").isNotNull())
+    rows = flagged.select("n", "d", "b1", "b2", "settled", "key", "line_no", F.posexplode("prefix").alias("at", "long_word"))
+    # Half of a word's bits are enough to meet by, and fewer bytes to move: pairs are verified in any case.
+    rows = rows.withColumn("word", F.hash("long_word")).drop("long_word")
     # The class decides the columns grouped by, so rows of a group are its lines; the first one counts.
     spot = turn(F.col("key"), F.col("line_no"), F.col("d"))
     rows = rows.repartition("word").groupBy("word", "d", F.col("n").cast("int").alias("n"), "at", "b1", "b2", "settled").agg(F.min(spot).alias("spot"))
     left, right = (rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "word"]) for side in "lr")
+    l, r = ({c: F.col(f"{side}_{c}") for c in rows.columns if c != "word"} for side in "lr")
     # Asked of both sides at once, so that the two sides of the join stay one shuffle.
-    wanted = F.when(F.col("l_settled"), F.lit(False)).otherwise(F.col("r_spot") < F.col("l_spot"))
-    together = (left["word"] == right["word"]) & wanted
-    met = left.join(right, together & _positional(percent) & _may_match(percent))
-    pairs = met.select(F.col("l_d").alias("later"), F.col("r_spot").alias("earlier")).distinct()
-    order = Window.partitionBy("later").orderBy("earlier")
-    ranked = pairs.select("later", F.col("earlier.d").alias("earlier"), F.row_number().over(order).alias("try"))
-    return ranked.select("later", F.least("later", "earlier").alias("a"), F.greatest("later", "earlier").alias("b"), "try")
+    wanted = F.when(l["settled"], F.lit(False)).otherwise(r["spot"] < l["spot"])
+    met = left.join(right, (left["word"] == right["word"]) & wanted & _positional(l, r, percent) & _may_match(l, r, percent))
+    pairs = met.select(l["d"].alias("later"), r["d"].alias("earlier"), _likeness(l, r).alias("likeness")).distinct()
+    order = Window.partitionBy("later").orderBy(F.desc("likeness"), "earlier")
+    return pairs.select("later", "earlier", F.row_number().over(order).alias("try"))
 
 
-def links(df: DataFrame, stored: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
-    """Pairs of similar classes (a, b), enough of them that each class with an earlier match has one here.
+def matched_classes(df: DataFrame, stored: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
+    """Classes (d) that match one with an earlier first line.
 
-    Likely pairs settle most classes that have an earlier match, and the prefix join looks for matches of the
-    others only. Of the pairs it finds, each class that is still open has its earliest TRIES verified
-    one after another, and all the others only if none of these matches.
+    Likely pairs settle most of them, and the prefix join looks for matches of the others only. The pairs it finds are
+    verified in rounds, each for the classes still open, the last with all pairs there are.
     """
-    likely = likely_pairs(stored, percent).checkpoint()
-    found = verified(df, likely, classes, steps, key, text, percent).checkpoint()
-    firsts = classes.select("d", "first")
-    settled = later_classes(found, firsts).checkpoint()
-    ranked = open_pairs(stored, classes, settled, percent).checkpoint()
-    for number in range(1, TRIES + 2):
-        chosen = ranked.where(F.col("try") == number if number <= TRIES else F.col("try") > TRIES)
-        still = chosen.join(settled.select(F.col("d").alias("later")), "later", "left_anti").select("a", "b").checkpoint()
-        if still.isEmpty():
-            continue
-        fresh = verified(df, still, classes, steps, key, text, percent).checkpoint()
-        found = found.unionByName(fresh)
-        settled = settled.unionByName(later_classes(fresh, firsts)).distinct().checkpoint()
-    return found.distinct().checkpoint()
-
-
-def later_classes(found: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Classes (d) that are linked to one with an earlier first line."""
-    a, b = (firsts.select(F.col("d").alias(c), F.col("first").alias(f"first_{c}")) for c in ("a", "b"))
-    met = found.join(a, "a").join(b, "b")
-    turns = [turn(F.col(f"first_{x}.key"), F.col(f"first_{x}.line_no"), F.col(x)) for x in "ab"]
-    return met.select(F.greatest(*turns)["d"].alias("d")).distinct()
-
-
-def verified(df: DataFrame, pairs: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough; sets are read again from the lines that stand for a class."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("d")).distinct().join(classes, "d").select("d", "first.key", "first.th", "first.line_no")
-    needed = needed.checkpoint()
+    lines = once_if_hot(stored, classes)
+    likely = likely_pairs(lines, percent).checkpoint()
+    settled = matched(likely, class_sets(df, likely, classes, steps, key, text), percent).checkpoint()
+    ranked = open_pairs(lines, settled, percent).checkpoint()
+    sets = class_sets(df, ranked, classes, steps, key, text)
+    low = 0
+    for high in (*TRIES, None):
+        chosen = ranked.where(F.col("try") > low)
+        chosen = chosen if high is None else chosen.where(F.col("try") <= high)
+        still = chosen.join(settled.select(F.col("d").alias("later")), "later", "left_anti")
+        settled = settled.unionByName(matched(still, sets, percent)).checkpoint()
+        low = high
+    return settled
+
+
+def class_sets(df: DataFrame, pairs: DataFrame, classes: DataFrame, steps: Column, key: str, text: str) -> DataFrame:
+    """(d, words) of all classes in pairs, once each; sets are read again from the lines that stand for a class."""
+    met = pairs.select(F.col("later").alias("d")).distinct().unionByName(pairs.select(F.col("earlier").alias("d")).distinct()).distinct()
+    needed = met.join(classes, "d").select("d", "first.key", "first.th", "first.line_no").checkpoint()
     docs = needed.select("key", "th").distinct()
     if docs.count() * 16 <= BROADCAST_BYTES:
         docs = F.broadcast(docs)
@@ -251,11 +258,16 @@ def verified(df: DataFrame, pairs: DataFrame, classes: DataFrame, steps: Column,
     lines = lines.join(docs.withColumnsRenamed({"key": "k", "th": "t"}), lines["key"].eqNullSafe(F.col("k")) & (lines["th"] == F.col("t")), "left_semi")
     wanted = needed.withColumnsRenamed({"key": "k", "th": "t", "line_no": "l"})
     same = lines["key"].eqNullSafe(F.col("k")) & (lines["th"] == F.col("t")) & (lines["line_no"] == F.col("l"))
-    sets = line_sets(lines.join(wanted, same).select("d", "line"), steps).select("d", "words").dropDuplicates(["d"]).checkpoint()
-    left, right = (sets.select(F.col("d").alias(c), F.col("words").alias(f"words_{c}")) for c in ("a", "b"))
-    common = F.size(F.array_intersect("words_a", "words_b"))
-    sizes = pairs.join(left, "a").join(right, "b").select("a", "b", common.alias("common"), (F.size("words_a") + F.size("words_b")).alias("sizes"))
-    return sizes.where(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * percent).select("a", "b")
+    return line_sets(lines.join(wanted, same).select("d", "line"), steps).select("d", "words").dropDuplicates(["d"]).checkpoint()
+
+
+def matched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Later classes (d) of the pairs whose whole sets are similar enough."""
+    later, earlier = (sets.select(F.col("d").alias(c), F.col("words").alias(f"{c}_words")) for c in ("later", "earlier"))
+    sizes = pairs.select("later", "earlier").join(later, "later").join(earlier, "earlier").select(
+        "later", F.size(F.array_intersect("later_words", "earlier_words")).alias("common"), (F.size("later_words") + F.size("earlier_words")).alias("sizes")
+    )
+    return sizes.where(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * percent).select(F.col("later").alias("d")).distinct()
 
 
 def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -274,15 +286,13 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", perce
     compact_lines(lines, steps, percent).write.option("compression", "zstd").parquet(path)
     stored = told_apart(df.sparkSession.read.parquet(path))
     classes = stored.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first")).checkpoint()
-    found = links(df, stored, classes, steps, key, text, percent)
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    settled = matched_classes(df, stored, classes, steps, key, text, percent).withColumn("settled", F.lit(True))
+    # Classes of one line without an earlier match remove nothing.
     own = turn(F.col("first.key"), F.col("first.line_no"), F.col("d"))
-    turns = classes.select("d", "lines", own.alias("own"))
-    earlier = both.join(turns.select(F.col("d").alias("b"), "own"), "b").groupBy(F.col("a").alias("d")).agg(F.min("own").alias("linked"))
-    # Classes of one line without a link remove nothing.
-    best = turns.join(earlier, "d", "left").where("lines > 1 OR linked IS NOT NULL").select("d", F.least("own", F.coalesce("linked", "own")).alias("best"))
-    marked = stored.select("key", "th", "line_no", "d").join(best, "d", "left")
-    gone = F.coalesce(turn(F.col("key"), F.col("line_no"), F.col("d")) > F.col("best"), F.lit(False))
+    known = classes.join(settled, "d", "left").where("lines > 1 OR settled").select("d", own.alias("own"), F.col("settled").isNotNull().alias("settled"))
+    marked = stored.select("key", "th", "line_no", "d").join(known, "d", "left")
+    later = F.col("settled") | (turn(F.col("key"), F.col("line_no"), F.col("d")) > F.col("own"))
+    gone = F.coalesce(later, F.lit(False))
     return marked.groupBy("key", "th").agg(F.sort_array(F.collect_set(F.when(gone, F.col("line_no")))).alias("removed"))
 
 

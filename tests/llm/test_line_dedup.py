@@ -2,6 +2,7 @@ import random
 
 from helpers import documents, invented, word_list
 
+from siltstone.llm import line_dedup
 from siltstone.llm.line_dedup import dedup_lines, repeated_lines
 
 
@@ -58,6 +59,23 @@ def test_groups_of_near_copies(spark):
     assert {k: v for k, v in found.items() if v} == plain(texts)
 
 
+def test_pairs_do_not_follow_the_square_of_a_group(spark, monkeypatch):
+    """Members of a group that are about as alike as the limit find a match among a few others."""
+    rnd, size = random.Random(3), 240
+    texts = [" ".join(f"w{k}" if rnd.random() > 0.05 else f"x{rnd.randrange(10**6)}" for k in range(60)) for _ in range(size)]
+    compared, matched = [], line_dedup.matched
+
+    def counted(pairs, sets, percent):
+        compared.append(pairs.count())
+        return matched(pairs, sets, percent)
+
+    monkeypatch.setattr(line_dedup, "matched", counted)
+    found = {r.key: r.removed for r in repeated_lines(documents(spark, texts)).collect()}
+    expected = plain(texts)
+    assert {k: v for k, v in found.items() if v} == expected and size // 2 < len(expected) < size - 1
+    assert compared[0] <= 2 * size and sum(compared) <= 4 * size
+
+
 def test_repeated_rows_null_keys_clashing_columns_and_no_rows(spark):
     df = documents(spark, ["a b c d e", "a b c d e f", "z"])
     df = df.unionByName(df.where("doc_id = 0")).unionByName(df.selectExpr("CAST(NULL AS long) AS doc_id", "text", "lang", "source", "n_chars"))
