@@ -133,9 +133,9 @@ def infer_schema(
     Inference is one distributed aggregation over every row. New keys add columns after the old
     ones; a type conflict widens. `hints` is DDL that overrides or adds fields.
     """
-    variant = F.try_parse_json(quoted(col))
-    objects = df.select(variant.alias("v")).where(F.schema_of_variant(F.col("v")).startswith("OBJECT"))
-    inferred = objects.agg(F.schema_of_variant_agg(F.col("v")).alias("s")).first()["s"]
+    # JSON text is an object if it begins like one; asked of the text, each row is parsed once and has no schema of its own made.
+    like = F.ltrim(quoted(col), F.lit(" \t\r\n")).startswith("{")
+    inferred = df.agg(F.schema_of_variant_agg(F.when(like, F.try_parse_json(quoted(col)))).alias("s")).first()["s"]
     schema = _from_variant_schema(inferred)
     if registry is not None:
         stored = registry.load(key)

@@ -217,3 +217,15 @@ def test_keys_and_errors(spark):
     assert {r.ts for r in error_records(df, "j").collect()} == {3, 4}
     messages = {r.j: r.error_message for r in classify_json_errors(df, "j", ["a"]).collect()}
     assert messages == {"{bad": "Malformed JSON in D column", None: "Malformed JSON in D column", '{"a":null}': "Missing or invalid a"}
+
+
+def test_inference_takes_objects_only_and_makes_no_schema_per_row(spark, monkeypatch):
+    texts = ['\n\t {"c": true}', '{"a": 1}', '{"a": 2, "s": {"q": [1]}}', '[{"z": 1}]', "null", "7", "", "{bad", '"{x"', '\x0b{"v": 1}', "{}", None]
+    df = spark.createDataFrame([(x,) for x in texts], "j string")
+
+    def made(*args):
+        raise AssertionError("a schema is made of each row")
+
+    monkeypatch.setattr("pyspark.sql.functions.schema_of_variant", made)
+    assert infer_schema(df, "j").simpleString() == "struct<a:bigint,c:boolean,s:struct<q:array<bigint>>>"
+    assert infer_schema(df.where("j IS NULL"), "j").fieldNames() == []
