@@ -18,7 +18,8 @@ What is asked of a class is whether an earlier one matches it. Classes that shar
 are likely to match, so each is compared with one of the classes before it with the same two: of the first and the last NEAR, the
 one whose bitmaps are most like its own. A class that has found a match by then is looked up no more, though later ones may still
 match it. The pairs that the prefix join finds for the others are verified in the order of their bitmaps' likeness, a few of each
-class before the rest. So a member of a group of near copies meets a few others and not all, and rows do not follow the square of a group.
+class before the rest. So most members of a group of near copies meet a few others; only those that no such pair settles go through
+the prefix join with all the group.
 """
 
 from __future__ import annotations
