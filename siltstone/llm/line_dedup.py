@@ -4,7 +4,8 @@ A line is the set of its words. Words are put in one order for the whole corpus,
 sets of similarity t must then share a word among the first n - ceil(t n) + 1 words of both. These
 prefixes are joined on the word, and a pair is dropped at once if its lengths differ too much, if the
 place of the common word leaves too few words for the overlap, or if bitmaps of the sets differ in more
-bits than words may. What passes is verified on the whole sets.
+bits than words may. Sets that share a run of prefix words meet at its first word only. What passes is
+verified on the whole sets.
 
 Rarity is a count per hash bucket over all lines, in steps of an eighth of a power of two: a fixed
 number of whole numbers, whatever the corpus. Any order gives the same pairs, the rare-first one the
@@ -14,8 +15,8 @@ Equal sets form a class and take part once; classes that hold more than a thousa
 which there are less than a thousand, are reduced to one line before the shuffle already. A class is known by one
 64-bit hash; sets that share it but differ in a second hash get classes of their own.
 
-What is asked of a class is whether an earlier one matches it. Classes that share the least words under two of MASKS orders
-are likely to match, so each is compared with one of the classes before it with the same two: of the first and the last NEAR, the
+What is asked of a class is whether an earlier one matches it. Classes that share the least and the greatest word of one
+of MASKS orders are likely to match, so each is compared with one of the classes before it with the same two: of the first and the last NEAR, the
 one whose bitmaps are most like its own. A class that has found a match by then is looked up no more, though later ones may still
 match it. The pairs that the prefix join finds for the others are verified in the order of their bitmaps' likeness, a few of each
 class before the rest. So most members of a group of near copies meet a few others; only those that no such pair settles go through
@@ -38,14 +39,16 @@ SHORT = 40
 EQUAL_ONLY = 3
 # Bits of a word's hash in its number; the step of its bucket stands above them.
 WORD_BITS = 54
-# Orders of words (their numbers with some bits flipped) whose least words find likely pairs, two by two.
-MASKS = 0x2AF7C9B1D35E86, 0x15083A4E9C7B61, 0x3D5C62F01A8E97, 0x0A91E7C4583BD2
+# Orders of words, by their hashes with some bits flipped; the least and the greatest word of an order find likely pairs.
+MASKS = 0, 0x2AF7C9B1D35E8614
 # Classes before a class, of those with the same least words, that it may be compared with; the first one is another.
 NEAR = 8
 # The pairs of a class are verified in rounds: up to these numbers, then all the others.
 TRIES = 1, 8
 # Keys of documents to verify are broadcast up to this many bytes and joined beyond.
 BROADCAST_BYTES = 64 << 20
+# Bytes of a class with its first line in such a broadcast.
+KNOWN_BYTES = 128
 
 
 def line_rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -76,16 +79,17 @@ def rarity_steps(lines: DataFrame) -> Column:
 
 
 def line_sets(lines: DataFrame, steps: Column) -> DataFrame:
-    """Add `words`: the sorted distinct words of each line as numbers, rare ones first."""
+    """Add `words`, the sorted distinct words of each line as numbers, rare ones first, and `hashed`, all words in their order."""
 
-    def number(word: Column) -> Column:
-        hashed = F.xxhash64(word)
-        step = F.get(steps, F.shiftrightunsigned(hashed, 32).bitwiseAND(BUCKETS - 1).cast("int"))
+    def number(hashed: Column) -> Column:
+        # Never NULL, which lets Spark sort the numbers as they are and not as objects.
+        step = F.coalesce(F.get(steps, F.shiftrightunsigned(hashed, 32).bitwiseAND(BUCKETS - 1).cast("int")), F.lit(0))
         return F.shiftleft(step.cast("long"), WORD_BITS).bitwiseOR(hashed.bitwiseAND((1 << WORD_BITS) - 1))
 
     parts = line_words(F.col("line"))
     parts = F.when(F.array_contains(parts, ""), F.array_remove(parts, "")).otherwise(parts)
-    return lines.withColumn("words", F.sort_array(F.array_distinct(F.transform(parts, number))))
+    hashed = lines.withColumn("hashed", F.transform(parts, lambda word: F.xxhash64(word)))
+    return hashed.withColumn("words", F.sort_array(F.array_distinct(F.transform("hashed", number))))
 
 
 def _bitmap(words: Column, half: int) -> Column:
@@ -105,16 +109,18 @@ def prefix_length(n: Column, percent: int) -> Column:
 def compact_lines(lines: DataFrame, steps: Column, percent: int) -> DataFrame:
     """(key, th, line_no, n, d, d2, b1, b2, least, prefix) of all lines with a word.
 
-    d is the class, d2 a second hash of it, `least` has a hash of the least words under each two orders.
+    d is the class, d2 a second hash of it, `least` has a hash of the least and the greatest word of each order.
     """
     # Asked of the line, as a filter on the set would have it made twice.
     full = lines.where(F.regexp_like("line", F.lit(r"[^ \t-\r]")))
     sets = line_sets(full, steps).withColumn("n", F.size("words"))
 
-    def least(mask: int) -> Column:
-        return F.array_min(F.transform("words", lambda word: word.bitwiseAND((1 << WORD_BITS) - 1).bitwiseXOR(mask)))
+    def flipped(mask: int) -> Column:
+        return F.transform("hashed", lambda word: word.bitwiseXOR(mask)) if mask else F.col("hashed")
 
-    pairs = [F.xxhash64(F.lit(at), least(MASKS[at]), least(MASKS[at + 1])) for at in range(0, len(MASKS), 2)]
+    pairs = [F.xxhash64(F.lit(at), F.array_min(words), F.array_max(words)) for at, words in enumerate(map(flipped, MASKS))]
+    # Half of a word's bits are enough to meet by, and fewer bytes to move: pairs are verified in any case.
+    prefix = F.slice("words", F.lit(1), prefix_length(F.col("n"), percent))
     return sets.select(
         "key",
         "th",
@@ -125,7 +131,7 @@ def compact_lines(lines: DataFrame, steps: Column, percent: int) -> DataFrame:
         F.when(F.col("n") > EQUAL_ONLY, _bitmap(F.col("words"), 0)).otherwise(F.lit(0).cast("long")).alias("b1"),
         F.when(F.col("n") > SHORT, _bitmap(F.col("words"), 1)).otherwise(F.lit(0).cast("long")).alias("b2"),
         F.when(F.col("n") > EQUAL_ONLY, F.array(*pairs)).alias("least"),
-        F.when(F.col("n") > EQUAL_ONLY, F.slice("words", F.lit(1), prefix_length(F.col("n"), percent))).alias("prefix"),
+        F.when(F.col("n") > EQUAL_ONLY, F.transform(prefix, lambda word: F.hash(word))).alias("prefix"),
     )
 
 
@@ -171,7 +177,7 @@ def _likeness(l, r) -> Column:
 
 def _positional(l, r, percent: int) -> Column:
     """Whether enough words can follow the common one on both sides."""
-    return F.least(l["n"] - l["at"], r["n"] - r["at"]) * (100 + percent) >= (l["n"] + r["n"]) * percent
+    return F.least(l["left"] - l["at"], r["left"] - r["at"]) * (100 + percent) >= (l["n"] + r["n"]) * percent
 
 
 def once_if_hot(stored: DataFrame, classes: DataFrame) -> DataFrame:
@@ -183,17 +189,15 @@ def once_if_hot(stored: DataFrame, classes: DataFrame) -> DataFrame:
     return met.where(F.col("hot_first").isNull() | (place() == F.col("hot_first")))
 
 
-def likely_pairs(lines: DataFrame, percent: int) -> DataFrame:
-    """Pairs (later, earlier) of each class with one before it that has the same least words under two orders.
+def likely_pairs(firsts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (later, earlier) of each class with one before it that has the same least and greatest word of an order.
 
-    A class has one pair at most for each two orders, whatever the size of its group: of the first class and the NEAR
+    A class has one pair at most for each order, whatever the size of its group: of the first class and the NEAR
     before it, the one with the greatest likeness.
     """
     own = {c: F.col(c) for c in ("d", "n", "b1", "b2")}
-    rows = lines.select(*own, "key", "line_no", F.explode("least").alias("run")).repartition("run")
-    spot = turn(F.col("key"), F.col("line_no"), F.col("d"))
-    rows = rows.groupBy("run", *own).agg(F.min(spot).alias("spot"))
-    before = Window.partitionBy("run").orderBy("spot")
+    rows = firsts.select(*own, "key", "line_no", F.explode("least").alias("run"))
+    before = Window.partitionBy("run").orderBy(F.col("key").isNull(), "key", "line_no", "d")
     head = F.first(F.struct(*own)).over(before.rowsBetween(Window.unboundedPreceding, 0))
     last = F.collect_list(F.struct(*own)).over(before.rowsBetween(-NEAR, -1))
     near = rows.select("run", *own, head.alias("head"), last.alias("last")).where(F.size("last") > 0)
@@ -202,28 +206,48 @@ def likely_pairs(lines: DataFrame, percent: int) -> DataFrame:
     return near.select(F.col("d").alias("later"), best["d"].alias("earlier")).where("earlier IS NOT NULL").distinct()
 
 
-def open_pairs(lines: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """Pairs (later, earlier, try) that share a prefix word and pass all filters, with an open later class.
+def first_lines(stored: DataFrame, classes: DataFrame) -> DataFrame:
+    """One line, the first, of each class that may meet others."""
+    lines = once_if_hot(stored, classes)
+    known = classes.where("lines > 1").select(F.col("d").alias("known_d"), F.col("first").alias("known_first"))
+    known = F.broadcast(known) if known.count() * KNOWN_BYTES <= BROADCAST_BYTES else known
+    rows = lines.join(known, F.col("d") == F.col("known_d"), "left")
+    # Rows with equal key and text have their lines at one place.
+    copied = rows.where(place() == F.col("known_first")).distinct()
+    return rows.where("known_d IS NULL").unionByName(copied).select(*stored.columns)
+
 
-    `try` numbers the pairs of a later class, the greatest likeness first.
+def met_pairs(firsts: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier, likeness) of classes that share a prefix word and pass all filters, with an open later class.
+
+    Sets that agree in many words of their prefixes would meet at each of them. A word is skipped if the words before it in
+    both prefixes are the same too: the sets meet there, as all filters that pass here pass there. So a pair is made once for
+    each run of common words, not for each word.
     """
     known = settled.select(F.col("d").alias("settled_d"))
     known = F.broadcast(known) if settled.count() * 8 <= BROADCAST_BYTES else known
-    flagged = lines.join(known, F.col("d") == F.col("settled_d"), "left").withColumn("settled", F.col("settled_d").isNotNull())
-    rows = flagged.select("n", "d", "b1", "b2", "settled", "key", "line_no", F.posexplode("prefix").alias("at", "long_word"))
-    # Half of a word's bits are enough to meet by, and fewer bytes to move: pairs are verified in any case.
-    rows = rows.withColumn("word", F.hash("long_word")).drop("long_word")
-    # The class decides the columns grouped by, so rows of a group are its lines; the first one counts.
-    spot = turn(F.col("key"), F.col("line_no"), F.col("d"))
-    rows = rows.repartition("word").groupBy("word", "d", F.col("n").cast("int").alias("n"), "at", "b1", "b2", "settled").agg(F.min(spot).alias("spot"))
+    flagged = firsts.join(known, F.col("d") == F.col("settled_d"), "left")
+    # The size of a settled class is negative: the two sides of the join stay one shuffle as long as no column or filter is for one side only.
+    size = F.when(F.col("settled_d").isNull(), F.col("n")).otherwise(-F.col("n"))
+    rows = flagged.select(size.alias("size"), "d", "b1", "b2", "key", "line_no", "prefix", F.posexplode("prefix").alias("at", "word"))
+    rows = rows.withColumn("before", F.get("prefix", F.col("at") - 1)).drop("prefix").repartition("word")
     left, right = (rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "word"]) for side in "lr")
-    l, r = ({c: F.col(f"{side}_{c}") for c in rows.columns if c != "word"} for side in "lr")
-    # Asked of both sides at once, so that the two sides of the join stay one shuffle.
-    wanted = F.when(l["settled"], F.lit(False)).otherwise(r["spot"] < l["spot"])
-    met = left.join(right, (left["word"] == right["word"]) & wanted & _positional(l, r, percent) & _may_match(l, r, percent))
-    pairs = met.select(l["d"].alias("later"), r["d"].alias("earlier"), _likeness(l, r).alias("likeness")).distinct()
+    l, r = ({c: F.col(f"{side}_{c}") for c in rows.columns if c != "word"} | {"n": F.abs(f"{side}_size")} for side in "lr")
+    earlier = turn(r["key"], r["line_no"], r["d"]) < turn(l["key"], l["line_no"], l["d"])
+    # With a negative size no words are left, so a settled later class passes no more.
+    placed = _positional({**l, "left": l["size"]}, {**r, "left": r["n"]}, percent)
+    run = ~F.coalesce(l["before"] == r["before"], F.lit(False))
+    met = left.join(right, (left["word"] == right["word"]) & run & placed & _may_match(l, r, percent) & earlier)
+    return met.select(l["d"].alias("later"), r["d"].alias("earlier"), _likeness(l, r).alias("likeness"))
+
+
+def open_pairs(firsts: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """Pairs (later, earlier, try) of `met_pairs`, each once.
+
+    `try` numbers the pairs of a later class, the greatest likeness first.
+    """
     order = Window.partitionBy("later").orderBy(F.desc("likeness"), "earlier")
-    return pairs.select("later", "earlier", F.row_number().over(order).alias("try"))
+    return met_pairs(firsts, settled, percent).distinct().select("later", "earlier", F.row_number().over(order).alias("try"))
 
 
 def matched_classes(df: DataFrame, stored: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
@@ -232,10 +256,10 @@ def matched_classes(df: DataFrame, stored: DataFrame, classes: DataFrame, steps:
     Likely pairs settle most of them, and the prefix join looks for matches of the others only. The pairs it finds are
     verified in rounds, each for the classes still open, the last with all pairs there are.
     """
-    lines = once_if_hot(stored, classes)
-    likely = likely_pairs(lines, percent).checkpoint()
+    firsts = first_lines(stored, classes)
+    likely = likely_pairs(firsts, percent).checkpoint()
     settled = matched(likely, class_sets(df, likely, classes, steps, key, text), percent).checkpoint()
-    ranked = open_pairs(lines, settled, percent).checkpoint()
+    ranked = open_pairs(firsts, settled, percent).checkpoint()
     sets = class_sets(df, ranked, classes, steps, key, text)
     low = 0
     for high in (*TRIES, None):
@@ -271,6 +295,13 @@ def matched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sizes.where(F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * percent).select(F.col("later").alias("d")).distinct()
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """`df` written below the shared folder, in less space than a checkpoint takes, and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """(key, th, removed) per distinct (key, text): removed are the numbers, from 0, of later matches.
 
@@ -283,10 +314,8 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", perce
     shared_dir(df.sparkSession)
     lines = line_rows(df, key, text)
     steps = rarity_steps(lines)
-    path = scratch_path(df.sparkSession, "lines")
-    compact_lines(lines, steps, percent).write.option("compression", "zstd").parquet(path)
-    stored = told_apart(df.sparkSession.read.parquet(path))
-    classes = stored.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first")).checkpoint()
+    stored = told_apart(_kept(compact_lines(lines, steps, percent), "lines"))
+    classes = _kept(stored.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first")), "classes")
     settled = matched_classes(df, stored, classes, steps, key, text, percent).withColumn("settled", F.lit(True))
     # Classes of one line without an earlier match remove nothing.
     own = turn(F.col("first.key"), F.col("first.line_no"), F.col("d"))

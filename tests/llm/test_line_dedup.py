@@ -76,6 +76,37 @@ def test_pairs_do_not_follow_the_square_of_a_group(spark, monkeypatch):
     assert compared[0] <= 2 * size and sum(compared) <= 4 * size
 
 
+def test_a_pair_meets_once_for_each_run_of_common_words(spark, monkeypatch):
+    """Classes without a match in a group of near copies share most prefix words with all the group."""
+    rnd, size, met = random.Random(4), 120, []
+    texts = [" ".join(f"w{k}" if rnd.random() > 0.08 else f"x{rnd.randrange(10**6)}" for k in range(90)) for _ in range(size)]
+    # Copies of rows and of lines stand for one class each.
+    df = documents(spark, texts + texts[:20]).unionByName(documents(spark, texts[:30]))
+    made = line_dedup.met_pairs
+
+    def counted(*args):
+        met.append(made(*args).checkpoint())
+        return met[-1]
+
+    monkeypatch.setattr(line_dedup, "met_pairs", counted)
+    found = {r.key: r.removed for r in repeated_lines(df).collect()}
+    assert {k: v for k, v in found.items() if v} == plain(texts + texts[:20])
+    pairs = met[0].distinct().count()
+    assert pairs > size and met[0].count() <= 2 * pairs
+
+
+def test_order_of_words_is_nothing_to_a_class(spark):
+    """Sets written in several orders, with a match after them, keep their first line."""
+    rnd, texts = random.Random(6), []
+    for family in range(30):
+        words = [f"f{family}w{k}" for k in range(20)]
+        for _ in range(4):
+            texts.append(" ".join(rnd.sample(words, 20) + rnd.sample(words, 3)))
+            texts.append(" ".join([*rnd.sample(words, 20), f"more{len(texts)}"]))
+    found = {r.key: r.removed for r in repeated_lines(documents(spark, texts)).collect()}
+    assert {k: v for k, v in found.items() if v} == plain(texts)
+
+
 def test_repeated_rows_null_keys_clashing_columns_and_no_rows(spark):
     df = documents(spark, ["a b c d e", "a b c d e f", "z"])
     df = df.unionByName(df.where("doc_id = 0")).unionByName(df.selectExpr("CAST(NULL AS long) AS doc_id", "text", "lang", "source", "n_chars"))
