@@ -48,7 +48,7 @@ TRIES = 1, 8
 # Keys of documents to verify are broadcast up to this many bytes and joined beyond.
 BROADCAST_BYTES = 64 << 20
 # Bytes of a class with its first line in such a broadcast.
-KNOWN_BYTES = 128
+KNOWN_BYTES = 320
 
 
 def line_rows(df: DataFrame, key: str, text: str) -> DataFrame:
