@@ -18,9 +18,10 @@ which there are less than a thousand, are reduced to one line before the shuffle
 What is asked of a class is whether an earlier one matches it. Classes that share the least and the greatest word of one
 of MASKS orders are likely to match, so each is compared with one of the classes before it with the same two: of the first and the last NEAR, the
 one whose bitmaps are most like its own. A class that has found a match by then is looked up no more, though later ones may still
-match it. The pairs that the prefix join finds for the others are verified in the order of their bitmaps' likeness, a few of each
-class before the rest. So most members of a group of near copies meet a few others; only those that no such pair settles go through
-the prefix join with all the group.
+match it. A class that several of these matched leads its group: the others are compared with the leaders they share a prefix word
+with, the likeliest few of each. The pairs that the prefix join finds for those still open are verified in the order of their bitmaps'
+likeness, a few of each class before the rest. So most members of a group of near copies meet a few others; only those that no such
+pair settles go through the prefix join with all the group.
 """
 
 from __future__ import annotations
@@ -43,12 +44,15 @@ WORD_BITS = 54
 MASKS = 0, 0x2AF7C9B1D35E8614
 # Classes before a class, of those with the same least words, that it may be compared with; the first one is another.
 NEAR = 8
-# The pairs of a class are verified in rounds: up to these numbers, then all the others.
+# A class leads its group if the likely pairs with it have at least this many later classes that are matched.
+FOLLOWED = 3
+# The pairs of a class are verified in rounds: up to these numbers, then all the others. With leaders there is one round, up to the last number.
 TRIES = 1, 8
 # Keys of documents to verify are broadcast up to this many bytes and joined beyond.
 BROADCAST_BYTES = 64 << 20
-# Bytes of a class with its first line in such a broadcast.
+# Bytes of a class with its first line, and of a prefix word with its class, in such a broadcast.
 KNOWN_BYTES = 320
+PREFIX_BYTES = 128
 
 
 def line_rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -65,17 +69,21 @@ def line_words(line: Column) -> Column:
     return F.split(F.when(other, F.translate(line, "\t\r\x0b\x0c", "    ")).otherwise(line), " ")
 
 
+def bucket(hashed: Column) -> Column:
+    """The uppermost bits of a word's hash: one of BUCKETS."""
+    return F.shiftrightunsigned(hashed, 64 - BUCKETS.bit_length() + 1).cast("int")
+
+
 def rarity_steps(lines: DataFrame) -> Column:
-    """An array of BUCKETS whole numbers: the step of every bucket, 0 for the rarest.
+    """An array of BUCKETS whole numbers: the step of every bucket, 0 for the rarest, in its place above a word's bits.
 
     The counts brought to the driver are BUCKETS numbers at most.
     """
     word = lines.select(F.explode(line_words(F.col("line"))).alias("word")).where("word <> ''")
-    bucket = F.shiftrightunsigned(F.xxhash64("word"), 32).bitwiseAND(BUCKETS - 1)
-    counts = word.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts = word.groupBy(bucket(F.xxhash64("word")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     step = F.floor(F.log2("n") * STEPS).cast("int")
     found = {row.bucket: row.step for row in counts.select("bucket", step.alias("step")).collect()}
-    return F.from_json(F.lit("[" + ",".join(str(found.get(b, 0)) for b in range(BUCKETS)) + "]"), "array<int>")
+    return F.from_json(F.lit("[" + ",".join(str(found.get(b, 0) << WORD_BITS) for b in range(BUCKETS)) + "]"), "array<bigint>")
 
 
 def line_sets(lines: DataFrame, steps: Column) -> DataFrame:
@@ -83,8 +91,7 @@ def line_sets(lines: DataFrame, steps: Column) -> DataFrame:
 
     def number(hashed: Column) -> Column:
         # Never NULL, which lets Spark sort the numbers as they are and not as objects.
-        step = F.coalesce(F.get(steps, F.shiftrightunsigned(hashed, 32).bitwiseAND(BUCKETS - 1).cast("int")), F.lit(0))
-        return F.shiftleft(step.cast("long"), WORD_BITS).bitwiseOR(hashed.bitwiseAND((1 << WORD_BITS) - 1))
+        return F.coalesce(F.get(steps, bucket(hashed)), F.lit(0).cast("long")).bitwiseOR(hashed.bitwiseAND((1 << WORD_BITS) - 1))
 
     parts = line_words(F.col("line"))
     parts = F.when(F.array_contains(parts, ""), F.array_remove(parts, "")).otherwise(parts)
@@ -96,7 +103,7 @@ def _bitmap(words: Column, half: int) -> Column:
     """One bit per word of one half of all words, flipped for each word that falls on it."""
 
     def flip(bits: Column, word: Column) -> Column:
-        own = F.shiftrightunsigned(word, 6).bitwiseAND(1) == half
+        own = word.bitwiseAND(64) == 64 * half
         return F.when(own, bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(63).cast("int")))).otherwise(bits)
 
     return F.aggregate(words, F.lit(0).cast("long"), flip)
@@ -135,22 +142,27 @@ def compact_lines(lines: DataFrame, steps: Column, percent: int) -> DataFrame:
     )
 
 
-def told_apart(stored: DataFrame) -> DataFrame:
-    """Lines whose sets differ though they share a class get classes of their own; d2 goes."""
-    ends = stored.groupBy("d").agg(F.min("d2").alias("low"), F.max("d2").alias("high"))
-    # Nearly always none: two of 10 ** 9 different sets share a 64-bit hash with a chance of three in a hundred.
-    shared = ends.where("low <> high").select(F.col("d").alias("shared_d")).checkpoint()
-    if shared.isEmpty():
-        return stored.drop("d2")
-    marked = stored.join(shared, F.col("d") == F.col("shared_d"), "left")
-    return marked.withColumn("d", F.when(F.col("shared_d").isNull(), F.col("d")).otherwise(F.xxhash64("d", "d2"))).drop("shared_d", "d2")
-
-
 def place() -> Column:
     """Where a line stands: by key, NULL keys last, then line number; the text hash tells rows of one key apart."""
     return F.struct(F.col("key").isNull().alias("no_key"), F.col("key"), F.col("line_no"), F.col("th"))
 
 
+def told_apart(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines without d2, and their classes (d, lines, first). Lines whose sets differ though they share a class get classes of their own."""
+
+    def grouped(lines: DataFrame, *more: Column) -> DataFrame:
+        return _kept(lines.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first"), *more), "classes")
+
+    classes = grouped(stored, F.min("d2").alias("low"), F.max("d2").alias("high"))
+    # Nearly always none: two of 10 ** 9 different sets share a 64-bit hash with a chance of three in a hundred.
+    shared = classes.where("low <> high").select(F.col("d").alias("shared_d")).checkpoint()
+    if shared.isEmpty():
+        return stored.drop("d2"), classes.drop("low", "high")
+    marked = stored.join(shared, F.col("d") == F.col("shared_d"), "left")
+    apart = marked.withColumn("d", F.when(F.col("shared_d").isNull(), F.col("d")).otherwise(F.xxhash64("d", "d2"))).drop("shared_d", "d2")
+    return apart, grouped(apart)
+
+
 def turn(key: Column, line_no: Column, d: Column) -> Column:
     """The order of classes: by key and line number of the first line, then by the class itself."""
     return F.struct(key.isNull().alias("no_key"), key.alias("key"), line_no.alias("line_no"), d.alias("d"))
@@ -206,60 +218,95 @@ def likely_pairs(firsts: DataFrame, percent: int) -> DataFrame:
     return near.select(F.col("d").alias("later"), best["d"].alias("earlier")).where("earlier IS NOT NULL").distinct()
 
 
-def first_lines(stored: DataFrame, classes: DataFrame) -> DataFrame:
-    """One line, the first, of each class that may meet others."""
+def first_lines(stored: DataFrame, classes: DataFrame, once: bool = True) -> DataFrame:
+    """One line, the first, of each class that may meet others; unless `once`, a class whose first line stands in equal rows comes with each."""
     lines = once_if_hot(stored, classes)
     known = classes.where("lines > 1").select(F.col("d").alias("known_d"), F.col("first").alias("known_first"))
     known = F.broadcast(known) if known.count() * KNOWN_BYTES <= BROADCAST_BYTES else known
     rows = lines.join(known, F.col("d") == F.col("known_d"), "left")
     # Rows with equal key and text have their lines at one place.
+    if not once:
+        return rows.where(F.col("known_d").isNull() | (place() == F.col("known_first"))).select(*stored.columns)
     copied = rows.where(place() == F.col("known_first")).distinct()
     return rows.where("known_d IS NULL").unionByName(copied).select(*stored.columns)
 
 
-def met_pairs(firsts: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier, likeness) of classes that share a prefix word and pass all filters, with an open later class.
+def known_classes(settled: DataFrame) -> DataFrame:
+    known = settled.select(F.col("d").alias("settled_d"))
+    return F.broadcast(known) if settled.count() * 8 <= BROADCAST_BYTES else known
+
+
+def prefix_rows(classes: DataFrame) -> DataFrame:
+    """One row per class and prefix word, with the place of the word and the word before it."""
+    rows = classes.select("size", "d", "b1", "b2", "key", "line_no", "prefix", F.posexplode("prefix").alias("at", "word"))
+    return rows.withColumn("before", F.get("prefix", F.col("at") - 1)).drop("prefix")
+
+
+def meeting(later: DataFrame, earlier: DataFrame, percent: int, small: bool = False) -> DataFrame:
+    """(later, earlier, likeness) of `prefix_rows` that share a word and pass all filters; `small` allows to broadcast the earlier ones.
 
     Sets that agree in many words of their prefixes would meet at each of them. A word is skipped if the words before it in
     both prefixes are the same too: the sets meet there, as all filters that pass here pass there. So a pair is made once for
     each run of common words, not for each word.
     """
-    known = settled.select(F.col("d").alias("settled_d"))
-    known = F.broadcast(known) if settled.count() * 8 <= BROADCAST_BYTES else known
-    flagged = firsts.join(known, F.col("d") == F.col("settled_d"), "left")
-    # The size of a settled class is negative: the two sides of the join stay one shuffle as long as no column or filter is for one side only.
-    size = F.when(F.col("settled_d").isNull(), F.col("n")).otherwise(-F.col("n"))
-    rows = flagged.select(size.alias("size"), "d", "b1", "b2", "key", "line_no", "prefix", F.posexplode("prefix").alias("at", "word"))
-    rows = rows.withColumn("before", F.get("prefix", F.col("at") - 1)).drop("prefix").repartition("word")
-    left, right = (rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "word"]) for side in "lr")
-    l, r = ({c: F.col(f"{side}_{c}") for c in rows.columns if c != "word"} | {"n": F.abs(f"{side}_size")} for side in "lr")
-    earlier = turn(r["key"], r["line_no"], r["d"]) < turn(l["key"], l["line_no"], l["d"])
+    columns = [c for c in later.columns if c != "word"]
+    left, right = (
+        rows.select("word", *[F.col(c).alias(f"{side}_{c}") for c in columns]) for rows, side in ((later, "l"), (earlier, "r"))
+    )
+    l, r = ({c: F.col(f"{side}_{c}") for c in columns} | {"n": F.abs(f"{side}_size")} for side in "lr")
+    before = turn(r["key"], r["line_no"], r["d"]) < turn(l["key"], l["line_no"], l["d"])
     # With a negative size no words are left, so a settled later class passes no more.
     placed = _positional({**l, "left": l["size"]}, {**r, "left": r["n"]}, percent)
     run = ~F.coalesce(l["before"] == r["before"], F.lit(False))
-    met = left.join(right, (left["word"] == right["word"]) & run & placed & _may_match(l, r, percent) & earlier)
+    right = F.broadcast(right) if small else right
+    met = left.join(right, (left["word"] == right["word"]) & run & placed & _may_match(l, r, percent) & before)
     return met.select(l["d"].alias("later"), r["d"].alias("earlier"), _likeness(l, r).alias("likeness"))
 
 
-def open_pairs(firsts: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
-    """Pairs (later, earlier, try) of `met_pairs`, each once.
+def met_pairs(firsts: DataFrame, settled: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier, likeness) of classes that share a prefix word and pass all filters, with an open later class."""
+    flagged = firsts.join(known_classes(settled), F.col("d") == F.col("settled_d"), "left")
+    # The size of a settled class is negative: the two sides of the join stay one shuffle as long as no column or filter is for one side only.
+    size = F.when(F.col("settled_d").isNull(), F.col("n")).otherwise(-F.col("n"))
+    rows = prefix_rows(flagged.withColumn("size", size)).repartition("word")
+    return meeting(rows, rows, percent)
+
 
-    `try` numbers the pairs of a later class, the greatest likeness first.
-    """
+def group_leaders(likely: DataFrame, settled: DataFrame) -> DataFrame:
+    """Classes (d) that stand in likely pairs with at least FOLLOWED later classes that are settled."""
+    followers = likely.join(settled.select(F.col("d").alias("later")), "later", "left_semi").groupBy(F.col("earlier").alias("d"))
+    return followers.agg(F.count(F.lit(1)).alias("followers")).where(F.col("followers") >= FOLLOWED).select("d")
+
+
+def led_pairs(firsts: DataFrame, settled: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier, likeness) of open classes and the leaders before them, as in `met_pairs`. `firsts` may hold a class more than once."""
+    firsts = firsts.withColumn("size", F.col("n"))
+    chosen = prefix_rows(firsts.join(known_classes(leaders), F.col("d") == F.col("settled_d"), "left_semi").dropDuplicates(["d"])).checkpoint()
+    open_rows = prefix_rows(firsts.join(known_classes(settled), F.col("d") == F.col("settled_d"), "left_anti"))
+    return meeting(open_rows, chosen, percent, small=chosen.count() * PREFIX_BYTES <= BROADCAST_BYTES)
+
+
+def ranked_pairs(met: DataFrame) -> DataFrame:
+    """Pairs (later, earlier, try), each once. `try` numbers the pairs of a later class, the greatest likeness first."""
     order = Window.partitionBy("later").orderBy(F.desc("likeness"), "earlier")
-    return met_pairs(firsts, settled, percent).distinct().select("later", "earlier", F.row_number().over(order).alias("try"))
+    return met.distinct().select("later", "earlier", F.row_number().over(order).alias("try"))
 
 
 def matched_classes(df: DataFrame, stored: DataFrame, classes: DataFrame, steps: Column, key: str, text: str, percent: int) -> DataFrame:
     """Classes (d) that match one with an earlier first line.
 
-    Likely pairs settle most of them, and the prefix join looks for matches of the others only. The pairs it finds are
-    verified in rounds, each for the classes still open, the last with all pairs there are.
+    Likely pairs and pairs with leaders settle most of them, and the prefix join looks for matches of the others only. The pairs
+    it finds are verified in rounds, each for the classes still open, the last with all pairs there are.
     """
     firsts = first_lines(stored, classes)
     likely = likely_pairs(firsts, percent).checkpoint()
     settled = matched(likely, class_sets(df, likely, classes, steps, key, text), percent).checkpoint()
-    ranked = open_pairs(firsts, settled, percent).checkpoint()
+    leaders = group_leaders(likely, settled).checkpoint()
+    if not leaders.isEmpty():
+        led = ranked_pairs(led_pairs(first_lines(stored, classes, once=False), settled, leaders, percent))
+        led = led.where(F.col("try") <= TRIES[-1]).checkpoint()
+        settled = settled.unionByName(matched(led, class_sets(df, led, classes, steps, key, text), percent)).checkpoint()
+    ranked = ranked_pairs(met_pairs(firsts, settled, percent)).checkpoint()
     sets = class_sets(df, ranked, classes, steps, key, text)
     low = 0
     for high in (*TRIES, None):
@@ -314,8 +361,7 @@ def repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", perce
     shared_dir(df.sparkSession)
     lines = line_rows(df, key, text)
     steps = rarity_steps(lines)
-    stored = told_apart(_kept(compact_lines(lines, steps, percent), "lines"))
-    classes = _kept(stored.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first")), "classes")
+    stored, classes = told_apart(_kept(compact_lines(lines, steps, percent), "lines"))
     settled = matched_classes(df, stored, classes, steps, key, text, percent).withColumn("settled", F.lit(True))
     # Classes of one line without an earlier match remove nothing.
     own = turn(F.col("first.key"), F.col("first.line_no"), F.col("d"))

@@ -95,6 +95,34 @@ def test_a_pair_meets_once_for_each_run_of_common_words(spark, monkeypatch):
     assert pairs > size and met[0].count() <= 2 * pairs
 
 
+def test_leaders_keep_a_group_out_of_the_prefix_join(spark, monkeypatch):
+    """Members that no likely pair settles meet the classes others were matched with, before all the group; also without broadcasts."""
+    rnd, size, met = random.Random(12), 400, []
+    texts = [" ".join(f"w{k}" if rnd.random() > 0.06 else f"x{rnd.randrange(10**6)}" for k in range(60)) for _ in range(size)]
+    made = line_dedup.met_pairs
+
+    def counted(*args):
+        met.append(made(*args).checkpoint())
+        return met[-1]
+
+    monkeypatch.setattr(line_dedup, "met_pairs", counted)
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+    # Equal rows stand for one document.
+    df = documents(spark, texts).unionByName(documents(spark, texts[:40]))
+    found = {r.key: r.removed for r in repeated_lines(df).collect()}
+    assert {k: v for k, v in found.items() if v} == plain(texts)
+    assert met[0].count() <= size
+
+
+def test_sets_that_share_a_hash_are_told_apart(spark):
+    rows = [(1, 10, 0, 7, 70), (2, 20, 0, 7, 71), (3, 30, 1, 7, 70), (4, 40, 0, 8, 80), (None, 50, 0, 8, 80)]
+    for some, classes in ((rows, {(2, 1), (1, 2), (2, 4)}), (rows[3:], {(2, 4)})):
+        stored = spark.createDataFrame(some, "key long, th long, line_no int, d long, d2 long")
+        lines, known = line_dedup.told_apart(stored)
+        assert {(r.lines, r.first.key) for r in known.collect()} == classes and set(known.columns) == {"d", "lines", "first"}
+        assert lines.join(known, "d").count() == len(some) and "d2" not in lines.columns
+
+
 def test_order_of_words_is_nothing_to_a_class(spark):
     """Sets written in several orders, with a match after them, keep their first line."""
     rnd, texts = random.Random(6), []
