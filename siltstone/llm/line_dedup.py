@@ -69,21 +69,17 @@ def line_words(line: Column) -> Column:
     return F.split(F.when(other, F.translate(line, "\t\r\x0b\x0c", "    ")).otherwise(line), " ")
 
 
-def bucket(hashed: Column) -> Column:
-    """The uppermost bits of a word's hash: one of BUCKETS."""
-    return F.shiftrightunsigned(hashed, 64 - BUCKETS.bit_length() + 1).cast("int")
-
-
 def rarity_steps(lines: DataFrame) -> Column:
-    """An array of BUCKETS whole numbers: the step of every bucket, 0 for the rarest, in its place above a word's bits.
+    """An array of BUCKETS whole numbers: the step of every bucket, 0 for the rarest.
 
     The counts brought to the driver are BUCKETS numbers at most.
     """
     word = lines.select(F.explode(line_words(F.col("line"))).alias("word")).where("word <> ''")
-    counts = word.groupBy(bucket(F.xxhash64("word")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.shiftrightunsigned(F.xxhash64("word"), 32).bitwiseAND(BUCKETS - 1)
+    counts = word.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     step = F.floor(F.log2("n") * STEPS).cast("int")
     found = {row.bucket: row.step for row in counts.select("bucket", step.alias("step")).collect()}
-    return F.from_json(F.lit("[" + ",".join(str(found.get(b, 0) << WORD_BITS) for b in range(BUCKETS)) + "]"), "array<bigint>")
+    return F.from_json(F.lit("[" + ",".join(str(found.get(b, 0)) for b in range(BUCKETS)) + "]"), "array<int>")
 
 
 def line_sets(lines: DataFrame, steps: Column) -> DataFrame:
@@ -91,7 +87,8 @@ def line_sets(lines: DataFrame, steps: Column) -> DataFrame:
 
     def number(hashed: Column) -> Column:
         # Never NULL, which lets Spark sort the numbers as they are and not as objects.
-        return F.coalesce(F.get(steps, bucket(hashed)), F.lit(0).cast("long")).bitwiseOR(hashed.bitwiseAND((1 << WORD_BITS) - 1))
+        step = F.coalesce(F.get(steps, F.shiftrightunsigned(hashed, 32).bitwiseAND(BUCKETS - 1).cast("int")), F.lit(0))
+        return F.shiftleft(step.cast("long"), WORD_BITS).bitwiseOR(hashed.bitwiseAND((1 << WORD_BITS) - 1))
 
     parts = line_words(F.col("line"))
     parts = F.when(F.array_contains(parts, ""), F.array_remove(parts, "")).otherwise(parts)
@@ -150,17 +147,15 @@ def place() -> Column:
 def told_apart(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lines without d2, and their classes (d, lines, first). Lines whose sets differ though they share a class get classes of their own."""
 
-    def grouped(lines: DataFrame, *more: Column) -> DataFrame:
-        return _kept(lines.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first"), *more), "classes")
-
-    classes = grouped(stored, F.min("d2").alias("low"), F.max("d2").alias("high"))
+    found = stored.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first"), (F.min("d2") != F.max("d2")).alias("clash"))
+    classes = _kept(found, "classes")
     # Nearly always none: two of 10 ** 9 different sets share a 64-bit hash with a chance of three in a hundred.
-    shared = classes.where("low <> high").select(F.col("d").alias("shared_d")).checkpoint()
+    shared = classes.where("clash").select(F.col("d").alias("shared_d")).checkpoint()
     if shared.isEmpty():
-        return stored.drop("d2"), classes.drop("low", "high")
+        return stored.drop("d2"), classes.drop("clash")
     marked = stored.join(shared, F.col("d") == F.col("shared_d"), "left")
     apart = marked.withColumn("d", F.when(F.col("shared_d").isNull(), F.col("d")).otherwise(F.xxhash64("d", "d2"))).drop("shared_d", "d2")
-    return apart, grouped(apart)
+    return apart, _kept(apart.groupBy("d").agg(F.count(F.lit(1)).alias("lines"), F.min(place()).alias("first")), "classes")
 
 
 def turn(key: Column, line_no: Column, d: Column) -> Column:
